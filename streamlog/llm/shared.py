@@ -1,0 +1,27 @@
+"""Tables in the shared folder: results that later jobs read again, kept where every executor can see them."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; one of our own only where the session has none."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-')}")
+    return context.getCheckpointDir().rstrip("/")
+
+
+def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    """Writes ``df`` as Parquet into the shared folder and reads it back: lineage ends here."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", codec).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
