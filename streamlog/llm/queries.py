@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat_format, matroska, mixing, secret_scan
 from .ngram_jaccard import near_duplicates
 
 
@@ -19,9 +20,33 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule spans and Markov spans of every text, as counts and digests."""
+    docs = _table(spark, sf_dir, "documents")
+    return secret_scan.secret_digests(secret_scan.scan(docs, secret_scan.fit(docs)))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and a planted one full of control strings, formatted and read back."""
+    planted = spark.createDataFrame([(-7, 0, "user", chat_format.PLANTED), (-7, 1, "assistant", chat_format.PLANTED)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(planted)
+    return chat_format.chat_digests(chat_format.format_chats(turns))
+
+
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as samples in Matroska, stored, read back and described."""
+    return matroska.media_features(_table(spark, sf_dir, "documents"))
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights 5, 2, 1 by turns over sources in code point order, 150 % of all words, two epochs at most."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, max_epochs=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard,)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op5_chat_format, op8_media_columns, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_chat_format": chat_format.ORACLE, "op10_source_mixing": mixing.ORACLE}
