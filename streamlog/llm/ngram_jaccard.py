@@ -1,11 +1,11 @@
 """N-gram Jaccard join by a token-group matrix, exact for every link.
 
 1. Each text becomes its set of shingle hashes; equal sets are one class and are not expanded.
-2. Classes are partitioned into groups of similar sets. A set has a few keys, each made of three min-hashes; it joins the most
+2. Classes are partitioned into groups of similar sets. A set has a few keys, each made of five min-hashes; it joins the most
    popular one, so near copies meet in one or few groups. Groups are cut into blocks of bounded size.
 3. The token-group matrix holds, sparsely, the union of each block's tokens that can matter: under one global order (rare
-   tokens first) two sets at or above the threshold share one of the first n - ceil(t n) + 1 tokens of either. A block
-   pair without a common token there cannot hold a link and is never opened.
+   tokens first) two sets at or above the threshold t share k tokens of the first n - ceil(t n) + k of either. A block pair
+   whose unions share fewer there cannot hold a link and is never opened. k grows with n, so a passage in common opens nothing.
 4. An opened pair first bounds every set by its overlap with the other block's whole token union, then intersects the sets that pass.
 5. A pair of blocks gives a spanning set of its links; connected components join them.
 
@@ -27,7 +27,7 @@ from .shared import materialise
 from .words import mix, shingle_sets, text_slices
 
 #: Keys of a set, and min-hashes in a key.
-KEYS, KEY_WIDTH = 8, 3
+KEYS, KEY_WIDTH = 8, 5
 #: Sets and tokens of a block, on average at most; bounds what one task holds.
 BLOCK_SETS, BLOCK_TOKENS = 512, 1 << 17
 #: A token counts as frequent if one run of about WINDOW tokens has it LOCAL times; at most FREQUENT of them order the matrix.
@@ -44,7 +44,7 @@ def _set_id(tokens: np.ndarray) -> int:
 
 
 def _keys(sets: list[np.ndarray]) -> np.ndarray:
-    """Group keys, one row a set: three one-permutation min-hashes each; empty bins take the next full one."""
+    """Group keys, one row a set: KEY_WIDTH one-permutation min-hashes each; empty bins take the next full one."""
     bins = KEYS * KEY_WIDTH
     sizes = np.array([len(s) for s in sets])
     low = np.full(len(sets) * bins, _EMPTY, np.uint64)
@@ -68,6 +68,11 @@ def _least_overlap(n: int, num: int, den: int) -> int:
     return -(-n * num // den)
 
 
+def _depth(n):
+    """How many tokens of their prefixes two linked sets must share, by the smaller one's size; in SQL as well below."""
+    return 1 + n // 16
+
+
 def _scan(width: int):
     """One pass over the texts: a row (id, set_id, n, keys) for each, and rows (token, df) of locally frequent tokens."""
 
@@ -102,7 +107,7 @@ def _scan(width: int):
 
 
 def _prefixes(width: int, num: int, den: int, order):
-    """(set_id, prefix): the first n - ceil(t n) + 1 tokens of each set, rare ones first; a set once for each run of texts."""
+    """(set_id, prefix): the first n - ceil(t n) + k tokens of each set, rare ones first; a set once for each run of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, count = order.value
@@ -117,7 +122,7 @@ def _prefixes(width: int, num: int, den: int, order):
                     if len(seen) >= 100_000:
                         seen.clear()
                     seen.add(i)
-                    p = len(s) - _least_overlap(len(s), num, den) + 1
+                    p = min(len(s), len(s) - _least_overlap(len(s), num, den) + _depth(len(s)))
                     at = np.minimum(np.searchsorted(token, s), max(0, len(token) - 1))
                     df = np.where(token[at] == s, count[at], 0) if len(token) else np.zeros(len(s), np.int64)
                     cold = s[df == 0]
@@ -138,7 +143,7 @@ def _tokens(width: int):
             for part in text_slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), width)
                 same = pa.array([_set_id(s) == i for s, i in zip(sets, part.column("set_id").to_pylist(), strict=True)], pa.bool_())
-                out = pa.RecordBatch.from_arrays([part.column("block"), part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["block", "node", "tokens"])
+                out = pa.RecordBatch.from_arrays([part.column("block"), part.column("node"), pa.array([s.tobytes() for s in sets], pa.binary()), part.column("pairs")], names=["block", "node", "tokens", "pairs"])
                 yield out.filter(same)
 
     return run
@@ -279,16 +284,18 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     matrix = prefixes.join(placed, "set_id").select(F.explode("prefix").alias("token"), "block", "least", "most").dropDuplicates(["token", "block"])
     other = matrix.select("token", *(F.col(c).alias(f"{c}2") for c in ("block", "least", "most")))
     fits = (F.col("block") < F.col("block2")) & (F.col("most") * den >= F.col("least2") * num) & (F.col("most2") * den >= F.col("least") * num)
-    cross = matrix.join(other, "token").where(fits).select(F.col("block").alias("g1"), F.col("block2").alias("g2")).distinct()
+    overlap = matrix.join(other, "token").where(fits).groupBy("block", "block2").agg(F.count("*").alias("shared"), F.least(F.first("least"), F.first("least2")).alias("least"))
+    cross = overlap.where(F.col("shared") >= F.floor(1 + F.col("least") / 16)).select(F.col("block").alias("g1"), F.col("block2").alias("g2"))
     own = placed.where("size > 1").select(F.col("block").alias("g1"), F.col("block").alias("g2")).distinct()
     pairs = materialise(cross.union(own), "pairs")
 
-    # Token sets of the blocks to open only.
-    sides = pairs.select(F.explode(F.array_distinct(F.array("g1", "g2"))).alias("block"), "g1", "g2")
-    wanted = placed.join(sides.select("block").distinct(), "block", "left_semi").select("node", "block", "set_id")
-    opened = texts.join(wanted, texts["id"] == wanted["node"]).select("block", "node", "set_id", "text")
-    members = opened.mapInArrow(_tokens(width), "block long, node long, tokens binary")
-    links = members.join(sides, "block").groupBy("g1", "g2").applyInArrow(_open(num, den), "a long, b long")
+    # Token sets of the blocks to open only, dealt to the pairs of their block.
+    sides = pairs.select(F.explode(F.array_distinct(F.array("g1", "g2"))).alias("block"), F.struct("g1", "g2").alias("pair")).groupBy("block").agg(F.collect_list("pair").alias("pairs"))
+    wanted = placed.join(sides, "block").select("node", "block", "set_id", "pairs")
+    opened = texts.join(wanted, texts["id"] == wanted["node"]).select("block", "node", "set_id", "text", "pairs")
+    members = opened.mapInArrow(_tokens(width), "block long, node long, tokens binary, pairs array<struct<g1:long,g2:long>>")
+    members = members.select("block", "node", "tokens", F.explode("pairs").alias("pair")).select("block", "node", "tokens", "pair.g1", "pair.g2")
+    links = members.groupBy("g1", "g2").applyInArrow(_open(num, den), "a long, b long")
     found = components(links)
 
     class_of = placed.select("set_id", "node").join(found, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
