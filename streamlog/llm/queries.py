@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, matroska, mixing, secret_scan
+from . import chat_format, language_id, matroska, mixing, neighbours, packing, secret_scan, token_counts, token_planes
 from .ngram_jaccard import near_duplicates
 
 
+def tokenizer_path(name: str) -> str:
+    """A public tokenizer's file; every executor has the package that holds it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,6 +34,17 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digests(secret_scan.scan(docs, secret_scan.fit(docs)))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text by the word BPE of 49k ids."""
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
+
+
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector whose id is divisible by 50 against all others: the five nearest by cosine."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and a planted one full of control strings, formatted and read back."""
     planted = spark.createDataFrame([(-7, 0, "user", chat_format.PLANTED), (-7, 1, "assistant", chat_format.PLANTED)], "conv_id long, turn long, role string, text string")
@@ -33,11 +52,30 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_digests(chat_format.format_chats(turns))
 
 
+def op6_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 2048 ids, each followed by id 1."""
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1, window=2048, with_ids=False)
+    return pieces.drop("ids")
+
+
+def op7_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as byte-level ids with end id 2, written in bit planes and read back."""
+    return token_planes.token_planes(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
+
+
 def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts as samples in Matroska, stored, read back and described."""
     return matroska.media_features(_table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from the labelled ones that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    found = language_id.predict(docs, language_id.fit(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights 5, 2, 1 by turns over sources in code point order, 150 % of all words, two epochs at most."""
     mixed = mixing.mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, max_epochs=2)
@@ -45,7 +83,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op5_chat_format, op8_media_columns, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op3_token_counts, op4_nearest_neighbours, op5_chat_format, op6_retrieval_packing, op7_token_planes, op8_media_columns, op9_language_id, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
