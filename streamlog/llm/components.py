@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise
+from ..shared import materialise
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

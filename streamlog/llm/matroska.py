@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise
+from ..shared import materialise
 
 FRAME, LACED, BLOCKS = 576, 64, 32
 # Element ids of the format.

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import materialise
+from ..shared import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A source's documents are dealt over this many buckets by hash, so no window holds a source, however large.

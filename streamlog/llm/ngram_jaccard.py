@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialise
+from ..shared import materialise
 from .words import mix, shingle_sets, text_slices
 
 #: Keys of a set, and min-hashes in a key.

@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .pretokens import piece_table
-from .shared import materialise
+from ..shared import materialise
 from .words import text_slices
 
 MAGIC = b"TPL1"
