@@ -137,3 +137,19 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def accept(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: str = "lang", least: float = 0.5) -> DataFrame:
+    """``docs`` without rows that are ``und`` or score below ``least``; a null language becomes the predicted one, other columns stay as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, scores = predict_texts(shared.value, batch.column("text").to_pylist())
+            keep = pa.array([x != UNKNOWN and y >= least for x, y in zip(langs, scores, strict=True)], pa.bool_())
+            at = batch.schema.get_field_index("lang")
+            filled = [a if a is not None else b for a, b in zip(batch.column("lang").to_pylist(), langs, strict=True)]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(filled, batch.schema.field(at).type)).filter(keep)
+
+    named = docs.withColumnsRenamed({text_col: "text", lang_col: "lang"})
+    return named.mapInArrow(run, named.schema).withColumnsRenamed({"text": text_col, "lang": lang_col})

@@ -52,24 +52,49 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     rounded, and no row exceeds ``max_epochs`` times its size. Null sources are one source, the last. Ties of the hash (repeated rows) go by size.
     Empty sources have target 0. An empty table gives no rows; other columns are not read.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"))
-    rows = materialise(rows.withColumn("bucket", (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % BUCKETS).cast("int")), "mix-sizes")
+    keyed = _keyed(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")), seed).drop("text")
+    rows = materialise(keyed, "mix-sizes")
+    return _place(rows, _goals(rows, weights, share, max_epochs)).select(
+        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
+        (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"), _copies().alias("copies"),
+    )
+
+
+def repeat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = (5, 2, 1), share: float = 1.5, max_epochs: int = 2, seed: str = "mix-1") -> DataFrame:
+    """``docs`` with every row as often as ``mix`` copies it, all columns as they are; a row that isn't taken is left out."""
+    full = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    sizes = materialise(_keyed(full.drop("row"), seed).drop("text"), "mix-sizes")
+    placed = _place(_keyed(full, seed).drop("text"), _goals(sizes, weights, share, max_epochs)).withColumn("copies", _copies())
+    return placed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+
+
+def _keyed(rows: DataFrame, seed: str) -> DataFrame:
+    """Adds size, the seeded hash of the id, and its bucket."""
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    return rows.withColumn("size", word_count(F.col("text"))).withColumn("key", key).withColumn("bucket", (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % BUCKETS).cast("int"))
+
+
+def _goals(rows: DataFrame, weights: Sequence[int], share: float, max_epochs: int) -> DataFrame:
+    """One row a (source, bucket): its source's target, whole passes and words of one more, and the words in the buckets before."""
     buckets = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     targets = source_targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights=weights, share=share, max_epochs=max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goals = targets.withColumn("whole", whole).withColumn("part", F.round("target").cast("long") - F.col("whole") * F.col("source_size"))
     before = F.coalesce(F.sum("bucket_size").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = buckets.withColumn("start", before).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "start")
-    starts = starts.join(goals, F.col("s").eqNullSafe(F.col("source"))).drop("source")
+    return starts.join(goals, F.col("s").eqNullSafe(F.col("source"))).drop("source")
+
+
+def _place(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    """Adds what each row gives to its source's last, partial pass."""
     inside = W.partitionBy("source", "bucket").orderBy("key", "size").rowsBetween(W.unboundedPreceding, -1)
-    placed = rows.withColumn("earlier", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("part") - F.col("start") - F.col("earlier")))
-    return placed.withColumn("extra", extra).select(
-        F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-        (F.col("whole") * F.col("size") + F.col("extra")).cast("long").alias("taken"),
-        (F.col("whole") + (F.col("extra") * 2 >= F.greatest(F.col("size"), F.lit(1))).cast("long")).alias("copies"),
-    )
+    earlier = F.coalesce(F.sum("size").over(inside), F.lit(0))
+    placed = rows.withColumn("earlier", earlier).join(goals, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    return placed.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("part") - F.col("start") - F.col("earlier"))))
+
+
+def _copies() -> Column:
+    return F.col("whole") + (F.col("extra") * 2 >= F.greatest(F.col("size"), F.lit(1))).cast("long")
 
 
 #: The same in DuckDB's SQL.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format, language_id, matroska, mixing, neighbours, packing, secret_scan, token_counts, token_planes
@@ -18,6 +18,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out() -> Column:
+    """Rows that no language model may learn from: one id in three."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -71,9 +76,8 @@ def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learned from the labelled ones that are not held out."""
     docs = _table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
-    found = language_id.predict(docs, language_id.fit(docs.where(~held_out)))
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    found = language_id.predict(docs, language_id.fit(docs.where(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
