@@ -90,7 +90,7 @@ def append_log(messages: DataFrame, path: str, *, mode: str = "append", stream:
         given = F.col("stream")
         messages = messages.withColumn("stream", F.when(given.isNotNull() & (given != stream), F.raise_error(F.concat(F.lit(f"rows for {stream} hold stream "), given))).otherwise(F.lit(stream)))
     tails = None
-    batch = str(batch_id) if batch_id is not None else uuid.uuid4().hex
+    batch = f"b{batch_id}" if batch_id is not None else f"u{uuid.uuid4().hex}"  # text, not a number, when the folder names are read
     if _exists(spark, path):
         old = spark.read.parquet(path).where(F.col("batch_id") != batch)
         tails = old.groupBy("stream").agg((F.max("offset") + 1).alias("tail"))
