@@ -26,7 +26,9 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 MARKOV_LEAST = 20
 #: Nats per character by which the random model must win, and the bound on training samples of either label.
-RATIO, SAMPLES = 1.0, 20_000
+RATIO, SAMPLES = 1.5, 20_000
+#: How many observations the character frequencies weigh against those of a context.
+BACKOFF = 20.0
 
 _CLASSES = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 _INDEX = np.full(128, len(_CLASSES), np.int64)
@@ -52,13 +54,14 @@ def _codes(word: str) -> np.ndarray:
 
 
 def train(words: list[str]) -> np.ndarray:
-    """Log transition probabilities of a first-order character chain, add-half smoothed; row _N is the start."""
-    counts = np.full((_N + 1, _N), 0.5)
+    """Log transition probabilities of a first-order character chain; row _N is the start. A context backs off to the model's own character frequencies."""
+    counts = np.zeros((_N + 1, _N))
     for w in words:
         c = _codes(w)
         if len(c):
             np.add.at(counts, (np.concatenate([[_N], c[:-1]]), c), 1)
-    return np.log(counts / counts.sum(1, keepdims=True))
+    alone = counts.sum(0) + 0.1
+    return np.log((counts + BACKOFF * alone / alone.sum()) / (counts.sum(1, keepdims=True) + BACKOFF))
 
 
 def ratio(models: np.ndarray, word: str) -> float:
