@@ -1,13 +1,15 @@
 """Tokenizing by distinct pre-tokens: each distinct piece of text is encoded once by the tokenizer, then looked up.
 
-Texts are cut, in Arrow, where the tokenizer can't look across: at white space. What a piece encodes to is then the same wherever it stands, so the
-ids of a text are those of its pieces in order. Texts for which that doesn't hold, and tokenizers of other kinds, are encoded whole.
+Texts are cut, in Arrow, where the tokenizer can't look across: at white space and between a letter and a stop. What a piece encodes to is then the same
+wherever it stands, so the ids of a text are those of its pieces in order. Texts for which that doesn't hold, and tokenizers of other kinds, are encoded whole.
+A piece of plain letters goes straight to the tokenizer's model, in the byte alphabet; any other through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -15,12 +17,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Distinct pieces that a worker remembers, at most; the table starts anew beyond that.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 _CUT = "\x00"
 #: With spaces kept, runs of white space belong together, so a text that has any (or the cut mark) is encoded whole.
 _RUNS = r"[\s\v\x1c-\x1f\x{85}\p{Z}]{2}|\x00"
 
 
+#: Between such a letter and such a stop there is always a cut; both are of fixed classes in every version of Unicode.
+_STOPS = ",.;:!?"
+_LETTER_STOP = rf"([A-Za-zÀ-ÖØ-öø-ÿ])([{_STOPS}]+)"
+
+
+def byte_alphabet() -> dict[int, str]:
+    """How byte-level tokenizers write Latin-1 characters: printable bytes as themselves, the others as the characters from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    names = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+    return {c: "".join(names[b] for b in chr(c).encode()) for c in range(256)}
+
+
 def _kind(path: str) -> str:
     """dropped: white space ends words and is dropped; kept: a space opens the next piece; whole: anything else."""
     spec = json.loads(Path(path).read_text())
@@ -44,6 +59,10 @@ class PieceTable:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind, self.keep_ids = Tokenizer.from_file(path), _kind(path), keep_ids
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.stops = not any(c in t for t in added for c in _STOPS)
+        self.plain = not any(t.isalpha() for t in added)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self._clear()
@@ -55,8 +74,25 @@ class PieceTable:
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
+    def _plain(self, piece: str) -> str | None:
+        """The piece in the byte alphabet, lower-cased if the tokenizer does so; None if it isn't just letters of Latin-1."""
+        word = piece[1:] if self.kind == "kept" and piece[:1] == " " else piece
+        if not word.isalpha() or not (word.isascii() or max(word) <= "\xff"):
+            return None
+        return (piece.lower() if self.kind == "dropped" else piece).translate(self.alphabet)
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[list[int] | None] = [None] * len(texts)
+        if self.kind != "whole" and self.plain:
+            tokenize = self.model.tokenize
+            for k, text in enumerate(texts):
+                word = self._plain(text)
+                if word is not None:
+                    out[k] = [t.id for t in tokenize(word)]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = e.ids
+        return out
 
     def _learn(self, pieces: list[str]) -> None:
         for lo in range(0, len(pieces), 20_000):
@@ -69,7 +105,7 @@ class PieceTable:
             self.size[first : first + n] = sizes
             self.at.update(zip(some, range(first, first + n), strict=True))
             if self.keep_ids:
-                flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
+                flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
                 while self.used + len(flat) > len(self.ids):
                     self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
                 self.start[first : first + n] = self.used + np.cumsum(sizes) - sizes
@@ -77,6 +113,8 @@ class PieceTable:
                 self.used += len(flat)
 
     def _cut(self, text: pa.Array) -> pa.ListArray:
+        if self.stops:
+            text = pc.replace_substring_regex(text, _LETTER_STOP, r"\1 \2" if self.kind == "dropped" else rf"\1{_CUT}\2")
         if self.kind == "dropped":
             return pc.split_pattern(pc.replace_substring(text, "\n", " "), " ")
         return pc.split_pattern(pc.replace_substring(pc.replace_substring(text, " ", _CUT + " "), "\n", f"{_CUT}\n{_CUT}"), _CUT)
@@ -95,13 +133,19 @@ class PieceTable:
             offsets, flat = offsets - offsets[0], lists.flatten()
         encoded = flat.dictionary_encode()
         distinct = encoded.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self.at]
-        if len(self.at) + len(new) > REMEMBERED:
-            self._clear()
-            new = distinct
-        self._learn(new)
-        place = np.fromiter((self.at[p] for p in distinct), np.int64, len(distinct))
-        return offsets, place[encoded.indices.to_numpy(zero_copy_only=False)] if len(distinct) else np.empty(0, np.int64)
+        if not distinct:
+            return offsets, np.empty(0, np.int64)
+        place = self._places(distinct)
+        if (new := np.flatnonzero(place < 0)).size:
+            if len(self.at) + len(new) > REMEMBERED:
+                self._clear()
+                new = np.arange(len(distinct))
+            self._learn([distinct[k] for k in new])
+            place = self._places(distinct)
+        return offsets, place[encoded.indices.to_numpy(zero_copy_only=False)]
+
+    def _places(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.at.get, pieces, repeat(-1)), np.int64, len(pieces))
 
     def counts(self, text: pa.Array) -> np.ndarray:
         """Number of ids of each row, from the sizes of its pieces; null counts as empty."""

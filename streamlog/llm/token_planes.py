@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .pretokens import piece_table
 from ..shared import materialise
-from .words import text_slices
+from .words import SLICE_BYTES, text_slices
 
 MAGIC = b"TPL1"
 BLOCK, LEVEL = 1 << 14, 3
@@ -81,7 +81,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, *, end_id: int, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(tokenizer, keep_ids=True)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", 2 * SLICE_BYTES):
                 offsets, flat = table.encode(part.column("text"))
                 rows = part.num_rows
                 flat = np.insert(flat, offsets[1:], end_id)
