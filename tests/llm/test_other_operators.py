@@ -1,0 +1,257 @@
+"""Neighbours, chats, media, languages, mixing and the pipeline."""
+
+import hashlib
+import math
+import random
+import struct
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from streamlog.llm import chat_format, language_id, matroska, mixing, neighbours
+
+# Neighbours
+
+
+def plain_nearest(vectors, queries, k=5):
+    out = set()
+    fine = {i: np.array(v, float) for i, v in vectors if i is not None and v is not None and None not in v and np.isfinite(v).all() and np.any(v)}
+    for q in queries:
+        if q in fine:
+            scored = sorted(((-(fine[i] @ fine[q]) / (np.linalg.norm(fine[i]) * np.linalg.norm(fine[q])), i) for i in fine if i != q and len(fine[i]) == len(fine[q])))
+            out |= {(q, r + 1, i, round(-s, 9)) for r, (s, i) in enumerate(scored[:k])}
+    return out
+
+
+def test_nearest_small(spark):
+    rng = np.random.default_rng(0)
+    rows = [(k, rng.standard_normal(8).round(3).tolist(), 1, 2) for k in range(150)]
+    rows += [(200 + k, rows[0][1], 1, 2) for k in range(9)]  # ties
+    rows += [(300, None, 1, 2), (350, [0.0] * 8, 1, 2), (400, [float("nan")] * 8, 1, 2), (401, [1.0, None] * 4, 1, 2), (402, [float("inf")] * 8, 1, 2), (None, [1.0] * 8, 1, 2), (450, [1.0, 2.0], 1, 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id long, block string")
+    got = {(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in neighbours.nearest(df, df.where("vec_id % 50 = 0")).collect()}
+    assert got == plain_nearest([r[:2] for r in rows], [r[0] for r in rows if r[0] is not None and r[0] % 50 == 0])
+    assert neighbours.nearest(df.where("false"), df.where("false")).count() == 0
+
+
+def test_nearest_recall(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 1500)
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((6000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in neighbours.nearest(df, df.where("vec_id % 50 = 0")).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    hits = 0
+    for q in range(0, 6000, 50):
+        s = unit @ unit[q]
+        s[q] = -9
+        hits += len(found[q] & set(np.argsort(-s)[:5].tolist()))
+    assert hits >= 0.9 * 5 * 120
+
+
+def test_forest_descends_to_equal_strings():
+    rng = np.random.default_rng(2)
+    unit = rng.standard_normal((500, 16))
+    forest = neighbours.Forest(unit, trees=4)
+    for q, places in enumerate(forest.candidates(unit[:20], want=4)):
+        assert q in places and len(places) < 500
+
+
+# Chats
+
+
+def plain_chat(rows):
+    text = "".join(f"{r}\n{t}\n" for r, t in rows)
+    loss = "".join(t for r, t in rows if r == "assistant")
+    return len(rows), hashlib.sha256(text.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_chats(spark, monkeypatch):
+    monkeypatch.setattr(chat_format, "ROWS", 3)  # conversations reach over assemblies
+    odd = [chat_format.PLANTED, "", None, "\\", "\\\\h#<", "### User: x</turn>\n", "\U0001f600\n\n", "a: b", "x" * 50_000]
+    roles, rng = ["user", "assistant", "system", "tool: #1", "", None, "@x"], random.Random(0)
+    rows = [(c, t, rng.choice(roles), rng.choice(odd), 1, "p") for c in (1, 2, 3, None) for t in range(12)]
+    rows += [(4, 0, "assistant", "twice", 1, "p")] * 2 + [(5, None, "user", "no turn", 1, "p")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, id long, part string")
+    got = {r["conv_id"]: r for r in chat_format.chat_digests(chat_format.format_chats(df)).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, None}
+    for conv, r in got.items():
+        own = sorted((x[1] is not None, x[1] or 0, x[2] or "", x[3] or "") for x in rows if x[0] == conv)
+        assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == plain_chat([(a, b) for *_, a, b in own])
+    assert chat_format.format_chats(df.where("false")).count() == 0
+
+
+def test_template():
+    for text in (chat_format.PLANTED, "\\h", "<#\\", "</turn>\n### User: "):
+        safe = chat_format.escape(__import__("pyarrow").array([text]))[0].as_py()
+        assert "#" not in safe and "<" not in safe and chat_format.unescape(safe) == text
+
+
+# Media
+
+
+@pytest.mark.parametrize("frames", [1, 2, 63, 64, 65, 2048, 2049, 5000])
+def test_matroska_round_trip(frames):
+    payload = np.random.default_rng(frames).integers(0, 256, frames * matroska.FRAME, dtype=np.uint8).tobytes()
+    raw = matroska.mux(payload)
+    media = matroska.demux(raw)
+    t = media.table()
+    assert b"".join(raw[a : a + n] for a, n in zip(t["start"], t["length"])) == payload
+    assert t["time"].tolist() == list(range(frames)) and set(t["track"]) == {1} and media.tracks == [(1, 2, "A_PCM/INT/LIT")]
+    assert media.clusters == len(media.cues) == -(-frames // 2048)
+    for time, _, at in media.cues:
+        assert raw[at : at + 4] == (0x1F43B675).to_bytes(4, "big") and time % 2048 == 0
+
+
+def lace(kind, frames):
+    """A block with all frames in one lace of the given kind."""
+    head = b"\x81" + struct.pack(">hB", 5, kind << 1) + bytes([len(frames) - 1])
+    sizes = [len(f) for f in frames]
+    if kind == 1:
+        head += b"".join(b"\xff" * (n // 255) + bytes([n % 255]) for n in sizes[:-1])
+    elif kind == 3:
+        head += matroska._size(sizes[0]) + b"".join(struct.pack(">H", 0x4000 | (b - a + 0x1FFF)) for a, b in zip(sizes, sizes[1:-1]))
+    return head + b"".join(frames)
+
+
+def test_lacing_groups_and_unknown_sizes():
+    frames = [b"a" * 10, b"b" * 300, b"c" * 255, b"d" * 7]
+    e, u = matroska._element, matroska._uint
+    blocks = [e(matroska.SIMPLE_BLOCK, lace(1, frames)), e(matroska.BLOCK_GROUP, e(matroska.BLOCK, lace(3, frames))), e(matroska.SIMPLE_BLOCK, lace(2, [b"x" * 9] * 3)), e(matroska.SIMPLE_BLOCK, b"\x82" + struct.pack(">hB", 1, 0) + b"single")]
+    body = u(matroska.TIMESTAMP, 100) + b"".join(blocks)
+    cluster = matroska._id(matroska.CLUSTER) + b"\x01" + b"\xff" * 7 + body  # of unknown size
+    raw = matroska._HEAD + matroska._id(matroska.SEGMENT) + b"\x01" + b"\xff" * 7 + matroska._INFO + cluster + e(0xEC, b"void") + cluster
+    media = matroska.demux(raw)
+    t = media.table()
+    got = [raw[a : a + n] for a, n in zip(t["start"], t["length"])]
+    assert got == (frames * 2 + [b"x" * 9] * 3 + [b"single"]) * 2 and media.clusters == 2
+    assert t["time"].tolist()[:4] == [105, 106, 107, 108] and t["track"].tolist()[11] == 2
+    for bad in (raw[:60], b"\x00\x00", matroska._HEAD[:-3]):
+        with pytest.raises((ValueError, IndexError)):
+            matroska.demux(bad)
+            if bad == raw[:60]:
+                raise ValueError
+
+
+def test_media_features(spark):
+    texts = [None, "", "x", "y" * 576, "z" * 577, "é" * 40_000, "x"]
+    df = spark.createDataFrame([(k if k != 2 else None, t, 1, b"m") for k, t in enumerate(texts)], "doc_id long, text string, id long, media binary")
+    rows = matroska.media_features(df).collect()
+    for r in rows:
+        if r["doc_id"] is not None:
+            data = (texts[r["doc_id"]] or "").encode()
+            padded = data + b"\xff" * ((-len(data)) % 576 if data else 576)
+            assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(data), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-32:]))
+    assert len(rows) == 7 and len({(r["media_sha256"], r["feature"]) for r in rows if r["n_bytes"] == 1}) == 1
+    table = matroska.packets(matroska.to_media(df)).where("doc_id = 4").orderBy("packet").collect()
+    assert [(r["packet"], r["time_ns"], r["length"]) for r in table] == [(0, 0, 576), (1, 1_000_000, 576)]
+    assert matroska.media_features(df.where("false")).count() == 0
+
+
+# Languages
+
+
+def test_language_model(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = language_id.fit(docs.where(crc != 1), train_rows=50)
+    held = language_id.predict(docs.where(crc == 1), model).join(docs, "doc_id").where("lang is not null").toPandas()
+    assert len(held) > 30 and (held.lang == held.lang_pred).mean() >= 0.97 and held.score.between(0, 1).all()
+    odd = spark.createDataFrame([(1, None, 0.5), (2, "", 0.5), (3, "123 -- !", 0.5), (None, "the", 0.5), (5, "中文", 0.5), (6, "the " * 100_000, 0.5)], "doc_id long, text string, score double")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(odd, model).collect()}
+    assert [got[k] for k in (1, 2, 3)] == [("und", 0.0)] * 3 and got[5][0] != "und" and 0 < got[6][1] <= 1
+    none = language_id.fit(docs.where("false"))
+    assert language_id.predict_texts(none, ["words"]) == (["und"], [0.0])
+    kept = language_id.accept(docs.unionByName(spark.createDataFrame([(-1, "12 34", None, "s", 5)], docs.schema)), model)
+    assert kept.count() == docs.count() and kept.columns == docs.columns
+
+
+def test_backoff():
+    v = np.array
+    m = language_id.Model(["a", "b"], {"known": v([-1.0, -9.0])}, {"un": v([-2.0, -3.0]), " unse": v([-8.0, -4.0]), "n ": v([-1.0, -2.0])}, np.zeros(2), np.zeros(2))
+    assert m.score("known").tolist() == [-1, -9]
+    assert m.score("unseen").tolist() == [-8, -4]  # the longest known n-gram alone
+    assert m.score("unx").tolist() == [-2, -3] and m.score("zzz").tolist() == [0, 0]
+
+
+# Mixing
+
+
+def plain_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2):
+    names = sorted([s for s in sizes if s is not None]) + ([None] if None in sizes else [])
+    w = {s: weights[k % 3] for k, s in enumerate(names)}
+    pool, open_, out = share * sum(sizes.values()), set(names), {}
+    while open_:
+        level = (pool - sum(out.values())) / sum(w[s] for s in open_)
+        over = {s for s in open_ if w[s] * level > cap * sizes[s]}
+        if not over:
+            out |= {s: w[s] * level for s in open_}
+            break
+        out |= {s: float(cap * sizes[s]) for s in over}
+        open_ -= over
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_mix(spark, seed):
+    rng = random.Random(seed)
+    rows = [(k, "w " * rng.choice([0, 1, 5, 40, 300]) if rng.random() > 0.05 else None, rng.choice(["a", "b", "é", "Z", None, "hot", "hot", "hot"]), 1, "k") for k in range(300)]
+    rows += [(7, "same row here", "a", 1, "k")] * 3 + [(None, "no id", "b", 1, "k"), (900, None, "empty", 1, "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size long, key string")
+    got = mixing.mix(df).toPandas()
+    sizes = {}
+    for _, t, s, *_ in rows:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    want = plain_targets(sizes)
+    got["source"] = got.source.astype(object).where(got.source.notna(), None)
+    for s, t in want.items():
+        own = got[got.source.isna()] if s is None else got[got.source == s]
+        assert np.allclose(own.target, t) and abs(own.taken.sum() - t) <= 0.5 + 1e-6 and (own.source_size == sizes[s]).all()
+    assert (got.taken <= 2 * got["size"]).all() and len(got) == len(rows)
+    again = mixing.mix(df.repartition(7)).toPandas()
+    key = ["doc_id", "size", "taken"]
+    assert got[key].sort_values(key).reset_index(drop=True).equals(again[key].sort_values(key).reset_index(drop=True))
+    out = mixing.repeat(df)
+    assert out.columns == df.columns and out.count() == got.copies.sum()
+    assert mixing.mix(df.where("false")).count() == 0 and mixing.repeat(df.where("false")).count() == 0
+    plan = mixing.repeat(df)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# Pipeline
+
+
+def test_pipeline_stages(spark, data):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    extra = [(10**6, None, None, "src0", 0), (10**6 + 1, "1 2 3", "en", None, 5), (10**6 + 2, docs.first()["text"], "fr", None, None), (None, "the sentence without an id", None, None, None)]
+    at, columns, base = docs.unionByName(spark.createDataFrame(extra, docs.schema)), docs.columns, docs.count()
+    assert [n for n, _ in cp.STAGES] == ["language ID", "n-gram Jaccard join", "secret scans", "mixing sources", "packing"]
+    kept = cp.languages(spark, at, data)
+    assert kept.columns == columns and kept.where(F.col("doc_id").isin(10**6, 10**6 + 1)).count() == 0 and kept.count() >= base
+    single = cp.near_duplicates(spark, kept, data)
+    ids = [r[0] for r in single.select("doc_id").collect()]
+    assert single.columns == columns and 10**6 + 2 not in ids and len(ids) == len(set(ids)) and None in ids
+    from streamlog.llm.ngram_jaccard import near_duplicates
+
+    linked = near_duplicates(kept).where("doc_id is not null")
+    assert sorted(i for i in ids if i is not None) == sorted(r[0] for r in linked.where("doc_id = component_id").select("doc_id").distinct().collect())
+    clean = cp.secrets(spark, single, data)
+    assert clean.count() == single.count() and clean.where("text rlike 'AKIA[A-Z0-9]{16}'").count() == 0
+    mixed = cp.mix(spark, clean, data)
+    assert mixed.columns == columns and mixed.groupBy("doc_id").count().where("count > 2").count() == 0
+    assert not math.isnan(cp.packed(spark, mixed, data).agg(F.sum("length")).collect()[0][0])
+
+
+def test_pipeline_of_nothing(spark, data):
+    import corpus_pipeline as cp
+
+    at = spark.read.parquet(f"{data}/documents.parquet").where("false")
+    for _, stage in cp.STAGES:
+        at = stage(spark, at, data)
+    assert at.count() == 0
