@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,6 +11,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import materialise
+
 #: Bounds of the model: training rows of a language (about, by hash of their id), words kept of a language, and n-grams kept of a length.
 TRAIN_ROWS, WORDS, GRAMS = 3000, 20_000, 30_000
 LONGEST = 5
@@ -82,7 +83,7 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     counts = rows.where(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 20)) < share[F.col("lang")]).mapInArrow(_counted, "lang string, item string, length int, n long")
     counts = counts.groupBy("length", "item").pivot("lang", langs).agg(F.sum("n")).na.fill(0)
     total = sum(F.col(f"`{x}`") for x in langs)
-    counts = counts.withColumn("total", total).where("total > 1")
+    counts = materialise(counts.withColumn("total", total).where("total > 1"), "language-counts")
     words, grams = {}, {}
     sums = {r["length"]: np.array([r[x] for x in langs], float) for r in counts.groupBy("length").agg(*(F.sum(F.col(f"`{x}`")).alias(x) for x in langs)).collect()}
     for length in range(LONGEST + 1):
