@@ -290,3 +290,17 @@ def test_outcomes(spark):
     out = lambda a, b, **k: integrity.range_outcome(log, frame(spark, [("s", a, b)]), **k).collect()[0]["outcome"]
     assert out(3, 5) == "complete" and out(3, 7) == "data_loss" and out(0, 5) == "data_loss"
     assert out(3, 7, filtered=True) == "complete" and out(0, 5, fail_on_data_loss=False) == "complete" and out(3, 5 + 9, filtered=True) == "timeout"
+
+
+def test_reads_prune(spark, tmp_path):
+    """Stream folders and row groups are pruned, and only the columns in use are read."""
+    path = f"file://{tmp_path}/log"
+    rows = spark.range(100).select("id", F.concat(F.lit("s"), (F.col("id") % 4).cast("string")).alias("stream"), F.lit("x").alias("body"))
+    publish.append_log(rows, path, order=["id"], bucket=F.lit(0), batch_id=0)
+    log = spark.read.parquet(path)
+    r = frame(spark, [("s1", 3, 9), ("s2", 0, 5)])
+    plan = read_log(log, r).select("id")._jdf.queryExecution().executedPlan().toString()
+    assert read_log(log, r).count() == 11
+    assert "s1" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "offset" in plan.split("PushedFilters: [")[1].split("ReadSchema")[0]
+    assert "body" not in plan.split("ReadSchema")[1]
