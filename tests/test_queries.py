@@ -2,7 +2,7 @@
 
 import pytest
 
-from streamlog.plans import log_queries  # noqa: F401
+from streamlog.plans import log_queries, stream_queries  # noqa: F401
 from streamlog.plans.registry import ORACLES, QUERIES
 
 
