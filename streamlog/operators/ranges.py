@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..options import RangeOptions
+from ..shared import settle
 
 
 class DataLossError(RuntimeError):
@@ -38,7 +39,8 @@ def resolve_ranges(log: DataFrame, options: RangeOptions | None = None, *, strea
 
     A start timestamp counts by chunk time, an end timestamp by creation time where it is set: the end is the first offset at or after it, the tail if there is
     none. A start below what is there fails, or moves up without ``fail_on_data_loss``. Empty ranges are left out. ``streams`` names streams that must exist; a
-    missing one fails, or is skipped without ``fail_on_data_loss``. One pass over the log; the checks look at one row a stream.
+    missing one fails, or is skipped without ``fail_on_data_loss``. The log is read once, here: later appends don't move the ranges, and the checks
+    look at one row a stream.
     """
     o = options or RangeOptions(**given)
     start_ts, end_ts = _by_stream(o.start_ts, o.start_ts_by_stream), _by_stream(o.end_ts, o.end_ts_by_stream)
@@ -49,6 +51,7 @@ def resolve_ranges(log: DataFrame, options: RangeOptions | None = None, *, strea
     if o.end == "timestamp":
         extra.append(at_or_after(F.coalesce("creation_time", "chunk_timestamp"), end_ts).alias("bound"))
     b = log.groupBy("stream").agg(F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("tail"), *extra)
+    b = settle(b, "bounds")  # the snapshot that the whole read goes by
     if o.start == "timestamp":
         untimed = start_ts.isNull()
         b = b.withColumn("anchor", F.when(untimed, F.col("first_offset")).otherwise(F.col("anchor")))

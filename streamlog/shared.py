@@ -25,3 +25,16 @@ def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a frame that may stand in the plan itself.
+SETTLED_ROWS = 10_000
+
+
+def settle(frame: DataFrame, name: str) -> DataFrame:
+    """A small frame, computed once: what follows sees this one result and doesn't run its plan again. A larger one goes to the shared folder."""
+    spark = frame.sparkSession
+    few = frame.limit(SETTLED_ROWS + 1).toArrow()
+    if few.num_rows > SETTLED_ROWS:
+        return materialise(frame, name)
+    return spark.createDataFrame(few, schema=frame.schema)
