@@ -32,7 +32,6 @@ class Model:
     words: dict[str, np.ndarray]  # log frequency in each language
     grams: dict[str, np.ndarray]  # of every length up to LONGEST; word ends are marked by a space
     prior: np.ndarray
-    floor: np.ndarray  # log frequency of what a language never showed
 
     def score(self, word: str) -> np.ndarray:
         """A known word's vector; else the mean over its n-grams of the longest length of which any is known; else nothing."""
@@ -78,7 +77,7 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
     langs = sorted(sizes)
     if not langs:
-        return Model([], {}, {}, np.empty(0), np.empty(0))
+        return Model([], {}, {}, np.empty(0))
     share = F.create_map(*(x for lang in langs for x in (F.lit(lang), F.lit(int(min(1.0, train_rows / sizes[lang]) * (1 << 20))))))
     counts = rows.where(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 20)) < share[F.col("lang")]).mapInArrow(_counted, "lang string, item string, length int, n long")
     counts = counts.groupBy("length", "item").pivot("lang", langs).agg(F.sum("n")).na.fill(0)
@@ -92,7 +91,7 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             seen = np.array([r[x] for x in langs], float)
             (words if length == 0 else grams)[r["item"]] = np.log((seen + 0.5) / (sums[length] + 0.5 * max(1, len(kept))))
     prior = np.array([sizes[x] for x in langs], float)
-    return Model(langs, words, grams, np.log(prior / prior.sum()), np.zeros(len(langs)))
+    return Model(langs, words, grams, np.log(prior / prior.sum()))
 
 
 _SCORES: dict[int, dict[str, np.ndarray]] = {}

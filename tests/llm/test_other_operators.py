@@ -172,7 +172,7 @@ def test_language_model(spark, data):
 
 def test_backoff():
     v = np.array
-    m = language_id.Model(["a", "b"], {"known": v([-1.0, -9.0])}, {"un": v([-2.0, -3.0]), " unse": v([-8.0, -4.0]), "n ": v([-1.0, -2.0])}, np.zeros(2), np.zeros(2))
+    m = language_id.Model(["a", "b"], {"known": v([-1.0, -9.0])}, {"un": v([-2.0, -3.0]), " unse": v([-8.0, -4.0]), "n ": v([-1.0, -2.0])}, np.zeros(2))
     assert m.score("known").tolist() == [-1, -9]
     assert m.score("unseen").tolist() == [-8, -4]  # the longest known n-gram alone
     assert m.score("unx").tolist() == [-2, -3] and m.score("zzz").tolist() == [0, 0]
