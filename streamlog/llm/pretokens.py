@@ -76,10 +76,15 @@ class PieceTable:
 
     def _plain(self, piece: str) -> str | None:
         """The piece in the byte alphabet, lower-cased if the tokenizer does so; None if it isn't just letters of Latin-1."""
-        word = piece[1:] if self.kind == "kept" and piece[:1] == " " else piece
+        spaced = self.kind == "kept" and piece[:1] == " "
+        word = piece[1:] if spaced else piece
         if not word.isalpha() or not (word.isascii() or max(word) <= "\xff"):
             return None
-        return (piece.lower() if self.kind == "dropped" else piece).translate(self.alphabet)
+        if self.kind == "dropped":
+            word = word.lower()
+        if not word.isascii():
+            word = word.translate(self.alphabet)
+        return self.alphabet[32] + word if spaced else word
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         out: list[list[int] | None] = [None] * len(texts)
@@ -132,7 +137,7 @@ class PieceTable:
             offsets = lists.offsets.to_numpy().astype(np.int64)
             offsets, flat = offsets - offsets[0], lists.flatten()
         encoded = flat.dictionary_encode()
-        distinct = encoded.dictionary.to_pylist()
+        distinct = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if not distinct:
             return offsets, np.empty(0, np.int64)
         place = self._places(distinct)
@@ -140,8 +145,8 @@ class PieceTable:
             if len(self.at) + len(new) > REMEMBERED:
                 self._clear()
                 new = np.arange(len(distinct))
+            place[new] = np.arange(len(self.at), len(self.at) + len(new))
             self._learn([distinct[k] for k in new])
-            place = self._places(distinct)
         return offsets, place[encoded.indices.to_numpy(zero_copy_only=False)]
 
     def _places(self, pieces: list[str]) -> np.ndarray:
