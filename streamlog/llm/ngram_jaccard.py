@@ -278,14 +278,19 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     placed = grouped.join(extent, "key").withColumn("block", F.xxhash64("key", F.pmod(F.xxhash64("set_id"), "blocks")))
     blocks = placed.groupBy("block").agg(F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most"))
     placed = materialise(placed.select("set_id", "node", "n", "block").join(blocks, "block"), "blocks")
+    blocks = placed.select("block", "least", "most").distinct()
 
-    # The matrix: (token, block), with the sizes of the block's sets.
+    # Each block's token union, then the matrix: (token, block), with the sizes of the block's sets in one number.
     prefixes = texts.mapInArrow(_prefixes(width, num, den, order), "set_id long, prefix array<long>")
-    matrix = prefixes.join(placed, "set_id").select(F.explode("prefix").alias("token"), "block", "least", "most").dropDuplicates(["token", "block"])
-    other = matrix.select("token", *(F.col(c).alias(f"{c}2") for c in ("block", "least", "most")))
-    fits = (F.col("block") < F.col("block2")) & (F.col("most") * den >= F.col("least2") * num) & (F.col("most2") * den >= F.col("least") * num)
-    overlap = matrix.join(other, "token").where(fits).groupBy("block", "block2").agg(F.count("*").alias("shared"), F.least(F.first("least"), F.first("least2")).alias("least"))
-    cross = overlap.where(F.col("shared") >= F.floor(1 + F.col("least") / 16)).select(F.col("block").alias("g1"), F.col("block2").alias("g2"))
+    held = prefixes.join(placed.select("set_id", "block"), "set_id")
+    unions = held.groupBy("block").agg(F.array_distinct(F.flatten(F.collect_list("prefix"))).alias("tokens"))
+    sizes = blocks.select("block", (F.shiftleft("least", 32) + F.col("most")).alias("sizes"))
+    matrix = unions.join(sizes, "block").select(F.explode("tokens").alias("token"), "block", "sizes")
+    least, most = (lambda side: F.shiftright(f"{side}.sizes", 32)), (lambda side: F.col(f"{side}.sizes").bitwiseAND(F.lit((1 << 32) - 1)))
+    fits = (F.col("x.block") < F.col("y.block")) & (most("x") * den >= least("y") * num) & (most("y") * den >= least("x") * num)
+    met = matrix.alias("x").join(matrix.alias("y"), (F.col("x.token") == F.col("y.token")) & fits)  # one exchange serves both sides
+    met = met.select(F.col("x.block").alias("g1"), F.col("y.block").alias("g2"), F.least(least("x"), least("y")).alias("least"))
+    cross = met.groupBy("g1", "g2", "least").agg(F.count("*").alias("shared")).where(F.col("shared") >= F.floor(1 + F.col("least") / 16)).select("g1", "g2")
     own = placed.where("size > 1").select(F.col("block").alias("g1"), F.col("block").alias("g2")).distinct()
     pairs = materialise(cross.union(own), "pairs")
 
