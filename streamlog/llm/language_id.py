@@ -3,60 +3,77 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import materialise
+from .words import SLICE_BYTES, text_slices
 
 #: Bounds of the model: training rows of a language (about, by hash of their id), words kept of a language, and n-grams kept of a length.
 TRAIN_ROWS, WORDS, GRAMS = 3000, 20_000, 30_000
 LONGEST = 5
 #: Distinct words whose scores a worker remembers, at most.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 UNKNOWN = "und"
-_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+def word_lists(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Row offsets and the lower-cased runs of letters and marks of all rows; null has none."""
+    plain = pc.utf8_lower(pc.fill_null(text.cast(pa.string()), ""))
+    lists = pc.split_pattern(pc.replace_substring_regex(plain.cast(pa.large_string()), r"[^\pL\pM]+", " "), " ")
+    offsets, words = lists.offsets.to_numpy().astype(np.int64), lists.flatten()
+    real = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    counts = np.concatenate([[0], np.cumsum(real)])
+    return counts[offsets - offsets[0]], words.filter(pa.array(real))
 
 
 @dataclass
 class Model:
+    """``words`` and ``grams`` (of every length up to LONGEST, word ends marked by a space) lead to rows of ``table``: log frequency in each language."""
+
     langs: list[str]
-    words: dict[str, np.ndarray]  # log frequency in each language
-    grams: dict[str, np.ndarray]  # of every length up to LONGEST; word ends are marked by a space
-    prior: np.ndarray
-
-    def score(self, word: str) -> np.ndarray:
-        """A known word's vector; else the mean over its n-grams of the longest length of which any is known; else nothing."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        marked = f" {word} "
+    words: dict[str, int] = field(default_factory=dict)
+    grams: dict[str, int] = field(default_factory=dict)
+    table: np.ndarray | None = None
+    prior: np.ndarray | None = None
+
+    def grams_of(self, word: str) -> list[int]:
+        """The known n-grams of the longest length of which any is known."""
+        marked, get = f" {word} ", self.grams.get
         for n in range(min(LONGEST, len(marked)), 0, -1):
-            hits = [g for k in range(len(marked) - n + 1) if (g := self.grams.get(marked[k : k + n])) is not None]
-            if hits:
-                return np.mean(hits, axis=0)
-        return np.zeros(len(self.langs))
+            if hits := [g for k in range(len(marked) - n + 1) if (g := get(marked[k : k + n])) is not None]:
+                return hits
+        return []
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """One row a word: a known word's own; else the mean over its ``grams_of``; else zeros."""
+        out, owner, gram = np.zeros((len(words), len(self.langs))), [], []
+        for k, w in enumerate(words):
+            row = self.words.get(w)
+            if row is not None:
+                out[k] = self.table[row]
+            elif hits := self.grams_of(w):
+                owner += [k] * len(hits)
+                gram += hits
+        if owner:
+            n = np.maximum(np.bincount(owner, minlength=len(words)), 1)
+            for j in range(len(self.langs)):
+                out[:, j] += np.bincount(owner, self.table[gram, j], len(words)) / n
+        return out
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, item, length, n) for words (length 0) and n-grams, summed over a batch."""
     for batch in batches:
         total: dict[tuple[str, str, int], int] = {}
-        by: dict[str, dict[str, int]] = {}
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-            own = by.setdefault(lang, {})
-            for w in words_of(text or ""):
-                own[w] = own.get(w, 0) + 1
-        for lang, own in by.items():
-            for w, c in own.items():
+        for lang in pc.unique(batch.column("lang")).to_pylist():
+            words = word_lists(batch.filter(pc.equal(batch.column("lang"), lang)).column("text"))[1]
+            for w, c in zip(*(x.to_pylist() for x in pc.value_counts(words).flatten()), strict=True):
                 total[lang, w, 0] = total.get((lang, w, 0), 0) + c
                 marked = f" {w} "
                 for n in range(1, min(LONGEST, len(marked)) + 1):
@@ -77,50 +94,69 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
     langs = sorted(sizes)
     if not langs:
-        return Model([], {}, {}, np.empty(0))
+        return Model([])
     share = F.create_map(*(x for lang in langs for x in (F.lit(lang), F.lit(int(min(1.0, train_rows / sizes[lang]) * (1 << 20))))))
     counts = rows.where(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 20)) < share[F.col("lang")]).mapInArrow(_counted, "lang string, item string, length int, n long")
     counts = counts.groupBy("length", "item").pivot("lang", langs).agg(F.sum("n")).na.fill(0)
     total = sum(F.col(f"`{x}`") for x in langs)
     counts = materialise(counts.withColumn("total", total).where("total > 1"), "language-counts")
-    words, grams = {}, {}
+    model, rows = Model(langs), []
     sums = {r["length"]: np.array([r[x] for x in langs], float) for r in counts.groupBy("length").agg(*(F.sum(F.col(f"`{x}`")).alias(x) for x in langs)).collect()}
     for length in range(LONGEST + 1):
         kept = counts.where(F.col("length") == length).orderBy(F.desc("total"), "item").limit(WORDS * len(langs) if length == 0 else GRAMS).collect()
         for r in kept:
             seen = np.array([r[x] for x in langs], float)
-            (words if length == 0 else grams)[r["item"]] = np.log((seen + 0.5) / (sums[length] + 0.5 * max(1, len(kept))))
+            (model.words if length == 0 else model.grams)[r["item"]] = len(rows)
+            rows.append(np.log((seen + 0.5) / (sums[length] + 0.5 * len(kept))))
     prior = np.array([sizes[x] for x in langs], float)
-    return Model(langs, words, grams, np.log(prior / prior.sum()))
-
-
-_SCORES: dict[int, dict[str, np.ndarray]] = {}
-
-
-def predict_texts(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
-    """Language and its share of the posterior, of every whole text; ``und`` and 0 where there is no letter."""
-    remembered = _SCORES.setdefault(id(model), {})
-    langs, scores = [], []
-    for text in texts:
-        words = words_of(text) if text else []
-        if not words or not model.langs:
-            langs.append(UNKNOWN)
-            scores.append(0.0)
-            continue
-        total = model.prior.copy()
-        counts: dict[str, int] = {}
-        for w in words:
-            counts[w] = counts.get(w, 0) + 1
-        if len(remembered) > REMEMBERED:
-            remembered.clear()
-        for w in counts:
-            if w not in remembered:
-                remembered[w] = model.score(w)
-        total += np.array(list(counts.values()), float) @ np.stack([remembered[w] for w in counts]) if len(counts) < REMEMBERED else sum(c * model.score(w) for w, c in counts.items())
-        best = int(np.argmax(total))
-        langs.append(model.langs[best])
-        scores.append(1.0 / float(np.exp(np.clip(total - total[best], -700, 0)).sum()))
-    return langs, scores
+    model.table, model.prior = np.array(rows).reshape(-1, len(langs)), np.log(prior / prior.sum())
+    return model
+
+
+class Scorer:
+    """A worker's words with their scores, each found once; it starts anew beyond REMEMBERED words."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self._clear()
+
+    def _clear(self) -> None:
+        self.at: dict[str, int] = {}
+        self.rows = np.zeros((1 << 12, len(self.model.langs) + 1))  # the last column tells whether the word has a letter
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        place = np.fromiter((self.at.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(place < 0)
+        if len(self.at) + len(new) > REMEMBERED:
+            self._clear()
+            new = np.arange(len(words))
+        if len(new):
+            learned, first = [words[k] for k in new], len(self.at)
+            while first + len(new) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[first : first + len(new), :-1] = self.model.score(learned)
+            self.rows[first : first + len(new), -1] = [w.isalpha() or any(map(str.isalpha, w)) for w in learned]
+            place[new] = np.arange(first, first + len(new))
+            self.at.update(zip(learned, place[new].tolist(), strict=True))
+        return place
+
+    def predict(self, text: pa.Array) -> tuple[list[str], np.ndarray]:
+        """Language and its share of the posterior, of every whole text; ``und`` and 0 where there is no letter."""
+        langs, scores = np.full(len(text), UNKNOWN, object), np.zeros(len(text))
+        offsets, words = word_lists(text)
+        some = np.flatnonzero(np.diff(offsets))
+        if not len(some) or not self.model.langs:
+            return langs.tolist(), scores
+        encoded = words.dictionary_encode()
+        place = self._places(encoded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sums = np.add.reduceat(self.rows[place[encoded.indices.to_numpy(zero_copy_only=False)]], offsets[some])
+        total = sums[:, :-1] + self.model.prior
+        best = total.argmax(1)
+        share = 1 / np.exp(np.clip(total - total.max(1, keepdims=True), -700, 0)).sum(1)
+        lettered = sums[:, -1] > 0
+        langs[some[lettered]] = np.array(self.model.langs, object)[best[lettered]]
+        scores[some[lettered]] = share[lettered]
+        return langs.tolist(), scores
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -131,9 +167,10 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores = predict_texts(shared.value, batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["id", "lang_pred", "score"])
+        scorer = Scorer(shared.value)
+        for part in (p for batch in batches for p in text_slices(batch, "text", 2 * SLICE_BYTES)):
+            langs, scores = scorer.predict(part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
@@ -144,8 +181,9 @@ def accept(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: s
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores = predict_texts(shared.value, batch.column("text").to_pylist())
+        scorer = Scorer(shared.value)
+        for batch in (p for whole in batches for p in text_slices(whole, "text", 2 * SLICE_BYTES)):
+            langs, scores = scorer.predict(batch.column("text"))
             keep = pa.array([x != UNKNOWN and y >= least for x, y in zip(langs, scores, strict=True)], pa.bool_())
             at = batch.schema.get_field_index("lang")
             filled = [a if a is not None else b for a, b in zip(batch.column("lang").to_pylist(), langs, strict=True)]

@@ -165,17 +165,27 @@ def test_language_model(spark, data):
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(odd, model).collect()}
     assert [got[k] for k in (1, 2, 3)] == [("und", 0.0)] * 3 and got[5][0] != "und" and 0 < got[6][1] <= 1
     none = language_id.fit(docs.where("false"))
-    assert language_id.predict_texts(none, ["words"]) == (["und"], [0.0])
+    import pyarrow as pa
+
+    assert language_id.Scorer(none).predict(pa.array(["words"]))[0] == ["und"]
+    marks = language_id.Scorer(model).predict(pa.array(["\u0301 \u0301", "e\u0301t\u00e9", None]))
+    assert marks[0][0] == marks[0][2] == "und" and marks[0][1] != "und"
     kept = language_id.accept(docs.unionByName(spark.createDataFrame([(-1, "12 34", None, "s", 5)], docs.schema)), model)
     assert kept.count() == docs.count() and kept.columns == docs.columns
 
 
-def test_backoff():
-    v = np.array
-    m = language_id.Model(["a", "b"], {"known": v([-1.0, -9.0])}, {"un": v([-2.0, -3.0]), " unse": v([-8.0, -4.0]), "n ": v([-1.0, -2.0])}, np.zeros(2))
-    assert m.score("known").tolist() == [-1, -9]
-    assert m.score("unseen").tolist() == [-8, -4]  # the longest known n-gram alone
-    assert m.score("unx").tolist() == [-2, -3] and m.score("zzz").tolist() == [0, 0]
+def test_backoff(monkeypatch):
+    table = np.array([[-1.0, -9.0], [-2.0, -3.0], [-8.0, -4.0], [-1.0, -2.0], [-3.0, -1.0]])
+    m = language_id.Model(["a", "b"], {"known": 0}, {"un": 1, " unse": 2, "n ": 3, "xz": 4}, table, np.zeros(2))
+    # a known word; the longest known n-gram alone; the mean over those of one length; nothing
+    assert m.score(["known", "unseen", "unxz", "qqq"]).tolist() == [[-1, -9], [-8, -4], [-2.5, -2], [0, 0]]
+    import pyarrow as pa
+
+    monkeypatch.setattr(language_id, "REMEMBERED", 2)
+    s = language_id.Scorer(m)
+    for _ in range(3):
+        langs, scores = s.predict(pa.array(["known unseen", "unseen", "unxz qqq", ""]))
+        assert langs == ["a", "b", "b", "und"] and np.allclose(scores, [1 / (1 + np.exp(-4)), 1 / (1 + np.exp(-4)), 1 / (1 + np.exp(-0.5)), 0])
 
 
 # Mixing
