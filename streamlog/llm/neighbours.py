@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 BITS = 64
 #: Vectors of a block and queries of a chunk, on average; bounds what one task holds.
 BLOCK, CHUNK = 8192, 2048
-#: Trees of a forest, and the share of a block that the ascent gathers before it stops (counted once a tree).
-TREES, GATHER = 16, 1.6
+#: Trees of a forest, and the entries that the ascent gathers over all trees of a block before it stops.
+TREES, GATHER = 48, 6000
 
 
 def hash_strings(vectors: np.ndarray, trees: int, seed: int = 11) -> np.ndarray:
@@ -65,7 +65,7 @@ class Forest:
             yield np.flatnonzero(seen)
 
 
-def _search(k: int, trees: int, gather: float):
+def _search(k: int, trees: int, gather: int):
     def run(table: pa.Table) -> pa.Table:
         size = table["size"][0].as_py()
         ids = table["id"].to_numpy()
@@ -78,7 +78,7 @@ def _search(k: int, trees: int, gather: float):
         if len(points) and len(queries):
             unit = vectors / norms[:, None]
             forest = Forest(unit[points], trees)
-            for q, places in zip(queries, forest.candidates(unit[queries], int(gather * len(points)) + k + 1), strict=True):
+            for q, places in zip(queries, forest.candidates(unit[queries], gather + k + 1), strict=True):
                 places = points[places]
                 places = places[ids[places] != ids[q]]
                 if not len(places):
@@ -96,7 +96,7 @@ def _search(k: int, trees: int, gather: float):
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, trees: int = TREES, gather: float = GATHER) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, trees: int = TREES, gather: int = GATHER) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for each query by cosine of the original vectors, ties to the smaller id.
 
     A query isn't its own candidate, by id. Null vectors and ids, zero vectors and such with null or non-finite components take no part, nor do
