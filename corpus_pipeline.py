@@ -6,11 +6,14 @@ secrets are masked in place; sources are repeated or thinned out toward their ta
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlog.llm import language_id, mixing, ngram_jaccard, packing, secret_scan
 from streamlog.llm.queries import held_out, tokenizer_path
+from streamlog.llm.words import short_batches
 from streamlog.shared import materialise
 
 #: A document whose best language has a smaller share of the posterior is rejected.
@@ -48,7 +51,20 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), end_id=1, window=2048)
 
 
-STAGES = [("language ID", languages), ("n-gram Jaccard join", near_duplicates), ("secret scans", secrets), ("mixing sources", mix), ("packing", packed)]
+
+
+def _bounded(stage):
+    """A stage whose Arrow batches hold few texts, so that what its workers hold doesn't add up over the stages."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        short_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES = [(name, _bounded(f)) for name, f in (("language ID", languages), ("n-gram Jaccard join", near_duplicates), ("secret scans", secrets), ("mixing sources", mix), ("packing", packed))]
 
 #: SQL can't express learned models, near-duplicate components or packing; the tests hold each stage against a plain version.
 ORACLE_SQL = None

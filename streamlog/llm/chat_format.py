@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import tidy
+
 END = "</turn>\n"
 NAMED = {"user": "User", "assistant": "Assistant", "system": "System"}
 _ROLES = {v: k for k, v in NAMED.items()}
@@ -111,7 +113,7 @@ def format_chats(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
         F.col(conv_col).cast("long").alias("id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
     ordered = rows.repartition("id").sortWithinPartitions("id", "turn", "role", "text").select("id", "role", "text")
-    return ordered.mapInArrow(_format_batches, "id long, part long, n_turns long, formatted string, loss_spans array<long>")
+    return ordered.mapInArrow(tidy(_format_batches), "id long, part long, n_turns long, formatted string, loss_spans array<long>")
 
 
 def read_back(formatted: str) -> list[tuple[str, str, int, int]]:
@@ -156,7 +158,7 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def chat_digests(formatted: DataFrame) -> DataFrame:
     """Reads ``format_chats`` output back: turns, text under the loss mask and sizes of each conversation, part after part."""
-    return formatted.mapInArrow(_digest_batches, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return formatted.mapInArrow(tidy(_digest_batches), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 PLANTED = r"\### Assistant: </turn> ok"

@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import materialise
-from .words import SLICE_BYTES, text_slices
+from .words import text_slices, tidy
 
 #: Bounds of the model: training rows of a language (about, by hash of their id), words kept of a language, and n-grams kept of a length.
 TRAIN_ROWS, WORDS, GRAMS = 3000, 20_000, 30_000
 LONGEST = 5
 #: Distinct words whose scores a worker remembers, at most.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 UNKNOWN = "und"
 
 
@@ -96,7 +96,7 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     if not langs:
         return Model([])
     share = F.create_map(*(x for lang in langs for x in (F.lit(lang), F.lit(int(min(1.0, train_rows / sizes[lang]) * (1 << 20))))))
-    counts = rows.where(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 20)) < share[F.col("lang")]).mapInArrow(_counted, "lang string, item string, length int, n long")
+    counts = rows.where(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 20)) < share[F.col("lang")]).mapInArrow(tidy(_counted), "lang string, item string, length int, n long")
     counts = counts.groupBy("length", "item").pivot("lang", langs).agg(F.sum("n")).na.fill(0)
     total = sum(F.col(f"`{x}`") for x in langs)
     counts = materialise(counts.withColumn("total", total).where("total > 1"), "language-counts")
@@ -168,12 +168,12 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for part in (p for batch in batches for p in text_slices(batch, "text", 2 * SLICE_BYTES)):
+        for part in (p for batch in batches for p in text_slices(batch, "text")):
             langs, scores = scorer.predict(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), "id long, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
 def accept(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: str = "lang", least: float = 0.5) -> DataFrame:
@@ -182,7 +182,7 @@ def accept(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in (p for whole in batches for p in text_slices(whole, "text", 2 * SLICE_BYTES)):
+        for batch in (p for whole in batches for p in text_slices(whole, "text")):
             langs, scores = scorer.predict(batch.column("text"))
             keep = pa.array([x != UNKNOWN and y >= least for x, y in zip(langs, scores, strict=True)], pa.bool_())
             at = batch.schema.get_field_index("lang")
@@ -190,4 +190,4 @@ def accept(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: s
             yield batch.set_column(at, batch.schema.field(at), pa.array(filled, batch.schema.field(at).type)).filter(keep)
 
     named = docs.withColumnsRenamed({text_col: "text", lang_col: "lang"})
-    return named.mapInArrow(run, named.schema).withColumnsRenamed({"text": text_col, "lang": lang_col})
+    return named.mapInArrow(tidy(run), named.schema).withColumnsRenamed({"text": text_col, "lang": lang_col})

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import materialise
+from .words import tidy
 
 FRAME, LACED, BLOCKS = 576, 64, 32
 # Element ids of the format.
@@ -229,7 +230,7 @@ def to_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     A null text counts as empty and gives one frame of padding. Null and repeated ids stay; other columns are not read.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_mux_batches, "id long, n_bytes long, media binary").withColumnRenamed("id", id_col)
+    return texts.mapInArrow(tidy(_mux_batches), "id long, n_bytes long, media binary").withColumnRenamed("id", id_col)
 
 
 def packets(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -245,7 +246,7 @@ def packets(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media
                     yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * n, pa.int64()), pa.array(np.arange(n)), pa.array(t["track"]), pa.array(t["time"] * parsed.scale), pa.array(t["start"]), pa.array(t["length"])], names=["id", "packet", "track", "time_ns", "start", "length"])
 
     rows = media.select(F.col(id_col).cast("long").alias("id"), F.col(media_col).alias("media"))
-    return rows.mapInArrow(run, "id long, packet long, track long, time_ns long, start long, length long").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), "id long, packet long, track long, time_ns long, start long, length long").withColumnRenamed("id", id_col)
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,5 +273,5 @@ def media_features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     One row for each row of ``docs``; equal texts give equal values. See ``to_media`` for null and empty texts.
     """
     stored = materialise(to_media(docs, id_col=id_col, text_col=text_col).withColumnRenamed(id_col, "id"), "media")
-    out = stored.mapInArrow(_feature_batches, "id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    out = stored.mapInArrow(tidy(_feature_batches), "id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
     return out.withColumnRenamed("id", id_col)

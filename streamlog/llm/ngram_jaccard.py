@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from ..shared import materialise
-from .words import mix, shingle_sets, text_slices
+from .words import mix, shingle_sets, text_slices, tidy
 
 #: Keys of a set, and min-hashes in a key.
 KEYS, KEY_WIDTH = 8, 5
@@ -264,7 +264,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     num, den = threshold
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    scanned = materialise(texts.mapInArrow(_scan(width), "id long, set_id long, n long, keys array<long>, token long, df long"), "shingles")
+    scanned = materialise(texts.mapInArrow(tidy(_scan(width)), "id long, set_id long, n long, keys array<long>, token long, df long"), "shingles")
     rows = scanned.where("token is null").select("id", "set_id", "n", "keys")
     order = spark.sparkContext.broadcast(_frequent_tokens(scanned))
 
@@ -281,7 +281,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     blocks = placed.select("block", "least", "most").distinct()
 
     # Each block's token union, then the matrix: (token, block), with the sizes of the block's sets in one number.
-    prefixes = texts.mapInArrow(_prefixes(width, num, den, order), "set_id long, prefix array<long>")
+    prefixes = texts.mapInArrow(tidy(_prefixes(width, num, den, order)), "set_id long, prefix array<long>")
     held = prefixes.join(placed.select("set_id", "block"), "set_id")
     unions = held.groupBy("block").agg(F.array_distinct(F.flatten(F.collect_list("prefix"))).alias("tokens"))
     sizes = blocks.select("block", (F.shiftleft("least", 32) + F.col("most")).alias("sizes"))
@@ -298,7 +298,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     sides = pairs.select(F.explode(F.array_distinct(F.array("g1", "g2"))).alias("block"), F.struct("g1", "g2").alias("pair")).groupBy("block").agg(F.collect_list("pair").alias("pairs"))
     wanted = placed.join(sides, "block").select("node", "block", "set_id", "pairs")
     opened = texts.join(wanted, texts["id"] == wanted["node"]).select("block", "node", "set_id", "text", "pairs")
-    members = opened.mapInArrow(_tokens(width), "block long, node long, tokens binary, pairs array<struct<g1:long,g2:long>>")
+    members = opened.mapInArrow(tidy(_tokens(width)), "block long, node long, tokens binary, pairs array<struct<g1:long,g2:long>>")
     members = members.select("block", "node", "tokens", F.explode("pairs").alias("pair")).select("block", "node", "tokens", "pair.g1", "pair.g2")
     links = members.groupBy("g1", "g2").applyInArrow(_open(num, den), "a long, b long")
     found = components(links)

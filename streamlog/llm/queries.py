@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import chat_format, language_id, matroska, mixing, neighbours, packing, secret_scan, token_counts, token_planes
 from .ngram_jaccard import near_duplicates
+from .words import short_batches
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,6 +25,7 @@ def held_out() -> Column:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

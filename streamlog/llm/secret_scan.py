@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import tidy
+
 #: The rules, their order, and the least length of what they match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -107,7 +109,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trai
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     if total > train_docs:
         rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * train_docs / total))
-    words = rows.mapInArrow(_sample_batches, "word string, label int").distinct()
+    words = rows.mapInArrow(tidy(_sample_batches), "word string, label int").distinct()
     take = lambda y: sorted(r[0] for r in words.where(F.col("label") == y).orderBy(F.xxhash64("word"), "word").limit(samples).select("word").collect())
     random_like, plain = take(1), take(0) or ["plain", "words", "only"]
     rng = np.random.default_rng(seed)
@@ -149,7 +151,7 @@ def scan(docs: DataFrame, models: np.ndarray, *, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(spans, pa.list_(kind))], names=["id", "spans"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, spans array<struct<kind:string,start:long,end:long>>").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), "id long, spans array<struct<kind:string,start:long,end:long>>").withColumnRenamed("id", id_col)
 
 
 def redact(docs: DataFrame, models: np.ndarray, *, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
@@ -172,7 +174,7 @@ def redact(docs: DataFrame, models: np.ndarray, *, text_col: str = "text", mark:
             yield batch.set_column(batch.schema.get_field_index("text"), "text", texts)
 
     named = docs.withColumnRenamed(text_col, "text")
-    return named.mapInArrow(run, named.schema).withColumnRenamed("text", text_col)
+    return named.mapInArrow(tidy(run), named.schema).withColumnRenamed("text", text_col)
 
 
 def secret_digests(spans: DataFrame, *, id_col: str = "doc_id") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .pretokens import piece_table
 from ..shared import materialise
-from .words import SLICE_BYTES, text_slices
+from .words import text_slices, tidy
 
 MAGIC = b"TPL1"
 BLOCK, LEVEL = 1 << 14, 3
@@ -81,7 +81,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, *, end_id: int, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(tokenizer, keep_ids=True)
         for batch in batches:
-            for part in text_slices(batch, "text", 2 * SLICE_BYTES):
+            for part in text_slices(batch, "text"):
                 offsets, flat = table.encode(part.column("text"))
                 rows = part.num_rows
                 flat = np.insert(flat, offsets[1:], end_id)
@@ -93,7 +93,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, *, end_id: int, id_col: str =
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(offsets)), data], names=["id", "n", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, n long, ids binary")
+    return rows.mapInArrow(tidy(run), "id long, n long, ids binary")
 
 
 def numbers(raw: bytes, n: int) -> np.ndarray:
@@ -130,7 +130,7 @@ def write_planes(encoded: DataFrame, *, parts: int | None = None) -> DataFrame:
     kept = materialise(encoded, "token-ids")
     parts = parts or max(1, int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = kept.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "ids")
-    return materialise(ordered.mapInArrow(_write_batches, "part long, start long, n_ids long, n_docs long, chunk binary"), "token-planes", codec="none")
+    return materialise(ordered.mapInArrow(tidy(_write_batches), "part long, start long, n_ids long, n_docs long, chunk binary"), "token-planes", codec="none")
 
 
 def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +150,7 @@ def read_planes(written: DataFrame) -> DataFrame:
     before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     bases = parts.select("part", before.alias("base"))  # one row a part
     placed = written.join(F.broadcast(bases), "part").select((F.col("start") + F.col("base")).alias("start"), "chunk")
-    return placed.mapInArrow(_read_batches, "id long, start long, n_tokens long, ids_crc32 long")
+    return placed.mapInArrow(tidy(_read_batches), "id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_planes(docs: DataFrame, tokenizer: str, *, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

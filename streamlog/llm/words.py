@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Bytes of text that one numpy pass handles; bounds a worker's memory whatever the batch size is.
 SLICE_BYTES = 4 << 20
@@ -15,6 +19,35 @@ WORD_SEPARATORS = "\t\n\v\f\r"
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def tidy(run: Callable) -> Callable:
+    """A task's function that gives its memory back at the end: workers go on to other tasks, and those of a whole pipeline would add up."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not glibc
+                pass
+
+    return wrapped
+
+
+#: Rows of an Arrow batch where texts are long; Spark's default is made for short rows.
+BATCH_ROWS = 2000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Keeps Arrow batches of texts small, unless the session has a setting of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * _M2
