@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,3 +40,11 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     if few.num_rows > SETTLED_ROWS:
         return materialise(frame, name)
     return spark.createDataFrame(few, schema=frame.schema)
+
+
+def forget(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of frames that nothing holds any more. Spark drops them when the driver's garbage is collected, which may be long after."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
