@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from ..shared import materialise
+from ..shared import forget, materialise
 from .words import mix, shingle_sets, text_slices, tidy
 
 #: Keys of a set, and min-hashes in a key.
@@ -253,22 +253,8 @@ def _frequent_tokens(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], df[order]
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
-    """Links texts whose shingle sets have a Jaccard similarity of ``threshold`` (a ratio of integers) or more.
-
-    Returns id, ``n_shingles``, ``set_id`` (equal for equal sets) and ``component_id``: the smallest id reachable by links. One
-    row for each row of ``docs``; other columns of ``docs`` are not read, so they cannot clash. A null or wordless text has no
-    shingles and is linked with nothing; a text of fewer than ``width`` words is one shingle. Repeated rows stay repeated. A null id
-    gets the component of its equals, or null; rows with the same id count as one document. An empty table gives no rows.
-    """
-    num, den = threshold
-    spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    scanned = materialise(texts.mapInArrow(tidy(_scan(width)), "id long, set_id long, n long, keys array<long>, token long, df long"), "shingles")
-    rows = scanned.where("token is null").select("id", "set_id", "n", "keys")
-    order = spark.sparkContext.broadcast(_frequent_tokens(scanned))
-
-    # Classes of equal sets, then groups of similar classes, then blocks of bounded size.
+def _place(rows: DataFrame) -> DataFrame:
+    """Classes of equal sets, then groups of similar classes, then blocks of bounded size: (set_id, node, n, block) and the block's size, least and most n."""
     sets = rows.where("n > 0").groupBy("set_id").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")).where("node is not null")
     keyed = sets.select("set_id", F.explode("keys").alias("key"))
     popular = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -277,14 +263,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     extent = grouped.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_TOKENS)).alias("blocks"))
     placed = grouped.join(extent, "key").withColumn("block", F.xxhash64("key", F.pmod(F.xxhash64("set_id"), "blocks")))
     blocks = placed.groupBy("block").agg(F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most"))
-    placed = materialise(placed.select("set_id", "node", "n", "block").join(blocks, "block"), "blocks")
-    blocks = placed.select("block", "least", "most").distinct()
+    return materialise(placed.select("set_id", "node", "n", "block").join(blocks, "block"), "blocks")
 
+
+def _pairs(texts: DataFrame, placed: DataFrame, order, width: int, num: int, den: int) -> DataFrame:
+    """(g1, g2): pairs of blocks to open, each multi-set block with itself among them."""
     # Each block's token union, then the matrix: (token, block), with the sizes of the block's sets in one number.
     prefixes = texts.mapInArrow(tidy(_prefixes(width, num, den, order)), "set_id long, prefix array<long>")
     held = prefixes.join(placed.select("set_id", "block"), "set_id")
     unions = held.groupBy("block").agg(F.array_distinct(F.flatten(F.collect_list("prefix"))).alias("tokens"))
-    sizes = blocks.select("block", (F.shiftleft("least", 32) + F.col("most")).alias("sizes"))
+    sizes = placed.select("block", "least", "most").distinct().select("block", (F.shiftleft("least", 32) + F.col("most")).alias("sizes"))
     matrix = unions.join(sizes, "block").select(F.explode("tokens").alias("token"), "block", "sizes")
     least, most = (lambda side: F.shiftright(f"{side}.sizes", 32)), (lambda side: F.col(f"{side}.sizes").bitwiseAND(F.lit((1 << 32) - 1)))
     fits = (F.col("x.block") < F.col("y.block")) & (most("x") * den >= least("y") * num) & (most("y") * den >= least("x") * num)
@@ -292,8 +280,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     met = met.select(F.col("x.block").alias("g1"), F.col("y.block").alias("g2"), F.least(least("x"), least("y")).alias("least"))
     cross = met.groupBy("g1", "g2", "least").agg(F.count("*").alias("shared")).where(F.col("shared") >= F.floor(1 + F.col("least") / 16)).select("g1", "g2")
     own = placed.where("size > 1").select(F.col("block").alias("g1"), F.col("block").alias("g2")).distinct()
-    pairs = materialise(cross.union(own), "pairs")
+    return materialise(cross.union(own), "pairs")
+
 
+def _link(texts: DataFrame, placed: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(node, component) of the linked nodes: opens the pairs and joins their links."""
     # Token sets of the blocks to open only, dealt to the pairs of their block.
     sides = pairs.select(F.explode(F.array_distinct(F.array("g1", "g2"))).alias("block"), F.struct("g1", "g2").alias("pair")).groupBy("block").agg(F.collect_list("pair").alias("pairs"))
     wanted = placed.join(sides, "block").select("node", "block", "set_id", "pairs")
@@ -301,7 +292,30 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = opened.mapInArrow(tidy(_tokens(width)), "block long, node long, tokens binary, pairs array<struct<g1:long,g2:long>>")
     members = members.select("block", "node", "tokens", F.explode("pairs").alias("pair")).select("block", "node", "tokens", "pair.g1", "pair.g2")
     links = members.groupBy("g1", "g2").applyInArrow(_open(num, den), "a long, b long")
-    found = components(links)
+    return components(links)
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
+    """Links texts whose shingle sets have a Jaccard similarity of ``threshold`` (a ratio of integers) or more.
+
+    Returns id, ``n_shingles``, ``set_id`` (equal for equal sets) and ``component_id``: the smallest id reachable by links. One
+    row for each row of ``docs``; other columns of ``docs`` are not read, so they cannot clash. A null or wordless text has no
+    shingles and is linked with nothing; a text of fewer than ``width`` words is one shingle. Repeated rows stay repeated. A null id
+    gets the component of its equals, or null; rows with the same id count as one document. An empty table gives no rows.
+    """
+    num, den = threshold
+    spark = docs.sparkSession
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    scanned = materialise(texts.mapInArrow(tidy(_scan(width)), "id long, set_id long, n long, keys array<long>, token long, df long"), "shingles")
+    rows = scanned.where("token is null").select("id", "set_id", "n", "keys")
+    order = spark.sparkContext.broadcast(_frequent_tokens(scanned))
+    # Between the steps, the shuffles of the one before are let go: each step leaves a small table.
+    placed = _place(rows)
+    forget(spark)
+    pairs = _pairs(texts, placed, order, width, num, den)
+    forget(spark)
+    found = _link(texts, placed, pairs, width, num, den)
+    forget(spark)
 
     class_of = placed.select("set_id", "node").join(found, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
     out = rows.select("id", "n", "set_id").join(class_of, "set_id", "left")
