@@ -258,6 +258,28 @@ def test_neighbours_share_windows():
     assert sum(len(t) == 1 for t in full) >= 0.75 * len(full)
 
 
+def test_related_documents_meet_over_shards(spark, monkeypatch):
+    """Three near copies of each text, among texts for many shards, and a group of equal ones for more than a shard."""
+    monkeypatch.setattr(packing, "SHARD_IDS", 2000)
+    rng = np.random.default_rng(0)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(4000)]
+    texts = []
+    for _ in range(60):
+        base = rng.choice(words, 25)
+        for _ in range(3):
+            texts.append(" ".join(np.where(rng.random(25) < 0.08, rng.choice(words, 25), base)))
+    texts += ["the very same text over and over again, without an end"] * 400
+    order = rng.permutation(len(texts))
+    pieces = packing.pack(docs(spark, [texts[k] for k in order], [int(k) for k in order]), public_tokenizers.path("word_bpe_49k.json"), end_id=1, window=512).collect()
+    windows, sizes = {}, {}
+    for r in pieces:
+        windows.setdefault(r["doc_id"], set()).add(r["sequence_id"])
+        sizes[r["sequence_id"] >> 32] = sizes.get(r["sequence_id"] >> 32, 0) + r["length"]
+    pairs = [(3 * g + a, 3 * g + b) for g in range(60) for a, b in ((0, 1), (0, 2), (1, 2))]
+    assert len(sizes) >= 8 and max(sizes.values()) <= 2 * 2000
+    assert sum(bool(windows[a] & windows[b]) for a, b in pairs) >= 0.7 * len(pairs)
+
+
 def test_bm25_scores():
     docs_ = [np.array(d, np.uint32) for d in ([1, 1, 2], [2, 3], [3, 3, 3, 4])]
     df = np.array([0, 1, 2, 2, 1], float)
