@@ -289,6 +289,17 @@ def test_bm25_scores():
     assert np.allclose(index.scores(1, 3), [part(2, 1, 3), part(2, 1, 2) + part(3, 1, 2), part(3, 3, 4)], atol=1e-5)
 
 
+def test_windows_of_short_documents_are_related():
+    """A window takes as many neighbours as it holds, and all of a seed's terms count."""
+    docs_ = [np.arange(20, dtype=np.uint32) + 20 * (k % 4) for k in range(800)]
+    df = np.full(80, 200.0)
+    full = list(packing.fill([20] * 800, packing.ShardIndex(docs_, df, 800, 20.0), 2000))
+    assert all(len({d % 4 for d, _, _ in parts}) == 1 for parts in full)
+    wide = [np.arange(60, dtype=np.uint32), *(np.array([k], np.uint32) for k in range(60))]
+    df = np.full(60, 2.0)
+    assert (packing.ShardIndex(wide, df, 61, 2.0).scores(0, 61) > 0).all()
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_agrees_with_sql(name, same):
     same(queries.queries()[name], queries.oracle_sql()[name])
