@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 from ..schema import PROPERTIES, PROPERTY_TYPES, SINK_TYPES, validate_sink
 
-#: The millis whose micros still fit a long.
-MAX_MILLIS = (1 << 63) // 1000 - 1
+#: The largest long, and the millis whose micros still fit one (of either sign).
+MAX_LONG = (1 << 63) - 1
+MAX_MILLIS = MAX_LONG // 1000
 _ROOTS = {"applicationproperties": "application_properties", "messageannotations": "message_annotations", "properties": "properties"}
 
 
@@ -20,8 +21,10 @@ def coerce_string(value: Column, kind: T.DataType | str) -> Column:
 
 
 def millis_to_ts(ms: Column) -> Column:
-    """Millis to a timestamp; what doesn't fit becomes the nearest that does."""
-    return F.timestamp_millis(F.greatest(F.lit(-MAX_MILLIS), F.least(F.lit(MAX_MILLIS), ms)))
+    """Millis to a timestamp; what doesn't fit becomes the last or first there is."""
+    fits = ms.between(-MAX_MILLIS, MAX_MILLIS)
+    ends = F.when(ms > 0, F.lit(MAX_LONG)).otherwise(F.lit(-MAX_LONG - 1).cast("long"))
+    return F.when(fits, F.timestamp_millis(F.when(fits, ms))).when(ms.isNotNull(), F.timestamp_micros(ends))
 
 
 def millis_to_ts_or_null(ms: Column) -> Column:

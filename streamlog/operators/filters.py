@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.convert import value_at_path
+from .ranges import within_ranges
 
 
 def keep_by_value(value: Column, values: Sequence[str], *, match_unfiltered: bool = False) -> Column:
@@ -36,12 +37,8 @@ def filter_report(rows: DataFrame, keep: Column) -> DataFrame:
 
 
 def dedup_offsets(rows: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
-    """Rows inside their stream's range, each offset once."""
-    if ranges is not None:
-        r = ranges.select(F.col("stream").alias("s"), "start_offset", "end_offset")
-        inside = (F.col("stream") == F.col("s")) & (F.col("offset") >= F.col("start_offset")) & (F.col("offset") < F.col("end_offset"))
-        rows = rows.join(r, inside, "left_semi")
-    return rows.dropDuplicates(["stream", "offset"])
+    """Rows inside their stream's range, each offset once. ``ranges`` has one row a stream."""
+    return (rows if ranges is None else within_ranges(rows, ranges)).dropDuplicates(["stream", "offset"])
 
 
 def with_filter_value(rows: DataFrame, path: str | None = None, *, extractor: Column | None = None) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..options import LimitOptions, seconds
+from .ranges import locate
+
 
 def grants(span: np.ndarray, budget: int, rotation: int = 0) -> np.ndarray:
     """How many records each stream gets of a budget: even shares in rounds, never beyond a stream's span, what is left over shared again.
@@ -61,40 +64,70 @@ def most_restrictive(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.groupBy("stream").agg(F.min("start_offset").alias("start_offset"), F.min("end_offset").alias("end_offset"))
 
 
-def _batches(budget: int):
+_PHASES = "stream string, batch_no long, streams long, start_offset long, end_offset long, marks array<long>"
+
+
+def _phases(budget: int):
+    """Runs of batches as rows: while no stream ends, k streams take exactly the budget each in every k batches, so whole such cycles are one row a stream; only
+    the batches around a stream's end are rows of their own. ``marks`` are a cycle's batch starts, counted from its own start."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("stream", ignore_index=True)
-        at, end, out, batch = pdf.start_offset.to_numpy(np.int64).copy(), pdf.end_offset.to_numpy(np.int64), [], 0
-        while (at < end).any():
+        names, at, end, batch = pdf.stream.to_numpy(), pdf.start_offset.to_numpy(np.int64).copy(), pdf.end_offset.to_numpy(np.int64), 0
+        out: list[tuple] = []
+        while len(live := np.flatnonzero(at < end)):
+            k = len(live)
+            cycles = int((end - at)[live].min()) // budget - 1
+            if cycles > 0:
+                share, rest = divmod(budget, k)
+                extra = (np.arange(k)[:, None] - batch - np.arange(k)) % k < rest
+                marks = np.concatenate([np.zeros((k, 1), np.int64), np.cumsum(share + extra, axis=1)], axis=1)
+                out += [(names[s], batch, k, at[s], at[s] + cycles * budget, m.tolist()) for s, m in zip(live, marks, strict=True)]
+                at[live] += cycles * budget
+                batch += cycles * k
             give = grants(end - at, budget, batch)
-            took = np.flatnonzero(give)
-            out.append(pd.DataFrame({"stream": pdf.stream.to_numpy()[took], "batch_no": batch, "start_offset": at[took], "end_offset": (at + give)[took]}))
+            out += [(names[s], batch, 1, at[s], at[s] + give[s], [0, int(give[s])]) for s in np.flatnonzero(give)]
             at, batch = at + give, batch + 1
-        return pd.concat(out) if out else pd.DataFrame({"stream": [], "batch_no": [], "start_offset": [], "end_offset": []})
+        return pd.DataFrame(out, columns=["stream", "batch_no", "streams", "start_offset", "end_offset", "marks"])
 
     return run
 
 
-def plan_batches(ranges: DataFrame, *, max_records: int) -> DataFrame:
-    """(stream, batch_no, start_offset, end_offset): budget after budget from start to end, the rotation moving on with each batch."""
-    if max_records <= 0:
-        raise ValueError("max_records must be positive")
-    return ranges.groupBy().applyInPandas(_batches(max_records), "stream string, batch_no long, start_offset long, end_offset long")
+def _batch_phases(ranges: DataFrame, max_records: int) -> DataFrame:
+    return ranges.groupBy().applyInPandas(_phases(max_records), _PHASES)
+
 
+def plan_batches(ranges: DataFrame, *, max_records: int) -> DataFrame:
+    """(stream, batch_no, start_offset, end_offset): budget after budget from start to end, the rotation moving on with each batch.
 
-def micro_batches(log: DataFrame, ranges: DataFrame, *, max_records: int, min_records: int | None = None, max_delay_seconds: float = 900, now_us: int | None = None) -> DataFrame:
+    One task sees the range frame and finds the phases between the streams' ends; the batches inside a phase follow by arithmetic, wherever Spark puts them.
+    """
+    LimitOptions(max_records=max_records)
+    p = _batch_phases(ranges, max_records)
+    cycle = F.element_at("marks", -1)
+    turns = F.col("streams") * F.ceil((F.col("end_offset") - F.col("start_offset")) / cycle)
+    each = p.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), turns.cast("long") - 1)))
+    step = (F.col("i") % F.col("streams")).cast("int")
+    base = F.col("start_offset") + F.floor(F.col("i") / F.col("streams")) * cycle
+    cut = each.select("stream", (F.col("batch_no") + F.col("i")).alias("batch_no"), (base + F.get("marks", step)).alias("start_offset"), (base + F.get("marks", step + 1)).alias("end_offset"))
+    return cut.where("start_offset < end_offset")
+
+
+def micro_batches(log: DataFrame, ranges: DataFrame, *, max_records: int, min_records: int | None = None, max_delay: str | float = "15m", now_us: int | None = None) -> DataFrame:
     """The log's rows in ``ranges`` with the batch each falls into.
 
-    With ``min_records`` the last batch, if it is smaller, is held back, unless its oldest message is older than ``max_delay_seconds`` at ``now_us``.
+    With ``min_records`` the last batch, if it is smaller, is held back, unless its oldest message is older than ``max_delay`` at ``now_us``.
     """
-    plan = plan_batches(ranges, max_records=max_records)
-    p = plan.select(F.col("stream").alias("s"), "batch_no", "start_offset", "end_offset")
-    inside = (F.col("stream") == F.col("s")) & (F.col("offset") >= F.col("start_offset")) & (F.col("offset") < F.col("end_offset"))
-    rows = log.join(p, inside).drop("s", "start_offset", "end_offset")
+    LimitOptions(max_records=max_records, min_records=min_records, max_delay=max_delay)
+    met = locate(log, _batch_phases(ranges, max_records))
+    cycle, past = F.element_at("marks", -1), F.col("offset") - F.col("range_start")
+    within = F.size(F.filter("marks", lambda m: m <= past % cycle)) - 1
+    batch = F.col("batch_no") + F.floor(past / cycle) * F.col("streams") + within
+    rows = met.withColumn("batch_no", batch.cast("long")).drop("streams", "marks", "range_start")
     if min_records is None:
         return rows
     size = rows.groupBy("batch_no").agg(F.count("*").alias("n"), F.min(F.unix_micros("chunk_timestamp")).alias("oldest"))
-    waited = F.lit(False) if now_us is None else F.col("oldest") < now_us - int(max_delay_seconds * 1e6)
+    waited = F.lit(False) if now_us is None else F.col("oldest") < now_us - int(seconds(max_delay) * 1e6)
     due = size.where((F.col("n") >= min_records) | waited).select("batch_no")
     return rows.join(due, "batch_no", "left_semi")
 
@@ -108,8 +141,8 @@ def avg_message_size(rows: DataFrame, *, by: Column | str = "batch_no", value: s
 def fair_limit(log: DataFrame, n: int) -> DataFrame:
     """The first n rows when streams take turns, each in offset order, ties by stream.
 
-    A row's turn is its place in its stream; a stream's first n rows suffice, and they are found by offset, so the ranking window is n rows a stream at most.
+    A row's turn is its place among the rows of its stream, whatever offsets are missing. Only a stream's first n rows count, which Spark finds in each
+    task before they are shuffled (a window group limit), so no task gets more than n rows of a stream from another.
     """
-    first = log.join(log.groupBy("stream").agg(F.min("offset").alias("first_offset")), "stream").where(F.col("offset") < F.col("first_offset") + n).drop("first_offset")
     turn = F.row_number().over(W.partitionBy("stream").orderBy("offset"))
-    return first.withColumn("turn", turn).orderBy("turn", "stream").limit(n).drop("turn")
+    return log.withColumn("turn", turn).where(F.col("turn") <= n).orderBy("turn", "stream").limit(n).drop("turn")

@@ -45,10 +45,14 @@ def lag_metrics(bounds: DataFrame, consumed: DataFrame) -> DataFrame:
 
 
 def read_metrics(rows: DataFrame, ranges: DataFrame, bounds: DataFrame) -> DataFrame:
-    """(stream, records, payload_bytes, wire_bytes, out_of_range, data_loss) of what a read met; ``data_loss`` counts offsets that were gone."""
+    """(stream, records, payload_bytes, wire_bytes, out_of_range, data_loss) of what a read met, for every stream with a range; ``data_loss`` counts offsets that were gone.
+
+    ``ranges`` and ``bounds`` have one row a stream; a stream without bounds has lost its whole range.
+    """
     measured = rows.select("stream", "offset", payload_bytes(F.col("value")).alias("payload"), wire_bytes().alias("wire"))
-    lost = F.greatest(F.lit(0), F.least("first_offset", "end_offset") - F.col("start_offset"))
+    first = F.coalesce("first_offset", F.col("end_offset"))
+    asked = ranges.join(bounds, "stream", "left").select("stream", "start_offset", "end_offset", F.greatest(F.lit(0), F.least(first, "end_offset") - F.col("start_offset")).alias("data_loss"))
     inside = (F.col("offset") >= F.col("start_offset")) & (F.col("offset") < F.col("end_offset"))
-    joined = measured.join(ranges.join(bounds, "stream").withColumn("lost", lost), "stream")
     kept = lambda c: F.coalesce(F.sum(F.when(inside, F.col(c))), F.lit(0))
-    return joined.groupBy("stream").agg(F.count_if(inside).alias("records"), kept("payload").alias("payload_bytes"), kept("wire").alias("wire_bytes"), F.count_if(~inside).alias("out_of_range"), F.first("lost").alias("data_loss"))
+    met = measured.join(asked, "stream").groupBy("stream").agg(F.count_if(inside).alias("records"), kept("payload").alias("payload_bytes"), kept("wire").alias("wire_bytes"), F.count_if(~inside).alias("out_of_range"))
+    return asked.select("stream", "data_loss").join(met, "stream", "left").na.fill(0)

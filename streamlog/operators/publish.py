@@ -2,30 +2,40 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.convert import payload_bytes, wire_bytes
+from ..functions.convert import payload_bytes, to_messages, wire_bytes
+from ..shared import discard, exists, materialise, settle
 
+#: Tables inside a log's folder, which reads of the log pass over: where each batch lies, and the ids that each producer has published.
+_BOUNDS, _IDS = "stream string, start_offset long, n long", "producer string, stream string, max_id long"
 COMPRESSIONS = ("none", "gzip", "snappy", "lz4", "zstd")
 
 
-def assign_offsets(rows: DataFrame, *, order: Sequence[str], bucket: Column, tails: DataFrame | None = None, stream: str = "stream", offset: str = "offset") -> DataFrame:
+def _bucket_counts(rows: DataFrame, stream: str, bucket: Column) -> DataFrame:
+    return rows.groupBy(F.col(stream).alias("_s"), bucket.alias("_b")).agg(F.count("*").alias("_n"))
+
+
+def assign_offsets(rows: DataFrame, *, order: Sequence[str], bucket: Column, tails: DataFrame | None = None, stream: str = "stream", offset: str = "offset", counts: DataFrame | None = None) -> DataFrame:
     """Adds consecutive offsets per stream, in ``order``, from the stream's tail (0 without one).
 
     ``bucket`` must not fall as ``order`` rises, such as the day of the first key: rows are numbered inside (stream, bucket), and buckets by prefix sums of
-    their counts, so no task holds a stream. ``order`` must be unique in a stream, else a retry may number ties anew.
+    their counts, so no task holds a stream. ``order`` must be unique in a stream, else a retry may number ties anew. ``counts`` are rows by (stream, bucket)
+    where they are known already.
     """
-    cut = rows.withColumn("_bucket", bucket)
-    counts = cut.groupBy(stream, "_bucket").agg(F.count("*").alias("_n"))
-    base = F.coalesce(F.sum("_n").over(W.partitionBy(stream).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select(F.col(stream).alias("_s"), F.col("_bucket").alias("_b"), base.alias("_base"))
+    counts = _bucket_counts(rows, stream, bucket) if counts is None else counts
+    base = F.coalesce(F.sum("_n").over(W.partitionBy("_s").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("_s", "_b", base.alias("_base"))
     if tails is not None:
         starts = starts.join(tails.select(F.col("stream").alias("_s"), "tail"), "_s", "left").withColumn("_base", F.col("_base") + F.coalesce("tail", F.lit(0))).drop("tail")
+    cut = rows.withColumn("_bucket", bucket)
     here = cut.withColumn("_row", F.row_number().over(W.partitionBy(stream, "_bucket").orderBy(*order)) - 1)
     joined = here.join(starts, (F.col(stream) == F.col("_s")) & F.col("_bucket").eqNullSafe(F.col("_b")))
     return joined.withColumn(offset, (F.col("_base") + F.col("_row")).cast("long")).drop("_bucket", "_s", "_b", "_base", "_row")
@@ -37,21 +47,41 @@ def assign_publishing_ids(rows: DataFrame, *, producer: Column, order: Sequence[
     return assign_offsets(keyed, order=order, bucket=bucket, stream="_writer", offset="publishing_id").drop("_writer")
 
 
-def check_publishing_ids(rows: DataFrame, *, order: Sequence[str], producer: str = "producer") -> DataFrame:
-    """(producer, violations): explicit ids that are negative, null or not above the one before in writing order."""
-    w = W.partitionBy(producer).orderBy(*order)
-    bad = F.col("publishing_id").isNull() | (F.col("publishing_id") < 0) | (F.col("publishing_id") <= F.coalesce(F.lag("publishing_id").over(w), F.lit(-1)))
-    return rows.withColumn("_bad", bad).groupBy(producer).agg(F.count_if("_bad").alias("violations"))
+def check_publishing_ids(rows: DataFrame, *, order: Sequence[str], bucket: Column, producer: str = "producer") -> DataFrame:
+    """(producer, violations): explicit ids that are negative, null or not above the one before in writing order.
+
+    ``bucket`` must not fall as ``order`` rises: ids are compared inside (producer, bucket), and a bucket's first with the last of the bucket before.
+    """
+    bad = lambda i, before: i.isNull() | (i < 0) | (i <= F.coalesce(before, F.lit(-1)))
+    cut = rows.select(F.col(producer), "publishing_id", F.struct(*order).alias("_at"), bucket.alias("_bucket"))
+    w = W.partitionBy(producer, "_bucket").orderBy("_at")
+    within = cut.select(producer, (bad(F.col("publishing_id"), F.lag("publishing_id").over(w)) & (F.row_number().over(w) > 1)).alias("_bad"))
+    ends = cut.groupBy(producer, "_bucket").agg(F.min_by("publishing_id", "_at").alias("_first"), F.max_by("publishing_id", "_at").alias("_last"))
+    between = ends.select(producer, bad(F.col("_first"), F.lag("_last").over(W.partitionBy(producer).orderBy("_bucket"))).alias("_bad"))
+    return within.union(between).groupBy(producer).agg(F.count_if("_bad").alias("violations"))
+
+
+def _orderable(field: T.StructField) -> Column:
+    """A column, or what stands for it where maps keep it from being hashed."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.MapType):
+        return F.map_entries(c)
+    return F.to_json(F.struct(c)) if "map<" in field.dataType.simpleString() else c
 
 
 def dedup_publish(rows: DataFrame, stored: DataFrame, *, order: Sequence[str], producer: str = "producer") -> DataFrame:
     """Drops rows whose id is not above the highest stored for (producer, stream), and repeats of an id, of which the first in ``order`` stays.
 
-    ``stored`` is (producer, stream, max_id). Repeats are found by a partial aggregate, so a hot producer isn't one task.
+    ``stored`` is (producer, stream, max_id). Rows without an id all stay. Repeats are found by a partial aggregate, so a hot producer isn't one task; ties in
+    ``order`` go by a hash of the row, in which maps count by their entries.
     """
-    fresh = rows.join(stored, [producer, "stream"], "left").where(F.col("max_id").isNull() | (F.col("publishing_id") > F.col("max_id"))).drop("max_id")
-    whole = F.struct(*order, *(c for c in fresh.columns if c not in order))
-    first = fresh.groupBy(F.col(producer).alias("_p"), F.col("stream").alias("_s"), F.col("publishing_id").alias("_i")).agg(F.min_by(F.struct(*fresh.columns), whole).alias("_row"))
+    known = stored.select(F.col(producer).alias("_p"), F.col("stream").alias("_s"), "max_id")
+    at = F.col("publishing_id")
+    fresh = rows.join(known, (F.col(producer) == F.col("_p")) & (F.col("stream") == F.col("_s")), "left").where(F.col("max_id").isNull() | at.isNull() | (at > F.col("max_id"))).drop("_p", "_s", "max_id")
+    rank = F.struct(*order, F.xxhash64(*(_orderable(f) for f in fresh.schema.fields)))
+    each = F.when(at.isNull(), F.monotonically_increasing_id())
+    marked = fresh.withColumn("_each", each)
+    first = marked.groupBy(F.col(producer).alias("_p"), F.col("stream").alias("_s"), at.alias("_i"), "_each").agg(F.min_by(F.struct(*(f"`{c}`" for c in fresh.columns)), rank).alias("_row"))
     return first.select("_row.*")
 
 
@@ -75,11 +105,62 @@ def write_summary(messages: DataFrame, *, error: Column | None = None) -> DataFr
     return messages.groupBy("stream").agg(F.count("*").alias("records"), F.sum(payload_bytes(F.col("value"))).alias("payload_bytes"), F.sum(wire_bytes()).alias("wire_bytes"), F.count_if(failed).alias("errors"))
 
 
-def append_log(messages: DataFrame, path: str, *, mode: str = "append", stream: str | None = None, order: Sequence[str], bucket: Column, compression: str = "none", batch_id: int | None = None) -> None:
+class BatchChangedError(RuntimeError):
+    """A batch that later ones follow was written again with other numbers of messages."""
+
+
+def _folder(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A small table of the log's own, with the batch of each row; none before the first append."""
+    return spark.read.schema(f"{schema}, batch_id string").parquet(path) if exists(spark, path) else None
+
+
+def recorded_bounds(spark: SparkSession, path: str) -> DataFrame | None:
+    """(stream, first_offset, tail) of the log at ``path`` as its appends recorded them: one row a (stream, batch) is read, not the log."""
+    known = _folder(spark, f"{path}/_bounds", _BOUNDS)
+    return known and known.groupBy("stream").agg(F.min("start_offset").alias("first_offset"), F.max(F.col("start_offset") + F.col("n")).alias("tail"))
+
+
+def stored_ids(spark: SparkSession, path: str, *, but_batch: str | None = None) -> DataFrame:
+    """(producer, stream, max_id): the highest publishing ids that ``publish_rows`` has stored with the log."""
+    known = _folder(spark, f"{path}/_ids", _IDS)
+    if known is None:
+        return spark.createDataFrame([], "producer string, stream string, max_id long")
+    return known.where(~F.col("batch_id").eqNullSafe(F.lit(but_batch))).groupBy("producer", "stream").agg(F.max("max_id").alias("max_id"))
+
+
+def batch_name(batch_id: int | None, writer: str | None = None) -> str:
+    """The folder of a batch: its number and whose number it is. Batches without a number get a name of their own."""
+    if batch_id is None:
+        return f"u{uuid.uuid4().hex}"
+    return f"b{batch_id}" if writer is None else f"q{re.sub(r'[^0-9A-Za-z_-]', '_', writer)}-b{batch_id}"
+
+
+def _starts(spark: SparkSession, path: str, batch: str, counts: DataFrame) -> DataFrame:
+    """(stream, start_offset, n): where this batch goes in each of its streams. A batch that is there already keeps its place."""
+    sizes = counts.groupBy(F.col("_s").alias("stream")).agg(F.sum("_n").alias("n"))
+    known = _folder(spark, f"{path}/_bounds", _BOUNDS)
+    if known is None:
+        return sizes.select("stream", F.lit(0).cast("long").alias("start_offset"), "n")
+    others = known.where(F.col("batch_id") != batch).groupBy("stream").agg(F.max(F.col("start_offset") + F.col("n")).alias("tail"))
+    own = known.where(F.col("batch_id") == batch).select("stream", F.col("start_offset").alias("own_start"), F.col("n").alias("own_n"))
+    placed = settle(sizes.join(own, "stream", "full").join(others, "stream", "left"), "append-starts")
+    followed = F.col("own_n").isNotNull() & ~F.col("n").eqNullSafe(F.col("own_n")) & (F.col("n").isNull() | (F.coalesce("tail", F.lit(0)) > F.col("own_start")))
+    if changed := placed.where(followed).take(1):
+        r = changed[0]
+        raise BatchChangedError(f"batch {batch} had {r['own_n']} messages of stream {r['stream']!r}, now it has {r['n'] or 0}")
+    return placed.select("stream", F.coalesce("own_start", "tail", F.lit(0)).alias("start_offset"), "n")
+
+
+def append_log(
+    messages: DataFrame, path: str, *, mode: str = "append", stream: str | None = None, order: Sequence[str], bucket: Column, compression: str = "none",
+    batch_id: int | None = None, writer: str | None = None, file_records: int | None = None,
+) -> None:
     """Appends messages (with a ``stream`` column) to the log at ``path``: Parquet by stream and batch, sorted by offset inside files.
 
-    Only ``append`` is allowed. With ``stream`` every row must be of that stream. Offsets go on from the tail of the other batches, so a batch that is
-    written again gets the offsets it had and replaces itself. One appender a log at a time.
+    Only ``append`` is allowed. With ``stream`` every row must be of that stream. ``writer`` tells whose number ``batch_id`` is: writers of one log, such as several
+    streaming queries, don't replace each other's batches. Where a batch goes is recorded before it is written, so one that is written again takes the offsets
+    it had and replaces itself; it must have as many messages of each stream as before, unless it is the stream's last (``BatchChangedError``). A batch that
+    failed and is never written again leaves a gap. ``file_records`` bounds the rows of a file. One appender a log at a time.
     """
     if mode != "append":
         raise ValueError(f"a log can only be appended to, not {mode!r}")
@@ -89,16 +170,38 @@ def append_log(messages: DataFrame, path: str, *, mode: str = "append", stream:
     if stream is not None:
         given = F.col("stream")
         messages = messages.withColumn("stream", F.when(given.isNotNull() & (given != stream), F.raise_error(F.concat(F.lit(f"rows for {stream} hold stream "), given))).otherwise(F.lit(stream)))
-    tails = None
-    batch = f"b{batch_id}" if batch_id is not None else f"u{uuid.uuid4().hex}"  # text, not a number, when the folder names are read
-    if _exists(spark, path):
-        old = spark.read.parquet(path).where(F.col("batch_id") != batch)
-        tails = old.groupBy("stream").agg((F.max("offset") + 1).alias("tail"))
-    placed = assign_offsets(messages, order=order, bucket=bucket, tails=tails).withColumn("batch_id", F.lit(batch))
-    out = placed.repartition("stream", F.floor(F.col("offset") / 1_000_000)).sortWithinPartitions("stream", "offset")
-    out.write.option("compression", compression).option("partitionOverwriteMode", "dynamic").partitionBy("stream", "batch_id").mode("overwrite").parquet(path)
-
-
-def _exists(spark, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
+    batch = batch_name(batch_id, writer)
+    counts = settle(_bucket_counts(messages, "stream", bucket), "append-counts")
+    starts = settle(_starts(spark, path, batch, counts), "append-starts")
+    if not starts.take(1):
+        return
+    starts.coalesce(1).write.mode("overwrite").parquet(f"{path}/_bounds/batch_id={batch}")
+    placed = assign_offsets(messages, order=order, bucket=bucket, tails=starts.withColumnRenamed("start_offset", "tail"), counts=counts).withColumn("batch_id", F.lit(batch))
+    out = placed.repartition("stream", F.floor(F.col("offset") / 1_000_000)).sortWithinPartitions("stream", "offset").write.option("compression", compression)
+    if file_records:
+        out = out.option("maxRecordsPerFile", file_records)
+    out.option("partitionOverwriteMode", "dynamic").partitionBy("stream", "batch_id").mode("overwrite").parquet(path)
+
+
+def publish_rows(
+    rows: DataFrame, path: str, *, route: Callable[[DataFrame], DataFrame] | None = None, producer: str | None = None, order: Sequence[str], bucket: Column, ignore_unknown: bool = False,
+    chunk_timestamp: Column | None = None, batch_id: int | None = None, writer: str | None = None, **options,
+) -> None:
+    """The sink in one call: rows of the sink schema are checked, made messages, routed, rid of what ``producer`` has published before, and appended.
+
+    ``order`` and ``bucket`` are of message columns. ``route`` takes messages and returns them with ``stream`` (``route_hash``, ``route_key``); without it rows name
+    their stream. With ``producer`` rows are deduplicated by ``publishing_id``, against the ids that are stored with the log as well: the same rows published again add
+    nothing. Ids are stored after the messages, so a job that fails in between may publish twice, never lose. ``chunk_timestamp`` is the time of appending by default.
+    """
+    spark, batch = rows.sparkSession, batch_name(batch_id, writer)
+    messages = to_messages(rows, ignore_unknown=ignore_unknown)
+    messages = messages.withColumn("chunk_timestamp", F.current_timestamp() if chunk_timestamp is None else chunk_timestamp)
+    messages = messages if route is None else route(messages.drop("stream"))
+    if producer is not None:
+        messages = dedup_publish(messages.withColumn("producer", F.lit(producer)), stored_ids(spark, path, but_batch=batch), order=order)
+    messages = materialise(messages, "publish")  # read several times below
+    append_log(messages, path, order=order, bucket=bucket, batch_id=batch_id, writer=writer, **options)
+    if producer is not None:
+        ids = messages.where("publishing_id is not null").groupBy("producer", "stream").agg(F.max("publishing_id").alias("max_id"))
+        ids.coalesce(1).write.mode("overwrite").parquet(f"{path}/_ids/batch_id={batch}")
+    discard(messages)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .ranges import locate
+
 
 def split_ranges(ranges: DataFrame, *, max_records: int | None = None, min_partitions: int | None = None) -> DataFrame:
     """(stream, split_id, start_offset, end_offset): one split a range, more by ``max_records`` in a split or ``min_partitions`` in all.
@@ -27,10 +29,8 @@ def split_ranges(ranges: DataFrame, *, max_records: int | None = None, min_parti
 
 
 def read_splits(log: DataFrame, splits: DataFrame) -> DataFrame:
-    """The log's rows with the split that covers each; the join goes by stream, the offset range is checked on its matches."""
-    s = splits.select(F.col("stream").alias("s"), "split_id", "start_offset", "end_offset")
-    inside = (F.col("stream") == F.col("s")) & (F.col("offset") >= F.col("start_offset")) & (F.col("offset") < F.col("end_offset"))
-    return log.join(s, inside).drop("s", "start_offset", "end_offset")
+    """The log's rows with the split that covers each."""
+    return locate(log, splits.select("stream", "split_id", "start_offset", "end_offset")).drop("range_start")
 
 
 def merge_splits(splits: DataFrame, bases: DataFrame) -> DataFrame:

@@ -32,10 +32,10 @@ def text(c: str = "value"):
 # Scans
 
 
-@query('SELECT stream, count(*) AS n, min("offset") AS lo, max("offset") AS hi FROM l WHERE "offset" < 50 GROUP BY stream')
+@query('SELECT stream, count(*) AS n, min("offset") AS lo, max("offset") AS hi FROM l WHERE "offset" >= 10 GROUP BY stream')
 def read_log_range(s: Spark, d: str) -> DataFrame:
     log = events_log(s, d)
-    rows = read_log(log, ranges.resolve_ranges(log, end="offset", end_offset=50))
+    rows = read_log(log, ranges.resolve_ranges(log, start="offset", start_offset=10))
     return rows.groupBy("stream").agg(F.count("*").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"))
 
 
@@ -63,11 +63,18 @@ def resolve_ranges_earliest(s: Spark, d: str) -> DataFrame:
     return ranges.resolve_ranges(events_log(s, d))
 
 
-@query("SELECT stream, 10 AS start_offset, least(60, tail) AS end_offset FROM b WHERE tail > 10")
+@query("SELECT stream, 10 AS start_offset, 60 AS end_offset FROM b")
 def resolve_ranges_offsets(s: Spark, d: str) -> DataFrame:
     return ranges.resolve_ranges(events_log(s, d), RangeOptions(start="offset", start_offset=10, end="offset", end_offset=60))
 
 
+@query("SELECT stream, 1000000000 AS end_offset, tail AS reached FROM b")
+def resolve_ranges_beyond_tail(s: Spark, d: str) -> DataFrame:
+    """An end beyond the tail stays as asked, and is reported."""
+    log = events_log(s, d)
+    return integrity.detect_short_ranges(log, ranges.resolve_ranges(log, end="offset", end_offset=1_000_000_000))
+
+
 @query(f"""r AS (SELECT stream, min("offset") FILTER (WHERE chunk_timestamp >= TIMESTAMP '{CUT}') AS start_offset,
   coalesce(min("offset") FILTER (WHERE coalesce(creation_time, chunk_timestamp) >= TIMESTAMP '{LATER}'), max("offset") + 1) AS end_offset FROM l GROUP BY stream)
 SELECT * FROM r WHERE start_offset < end_offset""")
@@ -177,13 +184,37 @@ def most_restrictive(s: Spark, d: str) -> DataFrame:
     return limits.budget_ranges(ranges.resolve_ranges(events_log(s, d)), max_records=150, max_bytes=90 * 512, size_estimate=512)
 
 
-@query()
+#: Batches by the plain rule, round by round: even shares, the remainder in turn, what a stream can't take shared again.
+_BATCHES = """k AS (SELECT list(stream ORDER BY stream) AS names, list(first_offset ORDER BY stream) AS lo, list(tail ORDER BY stream) AS hi FROM b),
+t AS (SELECT 0::BIGINT AS batch, {n}::BIGINT AS room, lo AS a, lo AS z FROM k
+UNION ALL SELECT batch, room - list_sum(give), z, list_transform(range(1, len(z) + 1), lambda i: z[i] + give[i]) FROM (
+  SELECT *, list_transform(range(1, len(z) + 1), lambda i: CASE WHEN z[i] < hi[i] THEN least(hi[i] - z[i], room // len(live) + CASE WHEN ((list_position(live, i) - 1 - batch) % len(live) + len(live)) % len(live) < room % len(live) THEN 1 ELSE 0 END) ELSE 0 END)::BIGINT[] AS give FROM (
+    SELECT CASE WHEN room = 0 THEN batch + 1 ELSE batch END AS batch, CASE WHEN room = 0 THEN {n} ELSE room END AS room, z, hi, list_filter(range(1, len(z) + 1), lambda i: z[i] < hi[i]) AS live FROM t, k) WHERE len(live) > 0)),
+p AS (SELECT batch AS batch_no, unnest(names) AS stream, unnest(a) AS x, unnest(z) AS y FROM t, k),
+w AS (SELECT batch_no, stream, min(x) AS lo, max(y) - 1 AS hi, sum(y - x)::BIGINT AS n FROM p WHERE y > x GROUP BY batch_no, stream)"""
+
+
+@query(_BATCHES.format(n=1000) + " SELECT batch_no, stream, n, lo, hi FROM w")
 def micro_batches(s: Spark, d: str) -> DataFrame:
     log = events_log(s, d)
     rows = limits.micro_batches(log, ranges.resolve_ranges(log), max_records=1000)
     return rows.groupBy("batch_no", "stream").agg(F.count("*").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"))
 
 
+@query(_BATCHES.format(n=100).replace("b)", "(SELECT stream, first_offset, CASE stream WHEN 'events-0' THEN tail WHEN 'events-1' THEN least(tail, 57) ELSE tail // 3 END AS tail FROM b))", 1) + " SELECT batch_no, stream, n, lo, hi FROM w")
+def micro_batches_skewed(s: Spark, d: str) -> DataFrame:
+    """Streams of very different lengths."""
+    log = events_log(s, d)
+    end = F.when(F.col("stream") == "events-0", F.col("end_offset")).when(F.col("stream") == "events-1", F.least(F.col("end_offset"), F.lit(57))).otherwise(F.floor(F.col("end_offset") / 3))
+    rows = limits.micro_batches(log, ranges.resolve_ranges(log).withColumn("end_offset", end), max_records=100)
+    return rows.groupBy("batch_no", "stream").agg(F.count("*").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"))
+
+
+@query(_BATCHES.format(n=700) + " SELECT stream, batch_no, lo AS start_offset, hi + 1 AS end_offset FROM w")
+def plan_batches(s: Spark, d: str) -> DataFrame:
+    return limits.plan_batches(ranges.resolve_ranges(events_log(s, d)), max_records=700)
+
+
 @query("SELECT ((sum(tail - first_offset) // 1000) * 1000)::BIGINT AS n, (sum(tail - first_offset) // 1000)::BIGINT AS batches FROM b")
 def micro_batches_held(s: Spark, d: str) -> DataFrame:
     log = events_log(s, d)
@@ -202,6 +233,13 @@ def fair_limit(s: Spark, d: str) -> DataFrame:
     return limits.fair_limit(events_log(s, d), 200).select("stream", "offset")
 
 
+@query("""SELECT stream, "offset" FROM (SELECT *, row_number() OVER (PARTITION BY stream ORDER BY "offset") AS turn FROM l
+WHERE "offset" % 7 = 0 OR stream = 'events-1') ORDER BY turn, stream LIMIT 200""")
+def fair_limit_gaps(s: Spark, d: str) -> DataFrame:
+    """Turns go by rows, not by offsets."""
+    return limits.fair_limit(events_log(s, d).where("offset % 7 = 0 or stream = 'events-1'"), 200).select("stream", "offset")
+
+
 # Filters
 
 
@@ -241,11 +279,11 @@ def filter_report(s: Spark, d: str) -> DataFrame:
     return filters.filter_report(rows, filters.keep_by_value(C.value_at_path("application_properties.region"), ["click"]))
 
 
-@query('SELECT stream, count(*) AS n, sum("offset")::BIGINT AS total FROM l WHERE "offset" >= 10 AND "offset" < 2000 GROUP BY stream')
+@query('SELECT stream, count(*) AS n, sum("offset")::BIGINT AS total FROM l WHERE "offset" >= 10 GROUP BY stream')
 def dedup_offsets(s: Spark, d: str) -> DataFrame:
     log = events_log(s, d).select("stream", "offset", "event_id")
     twice = log.union(log.where("event_id % 13 = 0"))
-    cut = ranges.resolve_ranges(log, start="offset", start_offset=10, end="offset", end_offset=2000)
+    cut = ranges.resolve_ranges(log, start="offset", start_offset=10)
     return filters.dedup_offsets(twice, cut).groupBy("stream").agg(F.count("*").alias("n"), F.sum("offset").alias("total"))
 
 
@@ -295,10 +333,12 @@ def coerce_string(s: Spark, d: str) -> DataFrame:
     return e.select("event_id", C.coerce_string(F.col("raw"), "binary").alias("from_bytes"), C.coerce_string(F.col("event_id"), "bigint").alias("from_long"), C.coerce_string(F.col("event_type"), "string").alias("from_text"))
 
 
-@query("SELECT event_id, ((event_id - 500) * 1500)::BIGINT * 1000 AS ts_us, CASE WHEN event_id > 500 THEN ((event_id - 500) * 1500)::BIGINT * 1000 END AS opt_us, 9223372036854774000 AS top_us FROM events")
+@query("SELECT event_id, ((event_id - 500) * 1500)::BIGINT * 1000 AS ts_us, CASE WHEN event_id > 500 THEN ((event_id - 500) * 1500)::BIGINT * 1000 END AS opt_us, 9223372036854775000 AS fits_us, 9223372036854775807 AS top_us, -9223372036854775808 AS low_us, 9223372036854775000 AS last_us, true AS over_null FROM events")
 def millis_to_timestamps(s: Spark, d: str) -> DataFrame:
     e = s.read.parquet(f"{d}/events.parquet").withColumn("ms", (F.col("event_id") - 500) * 1500)
-    return e.select("event_id", us(C.millis_to_ts(F.col("ms"))).alias("ts_us"), us(C.millis_to_ts_or_null(F.col("ms"))).alias("opt_us"), us(C.millis_to_ts(F.lit((1 << 63) - 1))).alias("top_us"))
+    last, top = F.lit(9223372036854775), F.lit((1 << 63) - 1)
+    edges = [us(C.millis_to_ts(last)).alias("fits_us"), us(C.millis_to_ts(last + 1)).alias("top_us"), us(C.millis_to_ts(-top)).alias("low_us"), us(C.millis_to_ts_or_null(last)).alias("last_us"), C.millis_to_ts_or_null(last + 1).isNull().alias("over_null")]
+    return e.select("event_id", us(C.millis_to_ts(F.col("ms"))).alias("ts_us"), us(C.millis_to_ts_or_null(F.col("ms"))).alias("opt_us"), *edges)
 
 
 @query("SELECT event_id, trunc((event_id - 500) * 1234567 / 1000.0)::BIGINT AS ms, CASE WHEN event_id >= 500 THEN event_id - 500 END AS seq FROM events")
@@ -400,15 +440,16 @@ c AS (SELECT *, publishing_id < 0 OR publishing_id <= coalesce(lag(publishing_id
 SELECT producer, count(*) FILTER (WHERE bad) AS violations FROM c GROUP BY producer""")
 def check_publishing_ids(s: Spark, d: str) -> DataFrame:
     rows = events_log(s, d).select(F.col("event_type").alias("producer"), "event_id", F.when(F.col("event_id") % 97 == 0, F.col("event_id") - 500).otherwise(F.col("event_id")).alias("publishing_id"))
-    return publish.check_publishing_ids(rows, order=["event_id"])
+    return publish.check_publishing_ids(rows, order=["event_id"], bucket=F.floor(F.col("event_id") / 1000))
 
 
-@query('SELECT stream, "offset" AS publishing_id, event_id FROM l WHERE NOT (stream = \'events-0\' AND "offset" <= 499)')
+@query('SELECT stream, "offset" AS publishing_id, event_id, rk AS routing_key FROM l WHERE NOT (stream = \'events-0\' AND "offset" <= 499)')
 def dedup_publish(s: Spark, d: str) -> DataFrame:
-    rows = events_log(s, d).select(F.lit("p").alias("producer"), "stream", F.col("offset").alias("publishing_id"), "event_id", F.lit(0).alias("attempt"))
+    """Whole messages, maps among their columns, a part of them sent twice."""
+    rows = as_messages(events_log(s, d)).withColumns({"producer": F.lit("p"), "publishing_id": F.col("offset"), "attempt": F.lit(0)})
     again = rows.where("event_id % 13 = 0").withColumn("attempt", F.lit(1))
     stored = s.createDataFrame([("p", "events-0", 499)], "producer string, stream string, max_id long")
-    return publish.dedup_publish(rows.union(again), stored, order=["attempt"]).select("stream", "publishing_id", "event_id")
+    return publish.dedup_publish(rows.union(again), stored, order=["attempt"]).select("stream", "publishing_id", "event_id", F.col("application_properties")["routing_key"].alias("routing_key"))
 
 
 @query("SELECT event_id, 'base-q' || regexp_replace('run/' || event_type || '.1', '[^A-Za-z0-9_-]', '_', 'g') || '-p' || (event_id % 4)::VARCHAR || '-e7' AS streaming, 'base-p' || (event_id % 4)::VARCHAR || '-t' || event_id::VARCHAR AS batch FROM l")
@@ -470,6 +511,14 @@ def read_metrics(s: Spark, d: str) -> DataFrame:
     return progress.read_metrics(as_messages(log), asked, bounds)
 
 
+@query("""SELECT stream, count(*) FILTER (WHERE "offset" < 50) AS records, 0 AS out_of_range, 0 AS data_loss FROM l WHERE stream <> 'events-2' GROUP BY stream UNION ALL SELECT 'events-2', 0, 0, 50""")
+def read_metrics_of_lost_stream(s: Spark, d: str) -> DataFrame:
+    """A stream of which nothing was read is reported as well."""
+    log = events_log(s, d).where("stream <> 'events-2' and offset < 50")
+    asked = topology(s).select("stream", F.lit(0).cast("long").alias("start_offset"), F.lit(50).cast("long").alias("end_offset"))
+    return progress.read_metrics(as_messages(log), asked, ranges.stream_bounds(log)).select("stream", "records", "out_of_range", "data_loss")
+
+
 @query("SELECT stream, 20 AS start_offset, 100 AS first_offset, 80 AS lost FROM b")
 def detect_truncation(s: Spark, d: str) -> DataFrame:
     bounds = ranges.stream_bounds(truncated(s, d))

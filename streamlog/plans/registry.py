@@ -18,7 +18,7 @@ def query(sql: str | None = None):
     def register(f):
         QUERIES[f.__name__] = f
         if sql:
-            ORACLES[f.__name__] = f"WITH {L_SQL}{', ' if not sql.lstrip().upper().startswith('SELECT') else ' '}{sql.strip()}"
+            ORACLES[f.__name__] = f"WITH RECURSIVE {L_SQL}{', ' if not sql.lstrip().upper().startswith('SELECT') else ' '}{sql.strip()}"
         return f
 
     return register

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import streaming
-from ..operators import progress, publish, ranges
+from ..operators import progress, publish, ranges, route
 from ..shared import shared_dir
-from ..sources.fixture import utc
-from ..sources.log import open_log, read_log
+from ..sources.fixture import bindings, topology, utc
+from ..sources.log import open_log, read, read_log
 from .registry import query
 
 ORDER = ["ts", "event_id"]
@@ -46,12 +46,12 @@ def append_log_rows(s: SparkSession, d: str) -> DataFrame:
     return open_log(s, path).select("stream", "offset", "body")
 
 
-@query('SELECT stream, count(*) AS n, min("offset") AS lo, max("offset") AS hi FROM l WHERE "offset" >= 10 AND "offset" < 500 GROUP BY stream')
+@query('SELECT stream, count(*) AS n, min("offset") AS lo, max("offset") AS hi FROM l WHERE "offset" >= 10 GROUP BY stream')
 def read_written_log(s: SparkSession, d: str) -> DataFrame:
     path = _fresh(s, "log")
     publish.append_log(_rows(s, d), path, order=ORDER, bucket=_bucket())
     log = open_log(s, path)
-    rows = read_log(log, ranges.resolve_ranges(log, start="offset", start_offset=10, end="offset", end_offset=500))
+    rows = read_log(log, ranges.resolve_ranges(log, start="offset", start_offset=10, bounds=publish.recorded_bounds(s, path)))
     return rows.groupBy("stream").agg(F.count("*").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"))
 
 
@@ -82,3 +82,73 @@ def stream_progress(s: SparkSession, d: str) -> DataFrame:
     streaming.stream_append(rows, path, _fresh(s, "checkpoint"), order=ORDER, bucket=_bucket, available_now=True).start().awaitTermination()
     reports = open_log(s, path).groupBy("stream", "batch_id").agg((F.max("offset") + 1).alias("next_offset"))
     return progress.merge_progress(reports)
+
+
+def _sink_rows(s: SparkSession, d: str) -> DataFrame:
+    """Rows of the sink schema; their ids rise by producer, here one a file of arrivals."""
+    time = utc(F.col("ts"))
+    return s.read.parquet(f"{d}/events.parquet").select(
+        F.encode(F.concat_ws("-", "event_type", "event_id"), "UTF-8").alias("value"), F.col("event_id").cast("long").alias("publishing_id"), F.col("event_type").alias("routing_key"),
+        F.create_map(F.lit("id"), F.col("event_id").cast("string")).alias("application_properties"), time.alias("creation_time"),
+    )
+
+
+def _message_order() -> dict:
+    return {"order": ["properties.creation_time", "publishing_id"], "bucket": F.date_trunc("day", F.col("properties.creation_time")), "chunk_timestamp": F.col("properties.creation_time")}
+
+
+_BOUND = "VALUES ('click', 'events-0'), ('purchase', 'events-1'), ('signup', 'events-2'), ('error', 'events-0'), ('error', 'events-1')"
+
+
+@query(f"""k AS (SELECT * FROM ({_BOUND}) t(key, target)), m AS (SELECT event_id, event_type, target AS stream, ts FROM events JOIN k ON event_type = key)
+SELECT event_id, stream, row_number() OVER (PARTITION BY stream ORDER BY ts, event_id) - 1 AS "offset", event_type AS routing_key FROM m""")
+def publish_rows(s: SparkSession, d: str) -> DataFrame:
+    """The whole sink, by binding keys. The rows are published twice: the second time adds nothing, by the ids stored with the log."""
+    path, rows = _fresh(s, "log"), _sink_rows(s, d)
+    for _ in range(2):
+        publish.publish_rows(rows, path, route=lambda m: route.route_key(m, bindings(s), key=F.col("application_properties")["routing_key"]), producer="p", **_message_order())
+    ap = F.col("application_properties")
+    return open_log(s, path).select(ap["id"].cast("long").alias("event_id"), "stream", "offset", ap["routing_key"].alias("routing_key"))
+
+
+@query("SELECT 'events-' || (user_id % 3)::VARCHAR AS stream, 2 * count(*) AS n, 2 * count(*) AS tail, 2 AS writers, true AS whole FROM events GROUP BY 1")
+def two_stream_writers(s: SparkSession, d: str) -> DataFrame:
+    """Two queries append the same arrivals to one log; the first runs again from its checkpoint, and finds nothing new."""
+    source, path, checkpoints = _files(s, d), _fresh(s, "log"), [_fresh(s, "checkpoint") for _ in range(2)]
+    for checkpoint in (*checkpoints, checkpoints[0]):
+        rows = streaming.stream_log(s, source, _rows(s, d).schema, max_files=2)
+        streaming.stream_append(rows, path, checkpoint, order=ORDER, bucket=_bucket, available_now=True).start().awaitTermination()
+    writer = F.regexp_extract("batch_id", "^q(.*)-b[0-9]+$", 1)
+    out = open_log(s, path).groupBy("stream").agg(F.count("*").alias("n"), (F.max("offset") + 1).alias("tail"), F.count_distinct(writer).alias("writers"), F.count_distinct("offset").alias("offsets"))
+    return out.select("stream", "n", "tail", "writers", ((F.col("n") == F.col("tail")) & (F.col("n") == F.col("offsets"))).alias("whole"))
+
+
+@query("""SELECT stream, count(*) AS n, min("offset") AS lo FROM l WHERE "offset" >= 100 GROUP BY stream""")
+def stream_from_offset(s: SparkSession, d: str) -> DataFrame:
+    """A stream that starts at offset 100 of a log, drained in batches of a few thousand records."""
+    path, out, checkpoint = _fresh(s, "log"), _fresh(s, "log"), _fresh(s, "checkpoint")
+    publish.append_log(_rows(s, d), path, order=ORDER, bucket=_bucket(), batch_id=0, file_records=2000)
+    rows = streaming.stream_log(s, path, open_log(s, path).schema, checkpoint=checkpoint, start="offset", start_offset=100, max_records=4000, file_records=2000)
+    moved = rows.select(F.col("stream").alias("source"), F.col("offset").alias("source_offset"), F.lit("copy").alias("stream"))
+    streaming.stream_append(moved, out, checkpoint, order=["source", "source_offset"], bucket=lambda: F.col("source"), available_now=True).start().awaitTermination()
+    return open_log(s, out).groupBy(F.col("source").alias("stream")).agg(F.count("*").alias("n"), F.min("source_offset").alias("lo"))
+
+
+@query("SELECT stream, tail AS next_offset, first_offset FROM b")
+def recorded_bounds(s: SparkSession, d: str) -> DataFrame:
+    """Bounds as appends record them, of a log in three batches of which one was written again."""
+    path, rows = _fresh(s, "log"), _rows(s, d)
+    cuts = [F.lit(t).cast("timestamp_ntz") for t in ("2024-01-10 00:00:00", "2024-01-20 00:00:00")]
+    parts = [rows.where(F.col("ts") < utc(cuts[0])), rows.where((F.col("ts") >= utc(cuts[0])) & (F.col("ts") < utc(cuts[1]))), rows.where(F.col("ts") >= utc(cuts[1]))]
+    for n in (0, 1, 2, 1):
+        publish.append_log(parts[n], path, order=ORDER, bucket=_bucket(), batch_id=n)
+    found, seen = publish.recorded_bounds(s, path), ranges.stream_bounds(open_log(s, path))
+    return found.join(seen, ["stream", "first_offset", "tail"]).select("stream", F.col("tail").alias("next_offset"), "first_offset")
+
+
+@query("""SELECT stream, "offset", body FROM l WHERE stream IN ('events-0', 'events-2') AND "offset" >= 5""")
+def read_superstream_of_file(s: SparkSession, d: str) -> DataFrame:
+    """A bounded read in one call, by the bounds that appends recorded."""
+    path = _fresh(s, "log")
+    publish.append_log(_rows(s, d), path, order=ORDER, bucket=_bucket())
+    return read(s, path, superstream="events", topology=topology(s).where("ordinal <> 1"), start="offset", start_offset=5).select("stream", "offset", "body")

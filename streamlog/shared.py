@@ -11,16 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; one of our own only where the session has none."""
+    """The folder that ``spark.checkpoint.dir`` names. Where it is unset, a local session gets one of its own; on a cluster that is an error, since executors can't see a
+    folder of the driver's machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
     if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='spark-')}")
     return context.getCheckpointDir().rstrip("/")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, in any store that Spark reads."""
+    files, target = _hadoop(spark, path)
+    return bool(files.exists(target))
+
+
 def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Writes ``df`` as Parquet into the shared folder and reads it back: lineage ends here."""
     spark = df.sparkSession
@@ -29,6 +43,16 @@ def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Deletes what ``materialise`` wrote for a frame that nothing reads any more. Other frames are left alone."""
+    spark, folders = table.sparkSession, {f.rpartition("/")[0] for f in table.inputFiles()}
+    shared = shared_dir(spark).split("://")[-1].replace("file:", "").rstrip("/")
+    for folder in folders:
+        if shared.lstrip("/") in folder:
+            files, target = _hadoop(spark, folder)
+            files.delete(target, True)
+
+
 #: Rows of a frame that may stand in the plan itself.
 SETTLED_ROWS = 10_000
 

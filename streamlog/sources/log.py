@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Up to so many ranges become one predicate, which prunes partitions and row groups; more are joined.
-LITERAL_RANGES = 200
-
+from ..operators.publish import recorded_bounds
+from ..operators.ranges import LITERAL_RANGES, resolve_ranges, within_ranges
+from ..options import one_target
+from ..schema import project_metadata
 
 def open_log(spark: SparkSession, path: str) -> DataFrame:
     """The log that ``append_log`` writes: partitioned by stream, sorted by offset inside files."""
@@ -23,15 +25,17 @@ def read_log(log: DataFrame, ranges: DataFrame, *, start_ts: int | None = None)
     """
     if start_ts is not None:
         log = log.where(F.unix_micros("chunk_timestamp") >= start_ts)
-    few = ranges.limit(LITERAL_RANGES + 1).collect()
+    return within_ranges(log, ranges)
+
+
+def from_starts(log: DataFrame, starts: DataFrame) -> DataFrame:
+    """Rows at or after their stream's start; streams without one are whole. ``starts`` is (stream, start_offset), one row a stream."""
+    few = starts.limit(LITERAL_RANGES + 1).collect()
     if len(few) <= LITERAL_RANGES:
-        if not few:
-            return log.where(F.lit(False))
-        each = [(F.col("stream") == r["stream"]) & (F.col("offset") >= r["start_offset"]) & (F.col("offset") < r["end_offset"]) for r in few]
-        return log.where(reduce(Column.__or__, each))
-    r = ranges.select(F.col("stream").alias("s"), "start_offset", "end_offset")
-    inside = (F.col("stream") == F.col("s")) & (F.col("offset") >= F.col("start_offset")) & (F.col("offset") < F.col("end_offset"))
-    return log.join(r, inside, "left_semi")
+        before = [(F.col("stream") == r["stream"]) & (F.col("offset") < r["start_offset"]) for r in few]
+        return log.where(~reduce(Column.__or__, before)) if before else log
+    s = starts.select(F.col("stream").alias("s"), "start_offset")
+    return log.join(s, F.col("stream") == F.col("s"), "left").where("start_offset is null or offset >= start_offset").drop("s", "start_offset")
 
 
 def read_superstream(log: DataFrame, topology: DataFrame, superstream: str, *, fail_if_empty: bool = True) -> DataFrame:
@@ -40,3 +44,22 @@ def read_superstream(log: DataFrame, topology: DataFrame, superstream: str, *, f
     if fail_if_empty and not members.take(1):
         raise ValueError(f"superstream {superstream!r} has no partitions")
     return log.join(members.distinct(), "stream", "left_semi")
+
+
+def read(spark: SparkSession, path: str, *, stream: str | None = None, superstream: str | None = None, topology: DataFrame | None = None, metadata: Sequence[str] | None = None, **options) -> DataFrame:
+    """A bounded read of one stream or one superstream of the log at ``path``, in one call; ``options`` are those of ``RangeOptions``.
+
+    ``metadata`` names the optional columns to return; all columns without it. Where no timestamp is asked for, the bounds are those that appends recorded.
+    """
+    one_target(stream, superstream)
+    if superstream is not None and topology is None:
+        raise ValueError("a superstream needs its topology")
+    log = open_log(spark, path)
+    rows = log.where(F.col("stream") == stream) if superstream is None else read_superstream(log, topology, superstream)
+    wanted = spark.createDataFrame([(stream,)], "stream string") if superstream is None else topology.where(F.col("superstream") == superstream).select("stream")
+    timed = "timestamp" in (options.get("start"), options.get("end"))
+    bounds = None if timed else recorded_bounds(spark, path)
+    if bounds is not None:
+        bounds = bounds.join(wanted.distinct(), "stream", "left_semi")
+    found = read_log(rows, resolve_ranges(rows, streams=wanted, bounds=bounds, **options), start_ts=options.get("start_ts") if not options.get("start_ts_by_stream") else None)
+    return found if metadata is None else project_metadata(found, metadata)

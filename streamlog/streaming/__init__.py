@@ -10,24 +10,58 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.publish import append_log
+from ..operators.ranges import start_positions
+from ..options import LimitOptions, RangeOptions
+from ..shared import exists
+from ..sources.log import from_starts, open_log
 
-_BOUNDED = ("end", "end_offset", "end_ts", "end_ts_by_stream")
+_ENDS = ("end", "end_offset", "end_ts", "end_ts_by_stream")
 
 
-def stream_log(spark: SparkSession, path: str, schema: T.StructType, *, max_files: int | None = None, max_bytes: int | None = None, **options) -> DataFrame:
-    """The log at ``path`` as a stream; progress is Spark's checkpoint. Budgets count files or bytes, so writers should keep files small.
+def stream_log(
+    spark: SparkSession, path: str, schema: T.StructType, *, checkpoint: str | None = None, start: str = "earliest", start_offset: int | None = None, start_ts: int | None = None,
+    start_ts_by_stream: dict[str, int] | None = None, on_no_match: str = "error", fail_on_data_loss: bool = True, max_files: int | None = None, max_bytes: int | None = None,
+    max_records: int | None = None, file_records: int | None = None, **unknown,
+) -> DataFrame:
+    """The log at ``path`` as a stream; progress is Spark's checkpoint.
 
+    ``start`` and what goes with it are those of a bounded read (``RangeOptions``), for a query that has no ``checkpoint`` yet: they are resolved once and
+    kept beside its checkpoint, so a restart goes on where it was, whatever start is given. Streams that turn up later are read from their beginning.
+
+    Budgets of a batch count files or bytes; ``max_records`` is exact from above where files hold ``file_records`` rows at most, as ``append_log`` writes them.
     A stream has no end, so end options are refused. Draining what is there now is ``trigger(availableNow=True)`` on the writer: later files stay out.
     """
-    refused = [k for k in _BOUNDED if options.get(k) is not None]
-    if refused:
+    if refused := [k for k in unknown if k in _ENDS]:
         raise ValueError(f"a stream takes no end options: {refused}")
+    if unknown:
+        raise ValueError(f"unknown options: {sorted(unknown)}")
+    wanted = RangeOptions(start=start, start_offset=start_offset, start_ts=start_ts, start_ts_by_stream=start_ts_by_stream or {}, on_no_match=on_no_match, fail_on_data_loss=fail_on_data_loss)
+    limits = LimitOptions(max_records=max_records, max_bytes=max_bytes)
+    if limits.max_records:
+        if not file_records or file_records > limits.max_records:
+            raise ValueError("max_records needs file_records, the most rows of a file, and no more than it")
+        most = limits.max_records // file_records
+        max_files = most if max_files is None else min(most, max_files)
+    if start != "earliest" and checkpoint is None:
+        raise ValueError("a start position needs the checkpoint that it is kept beside")
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    if max_bytes:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(path)
+    if limits.max_bytes:
+        reader = reader.option("maxBytesPerTrigger", limits.max_bytes)
+    rows = reader.parquet(path)
+    starts = _kept_starts(spark, path, checkpoint, wanted) if checkpoint is not None else None
+    return rows if starts is None else from_starts(rows, starts)
+
+
+def _kept_starts(spark: SparkSession, path: str, checkpoint: str, wanted: RangeOptions) -> DataFrame | None:
+    """Where a query started: what it resolved when it was new. A checkpoint without it started at the beginning."""
+    kept = f"{checkpoint.rstrip('/')}/start_positions"
+    if not exists(spark, kept):
+        if wanted.start == "earliest" or exists(spark, f"{checkpoint.rstrip('/')}/offsets") or not exists(spark, path):
+            return None
+        start_positions(open_log(spark, path), wanted).coalesce(1).write.parquet(kept)
+    return spark.read.parquet(kept)
 
 
 def windowed_counts(rows: DataFrame, *, width: str, late: str, ts: str = "chunk_timestamp") -> DataFrame:
@@ -40,11 +74,21 @@ def stateful_counts(rows: DataFrame, key: Column) -> DataFrame:
     return rows.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
 
 
-def stream_append(rows: DataFrame, path: str, checkpoint: str, *, order: Sequence[str], bucket: Callable[[], Column], mode: str = "append", available_now: bool = False) -> DataStreamWriter:
+def stream_append(
+    rows: DataFrame, path: str, checkpoint: str, *, order: Sequence[str], bucket: Callable[[], Column], mode: str = "append", available_now: bool = False, sink: Callable = append_log, **options
+) -> DataStreamWriter:
     """A writer that appends every micro-batch to a log; with ``update`` every changed row becomes a message.
 
-    The batch's number is part of where it lands, so a batch that is run again replaces itself.
+    The query's id and the batch's number are where it lands, so a batch that is run again replaces itself, and queries that write to one log don't
+    touch each other's. ``sink`` is ``append_log`` or ``publish_rows``, which takes rows of the sink schema; ``options`` go to it. Trigger: the default one, with the lowest latency,
+    or what is there now.
     """
-    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-    writer = writer.foreachBatch(lambda df, n: append_log(df, path, order=order, bucket=bucket(), batch_id=n))
+
+    def put(df: DataFrame, n: int) -> None:
+        query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the streaming query has no id")
+        sink(df, path, order=order, bucket=bucket(), batch_id=n, writer=query, **options)
+
+    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(put)
     return writer.trigger(availableNow=True) if available_now else writer

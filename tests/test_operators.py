@@ -10,7 +10,7 @@ from streamlog.functions import convert as C
 from streamlog.operators import filters, integrity, limits, progress, publish, ranges, route, splits
 from streamlog.options import LimitOptions, RangeOptions, one_target, seconds
 from streamlog.schema import project_metadata, validate_sink
-from streamlog.sources.log import read_log, read_superstream
+from streamlog.sources.log import read, read_log, read_superstream
 
 
 def frame(spark, rows, start=True):
@@ -59,11 +59,35 @@ def test_batches_hold_back(spark):
     r = frame(spark, [("s", 0, 25)])
     n = lambda **k: limits.micro_batches(log, r, max_records=10, **k).count()
     assert n() == 25 and n(min_records=10) == 20
-    assert n(min_records=10, max_delay_seconds=5, now_us=30_000_000) == 25
+    assert n(min_records=10, max_delay="5s", now_us=30_000_000) == 25
     with pytest.raises(ValueError):
         limits.plan_batches(r, max_records=0)
 
 
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(0, 400), min_size=1, max_size=5), st.integers(1, 60))
+def test_phases_are_the_plain_plan(spark, spans, budget):
+    """Whole cycles in one row give the batches that a budget after the other gives."""
+    at, want, batch = np.zeros(len(spans), np.int64), set(), 0
+    while (at < spans).any():
+        give = limits.grants(np.array(spans) - at, budget, batch)
+        want |= {(f"s{k}", batch, int(at[k]), int(at[k] + give[k])) for k in np.flatnonzero(give)}
+        at, batch = at + give, batch + 1
+    r = frame(spark, [(f"s{k}", 0, n) for k, n in enumerate(spans)])
+    assert {tuple(x) for x in limits.plan_batches(r, max_records=budget).select("stream", "batch_no", "start_offset", "end_offset").collect()} == want
+    log = r.select("stream", F.explode(F.when(F.col("end_offset") > 0, F.sequence(F.lit(0).cast("long"), F.col("end_offset") - 1))).alias("offset"))
+    got = limits.micro_batches(log, r, max_records=budget).groupBy("stream", "batch_no").agg(F.min("offset").alias("a"), (F.max("offset") + 1).alias("b"))
+    assert {tuple(x) for x in got.collect()} == want
+
+
+def test_fair_limit_over_gaps(spark):
+    rows = [("a", k) for k in (0, 1000, 2000)] + [("b", k) for k in (0, 1, 2)]
+    log = spark.createDataFrame(rows, "stream string, offset long")
+    assert limits.fair_limit(log, 6).count() == 6
+    assert [tuple(r) for r in limits.fair_limit(log, 3).orderBy("offset", "stream").collect()] == [("a", 0), ("b", 0), ("a", 1000)]
+    assert "WindowGroupLimit" in limits.fair_limit(log, 3)._jdf.queryExecution().executedPlan().toString()
+
+
 # Splits
 
 
@@ -119,6 +143,33 @@ def test_ranges(log, spark):
     with pytest.raises(ranges.DataLossError):
         ranges.resolve_ranges(log, streams=spark.createDataFrame([("z",)], "stream string"))
     assert spans(ranges.resolve_ranges(log.where("false"))) == {}
+    assert spans(ranges.resolve_ranges(log, end="offset", end_offset=99)) == {"a": (5, 99), "b": (0, 99)}
+    known = spark.createDataFrame([("a", 6, 9)], "stream string, first_offset long, tail long")
+    assert spans(ranges.resolve_ranges(log, bounds=known)) == {"a": (6, 9)}
+
+
+def test_rows_find_their_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "BLOCK", 10)
+    log = spark.range(100).select(F.lit("s").alias("stream"), F.col("id").alias("offset"))
+    r = frame(spark, [("s", 0, 25), ("s", 25, 26), ("s", 20, 61), ("s", 99, 1000), ("t", 0, 9), ("s", 5, 5)])
+    got = {}
+    for x in ranges.locate(log, r).collect():
+        got.setdefault(x["range_start"], set()).add(x["offset"])
+    assert got == {0: set(range(25)), 25: {25}, 20: set(range(20, 61)), 99: {99}}
+
+
+def test_read_in_one_call(spark, tmp_path):
+    path = f"file://{tmp_path}/log"
+    rows = spark.range(30).select("id", F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("stream"))
+    publish.append_log(rows, path, order=["id"], bucket=F.lit(0))
+    top = spark.createDataFrame([("t", "s0"), ("t", "s2")], "superstream string, stream string")
+    assert read(spark, path, stream="s1", start="offset", start_offset=4).count() == 6
+    assert read(spark, path, superstream="t", topology=top, end="offset", end_offset=3).count() == 6
+    for bad in ({}, {"stream": "s0", "superstream": "t"}, {"superstream": "t"}):
+        with pytest.raises(ValueError):
+            read(spark, path, **bad)
+    with pytest.raises(ranges.DataLossError):
+        read(spark, path, stream="s9")
 
 
 def test_read_log(log, spark):
@@ -166,7 +217,9 @@ def test_times(spark):
     ms = F.col("ms")
     got = df.select(F.unix_micros(C.millis_to_ts(ms)), F.unix_micros(C.millis_to_ts_or_null(ms))).collect()
     assert [r[1] for r in got] == [None, None, 1000, 1_500_000, None, None]
-    assert [r[0] for r in got][:4] == [-1000, 0, 1000, 1_500_000] and got[4][0] == C.MAX_MILLIS * 1000
+    assert [r[0] for r in got][:4] == [-1000, 0, 1000, 1_500_000] and got[4][0] == (1 << 63) - 1 and got[5][0] is None
+    edge = spark.createDataFrame([(9223372036854775,), (9223372036854776,), (-9223372036854776,)], "ms long").select(F.unix_micros(C.millis_to_ts(ms)), F.unix_micros(C.millis_to_ts_or_null(ms)))
+    assert [tuple(r) for r in edge.collect()] == [(9223372036854775000, 9223372036854775000), ((1 << 63) - 1, None), (-(1 << 63), None)]
     us = spark.createDataFrame([(-1500,), (-500,), (500,), (1999,)], "us long")
     assert [r[0] for r in us.select(C.ts_to_millis(F.timestamp_micros("us"))).collect()] == [-1, 0, 0, 1]
 
@@ -255,7 +308,7 @@ def test_publishing_ids(spark):
     stored = spark.createDataFrame([("p", "s", 3)], "producer string, stream string, max_id long")
     rows = spark.createDataFrame([("p", "s", k, n) for n, k in enumerate([3, 4, 4, 5, 2])] + [("q", "s", 0, 9)], "producer string, stream string, publishing_id long, n long")
     assert sorted(r["n"] for r in publish.dedup_publish(rows, stored, order=["n"]).collect()) == [1, 3, 9]
-    found = {r["producer"]: r["violations"] for r in publish.check_publishing_ids(rows, order=["n"]).collect()}
+    found = {r["producer"]: r["violations"] for r in publish.check_publishing_ids(rows, order=["n"], bucket=F.floor(F.col("n") / 2)).collect()}
     assert found == {"p": 2, "q": 0}
     name = lambda **k: spark.range(1).select(publish.producer_name(**k)).collect()[0][0]
     assert name(base=F.lit("b"), partition=F.lit(1), query=F.lit("a/é 1"), epoch=F.lit(2)) == "b-qa_é_1-p1-e2"
