@@ -245,7 +245,7 @@ def test_pack(spark, window, monkeypatch):
     assert sorted(map(key, got)) == sorted(map(key, again)) and all(bytes(r["ids"]) == rows[r["doc_id"]][r["start"] : r["start"] + r["length"]].tobytes() for r in got)
     assert packing.pack(docs(spark, [], []), path, end_id=1).count() == 0
     twice = packing.pack(docs(spark, ["same text"] * 2 + [None], [4, 4, None]), path, end_id=1).collect()
-    assert sum(r["length"] for r in twice) == 3 + 3 + 1
+    assert sum(r["length"] for r in twice) == 3 + 3 + 1 and len({r["sequence_id"] for r in twice if r["doc_id"] == 4 and r["start"] == 0}) == 2
 
 
 def test_neighbours_share_windows():
@@ -254,7 +254,7 @@ def test_neighbours_share_windows():
     docs_ = [rng.integers(100 * (k % 4), 100 * (k % 4) + 100, 50).astype(np.uint32) for k in range(80)]
     df = np.bincount(np.concatenate([np.unique(d) for d in docs_]), minlength=400).astype(float)
     index = packing.ShardIndex(docs_, df, 80, 50.0)
-    full = [{d % 4 for d, _, _ in parts} for parts in packing.fill([50] * 80, index, 500)]
+    full = [{d % 4 for d, *_ in parts} for parts in packing.fill([50] * 80, index, 500)]
     assert sum(len(t) == 1 for t in full) >= 0.75 * len(full)
 
 
@@ -294,12 +294,74 @@ def test_windows_of_short_documents_are_related():
     docs_ = [np.arange(20, dtype=np.uint32) + 20 * (k % 4) for k in range(800)]
     df = np.full(80, 200.0)
     full = list(packing.fill([20] * 800, packing.ShardIndex(docs_, df, 800, 20.0), 2000))
-    assert all(len({d % 4 for d, _, _ in parts}) == 1 for parts in full)
+    assert all(len({d % 4 for d, *_ in parts}) == 1 for parts in full)
     wide = [np.arange(60, dtype=np.uint32), *(np.array([k], np.uint32) for k in range(60))]
     df = np.full(60, 2.0)
     assert (packing.ShardIndex(wide, df, 61, 2.0).scores(0, 61) > 0).all()
 
 
+def test_copies_part():
+    """Equal documents never share a window, also where nothing else is left; every id has its place."""
+    rng = np.random.default_rng(1)
+    docs_ = [rng.integers(0, 50, 30).astype(np.uint32) for _ in range(40)]
+    docs_ += [docs_[0]] * 25 + [docs_[k] for k in range(1, 20)]
+    twins = np.array([*range(40), *[0] * 25, *range(1, 20)])
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs_]), minlength=50).astype(float)
+    held = np.zeros(len(docs_), int)
+    for parts in packing.fill([30] * len(docs_), packing.ShardIndex(docs_, df, len(docs_), 30.0), 256, twins):
+        size = sum(p[2] for p in parts)
+        names = [int(twins[p[0]]) for p in parts]
+        assert len(set(names)) == len(names) and (size == 256 or size & (size - 1) == 0)
+        for d, at, length, _ in parts:
+            assert at == held[d]
+            held[d] += length
+    assert (held == 30).all()
+
+
+def test_windows_follow_plain_bm25(spark, monkeypatch):
+    """Over several shards: what follows a seed is, each time, a best-scoring unused document of its shard by BM25 over the whole corpus, computed plainly."""
+    monkeypatch.setattr(packing, "SHARD_IDS", 3000)
+    path, window = public_tokenizers.path("word_bpe_49k.json"), 256
+    texts = noisy(random.Random(8), 45, 2)
+    rows = [[*e.ids, 1] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    rests = [r[len(r) // window * window :] for r in rows]
+    some = [set(r) for r in rests if r]
+    idf = {t: np.log1p((len(some) - n + 0.5) / (n + 0.5)) for t in set().union(*some) for n in [sum(t in x for x in some)]}
+    mean = sum(map(len, rests)) / len(some)
+
+    def bm25(seed, d):
+        tf = {t: rests[d].count(t) for t in set(rests[seed]) & set(rests[d])}
+        return sum(idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(rests[d]) / mean)) for t, n in tf.items())
+
+    pieces = [r for r in packing.pack(docs(spark, texts), path, end_id=1, window=window).collect() if r["how"] != "whole"]
+    shards = {}
+    for r in pieces:
+        shards.setdefault(r["sequence_id"] >> 32, {}).setdefault(r["sequence_id"], []).append(r)
+    assert len(shards) >= 4
+    followed = 0
+    for windows in shards.values():
+        left = {}
+        for r in (r for w in windows.values() for r in w):
+            left[r["doc_id"]] = left.get(r["doc_id"], 0) + r["length"]
+        for w in (sorted(windows[k], key=lambda r: r["offset"]) for k in sorted(windows)):
+            query, room = [], window
+            for r in w:
+                if r["how"] == "seed":
+                    query.append(r["doc_id"])
+                elif r["how"] == "neighbour" and room >= r["length"] == left[r["doc_id"]]:  # whole: no better one would have fitted
+                    score = lambda d: sum(bm25(q, d) for q in query)  # noqa: E731, B023
+                    best = max((score(d) for d, n in left.items() if n and d not in [x["doc_id"] for x in w[: w.index(r)]] and n <= room), default=0)
+                    assert score(r["doc_id"]) >= best - 1e-3
+                    followed += 1
+                    if r["length"] * 16 >= window:
+                        query.append(r["doc_id"])
+                left[r["doc_id"]] -= r["length"]
+                room -= r["length"]
+    assert followed >= 20
+    report = {r["how"]: r for r in packing.packing_report(packing.pack(docs(spark, texts), path, end_id=1, window=window), window=window).collect()}
+    assert abs(sum(r["share"] for r in report.values()) - 1) < 1e-9 and report["neighbour"]["pieces"] == sum(r["how"] == "neighbour" for r in pieces)
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_agrees_with_sql(name, same):
     same(queries.queries()[name], queries.oracle_sql()[name])
