@@ -25,6 +25,8 @@ _RUNS = r"[\s\v\x1c-\x1f\x{85}\p{Z}]{2}|\x00"
 
 #: Between such a letter and such a stop there is always a cut; both are of fixed classes in every version of Unicode.
 _STOPS = ",.;:!?"
+#: The letters of Latin-1.
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _LETTER_STOP = rf"([A-Za-zÀ-ÖØ-öø-ÿ])([{_STOPS}]+)"
 
 
@@ -74,43 +76,44 @@ class PieceTable:
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def _plain(self, piece: str) -> str | None:
-        """The piece in the byte alphabet, lower-cased if the tokenizer does so; None if it isn't just letters of Latin-1."""
-        spaced = self.kind == "kept" and piece[:1] == " "
-        word = piece[1:] if spaced else piece
-        if not word.isalpha() or not (word.isascii() or max(word) <= "\xff"):
-            return None
-        if self.kind == "dropped":
-            word = word.lower()
-        if not word.isascii():
-            word = word.translate(self.alphabet)
-        return self.alphabet[32] + word if spaced else word
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        out: list[list[int] | None] = [None] * len(texts)
+    def _words(self, pieces: pa.Array) -> tuple[np.ndarray, list[str]]:
+        """Which pieces are just letters of Latin-1, and these in the byte alphabet, lower-cased if the tokenizer does so."""
+        kept = self.kind == "kept"
+        mask = pc.match_substring_regex(pieces, rf"^{' ?' if kept else ''}[{_LETTERS}]+$")
+        words = pieces.filter(mask)
+        words = pc.replace_substring(words, " ", self.alphabet[32]) if kept else pc.utf8_lower(words)
+        out = words.to_numpy(zero_copy_only=False)
+        for k in np.flatnonzero(~pc.string_is_ascii(pieces.filter(mask)).to_numpy(zero_copy_only=False)):
+            head = len(self.alphabet[32]) if kept and out[k].startswith(self.alphabet[32]) else 0
+            out[k] = out[k][:head] + out[k][head:].translate(self.alphabet)
+        return mask.to_numpy(zero_copy_only=False), out.tolist()
+
+    def _encode(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, all ids in order)."""
+        found: list = [None] * len(pieces)
+        rest = np.arange(len(pieces))
         if self.kind != "whole" and self.plain:
+            mask, words = self._words(pieces)
             tokenize = self.model.tokenize
-            for k, text in enumerate(texts):
-                word = self._plain(text)
-                if word is not None:
-                    out[k] = [t.id for t in tokenize(word)]
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, e in zip(rest, self.tokenizer.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False), strict=True):
-            out[k] = e.ids
-        return out
-
-    def _learn(self, pieces: list[str]) -> None:
+            for k, word in zip(np.flatnonzero(mask).tolist(), words, strict=True):
+                found[k] = [t.id for t in tokenize(word)]
+            rest = np.flatnonzero(~mask)
+        others = pieces.take(pa.array(rest)).to_pylist()
+        for k, e in zip(rest.tolist(), self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            found[k] = e.ids
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+
+    def _learn(self, pieces: pa.Array) -> None:
         for lo in range(0, len(pieces), 20_000):
-            some = pieces[lo : lo + 20_000]
-            found = self._encode(some)
+            some = pieces.slice(lo, 20_000)
+            sizes, flat = self._encode(some)
             first, n = len(self.at), len(some)
             while first + n > len(self.size):
                 self.size, self.start = (np.concatenate([x, np.zeros_like(x)]) for x in (self.size, self.start))
-            sizes = np.fromiter(map(len, found), np.int64, n)
             self.size[first : first + n] = sizes
-            self.at.update(zip(some, range(first, first + n), strict=True))
+            self.at.update(zip(some.to_numpy(zero_copy_only=False).tolist(), range(first, first + n), strict=True))
             if self.keep_ids:
-                flat = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
                 while self.used + len(flat) > len(self.ids):
                     self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
                 self.start[first : first + n] = self.used + np.cumsum(sizes) - sizes
@@ -146,7 +149,7 @@ class PieceTable:
                 self._clear()
                 new = np.arange(len(distinct))
             place[new] = np.arange(len(self.at), len(self.at) + len(new))
-            self._learn([distinct[k] for k in new])
+            self._learn(encoded.dictionary.take(pa.array(new)))
         return offsets, place[encoded.indices.to_numpy(zero_copy_only=False)]
 
     def _places(self, pieces: list[str]) -> np.ndarray:

@@ -20,13 +20,18 @@ _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np
 
 
 def tidy(run: Callable) -> Callable:
-    """A task's function that gives its memory back at the end: workers go on to other tasks, and those of a whole pipeline would add up."""
+    """A task's function that gives its memory back at the end: workers go on to other tasks, and those of a whole pipeline would add up.
+
+    What it holds isn't searched for cycles meanwhile: it makes none, and large tables of words would be walked over and over.
+    """
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
         try:
             yield from run(batches)
         finally:
+            gc.enable()
             gc.collect()
             pa.default_memory_pool().release_unused()
             try:
