@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -11,11 +12,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import materialise
+from ..shared import discard, materialise
 from .words import text_slices, tidy
 
-#: Bounds of the model: training rows of a language (about, by hash of their id), words kept of a language, and n-grams kept of a length.
-TRAIN_ROWS, WORDS, GRAMS = 3000, 20_000, 30_000
+#: Bounds of the training sample, of each language: about so many rows, and bytes of text. They bound the model, which keeps every word and n-gram of the sample.
+TRAIN_ROWS, TRAIN_BYTES = 3000, 10_000_000
 LONGEST = 5
 #: Distinct words whose scores a worker remembers, at most.
 REMEMBERED = 300_000
@@ -67,49 +68,68 @@ class Model:
         return out
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, item, length, n) for words (length 0) and n-grams, summed over a batch."""
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, n), summed over a batch."""
     for batch in batches:
-        total: dict[tuple[str, str, int], int] = {}
         for lang in pc.unique(batch.column("lang")).to_pylist():
             words = word_lists(batch.filter(pc.equal(batch.column("lang"), lang)).column("text"))[1]
-            for w, c in zip(*(x.to_pylist() for x in pc.value_counts(words).flatten()), strict=True):
-                total[lang, w, 0] = total.get((lang, w, 0), 0) + c
-                marked = f" {w} "
-                for n in range(1, min(LONGEST, len(marked)) + 1):
-                    for k in range(len(marked) - n + 1):
-                        key = (lang, marked[k : k + n], n)
-                        total[key] = total.get(key, 0) + c
+            word, n = pc.value_counts(words).flatten()
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(word), pa.string()), word.cast(pa.string()), n], names=["lang", "word", "n"])
+
+
+def _gram_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, length, item, n) of counted words: the n-grams of each word, once for each time that it occurs."""
+    for batch in batches:
+        total: dict[tuple[str, int, str], int] = {}
+        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            marked = f" {word} "
+            for length in range(1, min(LONGEST, len(marked)) + 1):
+                for k in range(len(marked) - length + 1):
+                    key = (lang, length, marked[k : k + length])
+                    total[key] = total.get(key, 0) + n
         keys = list(total)
-        columns = [pa.array([x[0] for x in keys], pa.string()), pa.array([x[1] for x in keys], pa.string()), pa.array([x[2] for x in keys], pa.int32()), pa.array([total[x] for x in keys], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["lang", "item", "length", "n"])
+        columns = [pa.array([x[0] for x in keys], pa.string()), pa.array([x[1] for x in keys], pa.int32()), pa.array([x[2] for x in keys], pa.string()), pa.array(list(total.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "length", "item", "n"])
 
 
-def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = TRAIN_ROWS) -> Model:
-    """Learns from at most about ``train_rows`` rows of each language, chosen by hash of the id; rows without text or language teach nothing.
+def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = TRAIN_ROWS, train_bytes: int = TRAIN_BYTES) -> Model:
+    """Learns from about ``train_rows`` rows and ``train_bytes`` bytes of text of each language, chosen by hash; rows without text or language teach nothing.
 
-    Without any labelled row the model knows no language and answers ``und``.
+    Every word and n-gram of these rows is kept. Labels are any texts, told apart by their code points. Without any labelled row the model knows no language
+    and answers ``und``.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
+    sizes = {r["lang"]: r for r in rows.groupBy("lang").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).collect()}  # one row a language
     langs = sorted(sizes)
     if not langs:
         return Model([])
-    share = F.create_map(*(x for lang in langs for x in (F.lit(lang), F.lit(int(min(1.0, train_rows / sizes[lang]) * (1 << 20))))))
-    counts = rows.where(F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 20)) < share[F.col("lang")]).mapInArrow(tidy(_counted), "lang string, item string, length int, n long")
-    counts = counts.groupBy("length", "item").pivot("lang", langs).agg(F.sum("n")).na.fill(0)
-    total = sum(F.col(f"`{x}`") for x in langs)
-    counts = materialise(counts.withColumn("total", total).where("total > 1"), "language-counts")
-    model, rows = Model(langs), []
-    sums = {r["length"]: np.array([r[x] for x in langs], float) for r in counts.groupBy("length").agg(*(F.sum(F.col(f"`{x}`")).alias(x) for x in langs)).collect()}
-    for length in range(LONGEST + 1):
-        kept = counts.where(F.col("length") == length).orderBy(F.desc("total"), "item").limit(WORDS * len(langs) if length == 0 else GRAMS).collect()
-        for r in kept:
-            seen = np.array([r[x] for x in langs], float)
-            (model.words if length == 0 else model.grams)[r["item"]] = len(rows)
-            rows.append(np.log((seen + 0.5) / (sums[length] + 0.5 * len(kept))))
-    prior = np.array([sizes[x] for x in langs], float)
-    model.table, model.prior = np.array(rows).reshape(-1, len(langs)), np.log(prior / prior.sum())
+    shares = {x: int(min(1.0, train_rows / r["rows"], train_bytes / max(1, r["bytes"])) * (1 << 20)) for x, r in sizes.items()}
+    share = F.create_map(*(x for lang in langs for x in (F.lit(lang), F.lit(shares[lang]))))
+    chosen = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < share[F.col("lang")]).select("lang", "text")
+    words = chosen.mapInArrow(tidy(_word_batches), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    words = materialise(words, "language-words")
+    grams = words.mapInArrow(tidy(_gram_batches), "lang string, length int, item string, n long").groupBy("lang", "length", "item").agg(F.sum("n").alias("n"))
+    counted = words.select("lang", F.lit(0).alias("length"), F.col("word").alias("item"), "n").unionByName(grams).toArrow()  # bounded by the sample
+    discard(words)
+    prior = np.array([sizes[x]["rows"] for x in langs], float)
+    return _model(langs, counted, np.log(prior / prior.sum()))
+
+
+def _model(langs: list[str], counted: pa.Table, prior: np.ndarray) -> Model:
+    """Log frequencies from (lang, length, item, n): of each length by itself, with half an observation more of every item."""
+    model, tables, first = Model(langs, prior=prior), [], 0
+    lang = pc.index_in(counted["lang"], pa.array(langs, pa.string())).to_numpy()
+    length, n = counted["length"].to_numpy(), counted["n"].to_numpy()
+    for k in range(LONGEST + 1):
+        of = np.flatnonzero(length == k)
+        encoded = counted["item"].take(pa.array(of)).combine_chunks().dictionary_encode()
+        items = encoded.dictionary.to_pylist()
+        seen = np.zeros((len(items), len(langs)))
+        seen[encoded.indices.to_numpy(), lang[of]] = n[of]
+        tables.append(np.log((seen + 0.5) / (seen.sum(0) + 0.5 * len(items))))
+        (model.grams if k else model.words).update(zip(items, range(first, first + len(items)), strict=True))
+        first += len(items)
+    model.table = np.concatenate(tables).reshape(-1, len(langs))
     return model
 
 
@@ -124,8 +144,9 @@ class Scorer:
         self.at: dict[str, int] = {}
         self.rows = np.zeros((1 << 12, len(self.model.langs) + 1))  # the last column tells whether the word has a letter
 
-    def _places(self, words: list[str]) -> np.ndarray:
-        place = np.fromiter((self.at.get(w, -1) for w in words), np.int64, len(words))
+    def _places(self, distinct: pa.Array) -> np.ndarray:
+        words = distinct.to_numpy(zero_copy_only=False).tolist()
+        place = np.fromiter(map(self.at.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(place < 0)
         if len(self.at) + len(new) > REMEMBERED:
             self._clear()
@@ -135,7 +156,7 @@ class Scorer:
             while first + len(new) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
             self.rows[first : first + len(new), :-1] = self.model.score(learned)
-            self.rows[first : first + len(new), -1] = [w.isalpha() or any(map(str.isalpha, w)) for w in learned]
+            self.rows[first : first + len(new), -1] = pc.match_substring_regex(distinct.take(pa.array(new)), r"\pL").to_numpy(zero_copy_only=False)
             place[new] = np.arange(first, first + len(new))
             self.at.update(zip(learned, place[new].tolist(), strict=True))
         return place
@@ -148,7 +169,7 @@ class Scorer:
         if not len(some) or not self.model.langs:
             return langs.tolist(), scores
         encoded = words.dictionary_encode()
-        place = self._places(encoded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        place = self._places(encoded.dictionary)
         sums = np.add.reduceat(self.rows[place[encoded.indices.to_numpy(zero_copy_only=False)]], offsets[some])
         total = sums[:, :-1] + self.model.prior
         best = total.argmax(1)
@@ -177,17 +198,22 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
 
 
 def accept(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: str = "lang", least: float = 0.5) -> DataFrame:
-    """``docs`` without rows that are ``und`` or score below ``least``; a null language becomes the predicted one, other columns stay as they are."""
+    """``docs`` without rows that are ``und`` or score below ``least``; a null language becomes the predicted one, other columns stay as they are, whatever their names."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    text_at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in (p for whole in batches for p in text_slices(whole, "text")):
-            langs, scores = scorer.predict(batch.column("text"))
-            keep = pa.array([x != UNKNOWN and y >= least for x, y in zip(langs, scores, strict=True)], pa.bool_())
-            at = batch.schema.get_field_index("lang")
-            filled = [a if a is not None else b for a, b in zip(batch.column("lang").to_pylist(), langs, strict=True)]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(filled, batch.schema.field(at).type)).filter(keep)
-
-    named = docs.withColumnsRenamed({text_col: "text", lang_col: "lang"})
-    return named.mapInArrow(tidy(run), named.schema).withColumnsRenamed({"text": text_col, "lang": lang_col})
+        for whole in batches:
+            named = pa.RecordBatch.from_arrays([whole.column(text_at)], names=["text"])
+            start = 0
+            for part in text_slices(named, "text"):
+                batch = whole.slice(start, part.num_rows)
+                start += part.num_rows
+                langs, scores = scorer.predict(part.column("text"))
+                keep = pa.array([x != UNKNOWN and y >= least for x, y in zip(langs, scores, strict=True)], pa.bool_())
+                filled = [a if a is not None else b for a, b in zip(batch.column(lang_at).to_pylist(), langs, strict=True)]
+                field = batch.schema.field(lang_at)
+                yield batch.set_column(lang_at, field, pa.array(filled, field.type)).filter(keep)
+
+    return docs.mapInArrow(tidy(run), docs.schema)

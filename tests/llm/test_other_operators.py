@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from streamlog.llm import chat_format, language_id, matroska, mixing, neighbours
@@ -174,6 +175,72 @@ def test_language_model(spark, data):
     assert kept.count() == docs.count() and kept.columns == docs.columns
 
 
+def plain_words(text):
+    return regex.findall(r"[\p{L}\p{M}]+", (text or "").lower())
+
+
+def plain_model(rows):
+    """Counts of every word (length 0) and n-gram by language -> log frequencies."""
+    langs = sorted({y for _, y in rows if y is not None})
+    counts = {k: {} for k in range(6)}
+    for text, lang in rows:
+        if text is None or lang is None:
+            continue
+        for w in plain_words(text):
+            items = [(0, w)] + [(n, f" {w} "[k : k + n]) for n in range(1, 6) for k in range(len(w) + 3 - n)]
+            for n, item in items:
+                counts[n].setdefault(item, dict.fromkeys(langs, 0))[lang] += 1
+    totals = {n: {x: sum(c[x] for c in own.values()) for x in langs} for n, own in counts.items()}
+    return langs, {(n, i): [math.log((c[x] + 0.5) / (totals[n][x] + 0.5 * len(own))) for x in langs] for n, own in counts.items() for i, c in own.items()}
+
+
+def test_language_fit_and_predict_plainly(spark):
+    """Labels are data: any text, also such that differ in case or look like names of columns."""
+    labels, rng = ["en", "EN", "length", "total", "", "item", "a`b"], random.Random(4)
+    stems = {x: ["".join(rng.choice("abcdeéñ") for _ in range(rng.randint(1, 7))) for _ in range(12)] for x in labels}
+    rows = [(k, " ".join(rng.choice(stems[x]) + rng.choice(["", ",", " 12", "\u0301"]) for _ in range(rng.randint(0, 15))), x, 1, "w") for k in range(90) for x in [rng.choice(labels)]]
+    rows += [(200, None, "en", 1, "w"), (None, "abc", None, 1, "w"), (201, "once", "total", 1, "w"), (201, "once", "total", 1, "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n long, word string")
+    model = language_id.fit(df)
+    langs, table = plain_model([r[1:3] for r in rows])
+    assert model.langs == langs and len(model.words) + len(model.grams) == len(table)
+    for (n, item), want in table.items():
+        assert np.allclose(model.table[(model.grams if n else model.words)[item]], want)
+    taught = [r for r in rows if r[1] is not None and r[2] is not None]
+    prior = [math.log(sum(r[2] == x for r in taught) / len(taught)) for x in langs]
+
+    def plain(text):
+        total = np.array(prior)
+        for w in plain_words(text):
+            marked = f" {w} "
+            if (0, w) in table:
+                total = total + table[0, w]
+                continue
+            for n in range(min(5, len(marked)), 0, -1):
+                if hits := [table[n, marked[k : k + n]] for k in range(len(marked) - n + 1) if (n, marked[k : k + n]) in table]:
+                    total = total + np.mean(hits, axis=0)
+                    break
+        share = np.exp(total - total.max())
+        return (langs[int(total.argmax())], float((share / share.sum()).max())) if any(regex.search(r"\p{L}", w) for w in plain_words(text)) else ("und", 0.0)
+
+    asked = [r[1] for r in rows] + ["zzz", "abcé unheard", "\u0301", "ÉÑ abq"]
+    got = {r["doc_id"]: r for r in language_id.predict(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
+    for k, text in enumerate(asked):
+        lang, score = plain(text)
+        assert got[k]["lang_pred"] == lang and abs(got[k]["score"] - score) < 1e-9
+    clash = df.withColumnsRenamed({"text": "body", "word": "text"})
+    kept = language_id.accept(clash, model, text_col="body", least=0.0)
+    assert kept.columns == clash.columns and set(kept.select("text").distinct().collect()[0]) == {"w"} and kept.where("lang is null").count() == 0
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(k, f"word{k % 7} " * 50, "a") for k in range(2000)] + [(k, "autre mot", "b") for k in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df, train_rows=100)
+    assert language_id.predict(df, model).where("lang_pred = 'b'").count() == 10
+    assert len(language_id.fit(df, train_bytes=1).words) < len(model.words)
+
+
 def test_backoff(monkeypatch):
     table = np.array([[-1.0, -9.0], [-2.0, -3.0], [-8.0, -4.0], [-1.0, -2.0], [-3.0, -1.0]])
     m = language_id.Model(["a", "b"], {"known": 0}, {"un": 1, " unse": 2, "n ": 3, "xz": 4}, table, np.zeros(2))
