@@ -2,20 +2,24 @@
 
 The rules find assignments, access keys and long hex runs. The models - one of random strings, one of ordinary identifiers - are trained from labelled
 samples of the corpus itself: the values that the rules found, and the other words. A run of key characters that the rules left alone is a
-secret when the mean ratio per character is above a threshold.
+secret when its log-likelihood ratio is above a threshold, which labelled words set that the models were not trained on.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import tidy
+from ..shared import discard, materialise
+from .words import text_slices, tidy
 
 #: The rules, their order, and the least length of what they match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -24,11 +28,14 @@ HEX_LONG = re.compile(r"[0-9a-f]{24,}")  # whole runs of [0-9a-f]+, without the
 KINDS = ("assign", "access", "hex", "markov")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-#: What the models look at: runs of key characters of MARKOV_LEAST or more with both a digit and a letter.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-MARKOV_LEAST = 20
-#: Nats per character by which the random model must win, and the bound on training samples of either label.
-RATIO, SAMPLES = 1.5, 20_000
+#: What the models look at: every run of so many key characters, whatever its shape.
+MARKOV_LEAST = 8
+_KEY = "A-Za-z0-9+/_=-"
+CANDIDATE = re.compile(rf"[{_KEY}]{{{MARKOV_LEAST},}}")
+#: How rare a secret is taken to be among such runs: the ratio must outweigh it. Every HELD-th labelled word is held out of training and may only raise the threshold.
+RARITY, HELD = 1e6, 5
+#: Bounds of the training sample: documents, words of either label, and characters of a word (longer ones teach nothing).
+TRAIN_DOCS, SAMPLES, LONGEST_WORD = 20_000, 20_000, 1000
 #: How many observations the character frequencies weigh against those of a context.
 BACKOFF = 20.0
 
@@ -66,14 +73,41 @@ def train(words: list[str]) -> np.ndarray:
     return np.log((counts + BACKOFF * alone / alone.sum()) / (counts.sum(1, keepdims=True) + BACKOFF))
 
 
-def ratio(models: np.ndarray, word: str) -> float:
-    """Mean log-likelihood ratio per character, random against ordinary."""
-    c = _codes(word)
-    return float(models[np.concatenate([[_N], c[:-1]]), c].mean()) if len(c) else 0.0
+@dataclass
+class Models:
+    """``table`` holds the log-likelihood ratio, random against ordinary, of every character after every other (the last row: at the start)."""
+
+    table: np.ndarray
+    least: float
+
+    def ratios(self, words: pa.Array) -> np.ndarray:
+        """Log-likelihood ratio of each word."""
+        words = words.cast(pa.large_string())
+        _, offsets, data = words.buffers()
+        at = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+        c = _INDEX[np.minimum(np.frombuffer(data, np.uint8)[at[0] : at[-1]], 127)] if data else np.empty(0, np.int64)
+        before = np.concatenate([[_N], c[:-1]])
+        sizes = np.diff(at)
+        before[(at[:-1] - at[0])[sizes > 0]] = _N
+        total = np.concatenate([[0.0], np.cumsum(self.table[before, c])]) if len(c) else np.zeros(1)
+        return total[at[1:] - at[0]] - total[at[:-1] - at[0]]
+
+    def suspects(self, text: pa.Array) -> np.ndarray:
+        """Which texts hold a run that looks random, found over all distinct runs at once."""
+        lists = pc.split_pattern_regex(pc.fill_null(text.cast(pa.large_string()), ""), rf"[^{_KEY}]+")
+        runs = lists.flatten()
+        row = np.repeat(np.arange(len(text)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        long = pc.greater_equal(pc.binary_length(runs), MARKOV_LEAST)
+        encoded = runs.filter(long).dictionary_encode()
+        out = np.zeros(len(text), bool)
+        if len(encoded.dictionary):
+            random_like = self.ratios(encoded.dictionary) > self.least
+            out[row[long.to_numpy(zero_copy_only=False)][random_like[encoded.indices.to_numpy()]]] = True
+        return out
 
 
 def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Labelled words: 1, a value that a rule found; 0, a word outside all matches."""
+    """Labelled words: 1, a value that a rule found; 0, a run of key characters outside all matches."""
     for batch in batches:
         found: dict[tuple[str, int], None] = {}
         for text in batch.column("text").to_pylist():
@@ -81,12 +115,13 @@ def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 continue
             at = 0
             for a, b, kind in [*base_spans(text), (len(text), len(text), -1)]:
-                for w in re.findall(r"[A-Za-z]{3,}", text[at : max(at, a)]):
-                    found[w[:64], 0] = None
+                for w in re.findall(rf"[{_KEY}]{{3,}}", text[at : max(at, a)]):
+                    found[w, 0] = None
                 at = max(at, b)
                 if kind >= 0:
-                    found[(ASSIGN.match(text, a)[2] if kind == 0 else text[a:b])[:64], 1] = None
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.string()), pa.array([y for _, y in found], pa.int32())], names=["word", "label"])
+                    found[ASSIGN.match(text, a)[2] if kind == 0 else text[a:b], 1] = None
+        kept = [(w, y) for w, y in found if len(w) <= LONGEST_WORD]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([y for _, y in kept], pa.int32())], names=["word", "label"])
 
 
 def _identifiers(words: list[str], rng: np.random.Generator) -> list[str]:
@@ -99,46 +134,62 @@ def _identifiers(words: list[str], rng: np.random.Generator) -> list[str]:
     return out
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_docs: int = 20_000, samples: int = SAMPLES, seed: int = 7) -> np.ndarray:
-    """The log-likelihood-ratio table, from labelled samples: about ``train_docs`` whole documents by hash of their id, ``samples`` words of either label.
+def _random_strings(n: int, rng: np.random.Generator) -> list[str]:
+    """Seeded strings over the alphabets that keys are made of, of 8 to 48 characters."""
+    letters = _CLASSES[:52]
+    alphabets = [np.array(list(a)) for a in (letters[:26] + _CLASSES[52:62], letters + _CLASSES[52:62], _CLASSES[:64], letters[26:] + _CLASSES[52:62], letters)]
+    return ["".join(rng.choice(alphabets[k % len(alphabets)], rng.integers(8, 49))) for k in range(n)]
+
+
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, samples: int = SAMPLES, rarity: float = RARITY, seed: int = 7) -> Models:
+    """Both models and their threshold, from labelled samples: about ``train_docs`` whole documents by hash of their id, ``samples`` words of either label.
 
     Rule-found values are few in clean text, so seeded random strings over the key alphabet join that label; ordinary words are also put together
-    as identifiers. An empty table leaves the random strings and a few plain words, so a scan is always defined.
+    as identifiers. A word counts as random where the ratio outweighs ``rarity`` and that of every held-out ordinary word. An empty table leaves the random
+    strings and a few plain words, so a scan is always defined.
     """
     total = docs.count()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     if total > train_docs:
         rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * train_docs / total))
-    words = rows.mapInArrow(tidy(_sample_batches), "word string, label int").distinct()
-    take = lambda y: sorted(r[0] for r in words.where(F.col("label") == y).orderBy(F.xxhash64("word"), "word").limit(samples).select("word").collect())
+    words = materialise(rows.mapInArrow(tidy(_sample_batches), "word string, label int").distinct(), "secret-words")
+    take = lambda y: [r[0] for r in words.where(F.col("label") == y).orderBy(F.xxhash64("word"), "word").limit(samples).select("word").collect()]
     random_like, plain = take(1), take(0) or ["plain", "words", "only"]
+    discard(words)
     rng = np.random.default_rng(seed)
-    alphabet = np.array(list(_CLASSES[:64]))
-    random_like += ["".join(alphabet[rng.integers(0, k, 32)]) for k in (36, 62, 64) for _ in range(2000)]
-    return train(random_like) - train([*plain, *_identifiers(plain, rng)])
-
-
-def markov_spans(text: str, base: list[tuple[int, int, int]], models: np.ndarray, least: float = RATIO) -> list[tuple[int, int, int]]:
-    """Candidates that touch no base span, hold a letter and a digit, and look random to the models."""
-    out = []
-    for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        word = m[0]
-        if any(x < b and a < y for x, y, _ in base) or not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
-            continue
-        if ratio(models, word) > least:
+    random_like += _random_strings(6000, rng)
+    alphabetic = [w for w in plain if w.isalpha()] or ["plain", "words", "only"]
+    ordinary = [w for pair in zip_longest(plain, _identifiers(alphabetic, rng)) for w in pair if w]
+    trained, held = [w for k, w in enumerate(ordinary) if k % HELD], ordinary[::HELD]
+    models = Models(train([w for k, w in enumerate(random_like) if k % HELD]) - train(trained or ordinary), 0.0)
+    held = [w for w in held if len(w) >= MARKOV_LEAST]
+    models.least = max(float(np.log(rarity)), float(models.ratios(pa.array(held, pa.string())).max(initial=0.0)))
+    return models
+
+
+def markov_spans(text: str, base: list[tuple[int, int, int]], models: Models) -> list[tuple[int, int, int]]:
+    """Candidates that touch no base span and look random to the models."""
+    found = [m.span() for m in CANDIDATE.finditer(text)]
+    if not found:
+        return []
+    ratios = models.ratios(pa.array([text[a:b] for a, b in found], pa.string()))
+    out, at, reach = [], 0, 0
+    for (a, b), r in zip(found, ratios, strict=True):
+        while at < len(base) and base[at][0] < b:  # both go by start: reach is where base spans that begin before b end
+            reach = max(reach, base[at][1])
+            at += 1
+        if r > models.least and reach <= a:
             out.append((a, b, 3))
     return out
 
 
-def all_spans(text: str | None, models: np.ndarray) -> list[tuple[int, int, int]]:
-    if not text:
-        return []
-    base = base_spans(text)
-    return sorted(base + markov_spans(text, base, models), key=lambda s: (s[0], s[2]))
+def _all_spans(texts: pa.Array, models: Models) -> Iterator[tuple[str | None, list[tuple[int, int, int]]]]:
+    for text, suspect in zip(texts.to_pylist(), models.suspects(texts).tolist(), strict=True):
+        base = base_spans(text) if text else []
+        yield text, sorted(base + markov_spans(text, base, models), key=lambda s: (s[0], s[2])) if suspect else base
 
 
-def scan(docs: DataFrame, models: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, models: Models, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans): ``spans`` is an array of (kind, start, end) by start, then kind; code points, end exclusive.
 
     One row for each row of ``docs``; a null or empty text has no spans. Base spans of different kinds may overlap; markov spans touch none.
@@ -146,35 +197,36 @@ def scan(docs: DataFrame, models: np.ndarray, *, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-        for batch in batches:
-            spans = [[{"kind": KINDS[k], "start": a, "end": b} for a, b, k in all_spans(t.as_py(), models)] for t in batch.column("text")]
+        for batch in (p for whole in batches for p in text_slices(whole, "text")):
+            spans = [[{"kind": KINDS[k], "start": a, "end": b} for a, b, k in found] for _, found in _all_spans(batch.column("text"), models)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(spans, pa.list_(kind))], names=["id", "spans"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(tidy(run), "id long, spans array<struct<kind:string,start:long,end:long>>").withColumnRenamed("id", id_col)
 
 
-def redact(docs: DataFrame, models: np.ndarray, *, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every secret span replaced by ``mark``; overlapping spans are one. Rows without secrets and other columns stay as they are."""
+def redact(docs: DataFrame, models: Models, *, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
+    """``docs`` with every secret span replaced by ``mark``; overlapping spans are one. Rows without secrets and other columns, whatever their names, stay as they are."""
+    at = docs.columns.index(text_col)
 
-    def clean(text: str | None) -> str | None:
-        spans = all_spans(text, models)
+    def clean(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
         if not spans:
             return text
-        out, at = [], 0
+        out, done = [], 0
         for a, b, _ in spans:
-            if a >= at:
-                out += [text[at:a], mark]
-            at = max(at, b)
-        return "".join([*out, text[at:]])
+            if a >= done:
+                out += [text[done:a], mark]
+            done = max(done, b)
+        return "".join([*out, text[done:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([clean(t.as_py()) for t in batch.column("text")], batch.schema.field("text").type)
-            yield batch.set_column(batch.schema.get_field_index("text"), "text", texts)
+            texts = pa.RecordBatch.from_arrays([batch.column(at).cast(pa.string())], names=["text"])
+            cleaned = [clean(*x) for part in text_slices(texts, "text") for x in _all_spans(part.column("text"), models)]
+            field = batch.schema.field(at)
+            yield batch.set_column(at, field, pa.array(cleaned, field.type))
 
-    named = docs.withColumnRenamed(text_col, "text")
-    return named.mapInArrow(tidy(run), named.schema).withColumnRenamed("text", text_col)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def secret_digests(spans: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
