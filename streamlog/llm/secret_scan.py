@@ -33,7 +33,7 @@ MARKOV_LEAST = 8
 _KEY = "A-Za-z0-9+/_=-"
 CANDIDATE = re.compile(rf"[{_KEY}]{{{MARKOV_LEAST},}}")
 #: How rare a secret is taken to be among such runs: the ratio must outweigh it. Every HELD-th labelled word is held out of training and may only raise the threshold.
-RARITY, HELD = 1e6, 5
+RARITY, HELD = 1e9, 5
 #: Bounds of the training sample: documents, words of either label, and characters of a word (longer ones teach nothing).
 TRAIN_DOCS, SAMPLES, LONGEST_WORD = 20_000, 20_000, 1000
 #: How many observations the character frequencies weigh against those of a context.
@@ -144,8 +144,8 @@ def _random_strings(n: int, rng: np.random.Generator) -> list[str]:
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, samples: int = SAMPLES, rarity: float = RARITY, seed: int = 7) -> Models:
     """Both models and their threshold, from labelled samples: about ``train_docs`` whole documents by hash of their id, ``samples`` words of either label.
 
-    Rule-found values are few in clean text, so seeded random strings over the key alphabet join that label; ordinary words are also put together
-    as identifiers. A word counts as random where the ratio outweighs ``rarity`` and that of every held-out ordinary word. An empty table leaves the random
+    Rule-found values are few in clean text, so seeded random strings over the key alphabet join that label; ordinary words also stand in capitals and are put
+    together as identifiers. A word counts as random where the ratio outweighs ``rarity`` and that of every held-out ordinary word. An empty table leaves the random
     strings and a few plain words, so a scan is always defined.
     """
     total = docs.count()
@@ -159,7 +159,8 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trai
     rng = np.random.default_rng(seed)
     random_like += _random_strings(6000, rng)
     alphabetic = [w for w in plain if w.isalpha()] or ["plain", "words", "only"]
-    ordinary = [w for pair in zip_longest(plain, _identifiers(alphabetic, rng)) for w in pair if w]
+    shouted = [w.upper() for w in alphabetic]
+    ordinary = [w for some in zip_longest(plain, shouted, _identifiers(alphabetic, rng)) for w in some if w]
     trained, held = [w for k, w in enumerate(ordinary) if k % HELD], ordinary[::HELD]
     models = Models(train([w for k, w in enumerate(random_like) if k % HELD]) - train(trained or ordinary), 0.0)
     held = [w for w in held if len(w) >= MARKOV_LEAST]
