@@ -5,36 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import materialise
+from ..shared import discard, materialise
+
+
+def _clean(edges: DataFrame) -> DataFrame:
+    return materialise(edges.where("a <> b").distinct(), "links")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    lowest = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "lowest")
+    out = _clean(both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+    discard(lowest)
+    return out
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    lowest = down.groupBy("a").agg(F.min("b").alias("m"))
+    lowest = materialise(down.groupBy("a").agg(F.min("b").alias("m")), "lowest")
     moved = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(lowest.select("a", F.col("m").alias("b")))
+    out = _clean(moved.union(lowest.select("a", F.col("m").alias("b"))))
+    discard(lowest)
+    return out
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(a, b) links between longs -> (node, component): each linked node and the smallest node it reaches.
 
-    Every round is a few keyed shuffles over a table no larger than the input; nothing reaches the driver but a count and a checksum.
-    Rounds end when the table stops changing, after about log2 of the longest chain. No links give no rows.
+    Every round is a few keyed shuffles over a table no larger than the input; nothing reaches the driver but a count and a checksum. A node's lowest neighbour is
+    a table of its own before it is joined back, so that Spark can split the links of a node that a large cluster hangs on. Rounds end when the
+    table stops changing, after about log2 of the longest chain. No links give no rows.
     """
-    clean = lambda df: df.where("a <> b").distinct()
     mark = F.struct(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).cast("string"))
-    current = materialise(clean(edges.select("a", "b")), "links")
+    current = _clean(edges.select("a", "b"))
     seen = current.agg(mark).first()[0]
     for _ in range(rounds):
         if seen[0] == 0:
             break
-        current = materialise(clean(_small_star(clean(_large_star(current)))), "links")
+        large = _large_star(current)
+        discard(current)
+        current = _small_star(large)
+        discard(large)
         before, seen = seen, current.agg(mark).first()[0]
         if before == seen:
             break

@@ -9,6 +9,10 @@
 4. An opened pair first bounds every set by its overlap with the other block's whole token union, then intersects the sets that pass.
 5. A pair of blocks gives a spanning set of its links; connected components join them.
 
+A group of many blocks, as a large cluster of near copies makes, is first linked along a tree of its blocks. Blocks that this joins into one component stand in the
+matrix as one part: they are never compared with each other again. What meets a part is opened with the block of it that shares most; its other blocks follow only
+where that left sets apart. So a cluster of near copies costs about as many pairs as it has blocks.
+
 The order in 3 comes from counts of frequent tokens over all texts. Any order keeps the result exact: the counts only keep
 passages that many texts share out of the matrix.
 """
@@ -20,16 +24,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .components import components
-from ..shared import forget, materialise
+from ..shared import discard, forget, materialise
 from .words import mix, shingle_sets, text_slices, tidy
 
 #: Keys of a set, and min-hashes in a key.
 KEYS, KEY_WIDTH = 8, 5
 #: Sets and tokens of a block, on average at most; bounds what one task holds.
 BLOCK_SETS, BLOCK_TOKENS = 512, 1 << 17
+#: Children of a block in its group's tree, and pairs that travel with one copy of a text.
+FANOUT, PAIRS = 8, 64
 #: A token counts as frequent if one run of about WINDOW tokens has it LOCAL times; at most FREQUENT of them order the matrix.
 WINDOW, LOCAL, FREQUENT = 4 << 20, 4, 1 << 20
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -254,45 +261,110 @@ def _frequent_tokens(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _place(rows: DataFrame) -> DataFrame:
-    """Classes of equal sets, then groups of similar classes, then blocks of bounded size: (set_id, node, n, block) and the block's size, least and most n."""
+    """Classes of equal sets, then groups of similar classes, then blocks of bounded size: (set_id, node, n, group, at, block), with the block's size, least and most n.
+
+    ``at`` is a block's number in its group. Counts by key are tables of their own before they are joined back, so that Spark can split the rows of a hot key.
+    """
     sets = rows.where("n > 0").groupBy("set_id").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")).where("node is not null")
+    sets = materialise(sets, "sets")
     keyed = sets.select("set_id", F.explode("keys").alias("key"))
-    popular = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    popular = materialise(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "keys")
     chosen = keyed.join(popular, "key").groupBy("set_id").agg(F.max(F.struct("size", "key"))["key"].alias("key"))
-    grouped = sets.drop("keys").join(chosen, "set_id", "left").withColumn("key", F.coalesce("key", "set_id"))
-    extent = grouped.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_TOKENS)).alias("blocks"))
-    placed = grouped.join(extent, "key").withColumn("block", F.xxhash64("key", F.pmod(F.xxhash64("set_id"), "blocks")))
+    grouped = materialise(sets.drop("keys").join(chosen, "set_id", "left").withColumn("group", F.coalesce("key", "set_id")).drop("key"), "groups")
+    wide = grouped.groupBy("group").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_TOKENS)).alias("blocks")).where("blocks > 1")
+    wide = materialise(wide, "wide")
+    placed = grouped.join(wide, "group", "left").withColumn("at", F.pmod(F.xxhash64("set_id"), F.coalesce("blocks", F.lit(1)))).withColumn("block", F.xxhash64("group", "at"))
     blocks = placed.groupBy("block").agg(F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most"))
-    return materialise(placed.select("set_id", "node", "n", "block").join(blocks, "block"), "blocks")
+    out = materialise(placed.select("set_id", "node", "n", "group", "at", "block", F.col("blocks").isNotNull().alias("wide")).join(blocks, "block"), "blocks")
+    for table in (sets, popular, grouped, wide):
+        discard(table)
+    return out
+
+
+def _tree(placed: DataFrame) -> DataFrame:
+    """(g1, g2): every block of a wide group with itself and with its parent in the group's tree. Blocks without sets are no places in it."""
+    there = placed.where("wide").select("group", "at", "block").distinct()
+    at = F.row_number().over(W.partitionBy("group").orderBy("at")) - 1  # one row a block
+    there = there.withColumn("at", at).withColumn("parent", F.floor((F.col("at") - 1) / FANOUT))
+    up = there.select("group", F.col("at").alias("parent"), F.col("block").alias("above"))
+    met = there.where("at > 0").join(up, ["group", "parent"]).select(F.least("block", "above").alias("g1"), F.greatest("block", "above").alias("g2"))
+    return met.union(there.select(F.col("block").alias("g1"), F.col("block").alias("g2")))
 
 
-def _pairs(texts: DataFrame, placed: DataFrame, order, width: int, num: int, den: int) -> DataFrame:
-    """(g1, g2): pairs of blocks to open, each multi-set block with itself among them."""
-    # Each block's token union, then the matrix: (token, block), with the sizes of the block's sets in one number.
+def _whole(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """(block, part): blocks whose sets the links have joined into one component, and that component."""
+    part = F.coalesce("component", "node")
+    each = placed.select("block", "node").join(components(links), "node", "left").groupBy("block").agg(F.min(part).alias("part"), F.max(part).alias("last"))
+    return materialise(each.where("part = last").select("block", F.xxhash64(F.lit("part"), "part").alias("part")), "whole")
+
+
+def _pairs(texts: DataFrame, placed: DataFrame, joined: DataFrame | None, order, width: int, num: int, den: int) -> DataFrame:
+    """(g1, g2, late): pairs of blocks to open, each multi-set block with itself among them but for what the tree has opened.
+
+    ``joined`` blocks of one component are one row a token of the matrix. What such a part meets is then looked up in its blocks one by one; all but the block that
+    shares most are ``late``.
+    """
+    # Each block's token union, then the matrix: (token, part), with the sizes of the part's sets in one number.
     prefixes = texts.mapInArrow(tidy(_prefixes(width, num, den, order)), "set_id long, prefix array<long>")
     held = prefixes.join(placed.select("set_id", "block"), "set_id")
     unions = held.groupBy("block").agg(F.array_distinct(F.flatten(F.collect_list("prefix"))).alias("tokens"))
-    sizes = placed.select("block", "least", "most").distinct().select("block", (F.shiftleft("least", 32) + F.col("most")).alias("sizes"))
-    matrix = unions.join(sizes, "block").select(F.explode("tokens").alias("token"), "block", "sizes")
+    blocks = placed.select("block", "least", "most").distinct()
+    unions = unions.join(blocks, "block")
+    if joined is not None:
+        unions = materialise(unions.join(joined, "block", "left"), "unions")
+        parts = unions.where("part is not null").groupBy("part").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        alone = unions.where("part is null").select(F.explode("tokens").alias("token"), "block", "least", "most")
+        inside = unions.where("part is not null").select(F.explode("tokens").alias("token"), "block", "part")
+        together = inside.select("token", "part").distinct().join(parts, "part").select("token", F.col("part").alias("block"), "least", "most")
+        matrix = alone.union(together)
+    else:
+        matrix = unions.select(F.explode("tokens").alias("token"), "block", "least", "most")
+    matrix = matrix.select("token", "block", (F.shiftleft("least", 32) + F.col("most")).alias("sizes"))
     least, most = (lambda side: F.shiftright(f"{side}.sizes", 32)), (lambda side: F.col(f"{side}.sizes").bitwiseAND(F.lit((1 << 32) - 1)))
     fits = (F.col("x.block") < F.col("y.block")) & (most("x") * den >= least("y") * num) & (most("y") * den >= least("x") * num)
     met = matrix.alias("x").join(matrix.alias("y"), (F.col("x.token") == F.col("y.token")) & fits)  # one exchange serves both sides
     met = met.select(F.col("x.block").alias("g1"), F.col("y.block").alias("g2"), F.least(least("x"), least("y")).alias("least"))
-    cross = met.groupBy("g1", "g2", "least").agg(F.count("*").alias("shared")).where(F.col("shared") >= F.floor(1 + F.col("least") / 16)).select("g1", "g2")
-    own = placed.where("size > 1").select(F.col("block").alias("g1"), F.col("block").alias("g2")).distinct()
-    return materialise(cross.union(own), "pairs")
+    enough = F.col("shared") >= F.floor(1 + F.col("least") / 16)
+    cross = met.groupBy("g1", "g2", "least").agg(F.count("*").alias("shared")).where(enough).select("g1", "g2", "least")
+    own = placed.where("size > 1 and not wide").select(F.col("block").alias("g1"), F.col("block").alias("g2")).distinct()
+    if joined is None:
+        return materialise(cross.select("g1", "g2").union(own).withColumn("late", F.lit(False)), "pairs")
+    cross = materialise(cross, "part-pairs")
+    members = materialise(unions.where("part is not null").select("part", "block"), "part-blocks")
+    known = members.select("part").distinct()
+    # A part on either side: which of its blocks share enough with the whole other side.
+    sides = cross.select(F.col("g1").alias("part"), F.col("g2").alias("other"), "least").union(cross.select(F.col("g2").alias("part"), F.col("g1").alias("other"), "least")).join(known, "part", "left_semi")
+    theirs = sides.join(matrix.select(F.col("block").alias("other"), "token"), "other")
+    hits = inside.join(theirs, ["part", "token"]).groupBy("part", "other", "block", "least").agg(F.count("*").alias("shared")).where(enough)
+    hits = materialise(hits.select("part", "other", "block", "shared"), "part-hits")
+    best = hits.groupBy("part", "other").agg(F.max_by("block", F.struct("shared", "block")).alias("best"))
+    hits = hits.join(best, ["part", "other"]).select("part", "other", "block", (F.col("block") != F.col("best")).alias("late"))
+    plain = cross.join(known.withColumnRenamed("part", "g1"), "g1", "left_anti").join(known.withColumnRenamed("part", "g2"), "g2", "left_anti").select("g1", "g2", F.lit(False).alias("late"))
+    mixed = hits.join(known.withColumnRenamed("part", "other"), "other", "left_anti").select(F.least("block", "other").alias("g1"), F.greatest("block", "other").alias("g2"), "late")
+    across = hits.alias("x").join(hits.alias("y"), (F.col("x.part") == F.col("y.other")) & (F.col("x.other") == F.col("y.part")) & (F.col("x.part") < F.col("y.part")))
+    across = across.select(F.least("x.block", "y.block").alias("g1"), F.greatest("x.block", "y.block").alias("g2"), (F.col("x.late") | F.col("y.late")).alias("late"))
+    return materialise(plain.union(mixed).union(across).union(own.withColumn("late", F.lit(False))), "pairs")
+
+
+def _apart(pairs: DataFrame, whole: DataFrame) -> DataFrame:
+    """The late pairs whose blocks aren't one component by now."""
+    x, y = (whole.select(F.col("block").alias(g), F.col("part").alias(f"part_{g}")) for g in ("g1", "g2"))
+    late = pairs.where("late").join(x, "g1", "left").join(y, "g2", "left")
+    return materialise(late.where(~F.coalesce(F.col("part_g1") == F.col("part_g2"), F.lit(False))).select("g1", "g2"), "late-pairs")
 
 
 def _link(texts: DataFrame, placed: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(node, component) of the linked nodes: opens the pairs and joins their links."""
-    # Token sets of the blocks to open only, dealt to the pairs of their block.
-    sides = pairs.select(F.explode(F.array_distinct(F.array("g1", "g2"))).alias("block"), F.struct("g1", "g2").alias("pair")).groupBy("block").agg(F.collect_list("pair").alias("pairs"))
+    """(a, b): links that span what the opened pairs hold."""
+    # Token sets of the blocks to open only, dealt to the pairs of their block; a block of many pairs sends several copies, each with few of them.
+    ends = pairs.select(F.explode(F.array_distinct(F.array("g1", "g2"))).alias("block"), F.struct("g1", "g2").alias("pair"))
+    many = materialise(ends.groupBy("block").agg(F.ceil(F.count("*") / PAIRS).alias("copies")).where("copies > 1"), "many-pairs")
+    ends = ends.join(many, "block", "left").withColumn("copy", F.pmod(F.xxhash64("pair"), F.coalesce("copies", F.lit(1))))
+    sides = ends.groupBy("block", "copy").agg(F.collect_list("pair").alias("pairs"))
     wanted = placed.join(sides, "block").select("node", "block", "set_id", "pairs")
     opened = texts.join(wanted, texts["id"] == wanted["node"]).select("block", "node", "set_id", "text", "pairs")
     members = opened.mapInArrow(tidy(_tokens(width)), "block long, node long, tokens binary, pairs array<struct<g1:long,g2:long>>")
     members = members.select("block", "node", "tokens", F.explode("pairs").alias("pair")).select("block", "node", "tokens", "pair.g1", "pair.g2")
-    links = members.groupBy("g1", "g2").applyInArrow(_open(num, den), "a long, b long")
-    return components(links)
+    return materialise(members.groupBy("g1", "g2").applyInArrow(_open(num, den), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
@@ -301,7 +373,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Returns id, ``n_shingles``, ``set_id`` (equal for equal sets) and ``component_id``: the smallest id reachable by links. One
     row for each row of ``docs``; other columns of ``docs`` are not read, so they cannot clash. A null or wordless text has no
     shingles and is linked with nothing; a text of fewer than ``width`` words is one shingle. Repeated rows stay repeated. A null id
-    gets the component of its equals, or null; rows with the same id count as one document. An empty table gives no rows.
+    gets the component of its equals, or null. Rows with the same id and different texts are documents of their own, each with the component of its text.
+    An empty table gives no rows. Sets and shingles are told apart by 64-bit hashes: n different texts are all told apart but for a chance of n^2 / 2^65.
     """
     num, den = threshold
     spark = docs.sparkSession
@@ -312,9 +385,21 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # Between the steps, the shuffles of the one before are let go: each step leaves a small table.
     placed = _place(rows)
     forget(spark)
-    pairs = _pairs(texts, placed, order, width, num, den)
+    links, joined = None, None
+    if placed.where("wide").take(1):
+        links = _link(texts, placed, materialise(_tree(placed), "tree"), width, num, den)
+        joined = _whole(placed.where("wide"), links)
+        forget(spark)
+    pairs = _pairs(texts, placed, joined, order, width, num, den)
     forget(spark)
-    found = _link(texts, placed, pairs, width, num, den)
+    more = _link(texts, placed, pairs.where("not late").select("g1", "g2"), width, num, den)
+    links = more if links is None else links.union(more)
+    if joined is not None and pairs.where("late").take(1):
+        forget(spark)
+        late = _apart(pairs, _whole(placed, links))
+        if late.take(1):
+            links = links.union(_link(texts, placed, late, width, num, den))
+    found = components(links)
     forget(spark)
 
     class_of = placed.select("set_id", "node").join(found, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))

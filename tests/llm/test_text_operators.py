@@ -85,6 +85,52 @@ def test_jaccard_small_blocks(spark, monkeypatch):
     assert [found[k] for k in range(60)] == linked(texts, 3, 9, 10)[0]
 
 
+@pytest.mark.parametrize("sets, fanout", [(4, 2), (10, 8)])
+def test_jaccard_wide_groups(spark, monkeypatch, sets, fanout):
+    """Clusters of many blocks, joined along their trees; near misses between them, chains, and lone texts: the same components as pair by pair."""
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_SETS", sets)
+    monkeypatch.setattr(ngram_jaccard, "FANOUT", fanout)
+    monkeypatch.setattr(ngram_jaccard, "PAIRS", 2)
+    rng = random.Random(sets)
+    opened = []
+    link = ngram_jaccard._link
+    monkeypatch.setattr(ngram_jaccard, "_link", lambda texts, placed, pairs, *a: opened.append((placed.select("block").distinct().count(), pairs.count())) or link(texts, placed, pairs, *a))
+    base = [f"w{k}" for k in range(150)]
+    other = base[:120] + [f"x{k}" for k in range(30)]  # shares much with the first cluster, and no link
+    texts = []
+    for words, n in ((base, 70), (other, 40)):
+        for _ in range(n):
+            copy = words[:]
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(150)] = f"v{rng.randrange(60)}"
+            texts.append(" ".join(copy))
+    at = base[:]
+    for k in range(25):  # a chain that leads away
+        at[6 * k % 150] = f"c{k}"
+        texts.append(" ".join(at))
+    texts += noisy(rng, 15, 2)
+    found = {r["doc_id"]: r["component_id"] for r in ngram_jaccard.near_duplicates(docs(spark, texts), width=3, threshold=(9, 10)).collect()}
+    assert [found[k] for k in range(len(texts))] == linked(texts, 3, 9, 10)[0]
+    assert len(opened) >= 2
+
+
+def test_a_cluster_costs_its_blocks(spark, monkeypatch):
+    """A cluster of b blocks opens about 2 b pairs, not b^2."""
+    monkeypatch.setattr(ngram_jaccard, "BLOCK_SETS", 5)
+    total = []
+    link = ngram_jaccard._link
+    monkeypatch.setattr(ngram_jaccard, "_link", lambda texts, placed, pairs, *a: total.append((placed.select("block").distinct().count(), pairs.count())) or link(texts, placed, pairs, *a))
+    rng, base = random.Random(1), [f"w{k}" for k in range(300)]
+    texts = []
+    for k in range(300):
+        copy = base[:]
+        copy[rng.randrange(300)] = f"v{k}"
+        texts.append(" ".join(copy))
+    found = ngram_jaccard.near_duplicates(docs(spark, texts), width=3, threshold=(9, 10)).select("component_id").distinct().collect()
+    blocks = total[0][0]
+    assert len(found) == 1 and blocks >= 30 and sum(p for _, p in total) <= 3 * blocks
+
+
 def test_jaccard_edges(spark):
     run = lambda *a: ngram_jaccard.near_duplicates(docs(spark, *a)).collect()
     assert run([], []) == []
