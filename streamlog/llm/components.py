@@ -8,23 +8,33 @@ from pyspark.sql import functions as F
 from ..shared import discard, materialise
 
 
-def _clean(edges: DataFrame) -> DataFrame:
-    return materialise(edges.where("a <> b").distinct(), "links")
+#: Rows of a task, where a table is so small that it needs fewer tasks than the session has for a shuffle.
+TASK_ROWS = 5000
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """A frame of about so many rows in no more tasks than they need. Large ones stay as they are dealt."""
+    tasks = max(1, rows // TASK_ROWS)
+    return df.coalesce(tasks) if tasks < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
+def _clean(edges: DataFrame, rows: int) -> DataFrame:
+    return materialise(few_tasks(edges.where("a <> b").distinct(), rows), "links")
+
+
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lowest = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "lowest")
-    out = _clean(both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+    lowest = materialise(few_tasks(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), rows), "lowest")
+    out = _clean(both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")), rows)
     discard(lowest)
     return out
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    lowest = materialise(down.groupBy("a").agg(F.min("b").alias("m")), "lowest")
+    lowest = materialise(few_tasks(down.groupBy("a").agg(F.min("b").alias("m")), rows), "lowest")
     moved = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    out = _clean(moved.union(lowest.select("a", F.col("m").alias("b"))))
+    out = _clean(moved.union(lowest.select("a", F.col("m").alias("b"))), rows)
     discard(lowest)
     return out
 
@@ -37,14 +47,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     table stops changing, after about log2 of the longest chain. No links give no rows.
     """
     mark = F.struct(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).cast("string"))
-    current = _clean(edges.select("a", "b"))
+    current = _clean(edges.select("a", "b"), edges.count())
     seen = current.agg(mark).first()[0]
     for _ in range(rounds):
         if seen[0] == 0:
             break
-        large = _large_star(current)
+        large = _large_star(current, seen[0])
         discard(current)
-        current = _small_star(large)
+        current = _small_star(large, seen[0])
         discard(large)
         before, seen = seen, current.agg(mark).first()[0]
         if before == seen:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, few_tasks
 from ..shared import discard, forget, materialise
 from .words import mix, shingle_sets, text_slices, tidy
 
@@ -260,22 +260,23 @@ def _frequent_tokens(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], df[order]
 
 
-def _place(rows: DataFrame) -> DataFrame:
+def _place(rows: DataFrame, total: int) -> DataFrame:
     """Classes of equal sets, then groups of similar classes, then blocks of bounded size: (set_id, node, n, group, at, block), with the block's size, least and most n.
 
     ``at`` is a block's number in its group. Counts by key are tables of their own before they are joined back, so that Spark can split the rows of a hot key.
     """
     sets = rows.where("n > 0").groupBy("set_id").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("keys").alias("keys")).where("node is not null")
-    sets = materialise(sets, "sets")
+    sets = materialise(few_tasks(sets, total), "sets")
     keyed = sets.select("set_id", F.explode("keys").alias("key"))
-    popular = materialise(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "keys")
+    popular = materialise(few_tasks(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), total), "keys")
     chosen = keyed.join(popular, "key").groupBy("set_id").agg(F.max(F.struct("size", "key"))["key"].alias("key"))
-    grouped = materialise(sets.drop("keys").join(chosen, "set_id", "left").withColumn("group", F.coalesce("key", "set_id")).drop("key"), "groups")
+    grouped = materialise(few_tasks(sets.drop("keys").join(chosen, "set_id", "left").withColumn("group", F.coalesce("key", "set_id")).drop("key"), total), "groups")
     wide = grouped.groupBy("group").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_TOKENS)).alias("blocks")).where("blocks > 1")
-    wide = materialise(wide, "wide")
+    wide = materialise(few_tasks(wide, total // BLOCK_SETS), "wide")
     placed = grouped.join(wide, "group", "left").withColumn("at", F.pmod(F.xxhash64("set_id"), F.coalesce("blocks", F.lit(1)))).withColumn("block", F.xxhash64("group", "at"))
     blocks = placed.groupBy("block").agg(F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most"))
-    out = materialise(placed.select("set_id", "node", "n", "group", "at", "block", F.col("blocks").isNotNull().alias("wide")).join(blocks, "block"), "blocks")
+    out = placed.select("set_id", "node", "n", "group", "at", "block", F.col("blocks").isNotNull().alias("wide")).join(blocks, "block")
+    out = materialise(few_tasks(out, total), "blocks")
     for table in (sets, popular, grouped, wide):
         discard(table)
     return out
@@ -291,14 +292,15 @@ def _tree(placed: DataFrame) -> DataFrame:
     return met.union(there.select(F.col("block").alias("g1"), F.col("block").alias("g2")))
 
 
-def _whole(placed: DataFrame, links: DataFrame) -> DataFrame:
-    """(block, part): blocks whose sets the links have joined into one component, and that component."""
+def _whole(placed: DataFrame, found: DataFrame) -> DataFrame:
+    """(block, part): blocks whose sets are all of one component, and that component."""
     part = F.coalesce("component", "node")
-    each = placed.select("block", "node").join(components(links), "node", "left").groupBy("block").agg(F.min(part).alias("part"), F.max(part).alias("last"))
-    return materialise(each.where("part = last").select("block", F.xxhash64(F.lit("part"), "part").alias("part")), "whole")
+    each = placed.select("block", "node").join(found, "node", "left").groupBy("block").agg(F.min(part).alias("part"), F.max(part).alias("last"))
+    each = each.where("part = last").select("block", F.xxhash64(F.lit("part"), "part").alias("part"))
+    return materialise(few_tasks(each, placed.count()), "whole")
 
 
-def _pairs(texts: DataFrame, placed: DataFrame, joined: DataFrame | None, order, width: int, num: int, den: int) -> DataFrame:
+def _pairs(texts: DataFrame, placed: DataFrame, joined: DataFrame | None, order, width: int, num: int, den: int, total: int) -> DataFrame:
     """(g1, g2, late): pairs of blocks to open, each multi-set block with itself among them but for what the tree has opened.
 
     ``joined`` blocks of one component are one row a token of the matrix. What such a part meets is then looked up in its blocks one by one; all but the block that
@@ -311,7 +313,7 @@ def _pairs(texts: DataFrame, placed: DataFrame, joined: DataFrame | None, order,
     blocks = placed.select("block", "least", "most").distinct()
     unions = unions.join(blocks, "block")
     if joined is not None:
-        unions = materialise(unions.join(joined, "block", "left"), "unions")
+        unions = materialise(few_tasks(unions.join(joined, "block", "left"), total), "unions")
         parts = unions.where("part is not null").groupBy("part").agg(F.min("least").alias("least"), F.max("most").alias("most"))
         alone = unions.where("part is null").select(F.explode("tokens").alias("token"), "block", "least", "most")
         inside = unions.where("part is not null").select(F.explode("tokens").alias("token"), "block", "part")
@@ -328,22 +330,22 @@ def _pairs(texts: DataFrame, placed: DataFrame, joined: DataFrame | None, order,
     cross = met.groupBy("g1", "g2", "least").agg(F.count("*").alias("shared")).where(enough).select("g1", "g2", "least")
     own = placed.where("size > 1 and not wide").select(F.col("block").alias("g1"), F.col("block").alias("g2")).distinct()
     if joined is None:
-        return materialise(cross.select("g1", "g2").union(own).withColumn("late", F.lit(False)), "pairs")
-    cross = materialise(cross, "part-pairs")
-    members = materialise(unions.where("part is not null").select("part", "block"), "part-blocks")
+        return materialise(few_tasks(cross.select("g1", "g2").union(own).withColumn("late", F.lit(False)), total), "pairs")
+    cross = materialise(few_tasks(cross, total), "part-pairs")
+    members = materialise(few_tasks(unions.where("part is not null").select("part", "block"), total // BLOCK_SETS), "part-blocks")
     known = members.select("part").distinct()
     # A part on either side: which of its blocks share enough with the whole other side.
     sides = cross.select(F.col("g1").alias("part"), F.col("g2").alias("other"), "least").union(cross.select(F.col("g2").alias("part"), F.col("g1").alias("other"), "least")).join(known, "part", "left_semi")
     theirs = sides.join(matrix.select(F.col("block").alias("other"), "token"), "other")
     hits = inside.join(theirs, ["part", "token"]).groupBy("part", "other", "block", "least").agg(F.count("*").alias("shared")).where(enough)
-    hits = materialise(hits.select("part", "other", "block", "shared"), "part-hits")
+    hits = materialise(few_tasks(hits.select("part", "other", "block", "shared"), total), "part-hits")
     best = hits.groupBy("part", "other").agg(F.max_by("block", F.struct("shared", "block")).alias("best"))
     hits = hits.join(best, ["part", "other"]).select("part", "other", "block", (F.col("block") != F.col("best")).alias("late"))
     plain = cross.join(known.withColumnRenamed("part", "g1"), "g1", "left_anti").join(known.withColumnRenamed("part", "g2"), "g2", "left_anti").select("g1", "g2", F.lit(False).alias("late"))
     mixed = hits.join(known.withColumnRenamed("part", "other"), "other", "left_anti").select(F.least("block", "other").alias("g1"), F.greatest("block", "other").alias("g2"), "late")
     across = hits.alias("x").join(hits.alias("y"), (F.col("x.part") == F.col("y.other")) & (F.col("x.other") == F.col("y.part")) & (F.col("x.part") < F.col("y.part")))
     across = across.select(F.least("x.block", "y.block").alias("g1"), F.greatest("x.block", "y.block").alias("g2"), (F.col("x.late") | F.col("y.late")).alias("late"))
-    return materialise(plain.union(mixed).union(across).union(own.withColumn("late", F.lit(False))), "pairs")
+    return materialise(few_tasks(plain.union(mixed).union(across).union(own.withColumn("late", F.lit(False))), total), "pairs")
 
 
 def _apart(pairs: DataFrame, whole: DataFrame) -> DataFrame:
@@ -353,15 +355,37 @@ def _apart(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return materialise(late.where(~F.coalesce(F.col("part_g1") == F.col("part_g2"), F.lit(False))).select("g1", "g2"), "late-pairs")
 
 
-def _link(texts: DataFrame, placed: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(a, b): links that span what the opened pairs hold."""
+#: Slots of the filter by which a step that opens few texts leaves the others out before they are shuffled; a bit each, so a fixed size.
+SLOTS = 1 << 23
+
+
+def _only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts whose id may be a wanted node: by a bit for each slot of hashed ids."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+    words = wanted.select(slot("node").alias("slot")).groupBy(F.floor(F.col("slot") / 64).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()
+    mask = np.zeros(SLOTS // 64, np.uint64)
+    mask[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    shared = texts.sparkSession.sparkContext.broadcast(mask)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("slot").to_numpy()
+            there = shared.value[at // 64] >> (at % 64).astype(np.uint64) & np.uint64(1)
+            yield batch.filter(pa.array(there.astype(bool))).select(["id", "text"])
+
+    return texts.withColumn("slot", slot("id")).mapInArrow(tidy(run), "id long, text string")
+
+
+def _link(texts: DataFrame, placed: DataFrame, pairs: DataFrame, width: int, num: int, den: int, few: bool = False) -> DataFrame:
+    """(a, b): links that span what the opened pairs hold; ``few`` where these are of few texts."""
     # Token sets of the blocks to open only, dealt to the pairs of their block; a block of many pairs sends several copies, each with few of them.
     ends = pairs.select(F.explode(F.array_distinct(F.array("g1", "g2"))).alias("block"), F.struct("g1", "g2").alias("pair"))
-    many = materialise(ends.groupBy("block").agg(F.ceil(F.count("*") / PAIRS).alias("copies")).where("copies > 1"), "many-pairs")
+    many = ends.groupBy("block").agg(F.ceil(F.count("*") / PAIRS).alias("copies")).where("copies > 1")
     ends = ends.join(many, "block", "left").withColumn("copy", F.pmod(F.xxhash64("pair"), F.coalesce("copies", F.lit(1))))
     sides = ends.groupBy("block", "copy").agg(F.collect_list("pair").alias("pairs"))
     wanted = placed.join(sides, "block").select("node", "block", "set_id", "pairs")
-    opened = texts.join(wanted, texts["id"] == wanted["node"]).select("block", "node", "set_id", "text", "pairs")
+    some = _only(texts, wanted) if few else texts
+    opened = some.join(wanted, some["id"] == wanted["node"]).select("block", "node", "set_id", "text", "pairs")
     members = opened.mapInArrow(tidy(_tokens(width)), "block long, node long, tokens binary, pairs array<struct<g1:long,g2:long>>")
     members = members.select("block", "node", "tokens", F.explode("pairs").alias("pair")).select("block", "node", "tokens", "pair.g1", "pair.g2")
     return materialise(members.groupBy("g1", "g2").applyInArrow(_open(num, den), "a long, b long"), "links")
@@ -380,26 +404,29 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     scanned = materialise(texts.mapInArrow(tidy(_scan(width)), "id long, set_id long, n long, keys array<long>, token long, df long"), "shingles")
-    rows = scanned.where("token is null").select("id", "set_id", "n", "keys")
+    rows = scanned.where("token is null").select("id", "set_id", "n", "keys")  # one a document
     order = spark.sparkContext.broadcast(_frequent_tokens(scanned))
     # Between the steps, the shuffles of the one before are let go: each step leaves a small table.
-    placed = _place(rows)
+    total = rows.count()
+    placed = _place(rows, total)
     forget(spark)
     links, joined = None, None
     if placed.where("wide").take(1):
-        links = _link(texts, placed, materialise(_tree(placed), "tree"), width, num, den)
-        joined = _whole(placed.where("wide"), links)
+        tree = materialise(few_tasks(_tree(placed), total // BLOCK_SETS), "tree")
+        links = _link(texts, placed, tree, width, num, den, few=True)
+        wide = placed.where("wide")
+        joined = _whole(wide, components(links))
         forget(spark)
-    pairs = _pairs(texts, placed, joined, order, width, num, den)
+    pairs = _pairs(texts, placed, joined, order, width, num, den, total)
     forget(spark)
     more = _link(texts, placed, pairs.where("not late").select("g1", "g2"), width, num, den)
     links = more if links is None else links.union(more)
+    found = components(links)
     if joined is not None and pairs.where("late").take(1):
         forget(spark)
-        late = _apart(pairs, _whole(placed, links))
+        late = _apart(pairs, _whole(placed, found))
         if late.take(1):
-            links = links.union(_link(texts, placed, late, width, num, den))
-    found = components(links)
+            found = components(links.union(_link(texts, placed, late, width, num, den, few=True)))
     forget(spark)
 
     class_of = placed.select("set_id", "node").join(found, "node", "left").select("set_id", F.coalesce("component", "node").alias("component"))
