@@ -97,7 +97,7 @@ class Media:
 
 def _number(data: bytes, at: int, keep_marker: bool = False) -> tuple[int, int, bool]:
     """A variable-length number -> (value, where it ends, whether it says 'unknown')."""
-    first = data[at]
+    first = data[at] if at < len(data) else 0
     if not first:
         raise ValueError(f"no element at byte {at}")
     width = 9 - first.bit_length()
@@ -129,6 +129,8 @@ def _elements(data: bytes, at: int, end: int, stop: set[int] = frozenset()) -> I
 def _laces(data: bytes, at: int, end: int, kind: int) -> tuple[int, list[int] | np.ndarray]:
     if kind == 0:
         return at, [end - at]
+    if at >= end:
+        raise ValueError("a block ends before its lace")
     n, at = data[at] + 1, at + 1
     if kind == 2:
         each, over = divmod(end - at, n)
@@ -140,6 +142,8 @@ def _laces(data: bytes, at: int, end: int, kind: int) -> tuple[int, list[int] |
         if kind == 1:
             total = 0
             while True:
+                if at >= end:
+                    raise ValueError("a lace runs past its block")
                 total, at = total + data[at], at + 1
                 if data[at - 1] != 255:
                     break
@@ -149,13 +153,15 @@ def _laces(data: bytes, at: int, end: int, kind: int) -> tuple[int, list[int] |
             width, at = after - at, after
             sizes.append(value if k == 0 else sizes[-1] + value - ((1 << 7 * width - 1) - 1))
     sizes.append(end - at - sum(sizes))
-    if min(sizes) < 0:
+    if at > end or min(sizes) < 0:
         raise ValueError("a lace is longer than its block")
     return at, sizes
 
 
 def _block(data: bytes, at: int, end: int, base: int, out: Media) -> None:
     track, at, _ = _number(data, at)
+    if at + 3 > end:
+        raise ValueError("a block is shorter than its head")
     relative, flags = struct.unpack_from(">hB", data, at)
     start, sizes = _laces(data, at + 3, end, flags >> 1 & 3)
     length = np.asarray(sizes, np.int64)
@@ -234,19 +240,29 @@ def to_media(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
 
 def packets(media: DataFrame, *, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """One row a packet: id, packet (from 0), track, time_ns, start and length (byte range in the media). Null media has no packets."""
+    """One row a packet: id, packet (from 0), track, time_ns, start and length (byte range in the media). Null media has no packets.
+
+    Malformed media gives one row that has only its id and, in ``error``, what is wrong; the job goes on.
+    """
+    names = ["id", "packet", "track", "time_ns", "start", "length", "error"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, raw in zip(batch.column("id"), batch.column("media"), strict=True):
-                if raw.is_valid:
+                if not raw.is_valid:
+                    continue
+                try:
                     parsed = demux(raw.as_py())
-                    t = parsed.table()
-                    n = len(t["track"])
-                    yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * n, pa.int64()), pa.array(np.arange(n)), pa.array(t["track"]), pa.array(t["time"] * parsed.scale), pa.array(t["start"]), pa.array(t["length"])], names=["id", "packet", "track", "time_ns", "start", "length"])
+                except ValueError as e:
+                    yield pa.RecordBatch.from_arrays([pa.array([i.as_py()], pa.int64()), *[pa.nulls(1, pa.int64())] * 5, pa.array([str(e)])], names=names)
+                    continue
+                t = parsed.table()
+                n = len(t["track"])
+                numbers = [np.arange(n), t["track"], t["time"] * parsed.scale, t["start"], t["length"]]
+                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * n, pa.int64()), *(pa.array(x, pa.int64()) for x in numbers), pa.nulls(n, pa.string())], names=names)
 
     rows = media.select(F.col(id_col).cast("long").alias("id"), F.col(media_col).alias("media"))
-    return rows.mapInArrow(tidy(run), "id long, packet long, track long, time_ns long, start long, length long").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(run), "id long, packet long, track long, time_ns long, start long, length long, error string").withColumnRenamed("id", id_col)
 
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

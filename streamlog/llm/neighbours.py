@@ -71,6 +71,8 @@ def _search(k: int, trees: int, gather: int):
         ids = table["id"].to_numpy()
         flat = table["vector"].combine_chunks()
         vectors = flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, size).astype(np.float64)
+        # by a power of two, which changes no digit: squares of the largest components neither overflow nor vanish
+        vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, initial=0))[1][:, None])
         is_query = table["query"].to_numpy(zero_copy_only=False).astype(bool)
         norms = np.sqrt((vectors * vectors).sum(1))
         points, queries = np.flatnonzero(~is_query), np.flatnonzero(is_query)
