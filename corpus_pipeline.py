@@ -35,6 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     linked = ngram_jaccard.near_duplicates(keyed.select("_row", "text"), id_col="_row", width=5, threshold=(4, 5)).select("_row", "component_id")
     named = materialise(linked.join(keyed.select("_row", "doc_id").distinct(), "_row"), "near-duplicates")
     first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))["_row"].alias("first"))
+    first = materialise(first, "first-of-each")  # a table of its own, so that Spark can split the rows of a large component
     gone = named.join(first, "component_id").where(F.col("_row") != F.col("first")).select("_row").distinct()
     kept = keyed.join(gone, "_row", "left_anti")
     again = named.groupBy("_row").count().where("count > 1").select("_row")
