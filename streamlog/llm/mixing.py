@@ -48,7 +48,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
 
     Returns id, source, ``size`` (words, null text: 0), ``source_size``, ``target`` (words wanted of its source), ``taken`` (words taken, repeats
     counted) and ``copies`` (whole rows to write, the nearest). A source is taken whole as often as its target allows; of one more pass it gives
-    documents in the order of a seeded hash until the target is met, the last of them in part. So a source's ``taken`` add up to its target
+    documents in the order of a seeded hash of the id (without one, of the text) until the target is met, the last of them in part. So a source's ``taken`` add up to its target
     rounded, and no row exceeds ``max_epochs`` times its size. Null sources are one source, the last. Ties of the hash (repeated rows) go by size.
     Empty sources have target 0. An empty table gives no rows; other columns are not read.
     """
@@ -61,16 +61,44 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
 
 
 def repeat(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = (5, 2, 1), share: float = 1.5, max_epochs: int = 2, seed: str = "mix-1") -> DataFrame:
-    """``docs`` with every row as often as ``mix`` copies it, all columns as they are; a row that isn't taken is left out."""
+    """``docs`` with every row as often as ``mix`` copies it, all columns as they are; a row that isn't taken is left out.
+
+    Full rows aren't shuffled: each source's last pass ends at one place of its order, and a row needs only that. Rows that tie with it go by text.
+    """
     full = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
     sizes = materialise(_keyed(full.drop("row"), seed).drop("text"), "mix-sizes")
-    placed = _place(_keyed(full, seed).drop("text"), _goals(sizes, weights, share, max_epochs)).withColumn("copies", _copies())
-    return placed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    cuts = materialise(_cuts(sizes, _goals(sizes, weights, share, max_epochs)), "mix-cuts")  # one row a source
+    spot, cut = F.struct("bucket", "key"), F.struct("cut_bucket", "cut_key")
+    placed = _keyed(full, seed).join(cuts, F.col("source").eqNullSafe(F.col("s"))).withColumn("words", F.col("text").rlike(WORD))
+    tied = F.coalesce((spot == cut) & (F.col("size") == F.col("cut_size")), F.lit(False))
+    earlier = F.coalesce((spot < cut) | ((spot == cut) & (F.col("size") < F.col("cut_size"))), F.lit(False))
+    chosen = placed.withColumn("extra", F.coalesce(F.col("words"), F.lit(False)) & (earlier | (tied & (F.col("among_ties") == F.col("ties")))))
+    some = F.col("among_ties").between(1, F.col("ties") - 1)
+    if not cuts.where(some).isEmpty():  # repeated ids where a pass ends: these rows are numbered
+        number = F.row_number().over(W.partitionBy("source").orderBy("text"))
+        split = placed.where(some & tied).withColumn("extra", number <= F.col("among_ties"))
+        chosen = chosen.where(~F.coalesce(some & tied, F.lit(False))).unionByName(split)
+    copies = F.col("whole") + F.col("extra").cast("long")
+    return chosen.withColumn("copies", copies).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+
+
+def _cuts(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    """One row a source: whole passes, the place (bucket, key, size) where its last pass ends, how many rows tie there, and how many of these it takes, the last if half of it or more."""
+    last = goals.where((F.col("start") < F.col("part")) & (F.col("part") <= F.col("start") + F.col("bucket_size")))
+    inside = rows.join(last, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).where("size > 0")
+    spots = inside.groupBy("s", "bucket", "key", "size", "start", "part").agg(F.count(F.lit(1)).alias("ties"))
+    before = F.coalesce(F.sum(F.col("ties") * F.col("size")).over(W.partitionBy("s").orderBy("key", "size").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    left = F.col("part") - F.col("start") - F.col("before")
+    ends = spots.withColumn("before", before).where((left > 0) & (left <= F.col("ties") * F.col("size")))
+    taken = F.floor((left * 2 + F.col("size")) / (F.col("size") * 2)).cast("long")
+    ends = ends.select(F.col("s").alias("of"), F.col("bucket").alias("cut_bucket"), F.col("key").alias("cut_key"), F.col("size").alias("cut_size"), "ties", taken.alias("among_ties"))
+    sources = goals.select("s", "whole").distinct()
+    return sources.join(ends, F.col("s").eqNullSafe(F.col("of")), "left").drop("of")
 
 
 def _keyed(rows: DataFrame, seed: str) -> DataFrame:
-    """Adds size, the seeded hash of the id, and its bucket."""
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    """Adds size, the seeded hash of the id (of the text, where there is none), and its bucket."""
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.col("text"), F.lit(""))))
     return rows.withColumn("size", word_count(F.col("text"))).withColumn("key", key).withColumn("bucket", (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % BUCKETS).cast("int"))
 
 
@@ -81,7 +109,7 @@ def _goals(rows: DataFrame, weights: Sequence[int], share: float, max_epochs: in
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     goals = targets.withColumn("whole", whole).withColumn("part", F.round("target").cast("long") - F.col("whole") * F.col("source_size"))
     before = F.coalesce(F.sum("bucket_size").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    starts = buckets.withColumn("start", before).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "start")
+    starts = buckets.withColumn("start", before).select(F.col("source").alias("s"), F.col("bucket").alias("b"), "start", "bucket_size")
     return starts.join(goals, F.col("s").eqNullSafe(F.col("source"))).drop("source")
 
 
@@ -100,7 +128,7 @@ def _copies() -> Column:
 #: The same in DuckDB's SQL.
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-                  md5(concat('mix-1:', coalesce(doc_id::VARCHAR, ''))) AS k FROM documents),
+                  md5(concat('mix-1:', coalesce(doc_id::VARCHAR, text, ''))) AS k FROM documents),
 d2 AS (SELECT *, ('0x' || substr(k, 1, 8))::BIGINT % 4096 AS bucket FROM d),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight, source_size * 2.0::DOUBLE AS cap FROM s),

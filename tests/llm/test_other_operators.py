@@ -5,6 +5,7 @@ import math
 import random
 import struct
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -331,12 +332,35 @@ def test_mix(spark, seed):
     key = ["doc_id", "size", "taken"]
     assert got[key].sort_values(key).reset_index(drop=True).equals(again[key].sort_values(key).reset_index(drop=True))
     out = mixing.repeat(df)
-    assert out.columns == df.columns and out.count() == got.copies.sum()
+    assert out.columns == df.columns
+    words = lambda t: len((t or "").split())
+    took = Counter((r["doc_id"], r["source"], words(r["text"])) for r in out.collect())
+    want = Counter()
+    for r in mixing.mix(df).collect():
+        want[r["doc_id"], r["source"], r["size"]] += r["copies"]
+    assert took == +want
     assert mixing.mix(df.where("false")).count() == 0 and mixing.repeat(df.where("false")).count() == 0
     plan = mixing.repeat(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_repeat_of_ties(spark):
+    """A pass may end among rows of one id, or among rows without one; extra columns stay with their rows."""
+    rows = [(5, "a b", "a", {"n": k}) for k in range(40)] + [(None, f"w{k % 10} x y", "b", {"n": k}) for k in range(100)] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, `s` map<string,int>").repartition(5)
+    for share in (0.3, 0.77, 1.0, 1.31):
+        out = mixing.repeat(df, share=share)
+        want = {r["source"]: r["target"] for r in mixing.mix(df, share=share).select("source", "target").distinct().collect()}
+        got = out.collect()
+        for source, size in (("a", 2), ("b", 3)):
+            own = [r["s"]["n"] for r in got if r["source"] == source]
+            assert abs(len(own) * size - want[source]) <= size / 2 + 0.5 and max(Counter(own).values()) - min([Counter(own)[n] for n in range(40 if source == "a" else 100)]) <= 1
+        again = mixing.repeat(df.repartition(3), share=share).collect()
+        assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((r["doc_id"], r["text"]) for r in again)
+    keys = mixing._keyed(df.select(F.col("doc_id").alias("id"), "text", "source"), "s").where("id is null").select("bucket").distinct()
+    assert keys.count() > 5  # rows without an id aren't one bucket
+
+
 # Pipeline
 
 
