@@ -123,13 +123,14 @@ def _write_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def write_planes(encoded: DataFrame, *, parts: int | None = None) -> DataFrame:
-    """Lays ``encode_texts`` rows down as chunks, in ascending id order (null first, ties by ids), and returns the written table.
+    """Lays ``encode_texts`` rows down as chunks, in ascending id order (null first, ties by a hash of their ids, so that they may be many tasks), and returns the written table.
 
     Rows: part and ``start`` (ids before the chunk in its part), n_ids, n_docs, chunk. The parts follow each other in document order.
     """
     kept = materialise(encoded, "token-ids")
     parts = parts or max(1, int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = kept.repartitionByRange(parts, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "ids")
+    order = F.col("id").asc_nulls_first(), F.xxhash64("ids").asc()
+    ordered = kept.repartitionByRange(parts, *order).sortWithinPartitions(*order, "ids")
     return materialise(ordered.mapInArrow(tidy(_write_batches), "part long, start long, n_ids long, n_docs long, chunk binary"), "token-planes", codec="none")
 
 
