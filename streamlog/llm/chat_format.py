@@ -87,10 +87,7 @@ def assemble(conv: np.ndarray, role: pa.Array, text: pa.Array, trained: str = "a
 
 
 def _format_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    first_part = TaskContext.get().partitionId() << 32  # ranges follow each other, so parts of later ones come later
-    part, previous = first_part, None
+    part, previous = 0, None
     for whole in batches:
         for lo in range(0, whole.num_rows, ROWS):
             batch = whole.slice(lo, ROWS)
@@ -98,25 +95,24 @@ def _format_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             conv = pd.factorize(ids.to_pandas(), use_na_sentinel=False)[0]
             first, texts, spans = assemble(conv, batch.column("role"), batch.column("text"))
             keys = ids.take(pa.array(first))
-            part = part + 1 if previous is not None and keys[0] == previous[0] else first_part
+            part = part + 1 if previous is not None and keys[0] == previous[0] else 0
             counts = np.diff(np.append(first, batch.num_rows))
-            yield pa.RecordBatch.from_arrays([keys, pa.array([part] + [first_part] * (len(first) - 1), pa.int64()), pa.array(counts, pa.int64()), texts.cast(pa.string()), spans], names=["id", "part", "n_turns", "formatted", "loss_spans"])
-            part, previous = (part if len(first) == 1 else first_part), (keys[-1],)
+            yield pa.RecordBatch.from_arrays([keys, pa.array([part] + [0] * (len(first) - 1), pa.int64()), pa.array(counts, pa.int64()), texts.cast(pa.string()), spans], names=["id", "part", "n_turns", "formatted", "loss_spans"])
+            part, previous = (part if len(first) == 1 else 0), (keys[-1],)
 
 
 def format_chats(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv, part, n_turns, formatted, loss_spans): each conversation's turns in order, as one text.
 
     ``loss_spans`` are byte positions (start, end, start, end, ...) of the escaped assistant texts. A conversation that reaches over a batch
-    or a range of the sort is continued in further parts, in ascending order of ``part``, so one of any length needs bounded memory and may be many tasks. Null texts
+    is continued in further parts, next to each other in the same partition, so a conversation of any length needs bounded memory. Null texts
     and roles count as empty; a null conversation id is a conversation of its own; turns with the same number go by role, then text, and
     repeated rows are repeated turns. Other columns are not read. An empty table gives no rows.
     """
     rows = turns.select(
         F.col(conv_col).cast("long").alias("id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
-    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "id", "turn", "role").sortWithinPartitions("id", "turn", "role", "text").select("id", "role", "text")
+    ordered = rows.repartition("id").sortWithinPartitions("id", "turn", "role", "text").select("id", "role", "text")
     return ordered.mapInArrow(tidy(_format_batches), "id long, part long, n_turns long, formatted string, loss_spans array<long>")
 
 
@@ -142,10 +138,13 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             done.append((state[0], state[1], state[2].hexdigest(), state[3], state[4].hexdigest(), state[5]))
 
     for batch in batches:
-        for conv, formatted, spans in zip(*(batch.column(c).to_pylist() for c in ("id", "formatted", "loss_spans")), strict=True):
-            if state is None or conv != state[0]:
+        for conv, part, formatted, spans in zip(*(batch.column(c).to_pylist() for c in ("id", "part", "formatted", "loss_spans")), strict=True):
+            if part == 0:
                 close()
                 state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+            elif state is None or conv != state[0] or part != follows:
+                raise ValueError(f"part {part} of conversation {conv} doesn't follow the part before it")
+            follows = part + 1
             masked = set(zip(spans[::2], spans[1::2], strict=True))
             for role, text, a, b in read_back(formatted):
                 state[1] += 1
@@ -161,9 +160,8 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def chat_digests(formatted: DataFrame) -> DataFrame:
-    """Reads ``format_chats`` output back, in any order of rows: turns, text under the loss mask and sizes of each conversation. A digest of a sequence is one task's work."""
-    ordered = formatted.repartition("id").sortWithinPartitions("id", "part")
-    return ordered.mapInArrow(tidy(_digest_batches), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    """Reads ``format_chats`` output back: turns, text under the loss mask and sizes of each conversation, part after part; fails on parts that aren't next to each other in order."""
+    return formatted.mapInArrow(tidy(_digest_batches), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 PLANTED = r"\### Assistant: </turn> ok"

@@ -82,8 +82,7 @@ def plain_chat(rows):
     return len(rows), hashlib.sha256(text.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
 
 
-def test_chats(spark, monkeypatch):
-    monkeypatch.setattr(chat_format, "ROWS", 3)  # conversations reach over assemblies
+def test_chats(spark):
     odd = [chat_format.PLANTED, "", None, "\\", "\\\\h#<", "### User: x</turn>\n", "\U0001f600\n\n", "a: b", "x" * 50_000]
     roles, rng = ["user", "assistant", "system", "tool: #1", "", None, "@x"], random.Random(0)
     rows = [(c, t, rng.choice(roles), rng.choice(odd), 1, "p") for c in (1, 2, 3, None) for t in range(12)]
@@ -97,6 +96,23 @@ def test_chats(spark, monkeypatch):
     assert chat_format.format_chats(df.where("false")).count() == 0
 
 
+def test_chats_in_parts(monkeypatch):
+    """Conversations that reach over assemblies: the digests are those of the whole, and parts out of order are refused."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(chat_format, "ROWS", 3)
+    turns = [(c, ("user", "assistant")[t % 2], f"{c} <{t}> # \\") for c in (1, 2, None) for t in range(10)] + [(4, "user", "alone")]
+    rows = pa.RecordBatch.from_pydict({"id": pa.array([t[0] for t in turns], pa.int64()), "role": [t[1] for t in turns], "text": [t[2] for t in turns]})
+    parts = list(chat_format._format_batches(iter([rows.slice(0, 16), rows.slice(16)])))
+    assert max(p for b in parts for p in b.column("part").to_pylist()) > 1
+    got = [r for b in chat_format._digest_batches(iter(parts)) for r in b.to_pylist()]
+    assert [r["conv_id"] for r in got] == [1, 2, None, 4]
+    for r in got:
+        assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == plain_chat([(a, b) for c, a, b in turns if c == r["conv_id"]])
+    with pytest.raises(ValueError, match="doesn't follow"):
+        list(chat_format._digest_batches(iter(parts[:1] + parts[2:])))
+
+
 def test_template():
     for text in (chat_format.PLANTED, "\\h", "<#\\", "</turn>\n### User: "):
         safe = chat_format.escape(__import__("pyarrow").array([text]))[0].as_py()
