@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, language_id, matroska, mixing, neighbours, packing, secret_scan, token_counts, token_planes
+from . import chat_format, collocations, language_id, matroska, merkle, mixing, neighbours, packing, secret_scan, sharding, token_counts, token_planes
 from .ngram_jaccard import near_duplicates
 from .words import short_batches
 
@@ -88,9 +88,24 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and root, and what a tampered one folds to."""
+    return merkle.merkle_digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of a hash tree, and where a ninth shard would put them."""
+    return sharding.assign(_table(spark, sf_dir, "documents"), sharding.topology(8), sharding.topology(9))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two or three words of each language."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op3_token_counts, op4_nearest_neighbours, op5_chat_format, op6_retrieval_packing, op7_token_planes, op8_media_columns, op9_language_id, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op3_token_counts, op4_nearest_neighbours, op5_chat_format, op6_retrieval_packing, op7_token_planes, op8_media_columns, op9_language_id, op10_source_mixing, op11_merkle_manifest, op12_hash_tree_shards, op13_phrase_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": chat_format.ORACLE, "op10_source_mixing": mixing.ORACLE}
+    return {"op5_chat_format": chat_format.ORACLE, "op10_source_mixing": mixing.ORACLE, "op11_merkle_manifest": merkle.oracle(), "op12_hash_tree_shards": sharding.ORACLE, "op13_phrase_collocations": collocations.ORACLE}
