@@ -11,7 +11,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -86,13 +85,19 @@ def assemble(conv: np.ndarray, role: pa.Array, text: pa.Array, trained: str = "a
     return first, texts, pa.ListArray.from_arrays(pa.array(counts.astype(np.int32)), pa.array(spans.ravel().astype(np.int64)))
 
 
+def _runs(ids: pa.Array) -> np.ndarray:
+    """Numbers of the runs of equal ids, compared as 64-bit integers; null is an id of its own."""
+    value, null = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), pc.is_null(ids).to_numpy(zero_copy_only=False)
+    return np.cumsum(np.concatenate([[False], (value[1:] != value[:-1]) | (null[1:] != null[:-1])])) if len(ids) else np.empty(0, np.int64)
+
+
 def _format_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, previous = 0, None
     for whole in batches:
         for lo in range(0, whole.num_rows, ROWS):
             batch = whole.slice(lo, ROWS)
             ids = batch.column("id")
-            conv = pd.factorize(ids.to_pandas(), use_na_sentinel=False)[0]
+            conv = _runs(ids)
             first, texts, spans = assemble(conv, batch.column("role"), batch.column("text"))
             keys = ids.take(pa.array(first))
             part = part + 1 if previous is not None and keys[0] == previous[0] else 0

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import discard, materialise
-from .words import text_slices, tidy
+from .words import text_slices, tidy, uniform
 
 #: Bounds of the training sample, of each language: about so many rows, and bytes of text. They bound the model, which keeps every word and n-gram of the sample.
 TRAIN_ROWS, TRAIN_BYTES = 3000, 10_000_000
@@ -96,16 +96,18 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """Learns from about ``train_rows`` rows and ``train_bytes`` bytes of text of each language, chosen by hash; rows without text or language teach nothing.
 
     Every word and n-gram of these rows is kept. Labels are any texts, told apart by their code points. Without any labelled row the model knows no language
-    and answers ``und``.
+    and answers ``und``. However small a share the sample is, each language has the row of the
+    least hash in it.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    sizes = {r["lang"]: r for r in rows.groupBy("lang").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).collect()}  # one row a language
+    place = uniform(F.xxhash64("id", "text"))
+    sizes = {r["lang"]: r for r in rows.groupBy("lang").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes"), F.min(place).alias("least")).collect()}  # one row a language
     langs = sorted(sizes)
     if not langs:
         return Model([])
-    shares = {x: int(min(1.0, train_rows / r["rows"], train_bytes / max(1, r["bytes"])) * (1 << 20)) for x, r in sizes.items()}
-    share = F.create_map(*(x for lang in langs for x in (F.lit(lang), F.lit(shares[lang]))))
-    chosen = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < share[F.col("lang")]).select("lang", "text")
+    reach = {x: max(r["least"], min(1.0, train_rows / r["rows"], train_bytes / max(1, r["bytes"]))) for x, r in sizes.items()}
+    bound = F.create_map(*(x for lang in langs for x in (F.lit(lang), F.lit(reach[lang]))))
+    chosen = rows.where(place <= bound[F.col("lang")]).select("lang", "text")
     words = chosen.mapInArrow(tidy(_word_batches), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words = materialise(words, "language-words")
     grams = words.mapInArrow(tidy(_gram_batches), "lang string, length int, item string, n long").groupBy("lang", "length", "item").agg(F.sum("n").alias("n"))

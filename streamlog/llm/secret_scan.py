@@ -1,16 +1,17 @@
 """Secret scans: fixed rules, and two character Markov models compared by log-likelihood ratio.
 
 The rules find assignments, access keys and long hex runs. The models - one of random strings, one of ordinary identifiers - are trained from labelled
-samples of the corpus itself: the values that the rules found, and the other words. A run of key characters that the rules left alone is a
-secret when its log-likelihood ratio is above a threshold, which labelled words set that the models were not trained on.
+samples of the corpus itself: the values that the rules found, and the other words. Keys that no rule finds are among the other words, so a first model, of words that are
+surely ordinary, sorts out what looks random before the second one learns from the rest. A run of key characters that the rules left alone is a secret when its
+log-likelihood ratio outweighs how rare secrets are.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import discard, materialise
-from .words import text_slices, tidy
+from .words import text_slices, tidy, uniform
 
 #: The rules, their order, and the least length of what they match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -32,10 +33,14 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 MARKOV_LEAST = 8
 _KEY = "A-Za-z0-9+/_=-"
 CANDIDATE = re.compile(rf"[{_KEY}]{{{MARKOV_LEAST},}}")
-#: How rare a secret is taken to be among such runs: the ratio must outweigh it. Every HELD-th labelled word is held out of training and may only raise the threshold.
-RARITY, HELD = 1e9, 5
-#: Bounds of the training sample: documents, words of either label, and characters of a word (longer ones teach nothing).
+#: How rare a secret is taken to be among such runs: the ratio must outweigh it.
+RARITY = 1e9
+#: Every HELD-th surely ordinary word is held out of training; the threshold is not below what all but one in OUTLIERS of them reach.
+HELD, OUTLIERS = 5, 100
+#: Bounds of the training sample: documents, words of either label, and characters of a word.
 TRAIN_DOCS, SAMPLES, LONGEST_WORD = 20_000, 20_000, 1000
+#: Surely ordinary words that a first model wants; where there are fewer, all words of letters count.
+SURELY = 200
 #: How many observations the character frequencies weigh against those of a context.
 BACKOFF = 20.0
 
@@ -106,22 +111,26 @@ class Models:
         return out
 
 
-def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Labelled words: 1, a value that a rule found; 0, a run of key characters outside all matches."""
-    for batch in batches:
-        found: dict[tuple[str, int], None] = {}
-        for text in batch.column("text").to_pylist():
-            if not text:
-                continue
-            at = 0
-            for a, b, kind in [*base_spans(text), (len(text), len(text), -1)]:
-                for w in re.findall(rf"[{_KEY}]{{3,}}", text[at : max(at, a)]):
-                    found[w, 0] = None
-                at = max(at, b)
-                if kind >= 0:
-                    found[ASSIGN.match(text, a)[2] if kind == 0 else text[a:b], 1] = None
-        kept = [(w, y) for w, y in found if len(w) <= LONGEST_WORD]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([y for _, y in kept], pa.int32())], names=["word", "label"])
+def _sample_batches(longest: int):
+    """Labelled words and in how many texts of a batch each is: 1, a value that a rule found; 0, a run of key characters outside all matches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter[tuple[str, int]] = Counter()
+            for text in batch.column("text").to_pylist():
+                if not text:
+                    continue
+                at, here = 0, set()
+                for a, b, kind in [*base_spans(text), (len(text), len(text), -1)]:
+                    here |= {(w, 0) for w in re.findall(rf"[{_KEY}]{{3,}}", text[at : max(at, a)])}
+                    at = max(at, b)
+                    if kind >= 0:
+                        here.add((ASSIGN.match(text, a)[2] if kind == 0 else text[a:b], 1))
+                found.update(here)
+            kept = [(w, y, n) for (w, y), n in found.items() if len(w) <= longest]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["word", "label", "texts"])
+
+    return run
 
 
 def _identifiers(words: list[str], rng: np.random.Generator) -> list[str]:
@@ -141,30 +150,43 @@ def _random_strings(n: int, rng: np.random.Generator) -> list[str]:
     return ["".join(rng.choice(alphabets[k % len(alphabets)], rng.integers(8, 49))) for k in range(n)]
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, samples: int = SAMPLES, rarity: float = RARITY, seed: int = 7) -> Models:
-    """Both models and their threshold, from labelled samples: about ``train_docs`` whole documents by hash of their id, ``samples`` words of either label.
+def fit(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, samples: int = SAMPLES, longest_word: int = LONGEST_WORD, rarity: float = RARITY, seed: int = 7
+) -> Models:
+    """Both models and their threshold, from labelled samples: about ``train_docs`` whole documents by hash of their id and text, and of their words of up to ``longest_word``
+    characters the ``samples`` first of either label by hash.
 
-    Rule-found values are few in clean text, so seeded random strings over the key alphabet join that label; ordinary words also stand in capitals and are put
-    together as identifiers. A word counts as random where the ratio outweighs ``rarity`` and that of every held-out ordinary word. An empty table leaves the random
-    strings and a few plain words, so a scan is always defined.
+    Rule-found values are few in clean text, so seeded random strings over the key alphabet join that label. What the rules missed need not be ordinary: a first model learns from
+    the words that are so surely (of letters alone, in two texts or more), from the same in capitals, and from identifiers made of them; of the other words those that it
+    takes for random at ``rarity`` are left out, and the rest join it for the final model. A word counts as random where its ratio outweighs ``rarity``, and what all but
+    a hundredth of the held-out surely ordinary words reach: no single word can raise that. An empty table leaves the random strings and a few plain words, so a scan is always defined.
     """
     total = docs.count()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     if total > train_docs:
-        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * train_docs / total))
-    words = materialise(rows.mapInArrow(tidy(_sample_batches), "word string, label int").distinct(), "secret-words")
-    take = lambda y: [r[0] for r in words.where(F.col("label") == y).orderBy(F.xxhash64("word"), "word").limit(samples).select("word").collect()]
-    random_like, plain = take(1), take(0) or ["plain", "words", "only"]
+        rows = rows.where(uniform(F.xxhash64("id", "text")) < train_docs / total)
+    each = rows.mapInArrow(tidy(_sample_batches(longest_word)), "word string, label int, texts long").groupBy("word", "label").agg(F.sum("texts").alias("texts"))
+    words = materialise(each, "secret-words")
+    first = lambda y: words.where(F.col("label") == y).orderBy(F.xxhash64("word"), "word").limit(samples)
+    taken = first(1).union(first(0)).toArrow().to_pylist()  # bounded by ``samples``
     discard(words)
     rng = np.random.default_rng(seed)
-    random_like += _random_strings(6000, rng)
-    alphabetic = [w for w in plain if w.isalpha()] or ["plain", "words", "only"]
-    shouted = [w.upper() for w in alphabetic]
-    ordinary = [w for some in zip_longest(plain, shouted, _identifiers(alphabetic, rng)) for w in some if w]
-    trained, held = [w for k, w in enumerate(ordinary) if k % HELD], ordinary[::HELD]
-    models = Models(train([w for k, w in enumerate(random_like) if k % HELD]) - train(trained or ordinary), 0.0)
-    held = [w for w in held if len(w) >= MARKOV_LEAST]
-    models.least = max(float(np.log(rarity)), float(models.ratios(pa.array(held, pa.string())).max(initial=0.0)))
+    random_like = [r["word"] for r in taken if r["label"] == 1] + _random_strings(6000, rng)
+    others = [r for r in taken if r["label"] == 0]
+    lettered = [r for r in others if r["word"].isascii() and r["word"].isalpha()]
+    sure = [r["word"] for r in lettered if r["texts"] > 1]
+    if len(sure) < SURELY:  # a small or odd table: all words of letters
+        sure = [r["word"] for r in lettered] or ["plain", "words", "only"]
+    held, shown = sure[::HELD], [w for k, w in enumerate(sure) if k % HELD] or sure
+    chain, made = train(random_like), [*shown, *(w.upper() for w in shown), *_identifiers(shown, rng)]
+    models = Models(chain - train(made), float(np.log(rarity)))
+    known = set(sure)
+    rest = [r["word"] for r in others if r["word"] not in known]
+    looks = models.ratios(pa.array(rest, pa.string())) > models.least
+    models = Models(chain - train(made + [w for w, odd in zip(rest, looks, strict=True) if not odd]), models.least)
+    ratios = models.ratios(pa.array([w for w in held if len(w) >= MARKOV_LEAST], pa.string()))
+    if len(ratios) >= OUTLIERS:
+        models.least = max(models.least, float(np.quantile(ratios, 1 - 1 / OUTLIERS)))
     return models
 
 

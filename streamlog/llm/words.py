@@ -11,7 +11,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass handles; bounds a worker's memory whatever the batch size is.
 SLICE_BYTES = 4 << 20
@@ -53,6 +54,11 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+def uniform(hashed: Column) -> Column:
+    """A 64-bit hash as a number from 0 to 1, of 53 bits: shares as small as 10^-15 still take their part."""
+    return F.shiftrightunsigned(hashed, 11).cast("double") / F.lit(float(1 << 53))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * _M2

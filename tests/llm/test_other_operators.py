@@ -113,6 +113,16 @@ def test_chats_in_parts(monkeypatch):
         list(chat_format._digest_batches(iter(parts[:1] + parts[2:])))
 
 
+def test_chats_of_large_ids(spark):
+    """Ids beyond 2^53 stay apart, also beside a null one."""
+    rows = [(c, t, "user", f"{c} {t}") for c in (None, 2**53, 2**53 + 1, 2**63 - 1, -(2**63), 0) for t in range(2)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)
+    got = {r["conv_id"]: r for r in chat_format.chat_digests(chat_format.format_chats(df)).collect()}
+    assert set(got) == {r[0] for r in rows}
+    for conv, r in got.items():
+        assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == plain_chat([("user", f"{conv} {t}") for t in range(2)])
+
+
 def test_template():
     for text in (chat_format.PLANTED, "\\h", "<#\\", "</turn>\n### User: "):
         safe = chat_format.escape(__import__("pyarrow").array([text]))[0].as_py()
@@ -289,7 +299,7 @@ def test_language_fit_and_predict_plainly(spark):
 
 
 def test_language_sample_is_bounded(spark):
-    rows = [(k, f"word{k % 7} " * 50, "a") for k in range(2000)] + [(k, "autre mot", "b") for k in range(10)]
+    rows = [(k, f"word{'abcdefg'[k % 7]} " * 50, "a") for k in range(2000)] + [(k, "autre mot", "b") for k in range(10)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = language_id.fit(df, train_rows=100)
     assert language_id.predict(df, model).where("lang_pred = 'b'").count() == 10
@@ -457,3 +467,15 @@ def test_pipeline_of_nothing(spark, data):
     for _, stage in cp.STAGES:
         at = stage(spark, at, data)
     assert at.count() == 0
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, data):
+    """Columns that are named like a stage's own come through with their values."""
+    import corpus_pipeline as cp
+
+    text = "five words of a copy that stands here twice and once more at the end"
+    rows = [(k, text if k < 3 else f"document number {k} of {'abcdefgh'[k % 8] * 9} alone here", "en", "s", 9, f"own {k}", k, k, "r") for k in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _row string, key long, component_id long, row string")
+    kept = cp.near_duplicates(spark, docs, data)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(r for r in rows if r[0] not in (1, 2))

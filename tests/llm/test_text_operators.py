@@ -183,6 +183,38 @@ def test_ratios_plainly(models):
         assert abs(got - want) < 1e-9
 
 
+@pytest.mark.parametrize("share", [0.01, 0.05, 0.5])
+def test_keys_in_the_text_that_is_learned_from(spark, share):
+    """The models are fitted on the text that holds the keys, as the query and the pipeline do: keys don't teach that keys are ordinary."""
+    rng, letters = np.random.default_rng(int(share * 100)), "abcdefghijklmnopqrstuvwxyz"
+    alphabets = [list(letters + letters.upper() + "0123456789"), list(letters + "0123456789"), list(letters.upper() + "0123456789")]
+    rows, keys = [], {}
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null").select("doc_id", "text").collect():
+        doc_id, text = r
+        if rng.random() < share:
+            keys[doc_id] = "".join(rng.choice(alphabets[doc_id % 3], (12, 16, 24, 40)[doc_id % 4]))
+            text = f"{text[: len(text) // 2]} {keys[doc_id]} {text[len(text) // 2 :]}"
+        rows.append((doc_id, text))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    texts, hit, wrong = dict(rows), 0, 0
+    for r in secret_scan.scan(table, secret_scan.fit(table)).collect():
+        found = {texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] in ("markov", "hex")}
+        hit += any(keys.get(r["doc_id"], "\0") in f for f in found)
+        wrong += sum(s["kind"] == "markov" and keys.get(r["doc_id"], "\0") not in texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"])
+    assert len(keys) >= 5 and hit >= 0.93 * len(keys) and wrong == 0
+
+
+def test_a_sample_of_one_in_a_billion(spark):
+    """Shares far below 2^-20 leave a model that knows every language, and bounds that are documented parameters."""
+    from streamlog.llm import language_id
+
+    rows = [(k, f"{('the', 'der')[k % 2]} word {k}", ("en", "de")[k % 2]) for k in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(table, train_rows=1e-9)
+    assert model.langs == ["de", "en"] and {"the", "der"} <= set(model.words)
+    assert secret_scan.fit(table, train_docs=1e-9).least > 20 and secret_scan.fit(table, longest_word=2).least > 20
+
+
 def test_precision_and_recall_of_planted_keys(spark, data, capsys):
     """Keys of several lengths and alphabets among the words of whole documents: the models find them, and leave the documents' own words alone."""
     texts = [r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").where("doc_id < 150 and text is not null").collect()]
