@@ -31,15 +31,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows are told apart by id and text, so rows that share an id but not their text are documents of their own.
     """
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    linked = ngram_jaccard.near_duplicates(keyed.select("_row", "text"), id_col="_row", width=5, threshold=(4, 5)).select("_row", "component_id")
-    named = materialise(linked.join(keyed.select("_row", "doc_id").distinct(), "_row"), "near-duplicates")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))["_row"].alias("first"))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
+    linked = ngram_jaccard.near_duplicates(keyed.select("key", "text"), id_col="key", width=5, threshold=(4, 5)).select("key", "component_id")
+    named = materialise(linked.join(keyed.select("key", "doc_id").distinct(), "key"), "near-duplicates")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))["key"].alias("first"))
     first = materialise(first, "first-of-each")  # a table of its own, so that Spark can split the rows of a large component
-    gone = named.join(first, "component_id").where(F.col("_row") != F.col("first")).select("_row").distinct()
-    kept = keyed.join(gone, "_row", "left_anti")
-    again = named.groupBy("_row").count().where("count > 1").select("_row")
-    return kept.join(again, "_row", "left_anti").union(kept.join(again, "_row", "left_semi").dropDuplicates(["_row"])).select(docs.columns)
+    gone = named.join(first, "component_id").where(F.col("key") != F.col("first")).select("key").distinct()
+    kept = keyed.select("row", "key").join(gone, "key", "left_anti")
+    again = named.groupBy("key").count().where("count > 1").select("key")
+    return kept.join(again, "key", "left_anti").union(kept.join(again, "key", "left_semi").dropDuplicates(["key"])).select("row.*")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
