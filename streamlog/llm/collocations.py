@@ -96,7 +96,8 @@ class Windows:
             some = self.words.take(pa.array(used))
             first, *rest = np.split(codes.astype(np.min_scalar_type(len(used))), len(self.columns))
             sizes = pc.binary_length(some).to_numpy().astype(np.uint32)
-            values = [part, b"".join(some.cast(pa.large_binary()).to_pylist()), sizes, np.diff(first, prepend=first[:1] * 0), *rest, self.n[at].astype(np.min_scalar_type(int(self.n[at].max())))]
+            text = some.buffers()[2].to_pybytes()[: int(sizes.sum())]  # freshly taken: its strings lie back to back from the start
+            values = [part, text, sizes, np.diff(first, prepend=first[:1] * 0), *rest, self.n[at].astype(np.min_scalar_type(int(self.n[at].max())))]
             for column, v in zip(rows, values, strict=True):
                 column.append(v if isinstance(v, int) else squeeze(v if isinstance(v, bytes) else v.tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(c, pa.binary()) for c in rows[1:])], names=["part", "words", "sizes", "w1", "w2", "w3", "n"])
