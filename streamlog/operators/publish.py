@@ -6,16 +6,17 @@ import re
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.convert import payload_bytes, to_messages, wire_bytes
-from ..shared import discard, exists, materialise, settle
+from ..shared import delete, discard, exists, folders, materialise, settle
+from ..sources.commits import commit, ranges_of, snapshot, write_blocks
 
-#: Tables inside a log's folder, which reads of the log pass over: where each batch lies, and the ids that each producer has published.
-_BOUNDS, _IDS = "stream string, start_offset long, n long", "producer string, stream string, max_id long"
+#: How often an appender that others were ahead of begins again.
+TRIES = 50
 COMPRESSIONS = ("none", "gzip", "snappy", "lz4", "zstd")
 
 
@@ -109,23 +110,21 @@ class BatchChangedError(RuntimeError):
     """A batch that later ones follow was written again with other numbers of messages."""
 
 
-def _folder(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """A small table of the log's own, with the batch of each row; none before the first append."""
-    return spark.read.schema(f"{schema}, batch_id string").parquet(path) if exists(spark, path) else None
+class ConflictError(RuntimeError):
+    """Other appenders were ahead every time."""
 
 
 def recorded_bounds(spark: SparkSession, path: str) -> DataFrame | None:
-    """(stream, first_offset, tail) of the log at ``path`` as its appends recorded them: one row a (stream, batch) is read, not the log."""
-    known = _folder(spark, f"{path}/_bounds", _BOUNDS)
-    return known and known.groupBy("stream").agg(F.min("start_offset").alias("first_offset"), F.max(F.col("start_offset") + F.col("n")).alias("tail"))
+    """(stream, first_offset, tail) of the log at ``path`` by its commits: one row a (stream, batch) is read, not the log. What isn't committed doesn't count; None before the first commit."""
+    known = snapshot(spark, path)[1]
+    return known and ranges_of(known).groupBy("stream").agg(F.min("start_offset").alias("first_offset"), F.max(F.col("start_offset") + F.col("n")).alias("tail"))
 
 
-def stored_ids(spark: SparkSession, path: str, *, but_batch: str | None = None) -> DataFrame:
-    """(producer, stream, max_id): the highest publishing ids that ``publish_rows`` has stored with the log."""
-    known = _folder(spark, f"{path}/_ids", _IDS)
+def stored_ids(spark: SparkSession, known: DataFrame | None, *, but_batch: str | None = None) -> DataFrame:
+    """(producer, stream, max_id): the highest publishing ids by the commits of ``snapshot``."""
     if known is None:
         return spark.createDataFrame([], "producer string, stream string, max_id long")
-    return known.where(~F.col("batch_id").eqNullSafe(F.lit(but_batch))).groupBy("producer", "stream").agg(F.max("max_id").alias("max_id"))
+    return known.where("kind = 'ids'").where(~F.col("batch_id").eqNullSafe(F.lit(but_batch))).groupBy("producer", "stream").agg(F.max("max_id").alias("max_id"))
 
 
 def batch_name(batch_id: int | None, writer: str | None = None) -> str:
@@ -135,73 +134,129 @@ def batch_name(batch_id: int | None, writer: str | None = None) -> str:
     return f"b{batch_id}" if writer is None else f"q{re.sub(r'[^0-9A-Za-z_-]', '_', writer)}-b{batch_id}"
 
 
-def _starts(spark: SparkSession, path: str, batch: str, counts: DataFrame) -> DataFrame:
-    """(stream, start_offset, n): where this batch goes in each of its streams. A batch that is there already keeps its place."""
+def _starts(known: DataFrame | None, batch: str, counts: DataFrame) -> list[Row]:
+    """(stream, start_offset, n): where this batch goes in each of its streams, one row a stream. A batch that is there already keeps its place."""
     sizes = counts.groupBy(F.col("_s").alias("stream")).agg(F.sum("_n").alias("n"))
-    known = _folder(spark, f"{path}/_bounds", _BOUNDS)
     if known is None:
-        return sizes.select("stream", F.lit(0).cast("long").alias("start_offset"), "n")
-    others = known.where(F.col("batch_id") != batch).groupBy("stream").agg(F.max(F.col("start_offset") + F.col("n")).alias("tail"))
-    own = known.where(F.col("batch_id") == batch).select("stream", F.col("start_offset").alias("own_start"), F.col("n").alias("own_n"))
-    placed = settle(sizes.join(own, "stream", "full").join(others, "stream", "left"), "append-starts")
-    followed = F.col("own_n").isNotNull() & ~F.col("n").eqNullSafe(F.col("own_n")) & (F.col("n").isNull() | (F.coalesce("tail", F.lit(0)) > F.col("own_start")))
-    if changed := placed.where(followed).take(1):
-        r = changed[0]
-        raise BatchChangedError(f"batch {batch} had {r['own_n']} messages of stream {r['stream']!r}, now it has {r['n'] or 0}")
-    return placed.select("stream", F.coalesce("own_start", "tail", F.lit(0)).alias("start_offset"), "n")
+        return sizes.select("stream", F.lit(0).cast("long").alias("start_offset"), "n").collect()
+    lies = ranges_of(known)
+    others = lies.where(F.col("batch_id") != batch).groupBy("stream").agg(F.max(F.col("start_offset") + F.col("n")).alias("tail"))
+    own = lies.where(F.col("batch_id") == batch).select("stream", F.col("start_offset").alias("own_start"), F.col("n").alias("own_n"))
+    placed = sizes.join(own, "stream", "full").join(others, "stream", "left").collect()
+    for r in placed:
+        followed = r["own_n"] is not None and r["n"] != r["own_n"] and (r["n"] is None or (r["tail"] or 0) > r["own_start"])
+        if followed:
+            raise BatchChangedError(f"batch {batch} had {r['own_n']} messages of stream {r['stream']!r}, now it has {r['n'] or 0}")
+    first = lambda r: r["own_start"] if r["own_start"] is not None else r["tail"] or 0
+    return [Row(stream=r["stream"], start_offset=first(r), n=r["n"]) for r in placed if r["n"]]
+
+
+def _commit_batch(
+    spark: SparkSession, path: str, batch: str, build: Callable[[DataFrame | None], DataFrame], *, order: Sequence[str], bucket: Column, compression: str, file_records: int | None, ids: bool = False
+) -> None:
+    """Writes what ``build`` makes of the commits so far, and commits it. Where another appender was ahead, the rows stay as they are if it wrote to other streams; else all is done again."""
+    for _ in range(TRIES):
+        version, known = snapshot(spark, path)
+        messages = build(known)
+        counts = settle(_bucket_counts(messages, "stream", bucket), "append-counts")
+        starts = _starts(known, batch, counts)
+        if not starts:
+            return
+        attempt = uuid.uuid4().hex
+        folder = f"{path}/batch_id={batch}/attempt={attempt}"
+        tails = spark.createDataFrame([(r["stream"], r["start_offset"]) for r in starts], "stream string, tail long")
+        placed = assign_offsets(messages, order=order, bucket=bucket, tails=tails, counts=counts)
+        out = placed.repartition("stream", F.floor(F.col("offset") / 1_000_000)).sortWithinPartitions("stream", "offset").write.option("compression", compression)
+        if file_records:
+            out = out.option("maxRecordsPerFile", file_records)
+        out.partitionBy("stream").parquet(folder)
+        write_blocks(spark.read.schema(placed.schema).parquet(folder), path, attempt)
+        lines = [{"kind": "range", "batch_id": batch, "attempt": attempt, "stream": r["stream"], "start_offset": r["start_offset"], "n": r["n"]} for r in starts]
+        if ids:
+            found = messages.where("publishing_id is not null").groupBy("producer", "stream").agg(F.max("publishing_id").alias("max_id")).collect()  # one row a stream
+            lines += [{"kind": "ids", "batch_id": batch, "attempt": attempt, **r.asDict()} for r in found]
+        while not commit(spark, path, version + 1, lines):
+            version, known = snapshot(spark, path)
+            if ids or sorted(_starts(known, batch, counts)) != sorted(starts):
+                break
+        else:
+            if known is not None:
+                for r in known.where((F.col("batch_id") == batch) & (F.col("attempt") != attempt)).select("attempt").distinct().collect():
+                    for old in (f"{path}/batch_id={batch}/attempt={r[0]}", f"{path}/_blocks/attempt={r[0]}"):
+                        delete(spark, old)
+            return
+        delete(spark, folder)
+        delete(spark, f"{path}/_blocks/attempt={attempt}")
+    raise ConflictError(f"batch {batch}: other appenders were ahead {TRIES} times")
 
 
 def append_log(
     messages: DataFrame, path: str, *, mode: str = "append", stream: str | None = None, order: Sequence[str], bucket: Column, compression: str = "none",
     batch_id: int | None = None, writer: str | None = None, file_records: int | None = None,
 ) -> None:
-    """Appends messages (with a ``stream`` column) to the log at ``path``: Parquet by stream and batch, sorted by offset inside files.
+    """Appends messages (with a ``stream`` column) to the log at ``path``: Parquet by batch, attempt and stream, sorted by offset inside files.
 
     Only ``append`` is allowed. With ``stream`` every row must be of that stream. ``writer`` tells whose number ``batch_id`` is: writers of one log, such as several
-    streaming queries, don't replace each other's batches. Where a batch goes is recorded before it is written, so one that is written again takes the offsets
-    it had and replaces itself; it must have as many messages of each stream as before, unless it is the stream's last (``BatchChangedError``). A batch that
-    failed and is never written again leaves a gap. ``file_records`` bounds the rows of a file. One appender a log at a time.
+    streaming queries, don't replace each other's batches. A batch is there once it is committed (see ``sources.commits``): one that fails leaves nothing that a reader sees and no gap.
+    One that is written again takes the offsets it had and replaces itself; it must have as many messages of each stream as before, unless it is the stream's last
+    (``BatchChangedError``). Several appenders may write at once: who comes second takes the offsets behind the first, and does its work again only where both wrote to
+    a stream. ``file_records`` bounds the rows of a file. Columns named batch_id, attempt, or with a leading underscore are the log's own.
     """
+    _checked(mode, compression)
+    if stream is not None:
+        given = F.col("stream")
+        messages = messages.withColumn("stream", F.when(given.isNotNull() & (given != stream), F.raise_error(F.concat(F.lit(f"rows for {stream} hold stream "), given))).otherwise(F.lit(stream)))
+    _commit_batch(messages.sparkSession, path, batch_name(batch_id, writer), lambda _: messages, order=order, bucket=bucket, compression=compression, file_records=file_records)
+
+
+def _checked(mode: str, compression: str) -> None:
     if mode != "append":
         raise ValueError(f"a log can only be appended to, not {mode!r}")
     if compression not in COMPRESSIONS:
         raise ValueError(f"compression must be one of {COMPRESSIONS}")
-    spark = messages.sparkSession
-    if stream is not None:
-        given = F.col("stream")
-        messages = messages.withColumn("stream", F.when(given.isNotNull() & (given != stream), F.raise_error(F.concat(F.lit(f"rows for {stream} hold stream "), given))).otherwise(F.lit(stream)))
-    batch = batch_name(batch_id, writer)
-    counts = settle(_bucket_counts(messages, "stream", bucket), "append-counts")
-    starts = settle(_starts(spark, path, batch, counts), "append-starts")
-    if not starts.take(1):
-        return
-    starts.coalesce(1).write.mode("overwrite").parquet(f"{path}/_bounds/batch_id={batch}")
-    placed = assign_offsets(messages, order=order, bucket=bucket, tails=starts.withColumnRenamed("start_offset", "tail"), counts=counts).withColumn("batch_id", F.lit(batch))
-    out = placed.repartition("stream", F.floor(F.col("offset") / 1_000_000)).sortWithinPartitions("stream", "offset").write.option("compression", compression)
-    if file_records:
-        out = out.option("maxRecordsPerFile", file_records)
-    out.option("partitionOverwriteMode", "dynamic").partitionBy("stream", "batch_id").mode("overwrite").parquet(path)
 
 
 def publish_rows(
     rows: DataFrame, path: str, *, route: Callable[[DataFrame], DataFrame] | None = None, producer: str | None = None, order: Sequence[str], bucket: Column, ignore_unknown: bool = False,
-    chunk_timestamp: Column | None = None, batch_id: int | None = None, writer: str | None = None, **options,
+    chunk_timestamp: Column | None = None, mode: str = "append", compression: str = "none", batch_id: int | None = None, writer: str | None = None, file_records: int | None = None,
 ) -> None:
     """The sink in one call: rows of the sink schema are checked, made messages, routed, rid of what ``producer`` has published before, and appended.
 
     ``order`` and ``bucket`` are of message columns. ``route`` takes messages and returns them with ``stream`` (``route_hash``, ``route_key``); without it rows name
-    their stream. With ``producer`` rows are deduplicated by ``publishing_id``, against the ids that are stored with the log as well: the same rows published again add
-    nothing. Ids are stored after the messages, so a job that fails in between may publish twice, never lose. ``chunk_timestamp`` is the time of appending by default.
+    their stream. With ``producer`` rows are deduplicated by ``publishing_id``, against the ids that the log's commits hold as well: the same rows published again add
+    nothing, also where two publish them at once, and a failure in between publishes them once. ``chunk_timestamp`` is the time of appending by default.
     """
+    _checked(mode, compression)
     spark, batch = rows.sparkSession, batch_name(batch_id, writer)
     messages = to_messages(rows, ignore_unknown=ignore_unknown)
     messages = messages.withColumn("chunk_timestamp", F.current_timestamp() if chunk_timestamp is None else chunk_timestamp)
     messages = messages if route is None else route(messages.drop("stream"))
-    if producer is not None:
-        messages = dedup_publish(messages.withColumn("producer", F.lit(producer)), stored_ids(spark, path, but_batch=batch), order=order)
-    messages = materialise(messages, "publish")  # read several times below
-    append_log(messages, path, order=order, bucket=bucket, batch_id=batch_id, writer=writer, **options)
-    if producer is not None:
-        ids = messages.where("publishing_id is not null").groupBy("producer", "stream").agg(F.max("publishing_id").alias("max_id"))
-        ids.coalesce(1).write.mode("overwrite").parquet(f"{path}/_ids/batch_id={batch}")
-    discard(messages)
+    held = materialise(messages, "publish")  # read several times below
+    made = []
+
+    def build(known: DataFrame | None) -> DataFrame:
+        if producer is None:
+            return held
+        made.append(materialise(dedup_publish(held.withColumn("producer", F.lit(producer)), stored_ids(spark, known, but_batch=batch), order=order), "publish"))
+        return made[-1]
+
+    _commit_batch(spark, path, batch, build, order=order, bucket=bucket, compression=compression, file_records=file_records, ids=producer is not None)
+    for table in (held, *made):
+        discard(table)
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Deletes what attempts left that were never committed, and returns how many there were. Not while an append is running: its rows are such an attempt until it commits."""
+    _, known = snapshot(spark, path)
+    kept = set() if known is None else {r[0] for r in known.select("attempt").distinct().collect()}  # one a batch
+    gone = 0
+    for batch in folders(spark, path, "batch_id="):
+        for attempt in folders(spark, batch, "attempt="):
+            if attempt.rpartition("=")[2] not in kept:
+                delete(spark, attempt)
+                gone += 1
+    if exists(spark, f"{path}/_blocks"):
+        for attempt in folders(spark, f"{path}/_blocks", "attempt="):
+            if attempt.rpartition("=")[2] not in kept:
+                delete(spark, attempt)
+    return gone

@@ -47,16 +47,22 @@ def resolve_ranges(log: DataFrame, options: RangeOptions | None = None, *, strea
     A start timestamp counts by chunk time, an end timestamp by creation time where it is set: the end is the first offset at or after it, the tail if there is
     none. An end offset stays as it was asked for, also beyond the tail, so that ``detect_short_ranges`` can tell what a read missed. A start below what is there
     fails, or moves up without ``fail_on_data_loss``. Empty ranges are left out. ``streams`` names streams that must exist; a missing one fails, or is skipped without
-    ``fail_on_data_loss``. The log is read once, here, or not at all where ``bounds`` are given (as ``recorded_bounds`` has them) and no timestamp is asked for:
+    ``fail_on_data_loss``. The log is read once, here, or not at all where ``bounds`` are given, as ``recorded_bounds`` has them, or ``indexed_bounds`` for timestamps:
     later appends don't move the ranges, and the checks look at one row a stream.
     """
     resolved = _resolve(log, options or RangeOptions(**given), streams, bounds)
     return resolved.where("start_offset < end_offset").select("stream", "start_offset", "end_offset")
 
 
-def start_positions(log: DataFrame, options: RangeOptions) -> DataFrame:
+def time_bounds(options: RangeOptions) -> tuple[Column | None, Column | None]:
+    """Each stream's start and end timestamp in micros, as columns of a frame with ``stream``; None where none is asked for."""
+    start = _by_stream(options.start_ts, options.start_ts_by_stream) if options.start == "timestamp" else None
+    return start, _by_stream(options.end_ts, options.end_ts_by_stream) if options.end == "timestamp" else None
+
+
+def start_positions(log: DataFrame, options: RangeOptions, bounds: DataFrame | None = None) -> DataFrame:
     """(stream, start_offset) of every stream that there is, the tail where nothing is left to read."""
-    return _resolve(log, options, None, None).select("stream", "start_offset")
+    return _resolve(log, options, None, bounds).select("stream", "start_offset")
 
 
 def _resolve(log: DataFrame, o: RangeOptions, streams: DataFrame | None, bounds: DataFrame | None) -> DataFrame:
@@ -67,7 +73,8 @@ def _resolve(log: DataFrame, o: RangeOptions, streams: DataFrame | None, bounds:
         extra.append(at_or_after(F.col("chunk_timestamp"), start_ts).alias("anchor"))
     if o.end == "timestamp":
         extra.append(at_or_after(F.coalesce("creation_time", "chunk_timestamp"), end_ts).alias("bound"))
-    if bounds is None or extra:
+    known = set(bounds.columns) if bounds is not None else set()
+    if bounds is None or (o.start == "timestamp" and "anchor" not in known) or (o.end == "timestamp" and "bound" not in known):
         bounds = log.groupBy("stream").agg(F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("tail"), *extra)
     b = settle(bounds, "bounds")  # the snapshot that the whole read goes by
     if o.start == "timestamp":

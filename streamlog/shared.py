@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,6 +37,51 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(target))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    files, target = _hadoop(spark, path)
+    files.delete(target, True)
+
+
+def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """The folders right below ``path`` whose names begin with ``prefix``."""
+    files, target = _hadoop(spark, path)
+    return [str(f.getPath().toString()) for f in files.listStatus(target) if f.isDirectory() and f.getPath().getName().startswith(prefix)]
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Puts a whole file at ``path`` unless there is one; whether this call did. Others see all of it or nothing."""
+    files, target = _hadoop(spark, path)
+    files.mkdirs(target.getParent())
+    temp = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".new-{uuid.uuid4().hex}")
+    out = files.create(temp)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if files.getUri().getScheme() == "file":  # a local rename replaces; a link doesn't
+            try:
+                os.link(temp.toUri().getPath(), target.toUri().getPath())
+            except FileExistsError:
+                return False
+            return True
+        return _rename_to_new(spark, temp, target)
+    finally:
+        files.delete(temp, False)
+
+
+def _rename_to_new(spark: SparkSession, temp, target) -> bool:
+    jvm = spark._jvm
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    none = spark.sparkContext._gateway.new_array(kind, 1)
+    none[0] = kind.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(temp, target, none)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            return False
+        raise
+    return True
+
+
 def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Writes ``df`` as Parquet into the shared folder and reads it back: lineage ends here."""
     spark = df.sparkSession

@@ -9,13 +9,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.publish import recorded_bounds
-from ..operators.ranges import LITERAL_RANGES, resolve_ranges, within_ranges
-from ..options import one_target
+from ..operators.ranges import LITERAL_RANGES, resolve_ranges, time_bounds, within_ranges
+from ..options import RangeOptions, one_target
 from ..schema import project_metadata
+from .commits import boundary_offsets, committed_rows
 
 def open_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log that ``append_log`` writes: partitioned by stream, sorted by offset inside files."""
-    return spark.read.parquet(path)
+    """The committed rows of the log that ``append_log`` writes: partitioned by batch and stream, sorted by offset inside files. Stream and batch names are texts, whatever they look like."""
+    return committed_rows(spark, path)
+
+
+def indexed_bounds(spark: SparkSession, path: str, options: RangeOptions) -> DataFrame | None:
+    """What ``resolve_ranges`` needs to know of the log at ``path``, without reading it: bounds by its commits, and for timestamps the offsets that its time index leads to. None where it has
+    no commits, or no index for a timestamp."""
+    start, end = time_bounds(options)
+    return recorded_bounds(spark, path) if start is None and end is None else boundary_offsets(spark, path, start_ts=start, end_ts=end)
 
 
 def read_log(log: DataFrame, ranges: DataFrame, *, start_ts: int | None = None) -> DataFrame:
@@ -49,7 +57,7 @@ def read_superstream(log: DataFrame, topology: DataFrame, superstream: str, *, f
 def read(spark: SparkSession, path: str, *, stream: str | None = None, superstream: str | None = None, topology: DataFrame | None = None, metadata: Sequence[str] | None = None, **options) -> DataFrame:
     """A bounded read of one stream or one superstream of the log at ``path``, in one call; ``options`` are those of ``RangeOptions``.
 
-    ``metadata`` names the optional columns to return; all columns without it. Where no timestamp is asked for, the bounds are those that appends recorded.
+    ``metadata`` names the optional columns to return; all columns without it. The bounds are those of the log's commits, timestamps are found by its time index.
     """
     one_target(stream, superstream)
     if superstream is not None and topology is None:
@@ -57,8 +65,7 @@ def read(spark: SparkSession, path: str, *, stream: str | None = None, superstre
     log = open_log(spark, path)
     rows = log.where(F.col("stream") == stream) if superstream is None else read_superstream(log, topology, superstream)
     wanted = spark.createDataFrame([(stream,)], "stream string") if superstream is None else topology.where(F.col("superstream") == superstream).select("stream")
-    timed = "timestamp" in (options.get("start"), options.get("end"))
-    bounds = None if timed else recorded_bounds(spark, path)
+    bounds = indexed_bounds(spark, path, RangeOptions(**options))
     if bounds is not None:
         bounds = bounds.join(wanted.distinct(), "stream", "left_semi")
     found = read_log(rows, resolve_ranges(rows, streams=wanted, bounds=bounds, **options), start_ts=options.get("start_ts") if not options.get("start_ts_by_stream") else None)

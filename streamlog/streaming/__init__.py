@@ -13,7 +13,7 @@ from ..operators.publish import append_log
 from ..operators.ranges import start_positions
 from ..options import LimitOptions, RangeOptions
 from ..shared import exists
-from ..sources.log import from_starts, open_log
+from ..sources.log import from_starts, indexed_bounds, open_log
 
 _ENDS = ("end", "end_offset", "end_ts", "end_ts_by_stream")
 
@@ -60,8 +60,8 @@ def _kept_starts(spark: SparkSession, path: str, checkpoint: str, wanted: RangeO
     if not exists(spark, kept):
         if wanted.start == "earliest" or exists(spark, f"{checkpoint.rstrip('/')}/offsets") or not exists(spark, path):
             return None
-        start_positions(open_log(spark, path), wanted).coalesce(1).write.parquet(kept)
-    return spark.read.parquet(kept)
+        start_positions(open_log(spark, path), wanted, indexed_bounds(spark, path, wanted)).coalesce(1).write.parquet(kept)
+    return spark.read.schema("stream string, start_offset long").parquet(kept)
 
 
 def windowed_counts(rows: DataFrame, *, width: str, late: str, ts: str = "chunk_timestamp") -> DataFrame:
