@@ -11,6 +11,8 @@ sums what remains, which is about as much as there are words and frequent phrase
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -27,8 +29,8 @@ from .words import mix, tidy
 STOPS = ".,;:!?\n\v\f\r"
 PAD = ""
 UNKNOWN = "und"
-#: Bytes of text whose windows are summed before they leave a task, and about which a task sums.
-SLICE_BYTES = 16 << 20
+#: Bytes of text whose windows are summed before they leave a task, and the share of the whole that a part holds about: what a worker holds at a time.
+SLICE_BYTES = 8 << 20
 #: Candidates of a language are ranked inside so many buckets first, so no task ranks them all.
 BUCKETS = 64
 _BLOCK = "part int, words binary, sizes binary, w1 binary, w2 binary, w3 binary, n binary"
@@ -171,9 +173,11 @@ def _open_batches(parts: int):
     return run
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Windows | None:
-    held = [row for batch in batches for row in batch.to_pylist()]
-    return _unpacked(held) if held else None
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[Windows]:
+    """The windows of one part after the other; blocks come in the order of their parts."""
+    rows = (row for batch in batches for row in batch.to_pylist())
+    for _, blocks in groupby(rows, key=itemgetter("part")):
+        yield _unpacked(list(blocks))
 
 
 def windows(docs: DataFrame, *, least: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -188,17 +192,16 @@ def windows(docs: DataFrame, *, least: int, text_col: str = "text", lang_col: st
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SLICE_BYTES))
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _merged(batches)
-        if found:
+        for found in _merged(batches):
             yield from found.gave_up(least, 3).blocks(parts, 2)
 
     def thinner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _merged(batches)
-        if found:
+        for found in _merged(batches):
             yield found.gave_up(least, 2).rows()
 
-    blocks = rows.mapInArrow(tidy(_open_batches(parts)), _BLOCK).repartition(parts, "part").mapInArrow(tidy(thin), _BLOCK)
-    return blocks.repartition(parts, "part").mapInArrow(tidy(thinner), _ROWS)
+    dealt = lambda blocks: blocks.repartition(parts, "part").sortWithinPartitions("part")  # noqa: E731 - parts that meet in a task come one by one
+    thinned = dealt(rows.mapInArrow(tidy(_open_batches(parts)), _BLOCK)).mapInArrow(tidy(thin), _BLOCK)
+    return dealt(thinned).mapInArrow(tidy(thinner), _ROWS)
 
 
 def phrase_counts(found: DataFrame, least: int) -> DataFrame:
