@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import streaming
 from ..operators import progress, publish, ranges, route
+from ..options import RangeOptions, micros
 from ..shared import shared_dir
-from ..sources.fixture import bindings, topology, utc
-from ..sources.log import open_log, read, read_log
+from ..sources.fixture import bindings, events_log, topology, utc
+from ..sources.log import indexed_bounds, open_log, read, read_log
 from .registry import query
 
 ORDER = ["ts", "event_id"]
@@ -152,3 +155,45 @@ def read_superstream_of_file(s: SparkSession, d: str) -> DataFrame:
     path = _fresh(s, "log")
     publish.append_log(_rows(s, d), path, order=ORDER, bucket=_bucket())
     return read(s, path, superstream="events", topology=topology(s).where("ordinal <> 1"), start="offset", start_offset=5).select("stream", "offset", "body")
+
+
+@query("""n AS (SELECT event_id, '00' || (user_id % 3)::VARCHAR AS stream, ts FROM events)
+SELECT stream, event_id, row_number() OVER (PARTITION BY stream ORDER BY ts, event_id) - 1 AS "offset" FROM n""")
+def odd_stream_names(s: SparkSession, d: str) -> DataFrame:
+    """Streams whose names look like numbers, written in two batches and read one by one."""
+    path = _fresh(s, "log")
+    rows = _rows(s, d).withColumn("stream", F.regexp_replace("stream", "events-", "00"))
+    cut = utc(F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    for n, part in enumerate((rows.where(F.col("ts") < cut), rows.where(F.col("ts") >= cut))):
+        publish.append_log(part, path, order=ORDER, bucket=_bucket(), batch_id=n)
+    parts = [read(s, path, stream=f"00{k}").select("stream", "event_id", "offset") for k in range(3)]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("SELECT 'events-' || (user_id % 3)::VARCHAR AS stream, count(*) AS n, count(*) AS tail, true AS whole FROM events GROUP BY 1")
+def concurrent_appends(s: SparkSession, d: str) -> DataFrame:
+    """Three appenders at once to the same streams, and an append that fails: the offsets have no gap, and the failed one isn't seen."""
+    path, rows = _fresh(s, "log"), _rows(s, d)
+    with ThreadPoolExecutor(3) as pool:
+        jobs = [pool.submit(publish.append_log, rows.where(F.col("event_id") % 3 == k), path, order=ORDER, bucket=_bucket(), batch_id=0, writer=f"w{k}") for k in range(3)]
+        for job in jobs:
+            job.result()
+    broken = rows.withColumn("body", F.raise_error(F.lit("this append fails")).cast("string"))
+    try:
+        publish.append_log(broken, path, order=ORDER, bucket=_bucket(), batch_id=1)
+    except PySparkException:
+        pass
+    counted = open_log(s, path).groupBy("stream").agg(F.count("*").alias("n"), F.count_distinct("offset").alias("offsets"), F.max("offset").alias("last"))
+    known = publish.recorded_bounds(s, path)
+    whole = (F.col("n") == F.col("tail")) & (F.col("n") == F.col("offsets")) & (F.col("last") + 1 == F.col("n"))
+    return counted.join(known, "stream").select("stream", "n", "tail", whole.alias("whole"))
+
+
+@query("""SELECT stream, min("offset") FILTER (WHERE chunk_timestamp >= TIMESTAMP '2024-01-10') AS start_offset,
+       coalesce(min("offset") FILTER (WHERE coalesce(creation_time, chunk_timestamp) >= TIMESTAMP '2024-01-15'), max("offset") + 1) AS end_offset FROM l GROUP BY stream""")
+def indexed_timestamps(s: SparkSession, d: str) -> DataFrame:
+    """Ranges by time of a stored log, from its time index and one block of rows a bound."""
+    path = _fresh(s, "log")
+    publish.append_log(events_log(s, d).withColumnRenamed("offset", "place"), path, order=["place"], bucket=F.floor(F.col("place") / 1000))
+    options = RangeOptions(start="timestamp", start_ts=micros("2024-01-10 00:00:00"), end="timestamp", end_ts=micros("2024-01-15 00:00:00"))
+    return ranges.resolve_ranges(open_log(s, path), options, bounds=indexed_bounds(s, path, options))
