@@ -197,3 +197,41 @@ def indexed_timestamps(s: SparkSession, d: str) -> DataFrame:
     publish.append_log(events_log(s, d).withColumnRenamed("offset", "place"), path, order=["place"], bucket=F.floor(F.col("place") / 1000))
     options = RangeOptions(start="timestamp", start_ts=micros("2024-01-10 00:00:00"), end="timestamp", end_ts=micros("2024-01-15 00:00:00"))
     return ranges.resolve_ranges(open_log(s, path), options, bounds=indexed_bounds(s, path, options))
+
+
+def _written(s: SparkSession, d: str, parts: int = 3) -> str:
+    """The events as a log in several batches."""
+    path, rows = _fresh(s, "log"), _rows(s, d)
+    for n in range(parts):
+        publish.append_log(rows.where(F.col("event_id") % parts == n), path, order=ORDER, bucket=_bucket(), batch_id=n)
+    return path
+
+
+@query("SELECT 0::BIGINT AS odd_batches, count(*) AS n, 'events-' || (user_id % 3)::VARCHAR AS stream FROM events GROUP BY 3")
+def follow_with_budget(s: SparkSession, d: str) -> DataFrame:
+    """A stream over a log, drained in batches of exactly an eighth of it: each stream's rows, and how many batches were not of their size."""
+    path, out = _written(s, d), _fresh(s, "log")
+    total = publish.recorded_bounds(s, path).agg(F.sum("tail")).first()[0]
+    budget = max(1, -(-total // 8))
+    rows = streaming.follow_log(s, path, max_records=budget, until_now=True).select("event_id", "stream", "ts")
+    streaming.drain(streaming.stream_append(rows, out, _fresh(s, "checkpoint"), order=ORDER, bucket=_bucket))
+    log = open_log(s, out)
+    odd = log.groupBy("batch_id").count().agg(F.greatest(F.lit(0), F.count_if(F.col("count") != budget) - 1).cast("long").alias("odd_batches"))  # the last batch has the rest
+    return log.groupBy("stream").agg(F.count("*").alias("n")).crossJoin(F.broadcast(odd))  # one row
+
+
+@query("SELECT 'events-' || (user_id % 3)::VARCHAR AS stream, count(*) AS n FROM events WHERE user_id % 3 <> 1 GROUP BY 1")
+def follow_superstream(s: SparkSession, d: str) -> DataFrame:
+    """A superstream as a stream; a second member turns up after the first run, and the query goes on from its checkpoint."""
+    path, out, members, checkpoint = _written(s, d, 2), _fresh(s, "log"), _fresh(s, "topology"), _fresh(s, "checkpoint")
+    for upto in (1, 3):
+        topology(s).where((F.col("ordinal") < upto) & (F.col("ordinal") != 1)).write.mode("overwrite").parquet(members)
+        rows = streaming.follow_log(s, path, superstream="events", topology=members, until_now=True).select("event_id", "stream", "ts")
+        streaming.drain(streaming.stream_append(rows, out, checkpoint, order=ORDER, bucket=_bucket))
+    return open_log(s, out).groupBy("stream").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT stream, event_id, row_number() OVER (PARTITION BY stream ORDER BY event_id % 3, ts, event_id) - 1 AS "offset" FROM (SELECT *, 'events-' || (user_id % 3)::VARCHAR AS stream FROM events)""")
+def splits_as_tasks(s: SparkSession, d: str) -> DataFrame:
+    """A bounded read in which each split of a thousand offsets is a task."""
+    return streaming.split_log(s, _written(s, d), split_records=1000).select("stream", "event_id", "offset")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from ..operators.publish import append_log
 from ..operators.ranges import start_positions
 from ..options import LimitOptions, RangeOptions
 from ..shared import exists
+from ..sources.datasource import LogSource
 from ..sources.log import from_starts, indexed_bounds, open_log
 
 _ENDS = ("end", "end_offset", "end_ts", "end_ts_by_stream")
@@ -54,6 +56,48 @@ def stream_log(
     return rows if starts is None else from_starts(rows, starts)
 
 
+def _source(reader, spark: SparkSession, path: str, schema: T.StructType | None, streams: Sequence[str] | None, superstream: str | None, topology: str | None, **options):
+    spark.dataSource.register(LogSource)
+    schema = open_log(spark, path).schema if schema is None else schema
+    given = {"path": path, "superstream": superstream, "topology": topology, "streams": None if streams is None else json.dumps(list(streams)), **options}
+    return reader.format("streamlog").schema(schema).options(**{k: v for k, v in given.items() if v is not None}).load()
+
+
+def split_log(
+    spark: SparkSession, path: str, *, schema: T.StructType | None = None, streams: Sequence[str] | None = None, superstream: str | None = None, topology: str | None = None, split_records: int | None = None
+) -> DataFrame:
+    """A bounded read of a committed log in which every split of ``split_records`` offsets is a task; conditions on ``stream`` and ``offset`` choose splits where the session has
+    ``spark.sql.python.filterPushdown.enabled``. The splits are those of the commits at planning."""
+    pushed = "yes" if spark.conf.get("spark.sql.python.filterPushdown.enabled") == "true" else None
+    return _source(spark.read, spark, path, schema, streams, superstream, topology, split_records=split_records, pushed=pushed)
+
+
+def follow_log(
+    spark: SparkSession, path: str, *, schema: T.StructType | None = None, streams: Sequence[str] | None = None, superstream: str | None = None, topology: str | None = None,
+    starts: dict[str, int] | None = None, latest: bool = False, max_records: int | None = None, min_records: int | None = None, max_delay: str = "15m", split_records: int | None = None, until_now: bool = False,
+) -> DataFrame:
+    """The committed rows of a log as a stream with exact budgets: a batch has ``max_records`` at most over all its streams, and waits for ``min_records`` until ``max_delay`` has passed.
+
+    A superstream's members are read from ``topology``, a Parquet folder of (superstream, stream), at every trigger; streams that turn up later start at their first offset.
+    ``starts`` are first offsets by stream (else the first there is, the tail with ``latest``) and count for a query without a checkpoint. With ``until_now`` later commits stay out, so that
+    ``drain`` ends. Budgets need a processing-time trigger: a source of this kind gives one batch to ``availableNow``.
+    """
+    limits = LimitOptions(max_records=max_records, min_records=min_records, max_delay=max_delay)
+    return _source(
+        spark.readStream, spark, path, schema, streams, superstream, topology, starts=json.dumps(starts) if starts else None, start="latest" if latest else None, max_records=limits.max_records,
+        min_records=limits.min_records, max_delay=max_delay, split_records=split_records, until="now" if until_now else None,
+    )
+
+
+def drain(writer: DataStreamWriter) -> None:
+    """Runs a query over ``follow_log(until_now=True)``, batch after batch, until it has all that was there, and stops it."""
+    running = writer.trigger(processingTime="0 seconds").start()
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+
+
 def _kept_starts(spark: SparkSession, path: str, checkpoint: str, wanted: RangeOptions) -> DataFrame | None:
     """Where a query started: what it resolved when it was new. A checkpoint without it started at the beginning."""
     kept = f"{checkpoint.rstrip('/')}/start_positions"
