@@ -1,7 +1,7 @@
 """Tokenizing by distinct pre-tokens: each distinct piece of text is encoded once by the tokenizer, then looked up.
 
 Texts are cut, in Arrow, where the tokenizer can't look across: at white space and between a letter and a stop. What a piece encodes to is then the same
-wherever it stands, so the ids of a text are those of its pieces in order. Texts for which that doesn't hold, and tokenizers of other kinds, are encoded whole.
+wherever it stands, so the ids of a text are those of its pieces in order. Tokenizers of other kinds encode texts whole.
 A piece of plain letters goes straight to the tokenizer's model, in the byte alphabet; any other through the whole tokenizer.
 """
 
@@ -16,11 +16,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct pieces that a worker remembers, at most; the table starts anew beyond that.
-REMEMBERED = 500_000
+#: Distinct pieces that a worker remembers at most, the characters they have together, and their ids; the table starts anew beyond any of these.
+REMEMBERED, REMEMBERED_CHARS, REMEMBERED_IDS = 500_000, 1 << 24, 1 << 22
 _CUT = "\x00"
-#: With spaces kept, runs of white space belong together, so a text that has any (or the cut mark) is encoded whole.
-_RUNS = r"[\s\v\x1c-\x1f\x{85}\p{Z}]{2}|\x00"
+_SPACE = r"\s\v\x1c-\x1f\x{85}\p{Z}"
+#: With spaces kept, a run of white space belongs together and to what follows: texts that have any are cut before each run only. A text with the cut mark is one piece.
+_RUNS, _BEFORE_RUN = rf"[{_SPACE}]{{2}}", rf"([^{_SPACE}])([{_SPACE}])"
 
 
 #: Between such a letter and such a stop there is always a cut; both are of fixed classes in every version of Unicode.
@@ -74,7 +75,7 @@ class PieceTable:
         self.size = np.zeros(1 << 12, np.int64)
         self.start = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
-        self.used = 0
+        self.used = self.chars = 0
 
     def _words(self, pieces: pa.Array) -> tuple[np.ndarray, list[str]]:
         """Which pieces are just letters of Latin-1, and these in the byte alphabet, lower-cased if the tokenizer does so."""
@@ -112,6 +113,7 @@ class PieceTable:
             while first + n > len(self.size):
                 self.size, self.start = (np.concatenate([x, np.zeros_like(x)]) for x in (self.size, self.start))
             self.size[first : first + n] = sizes
+            self.chars += pc.sum(pc.binary_length(some)).as_py()
             self.at.update(zip(some.to_numpy(zero_copy_only=False).tolist(), range(first, first + n), strict=True))
             if self.keep_ids:
                 while self.used + len(flat) > len(self.ids):
@@ -127,16 +129,32 @@ class PieceTable:
             return pc.split_pattern(pc.replace_substring(text, "\n", " "), " ")
         return pc.split_pattern(pc.replace_substring(pc.replace_substring(text, " ", _CUT + " "), "\n", f"{_CUT}\n{_CUT}"), _CUT)
 
+    def _cut_runs(self, text: pa.Array) -> pa.Array:
+        """The pieces of texts in which white space is kept."""
+        text = text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text
+        marked, runs = (x.to_numpy(zero_copy_only=False) for x in (pc.match_substring(text, _CUT), pc.match_substring_regex(text, _RUNS)))
+        kind = pa.large_list(pa.large_string())
+        parts, order = [], []
+        for rows, cut in ((~marked & ~runs, self._cut), (~marked & runs, self._cut_before_runs), (marked, lambda t: pa.LargeListArray.from_arrays(pa.array(np.arange(len(t) + 1)), t))):
+            if rows.any():
+                parts.append(cut(text.filter(pa.array(rows))).cast(kind))
+                order.append(np.flatnonzero(rows))
+        if not parts:
+            return pa.array([], kind)
+        return parts[0] if len(parts) == 1 else pa.concat_arrays(parts).take(pa.array(np.argsort(np.concatenate(order))))
+
+    def _cut_before_runs(self, text: pa.Array) -> pa.Array:
+        if self.stops:
+            text = pc.replace_substring_regex(text, _LETTER_STOP, rf"\1{_CUT}\2")
+        return pc.split_pattern(pc.replace_substring_regex(text, _BEFORE_RUN, rf"\1{_CUT}\2"), _CUT)
+
     def _pieces(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Row offsets into, and places in the table of, all pieces of all rows; empty pieces have no ids."""
         if self.kind == "whole":
             text = text.combine_chunks() if isinstance(text, pa.ChunkedArray) else text
             offsets, flat = np.arange(len(text) + 1), text
         else:
-            odd = pc.match_substring_regex(text, _RUNS) if self.kind == "kept" else pa.scalar(False)
-            lists = self._cut(text)
-            if self.kind == "kept" and pc.any(odd).as_py():
-                lists = pa.array([[t] if o else x for t, o, x in zip(text.to_pylist(), odd.to_pylist(), lists.to_pylist(), strict=True)], pa.large_list(pa.large_string()))
+            lists = self._cut(text) if self.kind == "dropped" else self._cut_runs(text)
             offsets = lists.offsets.to_numpy().astype(np.int64)
             offsets, flat = offsets - offsets[0], lists.flatten()
         encoded = flat.dictionary_encode()
@@ -145,7 +163,7 @@ class PieceTable:
             return offsets, np.empty(0, np.int64)
         place = self._places(distinct)
         if (new := np.flatnonzero(place < 0)).size:
-            if len(self.at) + len(new) > REMEMBERED:
+            if len(self.at) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS or self.used > REMEMBERED_IDS:
                 self._clear()
                 new = np.arange(len(distinct))
             place[new] = np.arange(len(self.at), len(self.at) + len(new))

@@ -1,6 +1,6 @@
 """Token ids in bit planes: blocks of ids are transposed, each plane is compressed by itself, and a chunk index says where it lies.
 
-A chunk holds whole documents: a head (magic, documents, ids, ids per block, planes), the documents' ids and lengths, the compressed size of every
+A chunk holds whole documents: a head (magic, documents, ids, ids per block, planes), a bitmap of the documents without an id, the documents' ids and lengths, the compressed size of every
 plane of every block (0: a plane of zeros, not stored), then the planes. Chunks are rows of a table in the shared folder, in document order.
 """
 
@@ -21,12 +21,10 @@ from .pretokens import piece_table
 from ..shared import materialise
 from .words import text_slices, tidy
 
-MAGIC = b"TPL1"
+MAGIC = b"TPL2"
 BLOCK, LEVEL = 1 << 14, 3
 #: A chunk is closed at the first document that brings it to this many ids.
 CHUNK = 1 << 18
-#: Stands for a null document id.
-NULL_ID = -(1 << 63)
 _HEAD = struct.Struct("<4sIQII")
 
 
@@ -44,7 +42,7 @@ def ids_of(planes: list[bytes], n: int) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<u4").ravel()
 
 
-def pack_chunk(doc_ids: list[int], ids: list[np.ndarray]) -> bytes:
+def pack_chunk(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
     flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
     planes = max(1, int(flat.max()).bit_length()) if len(flat) else 1
     press, sizes, body = zstandard.ZstdCompressor(level=LEVEL), [], []
@@ -54,15 +52,17 @@ def pack_chunk(doc_ids: list[int], ids: list[np.ndarray]) -> bytes:
             sizes.append(len(out))
             body.append(out)
     head = _HEAD.pack(MAGIC, len(doc_ids), len(flat), BLOCK, planes)
-    return b"".join([head, np.array(doc_ids, "<i8").tobytes(), np.array([len(x) for x in ids], "<u4").tobytes(), np.array(sizes, "<u4").tobytes(), *body])
+    none = np.packbits(np.array([i is None for i in doc_ids], bool), bitorder="little").tobytes()
+    return b"".join([head, none, np.array([i or 0 for i in doc_ids], "<i8").tobytes(), np.array([len(x) for x in ids], "<u4").tobytes(), np.array(sizes, "<u4").tobytes(), *body])
 
 
-def unpack_chunk(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document ids, lengths, all ids in order)."""
+def unpack_chunk(raw: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(document ids, null for none, lengths, all ids in order)."""
     magic, docs, n, block, planes = _HEAD.unpack_from(raw)
     if magic != MAGIC:
         raise ValueError("not a chunk of token planes")
     at = _HEAD.size
+    none, at = np.unpackbits(np.frombuffer(raw, np.uint8, -(-docs // 8), at), count=docs, bitorder="little").astype(bool), at + -(-docs // 8)
     doc_ids, at = np.frombuffer(raw, "<i8", docs, at), at + 8 * docs
     lengths, at = np.frombuffer(raw, "<u4", docs, at), at + 4 * docs
     blocks = -(-n // block)
@@ -72,7 +72,7 @@ def unpack_chunk(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for b in range(blocks):
         each = range(b * planes, (b + 1) * planes)
         out.append(ids_of([press.decompress(raw[ends[k] - sizes[k] : ends[k]]) if sizes[k] else b"" for k in each], min(block, n - b * block)))
-    return doc_ids, lengths, np.concatenate(out) if out else np.empty(0, np.uint32)
+    return pa.array(doc_ids.astype(np.int64), mask=none), lengths, np.concatenate(out) if out else np.empty(0, np.uint32)
 
 
 def encode_texts(docs: DataFrame, tokenizer: str, *, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,7 +112,7 @@ def _write_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         for i, size, raw in zip(batch.column("id"), batch.column("n"), batch.column("ids"), strict=True):
-            doc_ids.append(i.as_py() if i.is_valid else NULL_ID)
+            doc_ids.append(i.as_py())
             held.append(numbers(raw.as_py(), size.as_py()))
             n += size.as_py()
             if n >= CHUNK:
@@ -141,8 +141,7 @@ def _read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ends = np.cumsum(lengths, dtype=np.int64)
             data = memoryview(flat.astype("<u4").tobytes())
             crc = [zlib.crc32(data[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-            ids = pa.array(doc_ids.astype(np.int64), mask=doc_ids == NULL_ID)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(base.as_py() + ends - lengths), pa.array(lengths.astype(np.int64)), pa.array(crc, pa.int64())], names=["id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([doc_ids, pa.array(base.as_py() + ends - lengths), pa.array(lengths.astype(np.int64)), pa.array(crc, pa.int64())], names=["id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_planes(written: DataFrame) -> DataFrame:

@@ -488,3 +488,40 @@ def test_query_columns(spark, data):
         if name.split("_")[0] in ("op1", "op2", "op3", "op7", "op8", "op9"):
             df = query(spark, data)
             assert df.count() == n and df.select(F.count_distinct("doc_id")).collect()[0][0] == n
+
+
+def test_pieces_of_texts_with_runs_of_white_space():
+    """Texts with runs of any white space are cut before each run: the ids are the tokenizer's, and no whole text is remembered."""
+    import pyarrow as pa
+
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    rng, tokenizer = np.random.default_rng(9), Tokenizer.from_file(path)
+    bits = ["word", "It's", "don't", "a", "é", "12", "1,5", "...", "!?", "x.y", "<|endoftext|>", " ", "  ", "\n", "\n\n", "\t", "\r\n", " \n ", " ", " ", "　 ", "\x1c", "\x85", "\v", "\U0001f600", "ſ", "'", "\x00"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 30))) for _ in range(3000)] + ["\n\n".join(f"Paragraph {k} of it, that ends here." for k in range(50)) + tail for tail in ("", "\n", "\n\n ", " \n")]
+    table = pretokens.PieceTable(path, keep_ids=True)
+    offsets, flat = table.encode(pa.array(texts))
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for k, ids in enumerate(want):
+        assert flat[offsets[k] : offsets[k + 1]].tolist() == ids, repr(texts[k])
+    assert max(len(p) for p in table.at if "\x00" not in p) < 100
+
+
+def test_piece_tables_are_bounded_by_bytes(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(pretokens, "REMEMBERED_CHARS", 10_000)
+    table = pretokens.PieceTable(queries.tokenizer_path("byte_bpe_50k.json"), keep_ids=True)
+    for k in range(40):
+        table.encode(pa.array([f"{k}" * 3000]))
+        assert sum(map(len, table.at)) <= 10_000 + 6000
+    monkeypatch.setattr(pretokens, "REMEMBERED_IDS", 100)
+    for k in range(40):
+        table.encode(pa.array([f"{k} word of text" * 3]))
+        assert table.used < 200
+
+
+def test_planes_of_the_least_id(spark):
+    """-2^63 is an id like any other, beside a null one."""
+    table = docs(spark, ["least", "none", "zero"], [-(2**63), None, 0])
+    got = {r["doc_id"]: r["n_tokens"] for r in token_planes.token_planes(table, queries.tokenizer_path("byte_bpe_50k.json"), end_id=2).collect()}
+    assert set(got) == {-(2**63), None, 0}
