@@ -22,6 +22,14 @@ def filter_values(rows: DataFrame, path: str, values: Sequence[str], *, match_un
     return rows.where(keep_by_value(value_at_path(path), values, match_unfiltered=match_unfiltered))
 
 
+def stored_values(rows: DataFrame, values: Sequence[str], *, match_unfiltered: bool = False) -> DataFrame:
+    """``filter_values`` by the ``filter_value`` column that a sink stored: a predicate that reaches the scan, so files and row groups without the values aren't read."""
+    if not values:
+        raise ValueError("filter values are required")
+    stored = F.col("filter_value")
+    return rows.where(stored.isin(*values) | stored.isNull() if match_unfiltered else stored.isin(*values))
+
+
 def post_filter(rows: DataFrame, predicate: Callable[[DataFrame], Column] | Column, *, path: str | None = None, values: Sequence[str] = (), match_unfiltered: bool = False) -> DataFrame:
     """A custom predicate, which counts only where filter values are set and then takes the place of the path filter. No values: no filter."""
     if not values:

@@ -64,31 +64,74 @@ def most_restrictive(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.groupBy("stream").agg(F.min("start_offset").alias("start_offset"), F.min("end_offset").alias("end_offset"))
 
 
-_PHASES = "stream string, batch_no long, streams long, start_offset long, end_offset long, marks array<long>"
+_PHASES = "stream string, batch_no long, batches long, streams long, place long, share long, rest long, start_offset long, end_offset long"
+
+
+def _segments(streams, place, rest):
+    """A cycle of k batches in three runs (length, extra): in ``rest`` of them, up to the one at ``place`` and around the cycle, a stream takes one record more than its share."""
+    low = place - rest + 1
+    wraps = low < 0
+    pick = (lambda c, x, y: F.when(c, x).otherwise(y)) if isinstance(place, Column) else np.where
+    return [(pick(wraps, place + 1, low), pick(wraps, 1, 0)), (pick(wraps, streams + low - place - 1, rest), pick(wraps, 0, 1)), (pick(wraps, -low, streams - place - 1), pick(wraps, 1, 0))]
+
+
+def _taken(batches, streams, place, share, rest):
+    """What a stream has taken after so many batches of its phase."""
+    least, most = (F.least, F.greatest) if isinstance(place, Column) else (np.minimum, np.maximum)
+    zero = F.lit(0) if isinstance(place, Column) else 0
+    cycles, left = (F.floor(batches / streams), batches % streams) if isinstance(place, Column) else np.divmod(batches, streams)
+    out = cycles * (share * streams + rest) + left * share
+    for length, extra in _segments(streams, place, rest):
+        out = out + most(zero, least(left, length)) * extra
+        left = left - length
+    return out
+
+
+def _batch_at(past, streams, place, share, rest):
+    """The batch of its phase, from 0, that takes a stream's record number ``past`` of the phase."""
+    columns = isinstance(place, Column)
+    cycle = share * streams + rest
+    at, left = (F.floor(past / cycle) * streams, past % cycle) if columns else (past // cycle * streams, past % cycle)
+    found = F.lit(None).cast("long") if columns else np.full(len(past), -1)
+    for length, extra in _segments(streams, place, rest):
+        rate = share + extra
+        if columns:
+            found = F.when(found.isNull() & (left >= 0) & (left < length * rate), at + F.floor(left / rate)).otherwise(found)
+        else:
+            found = np.where((found < 0) & (left >= 0) & (left < length * rate), at + left // np.maximum(rate, 1), found)
+        at, left = at + length, left - length * rate
+    return found
 
 
 def _phases(budget: int):
-    """Runs of batches as rows: while no stream ends, k streams take exactly the budget each in every k batches, so whole such cycles are one row a stream; only
-    the batches around a stream's end are rows of their own. ``marks`` are a cycle's batch starts, counted from its own start."""
+    """Runs of batches, one row a (stream, phase): while no stream ends, each of k streams takes ``budget // k`` records or one more a batch, so the batch in which the first of them
+    ends follows by division. A batch that cuts a stream short is a phase of its own. There are two phases a stream at most."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("stream", ignore_index=True)
         names, at, end, batch = pdf.stream.to_numpy(), pdf.start_offset.to_numpy(np.int64).copy(), pdf.end_offset.to_numpy(np.int64), 0
-        out: list[tuple] = []
+        out: list[pd.DataFrame] = []
+
+        def emit(s: np.ndarray, batches: int, streams: int, place, share, rest, took: np.ndarray) -> None:
+            some = took > 0
+            each = {"stream": names[s], "batch_no": batch, "batches": batches, "streams": streams, "place": place, "share": share, "rest": rest, "start_offset": at[s], "end_offset": at[s] + took}
+            out.append(pd.DataFrame(each)[some])
+
         while len(live := np.flatnonzero(at < end)):
-            k = len(live)
-            cycles = int((end - at)[live].min()) // budget - 1
-            if cycles > 0:
-                share, rest = divmod(budget, k)
-                extra = (np.arange(k)[:, None] - batch - np.arange(k)) % k < rest
-                marks = np.concatenate([np.zeros((k, 1), np.int64), np.cumsum(share + extra, axis=1)], axis=1)
-                out += [(names[s], batch, k, at[s], at[s] + cycles * budget, m.tolist()) for s, m in zip(live, marks, strict=True)]
-                at[live] += cycles * budget
-                batch += cycles * k
-            give = grants(end - at, budget, batch)
-            out += [(names[s], batch, 1, at[s], at[s] + give[s], [0, int(give[s])]) for s in np.flatnonzero(give)]
-            at, batch = at + give, batch + 1
-        return pd.DataFrame(out, columns=["stream", "batch_no", "streams", "start_offset", "end_offset", "marks"])
+            k, left = len(live), (end - at)[live]
+            share, rest = divmod(budget, k)
+            place = (np.arange(k) - batch) % k
+            reached = _batch_at(left - 1, k, place, share, rest) + 1
+            full = int((reached - (_taken(reached, k, place, share, rest) > left)).min())
+            if full:
+                took = _taken(np.full(k, full), k, place, share, rest)
+                emit(live, full, k, place, share, rest, took)
+            else:
+                took = grants(left, budget, batch) if k == len(at) else grants(end - at, budget, batch)[live]
+                emit(live, 1, 1, 0, took, 0, took)
+            at[live] += took
+            batch += full or 1
+        return pd.concat(out) if out else pd.DataFrame(columns=[c.split()[0] for c in _PHASES.split(", ")])
 
     return run
 
@@ -97,19 +140,18 @@ def _batch_phases(ranges: DataFrame, max_records: int) -> DataFrame:
     return ranges.groupBy().applyInPandas(_phases(max_records), _PHASES)
 
 
+_PHASE = ("streams", "place", "share", "rest")
+
+
 def plan_batches(ranges: DataFrame, *, max_records: int) -> DataFrame:
     """(stream, batch_no, start_offset, end_offset): budget after budget from start to end, the rotation moving on with each batch.
 
     One task sees the range frame and finds the phases between the streams' ends; the batches inside a phase follow by arithmetic, wherever Spark puts them.
     """
     LimitOptions(max_records=max_records)
-    p = _batch_phases(ranges, max_records)
-    cycle = F.element_at("marks", -1)
-    turns = F.col("streams") * F.ceil((F.col("end_offset") - F.col("start_offset")) / cycle)
-    each = p.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), turns.cast("long") - 1)))
-    step = (F.col("i") % F.col("streams")).cast("int")
-    base = F.col("start_offset") + F.floor(F.col("i") / F.col("streams")) * cycle
-    cut = each.select("stream", (F.col("batch_no") + F.col("i")).alias("batch_no"), (base + F.get("marks", step)).alias("start_offset"), (base + F.get("marks", step + 1)).alias("end_offset"))
+    each = _batch_phases(ranges, max_records).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("batches") - 1)))
+    upto = lambda n: (F.col("start_offset") + _taken(n, *map(F.col, _PHASE))).cast("long")
+    cut = each.select("stream", (F.col("batch_no") + F.col("i")).alias("batch_no"), upto(F.col("i")).alias("start_offset"), upto(F.col("i") + 1).alias("end_offset"))
     return cut.where("start_offset < end_offset")
 
 
@@ -120,10 +162,8 @@ def micro_batches(log: DataFrame, ranges: DataFrame, *, max_records: int, min_re
     """
     LimitOptions(max_records=max_records, min_records=min_records, max_delay=max_delay)
     met = locate(log, _batch_phases(ranges, max_records))
-    cycle, past = F.element_at("marks", -1), F.col("offset") - F.col("range_start")
-    within = F.size(F.filter("marks", lambda m: m <= past % cycle)) - 1
-    batch = F.col("batch_no") + F.floor(past / cycle) * F.col("streams") + within
-    rows = met.withColumn("batch_no", batch.cast("long")).drop("streams", "marks", "range_start")
+    batch = F.col("batch_no") + _batch_at(F.col("offset") - F.col("range_start"), *map(F.col, _PHASE))
+    rows = met.withColumn("batch_no", batch.cast("long")).drop("batches", *_PHASE, "range_start")
     if min_records is None:
         return rows
     size = rows.groupBy("batch_no").agg(F.count("*").alias("n"), F.min(F.unix_micros("chunk_timestamp")).alias("oldest"))

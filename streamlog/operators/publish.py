@@ -6,13 +6,14 @@ import re
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.convert import payload_bytes, to_messages, wire_bytes
 from ..shared import delete, discard, exists, folders, materialise, settle
+from .filters import with_filter_value
 from ..sources.commits import commit, ranges_of, snapshot, write_blocks
 
 #: How often an appender that others were ahead of begins again.
@@ -73,17 +74,19 @@ def _orderable(field: T.StructField) -> Column:
 def dedup_publish(rows: DataFrame, stored: DataFrame, *, order: Sequence[str], producer: str = "producer") -> DataFrame:
     """Drops rows whose id is not above the highest stored for (producer, stream), and repeats of an id, of which the first in ``order`` stays.
 
-    ``stored`` is (producer, stream, max_id). Rows without an id all stay. Repeats are found by a partial aggregate, so a hot producer isn't one task; ties in
-    ``order`` go by a hash of the row, in which maps count by their entries.
+    ``stored`` is (producer, stream, max_id). Rows without an id all stay. Which ids repeat is found first, from the id columns alone, so a hot producer isn't one task and whole rows are shuffled
+    only where their id repeats; ties in ``order`` go by a hash of the row, in which maps count by their entries.
     """
     known = stored.select(F.col(producer).alias("_p"), F.col("stream").alias("_s"), "max_id")
     at = F.col("publishing_id")
-    fresh = rows.join(known, (F.col(producer) == F.col("_p")) & (F.col("stream") == F.col("_s")), "left").where(F.col("max_id").isNull() | at.isNull() | (at > F.col("max_id"))).drop("_p", "_s", "max_id")
-    rank = F.struct(*order, F.xxhash64(*(_orderable(f) for f in fresh.schema.fields)))
-    each = F.when(at.isNull(), F.monotonically_increasing_id())
-    marked = fresh.withColumn("_each", each)
-    first = marked.groupBy(F.col(producer).alias("_p"), F.col("stream").alias("_s"), at.alias("_i"), "_each").agg(F.min_by(F.struct(*(f"`{c}`" for c in fresh.columns)), rank).alias("_row"))
-    return first.select("_row.*")
+    fresh = rows.join(known, (F.col(producer) == F.col("_p")) & (F.col("stream") == F.col("_s")), "left").where(F.col("max_id").isNull() | at.isNull() | (at > F.col("max_id"))).select(rows["*"])
+    key = [F.col(producer).alias("_p"), F.col("stream").alias("_s"), at.alias("_i")]
+    repeated = settle(fresh.where(at.isNotNull()).groupBy(*key).count().where("count > 1").drop("count"), "repeated-ids")
+    of = F.col(producer).eqNullSafe(F.col("_p")) & F.col("stream").eqNullSafe(F.col("_s")) & (at == F.col("_i"))
+    once = fresh.join(repeated, of, "left_anti")
+    rank = F.struct(*order, F.xxhash64(*(_orderable(f) for f in rows.schema.fields)))
+    first = fresh.join(repeated, of, "left_semi").groupBy(*key).agg(F.min_by(F.struct(*(f"`{c}`" for c in rows.columns)), rank).alias("_row"))
+    return once.unionAll(first.select("_row.*"))
 
 
 def producer_name(base: Column, *, partition: Column, query: Column | None = None, epoch: Column | None = None, task: Column | None = None) -> Column:
@@ -106,6 +109,13 @@ def write_summary(messages: DataFrame, *, error: Column | None = None) -> DataFr
     return messages.groupBy("stream").agg(F.count("*").alias("records"), F.sum(payload_bytes(F.col("value"))).alias("payload_bytes"), F.sum(wire_bytes()).alias("wire_bytes"), F.count_if(failed).alias("errors"))
 
 
+def observed(messages: DataFrame, name: str = "writes") -> tuple[DataFrame, Observation]:
+    """``messages``, and what counts them as they pass: records, payload bytes and wire bytes in all, known once the frame has been written. No second pass over the rows."""
+    seen = Observation(name)
+    size = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return messages.observe(seen, F.count(F.lit(1)).alias("records"), size(payload_bytes(F.col("value"))).alias("payload_bytes"), size(wire_bytes()).alias("wire_bytes")), seen
+
+
 class BatchChangedError(RuntimeError):
     """A batch that later ones follow was written again with other numbers of messages."""
 
@@ -167,6 +177,8 @@ def _commit_batch(
         tails = spark.createDataFrame([(r["stream"], r["start_offset"]) for r in starts], "stream string, tail long")
         placed = assign_offsets(messages, order=order, bucket=bucket, tails=tails, counts=counts)
         out = placed.repartition("stream", F.floor(F.col("offset") / 1_000_000)).sortWithinPartitions("stream", "offset").write.option("compression", compression)
+        if "filter_value" in placed.columns:  # a file without a value is skipped by its dictionary or its Bloom filter
+            out = out.option("parquet.bloom.filter.enabled#filter_value", "true").option("parquet.bloom.filter.expected.ndv#filter_value", 10_000)
         if file_records:
             out = out.option("maxRecordsPerFile", file_records)
         out.partitionBy("stream").parquet(folder)
@@ -192,7 +204,7 @@ def _commit_batch(
 
 def append_log(
     messages: DataFrame, path: str, *, mode: str = "append", stream: str | None = None, order: Sequence[str], bucket: Column, compression: str = "none",
-    batch_id: int | None = None, writer: str | None = None, file_records: int | None = None,
+    batch_id: int | None = None, writer: str | None = None, file_records: int | None = None, filter_path: str | None = None,
 ) -> None:
     """Appends messages (with a ``stream`` column) to the log at ``path``: Parquet by batch, attempt and stream, sorted by offset inside files.
 
@@ -200,12 +212,13 @@ def append_log(
     streaming queries, don't replace each other's batches. A batch is there once it is committed (see ``sources.commits``): one that fails leaves nothing that a reader sees and no gap.
     One that is written again takes the offsets it had and replaces itself; it must have as many messages of each stream as before, unless it is the stream's last
     (``BatchChangedError``). Several appenders may write at once: who comes second takes the offsets behind the first, and does its work again only where both wrote to
-    a stream. ``file_records`` bounds the rows of a file. Columns named batch_id, attempt, or with a leading underscore are the log's own.
+    a stream. ``file_records`` bounds the rows of a file. With ``filter_path`` the value there is stored as ``filter_value`` (see ``filters.stored_values``). Columns named batch_id, attempt, or with a leading underscore are the log's own.
     """
     _checked(mode, compression)
     if stream is not None:
         given = F.col("stream")
         messages = messages.withColumn("stream", F.when(given.isNotNull() & (given != stream), F.raise_error(F.concat(F.lit(f"rows for {stream} hold stream "), given))).otherwise(F.lit(stream)))
+    messages = messages if filter_path is None else with_filter_value(messages, filter_path)
     _commit_batch(messages.sparkSession, path, batch_name(batch_id, writer), lambda _: messages, order=order, bucket=bucket, compression=compression, file_records=file_records)
 
 
@@ -219,18 +232,20 @@ def _checked(mode: str, compression: str) -> None:
 def publish_rows(
     rows: DataFrame, path: str, *, route: Callable[[DataFrame], DataFrame] | None = None, producer: str | None = None, order: Sequence[str], bucket: Column, ignore_unknown: bool = False,
     chunk_timestamp: Column | None = None, mode: str = "append", compression: str = "none", batch_id: int | None = None, writer: str | None = None, file_records: int | None = None,
+    filter_path: str | None = None,
 ) -> None:
     """The sink in one call: rows of the sink schema are checked, made messages, routed, rid of what ``producer`` has published before, and appended.
 
     ``order`` and ``bucket`` are of message columns. ``route`` takes messages and returns them with ``stream`` (``route_hash``, ``route_key``); without it rows name
     their stream. With ``producer`` rows are deduplicated by ``publishing_id``, against the ids that the log's commits hold as well: the same rows published again add
-    nothing, also where two publish them at once, and a failure in between publishes them once. ``chunk_timestamp`` is the time of appending by default.
+    nothing, also where two publish them at once, and a failure in between publishes them once. ``chunk_timestamp`` is the time of appending by default; ``filter_path`` is that of ``append_log``, in the messages.
     """
     _checked(mode, compression)
     spark, batch = rows.sparkSession, batch_name(batch_id, writer)
     messages = to_messages(rows, ignore_unknown=ignore_unknown)
     messages = messages.withColumn("chunk_timestamp", F.current_timestamp() if chunk_timestamp is None else chunk_timestamp)
     messages = messages if route is None else route(messages.drop("stream"))
+    messages = messages if filter_path is None else with_filter_value(messages, filter_path)
     held = materialise(messages, "publish")  # read several times below
     made = []
 

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import streaming
-from ..operators import progress, publish, ranges, route
+from ..operators import filters, progress, publish, ranges, route
 from ..options import RangeOptions, micros
 from ..shared import shared_dir
-from ..sources.fixture import bindings, events_log, topology, utc
+from ..sources.fixture import as_messages, bindings, events_log, topology, utc
 from ..sources.log import indexed_bounds, open_log, read, read_log
 from .registry import query
 
@@ -235,3 +235,33 @@ def follow_superstream(s: SparkSession, d: str) -> DataFrame:
 def splits_as_tasks(s: SparkSession, d: str) -> DataFrame:
     """A bounded read in which each split of a thousand offsets is a task."""
     return streaming.split_log(s, _written(s, d), split_records=1000).select("stream", "event_id", "offset")
+
+
+@query("SELECT event_id, stream FROM l WHERE coalesce(region IN ('click', 'error'), true)")
+def stored_filter_values(s: SparkSession, d: str) -> DataFrame:
+    """Rows by a filter value that the sink stored, with those that have none; the predicate reaches the scan."""
+    path = _fresh(s, "log")
+    messages = as_messages(events_log(s, d)).withColumnRenamed("offset", "place")
+    publish.append_log(messages, path, order=["place"], bucket=F.floor(F.col("place") / 1000), filter_path="application_properties.region")
+    return filters.stored_values(open_log(s, path), ["click", "error"], match_unfiltered=True).select("event_id", "stream")
+
+
+@query("SELECT event_type AS producer, count(*) AS n, max(event_id) AS last FROM events GROUP BY event_type")
+def dedup_stream_rows(s: SparkSession, d: str) -> DataFrame:
+    """The events arrive twice, in files by time and again as a whole, through a query that stops in between: each id of a producer comes out once."""
+    source, out, checkpoint = _fresh(s, "arrivals"), _fresh(s, "log"), _fresh(s, "checkpoint")
+    rows = _rows(s, d).select(F.col("event_type").alias("producer"), F.lit("s").alias("stream"), F.col("event_id").alias("publishing_id"))
+    half = rows.agg(F.max("publishing_id")).first()[0] // 2
+    for part in (rows.where(F.col("publishing_id") <= half), rows):
+        part.coalesce(1).write.mode("append").parquet(source)
+        fresh = streaming.dedup_stream(s.readStream.schema(part.schema).parquet(source))
+        fresh.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+    return s.read.parquet(out).groupBy("producer").agg(F.count("*").alias("n"), F.max("publishing_id").alias("last"))
+
+
+@query("SELECT stream, count(*) AS records, count(*) FILTER (WHERE \"offset\" >= 500) AS later FROM l GROUP BY stream")
+def read_stored_batches(s: SparkSession, d: str) -> DataFrame:
+    """A log in twelve batches, read from an offset on by its commits; each batch is appended by itself."""
+    path = _written(s, d, 12)
+    later = read_log(open_log(s, path), ranges.resolve_ranges(open_log(s, path), start="offset", start_offset=500, bounds=publish.recorded_bounds(s, path))).groupBy("stream").agg(F.count("*").alias("later"))
+    return open_log(s, path).groupBy("stream").agg(F.count("*").alias("records")).join(later, "stream")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.publish import append_log
 from ..operators.ranges import start_positions
@@ -118,6 +120,30 @@ def stateful_counts(rows: DataFrame, key: Column) -> DataFrame:
     return rows.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
 
 
+def _highest():
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """The rows of one (producer, stream) whose ids are above all before; the state is the highest id."""
+        reached = state.get[0] if state.exists else -1
+        rows = pd.concat(list(batches), ignore_index=True).sort_values(["publishing_id"], kind="stable")
+        rows = rows[rows.publishing_id > reached].drop_duplicates("publishing_id")
+        if len(rows):
+            state.update((int(rows.publishing_id.max()),))
+        yield rows
+
+    return run
+
+
+def dedup_stream(rows: DataFrame, *, producer: str = "producer") -> DataFrame:
+    """Rows of a stream whose ``publishing_id`` is above every id of their (producer, stream) in the batches before, each id once; a negative or null id is none and fails the job.
+
+    The state is one number a (producer, stream), kept with the query's checkpoint, so repeats are found over batches and restarts. A producer's stream is one task a batch, of as
+    many rows as the batch's budget lets in. For a batch read, or repeats against what is stored with a log, there is ``publish.dedup_publish``.
+    """
+    wrong = F.col("publishing_id").isNull() | (F.col("publishing_id") < 0)
+    checked = rows.withColumn("publishing_id", F.when(wrong, F.raise_error(F.lit("a publishing id must be set and not negative")).cast("long")).otherwise(F.col("publishing_id")))
+    return checked.groupBy(producer, "stream").applyInPandasWithState(_highest(), checked.schema, "max_id long", "append", GroupStateTimeout.NoTimeout)
+
+
 def stream_append(
     rows: DataFrame, path: str, checkpoint: str, *, order: Sequence[str], bucket: Callable[[], Column], mode: str = "append", available_now: bool = False, sink: Callable = append_log, **options
 ) -> DataStreamWriter:

@@ -137,3 +137,50 @@ def test_the_time_index_finds_what_a_scan_finds(spark, tmp_path, monkeypatch, gi
     assert {"anchor", "bound"} & set(found.columns)
     assert spans(ranges.resolve_ranges(log, o, bounds=found)) == spans(ranges.resolve_ranges(log, o))
     assert spans(ranges.start_positions(log, o, found)) == spans(ranges.start_positions(log, o))
+
+
+def test_stored_filter_values_reach_the_scan(spark, tmp_path):
+    """Batches without a value aren't read: the predicate is pushed down, and the scan gives fewer rows."""
+    from streamlog.operators import filters
+
+    path = f"file://{tmp_path}/log"
+    region = lambda n: F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.lit(("alpha", "beta")[n]))
+    for n in range(2):
+        rows = rows_of(spark, 100 * n, 100 * n + 100).withColumn("application_properties", F.map_filter(F.create_map(F.lit("region"), region(n)), lambda _, v: v.isNotNull()))
+        put(rows, path, batch_id=n, filter_path="application_properties.region")
+    log = open_log(spark, path)
+    found = filters.stored_values(log, ["beta"])
+    assert found.count() == 90 and {r["id"] // 100 for r in found.collect()} == {1}
+    assert filters.stored_values(log, ["beta"], match_unfiltered=True).count() == 110
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "filter_value" in plan.split("PushedFilters: [")[1].split("]")[0]
+    plain = filters.filter_values(log, "application_properties.region", ["beta"])
+    assert sorted(r["id"] for r in plain.collect()) == sorted(r["id"] for r in found.collect())
+    with pytest.raises(ValueError):
+        filters.stored_values(log, [])
+
+
+def test_writes_are_counted_as_they_pass(spark, tmp_path):
+    rows = spark.range(50).select(F.encode(F.col("id").cast("string"), "UTF-8").alias("value"), F.lit("s").alias("stream"))
+    from streamlog.functions.convert import to_messages
+
+    messages = to_messages(rows)
+    passing, seen = publish.observed(messages)
+    passing.write.parquet(f"file://{tmp_path}/out")
+    want = publish.write_summary(messages).collect()[0]
+    assert seen.get == {k: want[k] for k in ("records", "payload_bytes", "wire_bytes")}
+
+
+def test_repeats_are_found_over_batches_and_restarts(spark, tmp_path):
+    """Ids of a producer come in three files with repeats in and between them; the query stops after each and goes on from its checkpoint."""
+    from streamlog import streaming as S
+
+    source, out, ck = (f"file://{tmp_path}/{x}" for x in ("in", "out", "ck"))
+    schema = "producer string, stream string, publishing_id long, body string"
+    for n, ids in enumerate(([0, 1, 2, 2], [2, 3, 1, 4], [4, 5, 6, 0])):
+        spark.createDataFrame([("p", "s", i, f"{n}-{i}") for i in ids] + [("q", "s", n, f"{n}-q")], schema).coalesce(1).write.mode("append").parquet(source)
+        rows = S.dedup_stream(spark.readStream.schema(schema).parquet(source))
+        rows.writeStream.format("parquet").option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start(out).awaitTermination()
+    got = [tuple(r) for r in spark.read.parquet(out).select("producer", "publishing_id", "body").collect()]
+    assert sorted(g for g in got if g[0] == "q") == [("q", n, f"{n}-q") for n in range(3)]
+    assert sorted((i, b.split("-")[0]) for p, i, b in got if p == "p") == [(0, "0"), (1, "0"), (2, "0"), (3, "1"), (4, "1"), (5, "2"), (6, "2")]
