@@ -29,6 +29,20 @@ def check_integrity(log: DataFrame) -> DataFrame:
     return out.withColumn("whole", (F.col("rows") == F.col("distinct_offsets")) & (F.col("rows") == F.col("span")))
 
 
+def checked(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The rows of a bounded read, which fails by itself where offsets of its ranges are missing or there twice; ``ranges`` has one row a stream.
+
+    Beside the rows runs a count of their offsets, from the stream and offset columns alone; it gives no rows, only the error. A filtered read skips offsets, so check before filtering.
+    """
+    seen = rows.groupBy("stream").agg(F.count(F.lit(1)).alias("_n"), F.count_distinct("offset").alias("_offsets"))
+    wanted = F.greatest(F.col("end_offset") - F.col("start_offset"), F.lit(0))
+    found = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
+    wrong = ranges.select("stream", "start_offset", "end_offset").join(seen, "stream", "left").where((F.coalesce("_n", F.lit(0)) != wanted) | (F.coalesce("_offsets", F.lit(0)) != wanted))
+    told = F.concat(F.lit("data loss: stream "), F.col("stream"), F.lit(" has "), found("_offsets"), F.lit(" offsets in "), found("_n"), F.lit(" rows of ["), found("start_offset"), F.lit(", "), found("end_offset"), F.lit(")"))
+    none = wrong.where(F.raise_error(told).isNull()).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields))
+    return rows.unionAll(none)
+
+
 def detect_short_ranges(log: DataFrame, ranges: DataFrame) -> DataFrame:
     """(stream, end_offset, reached): ranges whose last offsets the log doesn't have."""
     seen = log.groupBy("stream").agg((F.max("offset") + 1).alias("tail"))

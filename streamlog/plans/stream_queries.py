@@ -265,3 +265,11 @@ def read_stored_batches(s: SparkSession, d: str) -> DataFrame:
     path = _written(s, d, 12)
     later = read_log(open_log(s, path), ranges.resolve_ranges(open_log(s, path), start="offset", start_offset=50, bounds=publish.recorded_bounds(s, path))).groupBy("stream").agg(F.count("*").alias("later"))
     return open_log(s, path).groupBy("stream").agg(F.count("*").alias("records")).join(later, "stream")
+
+
+@query("SELECT stream, count(*) AS n FROM l GROUP BY stream")
+def checked_read(s: SparkSession, d: str) -> DataFrame:
+    """A read of whole streams that counts the offsets that it sees, and would fail where some are gone."""
+    path = _written(s, d)
+    parts = [read(s, path, stream=f"events-{k}", check_rows=True) for k in range(3)]
+    return parts[0].union(parts[1]).union(parts[2]).groupBy("stream").agg(F.count("*").alias("n"))

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.publish import recorded_bounds
-from ..operators.ranges import LITERAL_RANGES, resolve_ranges, time_bounds, within_ranges
+from ..operators.integrity import checked
+from ..operators.ranges import LITERAL_RANGES, DataLossError, resolve_ranges, time_bounds, within_ranges
 from ..options import RangeOptions, one_target
 from ..schema import project_metadata
-from .commits import boundary_offsets, committed_rows
+from ..shared import settle
+from .commits import boundary_offsets, committed_rows, ranges_of, snapshot
 
 def open_log(spark: SparkSession, path: str) -> DataFrame:
     """The committed rows of the log that ``append_log`` writes: partitioned by batch and stream, sorted by offset inside files. Stream and batch names are texts, whatever they look like."""
@@ -54,10 +56,22 @@ def read_superstream(log: DataFrame, topology: DataFrame, superstream: str, *, f
     return log.join(members.distinct(), "stream", "left_semi")
 
 
-def read(spark: SparkSession, path: str, *, stream: str | None = None, superstream: str | None = None, topology: DataFrame | None = None, metadata: Sequence[str] | None = None, **options) -> DataFrame:
+def _covered(spark: SparkSession, path: str, ranges: DataFrame) -> None:
+    """Fails where the commits don't hold every offset of the ranges; one row a (batch, stream) is read."""
+    held = ranges_of(snapshot(spark, path)[1]).select("stream", F.col("start_offset").alias("lo"), (F.col("start_offset") + F.col("n")).alias("hi"))
+    inside = F.greatest(F.lit(0), F.least("hi", "end_offset") - F.greatest("lo", "start_offset"))
+    short = ranges.join(held, "stream", "left").groupBy("stream", "start_offset", "end_offset").agg(F.coalesce(F.sum(inside), F.lit(0)).alias("held")).where("held < end_offset - start_offset").take(1)
+    if short:
+        r = short[0]
+        raise DataLossError(f"stream {r['stream']!r}: commits hold {r['held']} of the offsets [{r['start_offset']}, {r['end_offset']})")
+
+
+def read(spark: SparkSession, path: str, *, stream: str | None = None, superstream: str | None = None, topology: DataFrame | None = None, metadata: Sequence[str] | None = None, check_rows: bool = False, **options) -> DataFrame:
     """A bounded read of one stream or one superstream of the log at ``path``, in one call; ``options`` are those of ``RangeOptions``.
 
-    ``metadata`` names the optional columns to return; all columns without it. The bounds are those of the log's commits, timestamps are found by its time index.
+    ``metadata`` names the optional columns to return; all columns without it. The bounds are those of the log's commits, timestamps are found by its time index. Where the commits
+    don't cover the ranges (an end beyond the tail, a batch that is gone) the read fails, or gives what there is without ``fail_on_data_loss``. With ``check_rows`` it also counts the offsets
+    that it reads, and fails while running where files have lost or repeated some (``integrity.checked``).
     """
     one_target(stream, superstream)
     if superstream is not None and topology is None:
@@ -68,5 +82,12 @@ def read(spark: SparkSession, path: str, *, stream: str | None = None, superstre
     bounds = indexed_bounds(spark, path, RangeOptions(**options))
     if bounds is not None:
         bounds = bounds.join(wanted.distinct(), "stream", "left_semi")
-    found = read_log(rows, resolve_ranges(rows, streams=wanted, bounds=bounds, **options), start_ts=options.get("start_ts") if not options.get("start_ts_by_stream") else None)
+    wanted_ranges = settle(resolve_ranges(rows, streams=wanted, bounds=bounds, **options), "read-ranges")
+    strict = options.get("fail_on_data_loss", True)
+    if bounds is not None and strict:
+        _covered(spark, path, wanted_ranges)
+    found = within_ranges(rows, wanted_ranges)
+    found = checked(found, wanted_ranges) if check_rows and strict else found
+    if options.get("start_ts") is not None and not options.get("start_ts_by_stream"):
+        found = found.where(F.unix_micros("chunk_timestamp") >= options["start_ts"])
     return found if metadata is None else project_metadata(found, metadata)

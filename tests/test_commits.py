@@ -184,3 +184,30 @@ def test_repeats_are_found_over_batches_and_restarts(spark, tmp_path):
     got = [tuple(r) for r in spark.read.parquet(out).select("producer", "publishing_id", "body").collect()]
     assert sorted(g for g in got if g[0] == "q") == [("q", n, f"{n}-q") for n in range(3)]
     assert sorted((i, b.split("-")[0]) for p, i, b in got if p == "p") == [(0, "0"), (1, "0"), (2, "0"), (3, "1"), (4, "1"), (5, "2"), (6, "2")]
+
+
+def test_a_read_fails_where_rows_are_gone(spark, tmp_path):
+    """By the commits at planning: an end beyond the tail, a batch that is gone. While running: files that lost rows, or have some twice."""
+    import shutil
+
+    path = f"file://{tmp_path}/log"
+    for n in range(3):
+        put(rows_of(spark, 10 * n, 10 * n + 10), path, batch_id=n)
+    assert read(spark, path, stream="s0", check_rows=True, end="offset", end_offset=25).count() == 25
+    with pytest.raises(ranges.DataLossError, match="30 of the offsets"):
+        read(spark, path, stream="s0", end="offset", end_offset=99)
+    assert read(spark, path, stream="s0", end="offset", end_offset=99, fail_on_data_loss=False).count() == 30
+    for folder in (tmp_path / "log/batch_id=b1").rglob("stream=s0"):  # the rows of a committed batch are lost
+        shutil.rmtree(folder)
+    assert read(spark, path, stream="s0").count() == 20
+    for action in (lambda d: d.count(), lambda d: d.select("id").collect(), lambda d: d.agg(F.max("offset")).collect()):
+        with pytest.raises(Exception, match="data loss: stream s0 has 20 offsets in 20 rows"):
+            action(read(spark, path, stream="s0", check_rows=True))
+    assert read(spark, path, stream="s0", check_rows=True, start="offset", start_offset=20).count() == 10
+    second = next((tmp_path / "log/_commits").glob("*1.json"))
+    second.unlink()  # and its commit
+    with pytest.raises(ranges.DataLossError, match="20 of the offsets"):
+        read(spark, path, stream="s0")
+    twice = rows_of(spark, 0, 3).withColumn("offset", F.col("id")).unionAll(rows_of(spark, 2, 3).withColumn("offset", F.col("id")))
+    with pytest.raises(Exception, match="3 offsets in 4 rows"):
+        integrity.checked(twice, spark.createDataFrame([("s0", 0, 3)], "stream string, start_offset long, end_offset long")).collect()
