@@ -261,8 +261,8 @@ def dedup_stream_rows(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT stream, count(*) AS records, count(*) FILTER (WHERE \"offset\" >= 50) AS later FROM l GROUP BY stream")
 def read_stored_batches(s: SparkSession, d: str) -> DataFrame:
-    """A log in twelve batches, read from an offset on by its commits; each batch is appended by itself."""
-    path = _written(s, d, 12)
+    """A log in six batches, read from an offset on by its commits; each batch is appended by itself."""
+    path = _written(s, d, 6)
     later = read_log(open_log(s, path), ranges.resolve_ranges(open_log(s, path), start="offset", start_offset=50, bounds=publish.recorded_bounds(s, path))).groupBy("stream").agg(F.count("*").alias("later"))
     return open_log(s, path).groupBy("stream").agg(F.count("*").alias("records")).join(later, "stream")
 
