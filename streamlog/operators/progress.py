@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +16,8 @@ def offsets_to_json(offsets: DataFrame, *, by: Column | None = None) -> DataFram
     return (offsets.groupBy(by) if by is not None else offsets.groupBy()).agg(entries.alias("offsets"))
 
 
-def offsets_from_json(texts: DataFrame, column: str = "offsets") -> DataFrame:
-    """JSON objects -> (stream, next_offset). Blank or broken text, text after the object, repeated keys and negative offsets fail the job."""
+def offsets_from_json(texts: DataFrame, column: str = "offsets", *, keep: Sequence[str] = ()) -> DataFrame:
+    """JSON objects -> (stream, next_offset), after the columns in ``keep``. Blank or broken text, text after the object, repeated keys and negative offsets fail the job."""
     text = F.col(column)
     member = r'\s*"((?:[^"\\]|\\.)*)"\s*:\s*[0-9]+\s*'
     shaped = text.rlike(rf"^\s*\{{(?:{member}(?:,{member})*|\s*)\}}\s*$")
@@ -23,7 +25,7 @@ def offsets_from_json(texts: DataFrame, column: str = "offsets") -> DataFrame:
     parsed = F.from_json(text, "map<string,bigint>")
     fine = F.coalesce(shaped, F.lit(False)) & (F.size(keys) == F.size(F.array_distinct(keys))) & (F.size(parsed) == F.size(keys))
     checked = F.when(fine, parsed).otherwise(F.raise_error(F.concat(F.lit("not an offset map: "), F.coalesce(text, F.lit("null")))).cast("map<string,bigint>"))
-    return texts.select(F.explode(checked).alias("stream", "next_offset"))
+    return texts.select(*keep, F.explode(checked).alias("stream", "next_offset"))
 
 
 def merge_progress(reports: DataFrame) -> DataFrame:

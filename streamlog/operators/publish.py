@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions.convert import payload_bytes, to_messages, wire_bytes
 from ..shared import delete, discard, exists, folders, materialise, settle
 from .filters import with_filter_value
-from ..sources.commits import commit, ranges_of, snapshot, write_blocks
+from ..sources.commits import commit, drop_covered, latest_checkpoint, ranges_of, snapshot, write_blocks
 
 #: How often an appender that others were ahead of begins again.
 TRIES = 50
@@ -161,6 +161,17 @@ def _starts(known: DataFrame | None, batch: str, counts: DataFrame) -> list[Row]
     return [Row(stream=r["stream"], start_offset=first(r), n=r["n"]) for r in placed if r["n"]]
 
 
+def _is_sealed(known: DataFrame | None, batch: str, counts: DataFrame) -> bool:
+    """Whether ``compact`` has merged this batch with others: it is there already. Other numbers of messages fail, but for none at all, as where all of them are known repeats."""
+    sealed = {} if known is None else {r["stream"]: r["n"] for r in known.where("kind = 'sealed'").where(F.col("batch_id") == batch).groupBy("stream").agg(F.sum("n").alias("n")).collect()}
+    if not sealed:
+        return False
+    given = {r["_s"]: r["n"] for r in counts.groupBy("_s").agg(F.sum("_n").alias("n")).collect()}  # one row a stream
+    if given and given != sealed:
+        raise BatchChangedError(f"batch {batch} was merged with others; it had {sum(sealed.values())} messages, now it has {sum(given.values())}, or others of a stream")
+    return True
+
+
 def _commit_batch(
     spark: SparkSession, path: str, batch: str, build: Callable[[DataFrame | None], DataFrame], *, order: Sequence[str], bucket: Column, compression: str, file_records: int | None, ids: bool = False
 ) -> None:
@@ -169,6 +180,8 @@ def _commit_batch(
         version, known = snapshot(spark, path)
         messages = build(known)
         counts = settle(_bucket_counts(messages, "stream", bucket), "append-counts")
+        if _is_sealed(known, batch, counts):
+            return
         starts = _starts(known, batch, counts)
         if not starts:
             return
@@ -261,17 +274,21 @@ def publish_rows(
 
 
 def vacuum(spark: SparkSession, path: str) -> int:
-    """Deletes what attempts left that were never committed, and returns how many there were. Not while an append is running: its rows are such an attempt until it commits."""
-    _, known = snapshot(spark, path)
-    kept = set() if known is None else {r[0] for r in known.select("attempt").distinct().collect()}  # one a batch
+    """Deletes what attempts left that were never committed or that others have replaced, and the commit records that a checkpoint covers; returns how many attempts there were. Not while an
+    append is running, whose rows are such an attempt until it commits, nor while reads are that began before the last compaction."""
+    base, (_, known) = latest_checkpoint(spark, path), snapshot(spark, path)
+    kept = set() if known is None else {r[0] for r in ranges_of(known).select("attempt").distinct().collect()}  # one a batch
     gone = 0
     for batch in folders(spark, path, "batch_id="):
-        for attempt in folders(spark, batch, "attempt="):
-            if attempt.rpartition("=")[2] not in kept:
-                delete(spark, attempt)
-                gone += 1
+        attempts = folders(spark, batch, "attempt=")
+        left = [a for a in attempts if a.rpartition("=")[2] not in kept]
+        for folder in left if len(left) < len(attempts) else [batch]:
+            delete(spark, folder)
+        gone += len(left)
     if exists(spark, f"{path}/_blocks"):
         for attempt in folders(spark, f"{path}/_blocks", "attempt="):
             if attempt.rpartition("=")[2] not in kept:
                 delete(spark, attempt)
+    if base is not None:
+        drop_covered(spark, path, base)
     return gone

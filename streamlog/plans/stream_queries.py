@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import streaming
-from ..operators import filters, progress, publish, ranges, route
+from ..operators import compact, filters, progress, publish, ranges, route
 from ..options import RangeOptions, micros
 from ..shared import shared_dir
 from ..sources.fixture import as_messages, bindings, events_log, topology, utc
+from ..sources.commits import checkpoint_commits
 from ..sources.log import indexed_bounds, open_log, read, read_log
+from ..streaming import positions
 from .registry import query
 
 ORDER = ["ts", "event_id"]
@@ -199,11 +201,11 @@ def indexed_timestamps(s: SparkSession, d: str) -> DataFrame:
     return ranges.resolve_ranges(open_log(s, path), options, bounds=indexed_bounds(s, path, options))
 
 
-def _written(s: SparkSession, d: str, parts: int = 3) -> str:
-    """The events as a log in several batches."""
+def _written(s: SparkSession, d: str, parts: int = 3, of: int | None = None) -> str:
+    """The events as a log in several batches, or the first ``parts`` of ``of``."""
     path, rows = _fresh(s, "log"), _rows(s, d)
     for n in range(parts):
-        publish.append_log(rows.where(F.col("event_id") % parts == n), path, order=ORDER, bucket=_bucket(), batch_id=n)
+        publish.append_log(rows.where(F.col("event_id") % (of or parts) == n), path, order=ORDER, bucket=_bucket(), batch_id=n)
     return path
 
 
@@ -273,3 +275,44 @@ def checked_read(s: SparkSession, d: str) -> DataFrame:
     path = _written(s, d)
     parts = [read(s, path, stream=f"events-{k}", check_rows=True) for k in range(3)]
     return parts[0].union(parts[1]).union(parts[2]).groupBy("stream").agg(F.count("*").alias("n"))
+
+
+@query("""n AS (SELECT event_id, 'events-' || (user_id % 3)::VARCHAR AS stream, ts FROM events)
+SELECT stream, event_id, row_number() OVER (PARTITION BY stream ORDER BY event_id % 6, ts, event_id) - 1 AS "offset" FROM n""")
+def compacted_log(s: SparkSession, d: str) -> DataFrame:
+    """A log in six batches: the first four are merged and their commits checkpointed, the last two follow, one batch is written again, and what was replaced is deleted."""
+    path, rows = _fresh(s, "log"), _rows(s, d)
+    put = lambda n: publish.append_log(rows.where(F.col("event_id") % 6 == n), path, order=ORDER, bucket=_bucket(), batch_id=n)
+    for n in range(5):
+        put(n)
+    compact.compact_log(s, path)
+    checkpoint_commits(s, path)
+    put(1)  # merged already: it stays as it is
+    put(5)
+    publish.vacuum(s, path)
+    return open_log(s, path).select("stream", "event_id", "offset")
+
+
+@query("""SELECT 'events-' || (user_id % 3)::VARCHAR AS stream, count(*) FILTER (WHERE event_id % 3 < 2) AS next_offset, count(*) AS tail, count(*) FILTER (WHERE event_id % 3 = 2) AS lag
+FROM events GROUP BY 1""")
+def lag_of_query(s: SparkSession, d: str) -> DataFrame:
+    """A query drains two batches of a log, a third arrives: how far it is behind, by its checkpoint and the log's commits."""
+    path, checkpoint = _written(s, d, 2, of=3), _fresh(s, "checkpoint")
+    rows = streaming.follow_log(s, path, max_records=max(1, publish.recorded_bounds(s, path).agg(F.sum("tail")).first()[0] // 3), until_now=True).select("event_id", "stream", "ts")
+    streaming.drain(streaming.stream_append(rows, _fresh(s, "log"), checkpoint, order=ORDER, bucket=_bucket))
+    publish.append_log(_rows(s, d).where(F.col("event_id") % 3 == 2), path, order=ORDER, bucket=_bucket(), batch_id=2)
+    return positions.query_lag(s, path, checkpoint)
+
+
+@query("SELECT 'events-' || (user_id % 3)::VARCHAR AS stream, count(*) - 1 AS last_processed, 0::BIGINT AS repeats FROM events GROUP BY 1")
+def kept_progress(s: SparkSession, d: str) -> DataFrame:
+    """The progress table of a query that runs, stops, and goes on from its checkpoint; progress is kept after each run and once more."""
+    checkpoint, table, out, path = (_fresh(s, x) for x in ("checkpoint", "progress", "log", "log"))
+    for n in range(2):
+        publish.append_log(_rows(s, d).where(F.col("event_id") % 2 == n), path, order=ORDER, bucket=_bucket(), batch_id=n)
+        budget = max(1, publish.recorded_bounds(s, path).agg(F.sum("tail")).first()[0] // 3)
+        rows = streaming.follow_log(s, path, max_records=budget, until_now=True).select("event_id", "stream", "ts")
+        streaming.drain(streaming.stream_append(rows, out, checkpoint, order=ORDER, bucket=_bucket))
+        positions.keep_progress(s, checkpoint, table)
+    positions.keep_progress(s, checkpoint, table)
+    return positions.progress_table(s, table).groupBy("stream").agg(F.max("last_processed").alias("last_processed"), (F.count("*") - F.count_distinct("last_processed")).alias("repeats"))

@@ -48,6 +48,12 @@ def folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return [str(f.getPath().toString()) for f in files.listStatus(target) if f.isDirectory() and f.getPath().getName().startswith(prefix)]
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """The names of the files right below ``path``."""
+    store, target = _hadoop(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(target) if f.isFile()]
+
+
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Puts a whole file at ``path`` unless there is one; whether this call did. Others see all of it or nothing."""
     files, target = _hadoop(spark, path)

@@ -4,13 +4,17 @@ A batch's rows go to a folder of their attempt first, ``batch_id=<batch>/attempt
 there whole, and only if there is none of that version yet. So readers see all of a batch or nothing, an appender that dies leaves the log as it was, and of two
 appenders that aim at the same version one must look again. The store needs an atomic rename that doesn't replace (HDFS and its kin, or a local disk).
 
-A record has a line for each stream of the batch (kind ``range``) and one for each of its (producer, stream) pairs (kind ``ids``). Blocks of offsets with their least and
-greatest times lie beside it in ``_blocks/attempt=<attempt>``, as Parquet.
+A record has a line for each stream of the batch (kind ``range``) and one for each of its (producer, stream) pairs (kind ``ids``). Where it merges batches (``operators.compact``) it has
+a line for each (batch, stream) that went into it as well (kind ``sealed``). Blocks of offsets with their least and greatest times lie beside it in ``_blocks/attempt=<attempt>``, as Parquet.
+
+``_checkpoints/<version>.json`` names a Parquet folder with the lines of all batches as of that version; records up to it aren't read any more.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..operators.ranges import within_ranges
-from ..shared import SETTLED_ROWS, create_new, exists, materialise, settle
+from ..shared import SETTLED_ROWS, create_new, delete, exists, files, folders, materialise, settle
 
 _LINE = "kind string, batch_id string, attempt string, stream string, start_offset long, n long, producer string, max_id long"
 _BLOCK = "stream string, lo long, hi long, n long, least_chunk long, most_chunk long, least_time long, most_time long"
@@ -31,21 +35,46 @@ LITERAL_ATTEMPTS = 2000
 
 def snapshot(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
     """The latest version, -1 before the first commit, and the lines of every batch's latest attempt: one row a (batch, stream) and (batch, producer, stream)."""
-    folder = f"{path}/_commits"
-    if not exists(spark, folder):
+    if not exists(spark, f"{path}/_commits"):
         return -1, None
+    base = latest_checkpoint(spark, path)
+    while True:
+        found = _newest_lines(spark, path, base)
+        again = latest_checkpoint(spark, path)
+        if again == base:
+            return found
+        base = again  # records may have gone while they were read
+
+
+def latest_checkpoint(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """The version and the folder of the newest checkpoint."""
+    folder = f"{path}/_checkpoints"
+    versions = [int(f[:20]) for f in files(spark, folder) if re.fullmatch(r"\d{20}\.json", f)] if exists(spark, folder) else []
+    if not versions:
+        return None
+    return max(versions), f"{folder}/{spark.read.json(f'{folder}/{max(versions):020d}.json', schema='folder string').first()[0]}"
+
+
+def _newest_lines(spark: SparkSession, path: str, base: tuple[int, str] | None) -> tuple[int, DataFrame | None]:
     version = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)", 1).cast("long")
-    lines = spark.read.schema(_LINE).json(folder).withColumn("version", version)
-    few = lines.limit(SETTLED_ROWS + 1).toPandas()
-    if len(few) <= SETTLED_ROWS:
-        if few.empty:
-            return -1, None
-        newest = few.loc[few.groupby("batch_id").version.idxmax(), "attempt"]
-        kept = few[few.attempt.isin(newest)]
-        return int(few.version.max()), spark.createDataFrame(pa.Table.from_pandas(kept, schema=to_arrow_schema(lines.schema), preserve_index=False), schema=lines.schema)
+    records = spark.read.schema(_LINE).json(f"{path}/_commits")
+    if base is not None:
+        records = records.where(F.col("_metadata.file_name") > f"{base[0]:020d}.json")  # files are skipped by their names
+    lines = records.withColumn("version", version)
+    if base is not None:
+        lines = lines.unionByName(spark.read.schema(f"{_LINE}, version long").parquet(base[1]))
+    floor = -1 if base is None else base[0]
+    few = lines.limit(SETTLED_ROWS + 1).toArrow()
+    if few.num_rows <= SETTLED_ROWS:
+        rows = few.to_pylist()
+        if not rows:
+            return floor, None
+        newest = {r["batch_id"]: r["attempt"] for r in sorted(rows, key=lambda r: r["version"])}
+        kept = pa.Table.from_pylist([r for r in rows if newest[r["batch_id"]] == r["attempt"]], schema=to_arrow_schema(lines.schema))
+        return max(floor, *(r["version"] for r in rows)), spark.createDataFrame(kept, schema=lines.schema)
     lines = materialise(lines, "commits")
     newest = lines.groupBy("batch_id").agg(F.max_by("attempt", "version").alias("attempt"))
-    return lines.agg(F.max("version")).first()[0], lines.join(newest, ["batch_id", "attempt"], "left_semi")
+    return max(floor, lines.agg(F.max("version")).first()[0]), lines.join(newest, ["batch_id", "attempt"], "left_semi")
 
 
 def boundary_offsets(spark: SparkSession, path: str, *, start_ts: Column | None, end_ts: Column | None) -> DataFrame | None:
@@ -73,6 +102,36 @@ def commit(spark: SparkSession, path: str, version: int, lines: list[dict]) -> b
     return create_new(spark, f"{path}/_commits/{version:020d}.json", "".join(json.dumps(x) + "\n" for x in lines))
 
 
+def checkpoint_commits(spark: SparkSession, path: str) -> int | None:
+    """Keeps the lines of all batches as of now in one Parquet table, so that appends and reads open it and the records after it; returns its version, or None where nothing is new.
+
+    Of merged batches only those are remembered that somebody may write again: batches with a number. Records and older checkpoints stay until ``publish.vacuum``.
+    """
+    base, (version, known) = latest_checkpoint(spark, path), snapshot(spark, path)
+    if known is None or (base is not None and base[0] >= version):
+        return None
+    name = f"{version:020d}-{uuid.uuid4().hex}"
+    needed = known.where("kind <> 'sealed' or batch_id rlike '^[bq]'")
+    needed.write.parquet(f"{path}/_checkpoints/{name}")
+    if not create_new(spark, f"{path}/_checkpoints/{version:020d}.json", json.dumps({"folder": name}) + "\n"):
+        delete(spark, f"{path}/_checkpoints/{name}")  # another was first, with the same lines
+        return None
+    return version
+
+
+def drop_covered(spark: SparkSession, path: str, base: tuple[int, str]) -> None:
+    """Deletes the records that the checkpoint ``base`` covers, and the checkpoints before it."""
+    for name in files(spark, f"{path}/_commits"):
+        if re.fullmatch(r"\d{20}\.json", name) and int(name[:20]) <= base[0]:
+            delete(spark, f"{path}/_commits/{name}")
+    for name in files(spark, f"{path}/_checkpoints"):
+        if re.fullmatch(r"\d{20}\.json", name) and int(name[:20]) < base[0]:
+            delete(spark, f"{path}/_checkpoints/{name}")
+    for folder in folders(spark, f"{path}/_checkpoints", ""):
+        if int(folder.rpartition("/")[2][:20]) <= base[0] and folder.rpartition("/")[2] != base[1].rpartition("/")[2]:
+            delete(spark, folder)
+
+
 def ranges_of(known: DataFrame) -> DataFrame:
     """(stream, start_offset, n, batch_id, attempt) of committed batches."""
     return known.where("kind = 'range'").select("stream", "start_offset", "n", "batch_id", "attempt")
@@ -109,7 +168,7 @@ def committed_rows(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(T.StructType(texts)).parquet(path)
     if known is None:
         return rows
-    attempts = known.select("attempt").distinct()
+    attempts = ranges_of(known).select("attempt").distinct()
     few = [r[0] for r in attempts.limit(LITERAL_ATTEMPTS + 1).collect()]
     kept = rows.where(F.col("attempt").isin(few)) if len(few) <= LITERAL_ATTEMPTS else rows.join(attempts, "attempt", "left_semi")
     return kept.drop("attempt")

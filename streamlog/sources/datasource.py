@@ -7,6 +7,7 @@ the Parquet files that hold a split's offsets; their row groups are pruned by of
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
@@ -43,23 +44,53 @@ class Split(InputPartition):
 
 
 class Commits:
-    """The commits of a log, read with the store's own client. Each record is read once; a batch's latest attempt counts."""
+    """The commits of a log, read with the store's own client. Each record is read once, those of before a checkpoint from it; a batch's latest attempt counts."""
 
     def __init__(self, path: str):
         self.store, self.root = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-        self.seen: set[str] = set()
+        self.version = -1
         self.batches: dict[str, tuple[str, dict[str, tuple[int, int]]]] = {}
 
+    def _versions(self, folder: str) -> dict[int, str]:
+        found = self.store.get_file_info(fs.FileSelector(f"{self.root}/{folder}", allow_not_found=True))
+        return {int(f.base_name[:20]): f.path for f in found if re.fullmatch(r"\d{20}\.json", f.base_name)}
+
+    def _lines(self, path: str) -> list[dict]:
+        return [json.loads(x) for x in self.store.open_input_stream(path).read().decode().splitlines()]
+
     def refresh(self) -> Commits:
-        for info in sorted(self.store.get_file_info(fs.FileSelector(f"{self.root}/_commits", allow_not_found=True)), key=lambda f: f.base_name):
-            if info.base_name in self.seen or info.base_name.startswith(".") or not info.base_name.endswith(".json"):
+        checked = None
+        while True:
+            covered = self._versions("_checkpoints")
+            newest = max(covered, default=-1)
+            if newest > self.version:
+                folder = self._lines(covered[newest])[0]["folder"]
+                files = [f.path for f in self.store.get_file_info(fs.FileSelector(f"{self.root}/_checkpoints/{folder}")) if f.base_name.endswith(".parquet")]
+                self.batches, self.version = {}, newest
+                self._apply(ds.dataset(files, filesystem=self.store, format="parquet").to_table().to_pylist())
+            later = sorted((v, p) for v, p in self._versions("_commits").items() if v > self.version)
+            if later and later[0][0] != self.version + 1 and checked != newest:  # records may have gone to a checkpoint meanwhile
+                checked = newest
                 continue
-            lines = [json.loads(x) for x in self.store.open_input_stream(info.path).read().decode().splitlines()]
-            ranges = {x["stream"]: (x["start_offset"], x["start_offset"] + x["n"]) for x in lines if x["kind"] == "range"}
+            for version, path in later:
+                self._apply(self._lines(path))
+                self.version = version
+            return self
+
+    def _apply(self, lines: list[dict]) -> None:
+        by_batch: dict[tuple[str, str], list[dict]] = {}
+        for x in lines:
+            by_batch.setdefault((x["batch_id"], x["attempt"]), []).append(x)
+        for (batch, attempt), rows in by_batch.items():
+            ranges: dict[str, tuple[int, int]] = {}
+            for x in rows:
+                if x["kind"] == "range":
+                    lo, hi = ranges.get(x["stream"], (x["start_offset"], 0))
+                    ranges[x["stream"]] = (min(lo, x["start_offset"]), max(hi, x["start_offset"] + x["n"]))
             if ranges:
-                self.batches[lines[0]["batch_id"]] = (lines[0]["attempt"], ranges)
-            self.seen.add(info.base_name)
-        return self
+                self.batches[batch] = (attempt, ranges)
+            else:  # merged into another
+                self.batches.pop(batch, None)
 
     def bounds(self) -> dict[str, tuple[int, int]]:
         """Each stream's first offset and its tail."""
