@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..shared import delete
-from ..sources.commits import commit, ranges_of, snapshot, write_blocks
+from ..sources.commits import columns_line, commit, ranges_of, snapshot, write_blocks
 from .publish import COMPRESSIONS, TRIES, ConflictError
 from .ranges import DataLossError
 
@@ -66,12 +66,14 @@ def compact_log(spark: SparkSession, path: str, *, small: int = 1_000_000, at_on
         ids = known.where("kind = 'ids'").where(F.col("batch_id").isin(names)).groupBy("producer", "stream").agg(F.max("max_id").alias("max_id")).collect()
         batch, attempt = f"c{uuid.uuid4().hex}", uuid.uuid4().hex
         folder = f"{path}/batch_id={batch}/attempt={attempt}"
-        _rewrite(_rows_of(spark, path, chosen), folder, compression)
+        rows = _rows_of(spark, path, chosen)
+        _rewrite(rows, folder, compression)
         written = spark.read.schema("stream string, offset long").parquet(folder)
         runs = _runs(lies)
         _same_offsets(written, runs)
         write_blocks(_times(spark, folder), path, attempt)
         lines = [{"kind": "range", "batch_id": batch, "attempt": attempt, "stream": s, "start_offset": lo, "n": n} for s, lo, n in runs]
+        lines.append(columns_line(batch, attempt, rows.schema))
         lines += [{"kind": "ids", "batch_id": batch, "attempt": attempt, **r.asDict()} for r in ids]
         lines += [{"kind": "sealed", "batch_id": r["batch_id"], "attempt": attempt, "stream": r["stream"], "start_offset": r["start_offset"], "n": r["n"]} for r in lies]
         while not commit(spark, path, version + 1, lines):

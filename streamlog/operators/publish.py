@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions.convert import payload_bytes, to_messages, wire_bytes
 from ..shared import delete, discard, exists, folders, materialise, settle
 from .filters import with_filter_value
-from ..sources.commits import commit, drop_covered, latest_checkpoint, ranges_of, snapshot, write_blocks
+from ..sources.commits import columns_line, columns_of, commit, drop_covered, latest_checkpoint, ranges_of, snapshot, write_blocks
 
 #: How often an appender that others were ahead of begins again.
 TRIES = 50
@@ -161,6 +161,14 @@ def _starts(known: DataFrame | None, batch: str, counts: DataFrame) -> list[Row]
     return [Row(stream=r["stream"], start_offset=first(r), n=r["n"]) for r in placed if r["n"]]
 
 
+def _fits(given: T.StructType, known: T.StructType | None) -> None:
+    """A log's column has one type. Batches may have other columns than those before."""
+    types = {} if known is None else {f.name: f.dataType.simpleString() for f in known.fields}
+    for f in given.fields:
+        if types.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString():
+            raise ValueError(f"column {f.name!r} is {types[f.name]} in the log, not {f.dataType.simpleString()}")
+
+
 def _is_sealed(known: DataFrame | None, batch: str, counts: DataFrame) -> bool:
     """Whether ``compact`` has merged this batch with others: it is there already. Other numbers of messages fail, but for none at all, as where all of them are known repeats."""
     sealed = {} if known is None else {r["stream"]: r["n"] for r in known.where("kind = 'sealed'").where(F.col("batch_id") == batch).groupBy("stream").agg(F.sum("n").alias("n")).collect()}
@@ -179,6 +187,7 @@ def _commit_batch(
     for _ in range(TRIES):
         version, known = snapshot(spark, path)
         messages = build(known)
+        _fits(messages.schema, columns_of(known, but_batch=batch))
         counts = settle(_bucket_counts(messages, "stream", bucket), "append-counts")
         if _is_sealed(known, batch, counts):
             return
@@ -197,6 +206,7 @@ def _commit_batch(
         out.partitionBy("stream").parquet(folder)
         write_blocks(spark.read.schema(placed.schema).parquet(folder), path, attempt)
         lines = [{"kind": "range", "batch_id": batch, "attempt": attempt, "stream": r["stream"], "start_offset": r["start_offset"], "n": r["n"]} for r in starts]
+        lines.append(columns_line(batch, attempt, placed.schema))
         if ids:
             found = messages.where("publishing_id is not null").groupBy("producer", "stream").agg(F.max("publishing_id").alias("max_id")).collect()  # one row a stream
             lines += [{"kind": "ids", "batch_id": batch, "attempt": attempt, **r.asDict()} for r in found]

@@ -4,7 +4,7 @@ A batch's rows go to a folder of their attempt first, ``batch_id=<batch>/attempt
 there whole, and only if there is none of that version yet. So readers see all of a batch or nothing, an appender that dies leaves the log as it was, and of two
 appenders that aim at the same version one must look again. The store needs an atomic rename that doesn't replace (HDFS and its kin, or a local disk).
 
-A record has a line for each stream of the batch (kind ``range``) and one for each of its (producer, stream) pairs (kind ``ids``). Where it merges batches (``operators.compact``) it has
+A record has a line for each stream of the batch (kind ``range``) and one for each of its (producer, stream) pairs (kind ``ids``), and one for its columns (kind ``columns``). Where it merges batches (``operators.compact``) it has
 a line for each (batch, stream) that went into it as well (kind ``sealed``). Blocks of offsets with their least and greatest times lie beside it in ``_blocks/attempt=<attempt>``, as Parquet.
 
 ``_checkpoints/<version>.json`` names a Parquet folder with the lines of all batches as of that version; records up to it aren't read any more.
@@ -25,8 +25,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..operators.ranges import within_ranges
 from ..shared import SETTLED_ROWS, create_new, delete, exists, files, folders, materialise, settle
 
-_LINE = "kind string, batch_id string, attempt string, stream string, start_offset long, n long, producer string, max_id long"
+_LINE = "kind string, batch_id string, attempt string, stream string, start_offset long, n long, producer string, max_id long, columns string"
 _BLOCK = "stream string, lo long, hi long, n long, least_chunk long, most_chunk long, least_time long, most_time long"
+#: Columns that a row's folders give.
+_FOLDERS = ("batch_id", "attempt", "stream")
 #: Offsets of a block of the time index.
 BLOCK = 50_000
 #: Up to so many attempts stand in a read's plan as one predicate on the partition column.
@@ -137,6 +139,25 @@ def ranges_of(known: DataFrame) -> DataFrame:
     return known.where("kind = 'range'").select("stream", "start_offset", "n", "batch_id", "attempt")
 
 
+def columns_of(known: DataFrame | None, *, but_batch: str | None = None) -> T.StructType | None:
+    """The columns of all batches by their names, in the order in which they came; None where a batch's commit doesn't tell them."""
+    if known is None:
+        return None
+    told = known.where("kind = 'columns'").where(~F.col("batch_id").eqNullSafe(F.lit(but_batch)))
+    if ranges_of(known).where(~F.col("batch_id").eqNullSafe(F.lit(but_batch))).join(told.select("batch_id"), "batch_id", "left_anti").take(1):
+        return None
+    fields: dict[str, T.StructField] = {}
+    for r in told.groupBy("columns").agg(F.min("version").alias("first")).orderBy("first", "columns").collect():  # one row a schema that the log has had
+        for f in T.StructType.fromJson(json.loads(r["columns"])).fields:
+            fields.setdefault(f.name, f)
+    return T.StructType(list(fields.values()))
+
+
+def columns_line(batch: str, attempt: str, schema: T.StructType) -> dict:
+    """The line that tells an attempt's columns, but for those that its folders give."""
+    return {"kind": "columns", "batch_id": batch, "attempt": attempt, "columns": T.StructType([f for f in schema.fields if f.name not in _FOLDERS]).json()}
+
+
 def write_blocks(rows: DataFrame, path: str, attempt: str) -> None:
     """The time index of an attempt's rows, from their stream, offset and time columns alone. Rows without times have none."""
     if "chunk_timestamp" not in rows.columns:
@@ -161,10 +182,11 @@ def blocks(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def committed_rows(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of committed batches, with ``stream`` and ``batch_id`` as the texts they are. A folder without commits is read as it lies."""
+    """The rows of committed batches, with ``stream`` and ``batch_id`` as the texts they are, and every column that a batch has; it is null in the others. A folder without commits is read as it lies."""
     _, known = snapshot(spark, path)
-    named = spark.read.parquet(path).schema
-    texts = [T.StructField(f.name, T.StringType(), f.nullable) if f.name in ("stream", "batch_id", "attempt") else f for f in named.fields]
+    told = columns_of(known)
+    named = spark.read.parquet(path).schema if told is None else T.StructType([*told.fields, *(T.StructField(c, T.StringType()) for c in _FOLDERS)])
+    texts = [T.StructField(f.name, T.StringType(), f.nullable) if f.name in _FOLDERS else f for f in named.fields]
     rows = spark.read.schema(T.StructType(texts)).parquet(path)
     if known is None:
         return rows

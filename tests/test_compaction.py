@@ -116,11 +116,28 @@ def test_columns_and_ids_are_kept(spark, tmp_path):
     send(0, 5, batch_id=0)  # again: known, and merged
     got = sorted((r["offset"], r["publishing_id"]) for r in open_log(spark, path).collect())
     assert got == [(k, k) for k in range(12)]
-    merged = shared.folders(spark, next(f for f in shared.folders(spark, path, "batch_id=") if "batch_id=c" in f), "attempt=")
-    found = filters.stored_values(spark.read.parquet(merged[0]), ["1"])  # the values that one of the two batches had
+    found = filters.stored_values(open_log(spark, path), ["1"])  # the values that one of the two batches had
     assert sorted(r["publishing_id"] for r in found.collect()) == [5, 7]
 
 
+def test_batches_may_have_columns_of_their_own(spark, tmp_path):
+    path = f"file://{tmp_path}/log"
+    put(rows_of(spark, 0, 4, streams=1), path, batch_id=0)
+    put(rows_of(spark, 4, 8, streams=1).withColumn("later", F.col("id") * 2), path, batch_id=1)
+    put(rows_of(spark, 8, 10, streams=1).drop("chunk_timestamp"), path, batch_id=2)
+    got = lambda: [(r["id"], r["later"], r["chunk_timestamp"] is None) for r in open_log(spark, path).orderBy("offset").collect()]
+    want = [(k, 2 * k if 4 <= k < 8 else None, k >= 8) for k in range(10)]
+    assert got() == want and open_log(spark, path).columns == ["id", "chunk_timestamp", "offset", "later", "batch_id", "stream"]
+    with pytest.raises(ValueError, match="'id' is bigint in the log, not string"):
+        put(rows_of(spark, 10, 12, streams=1).withColumn("id", F.col("id").cast("string")), path, batch_id=3)
+    assert compact.compact_log(spark, path) == 2 and got() == want
+    commits.checkpoint_commits(spark, path)
+    publish.vacuum(spark, path)
+    assert got() == want
+    put(rows_of(spark, 8, 10, streams=1), path, batch_id=2)  # the last batch again, now with its times
+    assert [g[:2] for g in got()] == [w[:2] for w in want]
+
+
 def test_large_ids_are_whole_numbers(spark, tmp_path):
     """Ids beyond 2^53 beside records that have none."""
     path, big = f"file://{tmp_path}/log", 2**53
