@@ -6,18 +6,22 @@ import re
 import uuid
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.convert import payload_bytes, to_messages, wire_bytes
-from ..shared import delete, discard, exists, folders, materialise, settle
+from ..shared import SETTLED_ROWS, delete, discard, exists, folders, materialise, settle
 from .filters import with_filter_value
-from ..sources.commits import columns_line, columns_of, commit, drop_covered, latest_checkpoint, ranges_of, snapshot, write_blocks
+from ..sources.commits import columns_line, columns_of, commit, drop_covered, few_lines, latest_checkpoint, ranges_of, snapshot, write_blocks
 
 #: How often an appender that others were ahead of begins again.
 TRIES = 50
+#: Offsets of a stream that one task writes in a row, and files where their rows are bounded.
+WRITE_RUN, SMALL_FILES = 1_000_000, 25
 COMPRESSIONS = ("none", "gzip", "snappy", "lz4", "zstd")
 
 
@@ -25,18 +29,20 @@ def _bucket_counts(rows: DataFrame, stream: str, bucket: Column) -> DataFrame:
     return rows.groupBy(F.col(stream).alias("_s"), bucket.alias("_b")).agg(F.count("*").alias("_n"))
 
 
-def assign_offsets(rows: DataFrame, *, order: Sequence[str], bucket: Column, tails: DataFrame | None = None, stream: str = "stream", offset: str = "offset", counts: DataFrame | None = None) -> DataFrame:
+def assign_offsets(rows: DataFrame, *, order: Sequence[str], bucket: Column, tails: DataFrame | None = None, stream: str = "stream", offset: str = "offset", counts: DataFrame | None = None, bases: DataFrame | None = None) -> DataFrame:
     """Adds consecutive offsets per stream, in ``order``, from the stream's tail (0 without one).
 
     ``bucket`` must not fall as ``order`` rises, such as the day of the first key: rows are numbered inside (stream, bucket), and buckets by prefix sums of
     their counts, so no task holds a stream. ``order`` must be unique in a stream, else a retry may number ties anew. ``counts`` are rows by (stream, bucket)
-    where they are known already.
+    where they are known already, ``bases`` the first offset of each of them (``_s``, ``_b``, ``_base``), tails included.
     """
-    counts = _bucket_counts(rows, stream, bucket) if counts is None else counts
-    base = F.coalesce(F.sum("_n").over(W.partitionBy("_s").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select("_s", "_b", base.alias("_base"))
-    if tails is not None:
-        starts = starts.join(tails.select(F.col("stream").alias("_s"), "tail"), "_s", "left").withColumn("_base", F.col("_base") + F.coalesce("tail", F.lit(0))).drop("tail")
+    starts = bases
+    if starts is None:
+        counts = _bucket_counts(rows, stream, bucket) if counts is None else counts
+        base = F.coalesce(F.sum("_n").over(W.partitionBy("_s").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        starts = counts.select("_s", "_b", base.alias("_base"))
+        if tails is not None:
+            starts = starts.join(tails.select(F.col("stream").alias("_s"), "tail"), "_s", "left").withColumn("_base", F.col("_base") + F.coalesce("tail", F.lit(0))).drop("tail")
     cut = rows.withColumn("_bucket", bucket)
     here = cut.withColumn("_row", F.row_number().over(W.partitionBy(stream, "_bucket").orderBy(*order)) - 1)
     joined = here.join(starts, (F.col(stream) == F.col("_s")) & F.col("_bucket").eqNullSafe(F.col("_b")))
@@ -144,21 +150,55 @@ def batch_name(batch_id: int | None, writer: str | None = None) -> str:
     return f"b{batch_id}" if writer is None else f"q{re.sub(r'[^0-9A-Za-z_-]', '_', writer)}-b{batch_id}"
 
 
-def _starts(known: DataFrame | None, batch: str, counts: DataFrame) -> list[Row]:
-    """(stream, start_offset, n): where this batch goes in each of its streams, one row a stream. A batch that is there already keeps its place."""
-    sizes = counts.groupBy(F.col("_s").alias("stream")).agg(F.sum("_n").alias("n"))
-    if known is None:
-        return sizes.select("stream", F.lit(0).cast("long").alias("start_offset"), "n").collect()
+def _stream_sizes(counts: DataFrame | pa.Table) -> dict[str, int]:
+    """Messages of each stream: one row a stream."""
+    if isinstance(counts, pa.Table):
+        sums = counts.group_by("_s").aggregate([("_n", "sum")])
+        return dict(zip(sums["_s"].to_pylist(), sums["_n_sum"].to_pylist(), strict=True))
+    return {r["_s"]: r["n"] for r in counts.groupBy("_s").agg(F.sum("_n").alias("n")).collect()}
+
+
+def _places(known: DataFrame | list[dict], batch: str, streams: Sequence[str]) -> tuple[dict[str, int], dict[str, tuple[int, int]]]:
+    """Tails of other batches in ``streams``, and (start, n) of this one's own streams."""
+    if isinstance(known, list):
+        tails: dict[str, int] = {}
+        own = {}
+        for r in known:
+            if r["kind"] == "range" and r["batch_id"] == batch:
+                own[r["stream"]] = (r["start_offset"], r["n"])
+            elif r["kind"] == "range":
+                tails[r["stream"]] = max(tails.get(r["stream"], 0), r["start_offset"] + r["n"])
+        return tails, own
     lies = ranges_of(known)
-    others = lies.where(F.col("batch_id") != batch).groupBy("stream").agg(F.max(F.col("start_offset") + F.col("n")).alias("tail"))
-    own = lies.where(F.col("batch_id") == batch).select("stream", F.col("start_offset").alias("own_start"), F.col("n").alias("own_n"))
-    placed = sizes.join(own, "stream", "full").join(others, "stream", "left").collect()
-    for r in placed:
-        followed = r["own_n"] is not None and r["n"] != r["own_n"] and (r["n"] is None or (r["tail"] or 0) > r["own_start"])
-        if followed:
-            raise BatchChangedError(f"batch {batch} had {r['own_n']} messages of stream {r['stream']!r}, now it has {r['n'] or 0}")
-    first = lambda r: r["own_start"] if r["own_start"] is not None else r["tail"] or 0
-    return [Row(stream=r["stream"], start_offset=first(r), n=r["n"]) for r in placed if r["n"]]
+    own = {r["stream"]: (r["start_offset"], r["n"]) for r in lies.where(F.col("batch_id") == batch).collect()}  # one row a stream
+    wanted = known.sparkSession.createDataFrame([(x,) for x in {*streams, *own}], "stream string")
+    others = lies.where(F.col("batch_id") != batch).join(wanted, "stream", "left_semi").groupBy("stream").agg(F.max(F.col("start_offset") + F.col("n")).alias("tail"))
+    return {r["stream"]: r["tail"] for r in others.collect()}, own
+
+
+def _starts(known: DataFrame | list[dict] | None, batch: str, sizes: dict[str, int]) -> list[Row]:
+    """(stream, start_offset, n): where this batch goes in each of its streams, one row a stream. A batch that is there already keeps its place."""
+    tails, own = ({}, {}) if known is None else _places(known, batch, list(sizes))
+    for stream, (start, before) in own.items():
+        now = sizes.get(stream)
+        if now != before and (now is None or tails.get(stream, 0) > start):
+            raise BatchChangedError(f"batch {batch} had {before} messages of stream {stream!r}, now it has {now or 0}")
+    return [Row(stream=x, start_offset=own[x][0] if x in own else tails.get(x, 0), n=n) for x, n in sizes.items() if n]
+
+
+def _bases(counts: pa.Table, starts: list[Row]) -> pa.Table | None:
+    """The first offset of each (stream, bucket); None for buckets of a kind that Arrow orders differently from Spark."""
+    kind = counts["_b"].type
+    if not (pa.types.is_integer(kind) or pa.types.is_temporal(kind) or pa.types.is_string(kind)):
+        return None
+    ordered = counts.sort_by([("_s", "ascending"), ("_b", "ascending")])
+    nulls = ordered["_b"].is_null()
+    ordered = pa.concat_tables([ordered.filter(nulls), ordered.filter(pc.invert(nulls))])  # as Spark does, null comes first
+    at, base = {r["stream"]: r["start_offset"] for r in starts}, []
+    for stream, n in zip(ordered["_s"].to_pylist(), ordered["_n"].to_pylist(), strict=True):
+        base.append(at[stream])
+        at[stream] += n
+    return ordered.drop_columns(["_n"]).append_column("_base", pa.array(base, pa.int64()))
 
 
 def _fits(given: T.StructType, known: T.StructType | None) -> None:
@@ -169,36 +209,56 @@ def _fits(given: T.StructType, known: T.StructType | None) -> None:
             raise ValueError(f"column {f.name!r} is {types[f.name]} in the log, not {f.dataType.simpleString()}")
 
 
-def _is_sealed(known: DataFrame | None, batch: str, counts: DataFrame) -> bool:
+def _is_sealed(known: DataFrame | list[dict] | None, batch: str, sizes: dict[str, int]) -> bool:
     """Whether ``compact`` has merged this batch with others: it is there already. Other numbers of messages fail, but for none at all, as where all of them are known repeats."""
-    sealed = {} if known is None else {r["stream"]: r["n"] for r in known.where("kind = 'sealed'").where(F.col("batch_id") == batch).groupBy("stream").agg(F.sum("n").alias("n")).collect()}
+    sealed: dict[str, int] = {}
+    if isinstance(known, list):
+        for r in known:
+            if r["kind"] == "sealed" and r["batch_id"] == batch:
+                sealed[r["stream"]] = sealed.get(r["stream"], 0) + r["n"]
+    elif known is not None:
+        sealed = {r["stream"]: r["n"] for r in known.where("kind = 'sealed'").where(F.col("batch_id") == batch).groupBy("stream").agg(F.sum("n").alias("n")).collect()}
     if not sealed:
         return False
-    given = {r["_s"]: r["n"] for r in counts.groupBy("_s").agg(F.sum("_n").alias("n")).collect()}  # one row a stream
-    if given and given != sealed:
-        raise BatchChangedError(f"batch {batch} was merged with others; it had {sum(sealed.values())} messages, now it has {sum(given.values())}, or others of a stream")
+    if sizes and sizes != sealed:
+        raise BatchChangedError(f"batch {batch} was merged with others; it had {sum(sealed.values())} messages, now it has {sum(sizes.values())}, or others of a stream")
     return True
 
 
+def _lines(spark: SparkSession, path: str) -> tuple[int, DataFrame | list[dict] | None]:
+    """The snapshot, as rows where this driver knows the log and its commits are few: an append to it then runs no job over them."""
+    few = few_lines(spark, path)
+    return snapshot(spark, path) if few is None else (few[0], few[1] or None)
+
+
 def _commit_batch(
     spark: SparkSession, path: str, batch: str, build: Callable[[DataFrame | None], DataFrame], *, order: Sequence[str], bucket: Column, compression: str, file_records: int | None, ids: bool = False
 ) -> None:
     """Writes what ``build`` makes of the commits so far, and commits it. Where another appender was ahead, the rows stay as they are if it wrote to other streams; else all is done again."""
     for _ in range(TRIES):
-        version, known = snapshot(spark, path)
-        messages = build(known)
+        version, known = _lines(spark, path)
+        messages = build(snapshot(spark, path)[1] if ids else None)
         _fits(messages.schema, columns_of(known, but_batch=batch))
-        counts = settle(_bucket_counts(messages, "stream", bucket), "append-counts")
-        if _is_sealed(known, batch, counts):
+        counted = _bucket_counts(messages, "stream", bucket)
+        few = counted.limit(SETTLED_ROWS + 1).toArrow()
+        counts = few if few.num_rows <= SETTLED_ROWS else materialise(counted, "append-counts")
+        sizes = _stream_sizes(counts)
+        if _is_sealed(known, batch, sizes):
             return
-        starts = _starts(known, batch, counts)
+        starts = _starts(known, batch, sizes)
         if not starts:
             return
         attempt = uuid.uuid4().hex
         folder = f"{path}/batch_id={batch}/attempt={attempt}"
         tails = spark.createDataFrame([(r["stream"], r["start_offset"]) for r in starts], "stream string, tail long")
-        placed = assign_offsets(messages, order=order, bucket=bucket, tails=tails, counts=counts)
-        out = placed.repartition("stream", F.floor(F.col("offset") / 1_000_000)).sortWithinPartitions("stream", "offset").write.option("compression", compression)
+        bases = _bases(counts, starts) if isinstance(counts, pa.Table) else None
+        if isinstance(counts, pa.Table):
+            counts = spark.createDataFrame(counts, schema=counted.schema)
+            bases = bases if bases is None else spark.createDataFrame(bases, schema=T.StructType([*counted.schema.fields[:2], T.StructField("_base", T.LongType())]))
+        placed = assign_offsets(messages, order=order, bucket=bucket, tails=tails, counts=counts, bases=bases)
+        run = max(file_records, WRITE_RUN // file_records * file_records) if file_records else WRITE_RUN  # whole files, and many tasks where files are small
+        run = min(run, SMALL_FILES * file_records) if file_records else run
+        out = placed.repartition("stream", F.floor(F.col("offset") / run)).sortWithinPartitions("stream", "offset").write.option("compression", compression)
         if "filter_value" in placed.columns:  # a file without a value is skipped by its dictionary or its Bloom filter
             out = out.option("parquet.bloom.filter.enabled#filter_value", "true").option("parquet.bloom.filter.expected.ndv#filter_value", 10_000)
         if file_records:
@@ -211,13 +271,14 @@ def _commit_batch(
             found = messages.where("publishing_id is not null").groupBy("producer", "stream").agg(F.max("publishing_id").alias("max_id")).collect()  # one row a stream
             lines += [{"kind": "ids", "batch_id": batch, "attempt": attempt, **r.asDict()} for r in found]
         while not commit(spark, path, version + 1, lines):
-            version, known = snapshot(spark, path)
-            if ids or sorted(_starts(known, batch, counts)) != sorted(starts):
+            version, known = _lines(spark, path)
+            if ids or sorted(_starts(known, batch, sizes)) != sorted(starts):
                 break
         else:
             if known is not None:
-                for r in known.where((F.col("batch_id") == batch) & (F.col("attempt") != attempt)).select("attempt").distinct().collect():
-                    for old in (f"{path}/batch_id={batch}/attempt={r[0]}", f"{path}/_blocks/attempt={r[0]}"):
+                before = {r["attempt"] for r in known if r["batch_id"] == batch} if isinstance(known, list) else {r[0] for r in known.where(F.col("batch_id") == batch).select("attempt").distinct().collect()}
+                for gone in before - {attempt}:
+                    for old in (f"{path}/batch_id={batch}/attempt={gone}", f"{path}/_blocks/attempt={gone}"):
                         delete(spark, old)
             return
         delete(spark, folder)

@@ -54,6 +54,30 @@ def files(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in store.listStatus(target) if f.isFile()]
 
 
+def file_state(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """When a file was last written, in milliseconds, and its size; None where there is none."""
+    store, target = _hadoop(spark, path)
+    if not store.exists(target):
+        return None
+    try:
+        found = store.getFileStatus(target)
+    except Py4JJavaError as e:
+        if "FileNotFoundException" in str(e.java_exception):  # gone since
+            return None
+        raise
+    return found.getModificationTime(), found.getLen()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, as text."""
+    store, target = _hadoop(spark, path)
+    stream = store.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Puts a whole file at ``path`` unless there is one; whether this call did. Others see all of it or nothing."""
     files, target = _hadoop(spark, path)

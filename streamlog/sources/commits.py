@@ -23,9 +23,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..operators.ranges import within_ranges
-from ..shared import SETTLED_ROWS, create_new, delete, exists, files, folders, materialise, settle
+from ..shared import SETTLED_ROWS, create_new, delete, exists, file_state, files, folders, materialise, read_text, settle
 
 _LINE = "kind string, batch_id string, attempt string, stream string, start_offset long, n long, producer string, max_id long, columns string"
+_COLUMNS = [c.split()[0] for c in _LINE.split(", ")]
 _BLOCK = "stream string, lo long, hi long, n long, least_chunk long, most_chunk long, least_time long, most_time long"
 #: Columns that a row's folders give.
 _FOLDERS = ("batch_id", "attempt", "stream")
@@ -33,10 +34,17 @@ _FOLDERS = ("batch_id", "attempt", "stream")
 BLOCK = 50_000
 #: Up to so many attempts stand in a read's plan as one predicate on the partition column.
 LITERAL_ATTEMPTS = 2000
+#: Records that a driver reads by itself, at most; more are a Spark job. And the logs of which it remembers the lines.
+FEW_RECORDS, REMEMBERED_LOGS = 64, 64
+#: Lines by log: up to which version (with the state of its record, which is never written again), above which checkpoint, and the lines.
+_remembered: dict[str, tuple[int, tuple[int, int], tuple[int, str] | None, list[dict]]] = {}
 
 
 def snapshot(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
     """The latest version, -1 before the first commit, and the lines of every batch's latest attempt: one row a (batch, stream) and (batch, producer, stream)."""
+    few = few_lines(spark, path)
+    if few is not None:
+        return few[0], _frame(spark, few[1]) if few[1] else None
     if not exists(spark, f"{path}/_commits"):
         return -1, None
     base = latest_checkpoint(spark, path)
@@ -48,6 +56,49 @@ def snapshot(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
         base = again  # records may have gone while they were read
 
 
+def _record(path: str, version: int) -> str:
+    return f"{path}/_commits/{version:020d}.json"
+
+
+def _frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    schema = T.StructType.fromDDL(f"{_LINE}, version long")
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=to_arrow_schema(schema)), schema=schema)
+
+
+def few_lines(spark: SparkSession, path: str) -> tuple[int, list[dict]] | None:
+    """What ``snapshot`` gives, as rows, where this driver has read the log before and there are few records since: versions have no gap, so only the new ones are opened. None where it hasn't."""
+    known = _remembered.get(path)
+    if known is None:
+        return None
+    version, state, base, rows = known
+    if file_state(spark, _record(path, version)) != state or latest_checkpoint(spark, path) != base:
+        del _remembered[path]  # a log of its own at the same path, or its records went into a checkpoint
+        return None
+    new: list[dict] = []
+    upto = version
+    while file_state(spark, _record(path, upto + 1)) is not None:
+        if upto - version >= FEW_RECORDS:
+            return None
+        upto += 1
+        found = [json.loads(line) for line in read_text(spark, _record(path, upto)).splitlines() if line]
+        new += [{c: x.get(c) for c in _COLUMNS} | {"version": upto} for x in found]
+    if not new:
+        return version, rows
+    attempts = {r["batch_id"]: r["attempt"] for r in new}
+    rows = [r for r in rows + new if attempts.get(r["batch_id"], r["attempt"]) == r["attempt"]]
+    _remember(spark, path, upto, base, rows)
+    return upto, rows
+
+
+def _remember(spark: SparkSession, path: str, version: int, base: tuple[int, str] | None, rows: list[dict]) -> None:
+    _remembered.pop(path, None)
+    state = file_state(spark, _record(path, version))
+    if len(rows) <= SETTLED_ROWS and state is not None:
+        while len(_remembered) >= REMEMBERED_LOGS:
+            del _remembered[next(iter(_remembered))]
+        _remembered[path] = (version, state, base, rows)
+
+
 def latest_checkpoint(spark: SparkSession, path: str) -> tuple[int, str] | None:
     """The version and the folder of the newest checkpoint."""
     folder = f"{path}/_checkpoints"
@@ -72,8 +123,9 @@ def _newest_lines(spark: SparkSession, path: str, base: tuple[int, str] | None)
         if not rows:
             return floor, None
         newest = {r["batch_id"]: r["attempt"] for r in sorted(rows, key=lambda r: r["version"])}
-        kept = pa.Table.from_pylist([r for r in rows if newest[r["batch_id"]] == r["attempt"]], schema=to_arrow_schema(lines.schema))
-        return max(floor, *(r["version"] for r in rows)), spark.createDataFrame(kept, schema=lines.schema)
+        kept, last = [r for r in rows if newest[r["batch_id"]] == r["attempt"]], max(floor, *(r["version"] for r in rows))
+        _remember(spark, path, last, base, kept)
+        return last, _frame(spark, kept)
     lines = materialise(lines, "commits")
     newest = lines.groupBy("batch_id").agg(F.max_by("attempt", "version").alias("attempt"))
     return max(floor, lines.agg(F.max("version")).first()[0]), lines.join(newest, ["batch_id", "attempt"], "left_semi")
@@ -101,7 +153,7 @@ def boundary_offsets(spark: SparkSession, path: str, *, start_ts: Column | None,
 
 def commit(spark: SparkSession, path: str, version: int, lines: list[dict]) -> bool:
     """Makes ``lines`` the record of ``version``; False if there is one already."""
-    return create_new(spark, f"{path}/_commits/{version:020d}.json", "".join(json.dumps(x) + "\n" for x in lines))
+    return create_new(spark, _record(path, version), "".join(json.dumps(x) + "\n" for x in lines))
 
 
 def checkpoint_commits(spark: SparkSession, path: str) -> int | None:
@@ -139,16 +191,30 @@ def ranges_of(known: DataFrame) -> DataFrame:
     return known.where("kind = 'range'").select("stream", "start_offset", "n", "batch_id", "attempt")
 
 
-def columns_of(known: DataFrame | None, *, but_batch: str | None = None) -> T.StructType | None:
+def columns_of(known: DataFrame | list[dict] | None, *, but_batch: str | None = None) -> T.StructType | None:
     """The columns of all batches by their names, in the order in which they came; None where a batch's commit doesn't tell them."""
     if known is None:
         return None
+    if isinstance(known, list):
+        others = [r for r in known if r["batch_id"] != but_batch]
+        told = {r["batch_id"] for r in others if r["kind"] == "columns"}
+        if any(r["kind"] == "range" and r["batch_id"] not in told for r in others):
+            return None
+        first: dict[str, int] = {}
+        for r in others:
+            if r["kind"] == "columns":
+                first[r["columns"]] = min(r["version"], first.get(r["columns"], r["version"]))
+        return _all_columns(sorted(first, key=lambda c: (first[c], c)))
     told = known.where("kind = 'columns'").where(~F.col("batch_id").eqNullSafe(F.lit(but_batch)))
     if ranges_of(known).where(~F.col("batch_id").eqNullSafe(F.lit(but_batch))).join(told.select("batch_id"), "batch_id", "left_anti").take(1):
         return None
+    return _all_columns([r["columns"] for r in told.groupBy("columns").agg(F.min("version").alias("first")).orderBy("first", "columns").collect()])  # one row a schema that the log has had
+
+
+def _all_columns(schemas: list[str]) -> T.StructType:
     fields: dict[str, T.StructField] = {}
-    for r in told.groupBy("columns").agg(F.min("version").alias("first")).orderBy("first", "columns").collect():  # one row a schema that the log has had
-        for f in T.StructType.fromJson(json.loads(r["columns"])).fields:
+    for columns in schemas:
+        for f in T.StructType.fromJson(json.loads(columns)).fields:
             fields.setdefault(f.name, f)
     return T.StructType(list(fields.values()))
 
