@@ -16,15 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..shared import materialise
+from ..shared import discard, materialise
 from .token_planes import encode_texts, numbers
 from .words import tidy
 
 WINDOW = 2048
 #: Ids of a shard, on average; bounds the index that one task builds.
 SHARD_IDS = 1 << 20
-#: A document is placed by the commonest of so many strongest terms; every EVERY-th document at least, and SAMPLE of them, say which are common.
-STRONG, EVERY, SAMPLE = 8, 8, 20_000
+#: A document is placed by the commonest of so many strongest terms.
+STRONG = 8
 #: Neighbours that are ranked at a time; a window takes as many slabs as it needs.
 NEIGHBOURS = 32
 #: Documents of a shard, at most, for which all scores of frequent terms are held at once (64 MB).
@@ -135,34 +135,33 @@ def _cuts(keys: DataFrame, most: float) -> np.ndarray:
 
 
 def _place(encoded: DataFrame, df, n_docs: int, mean_length: float, window: int) -> DataFrame:
-    """Adds ``shard`` and ``key``. A sample of rows by hash says which terms are common and where shards end."""
-    spark, every = encoded.sparkSession, max(1, min(EVERY, n_docs // SAMPLE))
+    """Adds ``shard`` and ``key``. The strongest terms of all rows say which are common, and the sizes of all rows where shards end."""
+    spark = encoded.sparkSession
 
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def strong_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, own_of = Places(df.value, n_docs, mean_length, window), _Own()
         for batch in batches:
-            out = []
-            for i, n, raw in zip(batch.column("id").to_pylist(), batch.column("n").to_pylist(), batch.column("ids"), strict=True):
-                raw = raw.as_py()
-                own = own_of(i, raw)
-                if own % every == 0:
-                    out.append((n, own, numbers(raw, n)))
-            strong = places.strongest([r[2] for r in out])
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array(strong, pa.list_(pa.int64()))], names=["n", "own", "strong"])
-
-    slim = materialise(encoded.mapInArrow(tidy(some), "n long, own long, strong array<long>"), "pack-places")
+            sizes, raws = batch.column("n").to_pylist(), batch.column("ids").to_pylist()
+            own = [own_of(i, raw) for i, raw in zip(batch.column("id").to_pylist(), raws, strict=True)]
+            strong = places.strongest([numbers(raw, n) for raw, n in zip(raws, sizes, strict=True)])
+            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(own, pa.int64()), pa.array(strong, pa.list_(pa.int64()))], names=["n", "own", "strong"])
+
+    slim = materialise(encoded.select("id", "n", "ids").mapInArrow(tidy(strong_terms), "n long, own long, strong array<long>"), "pack-places")
     counts = slim.select(F.explode("strong").alias("term")).groupBy("term").count().toArrow()
     common = np.zeros(len(df.value), np.int64)
     common[counts["term"].to_numpy()] = counts["count"].to_numpy()
     shared = spark.sparkContext.broadcast(common)
 
-    def sampled_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = Places(df.value, n_docs, mean_length, window)
         for batch in batches:
             keys = [places.key(np.array(s, np.int64), shared.value, own) for s, own in zip(batch.column("strong").to_pylist(), batch.column("own").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(keys, pa.int64())], names=["n", "key"])
 
-    cuts = spark.sparkContext.broadcast(_cuts(slim.mapInArrow(tidy(sampled_keys), "n long, key long"), SHARD_IDS / every))
+    keyed = materialise(slim.mapInArrow(tidy(place_keys), "n long, key long"), "pack-keys")  # its levels are summed one by one
+    cuts = spark.sparkContext.broadcast(_cuts(keyed, SHARD_IDS))
+    for table in (slim, keyed):
+        discard(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, own_of = Places(df.value, n_docs, mean_length, window), _Own()
