@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..shared import discard, materialise
-from .words import mix, tidy
+from .words import mix, release, tidy
 
 STOPS = ".,;:!?\n\v\f\r"
 PAD = ""
@@ -33,6 +33,8 @@ UNKNOWN = "und"
 SLICE_BYTES = 8 << 20
 #: Candidates of a language are ranked inside so many buckets first, so no task ranks them all.
 BUCKETS = 64
+#: Words that are hashed at a time.
+HASHED = 1 << 14
 _BLOCK = "part int, words binary, sizes binary, w1 binary, w2 binary, w3 binary, n binary"
 _ROWS = "lang string, w1 string, w2 string, w3 string, n long"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -40,7 +42,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 def _sum_up(columns: list[np.ndarray], n: np.ndarray, base: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Rows of codes below ``base`` -> the distinct ones in order, with their summed counts."""
-    key, seen = columns[0], []
+    key, seen = columns[0].astype(np.int64), []
     for k, c in enumerate(columns[1:], 1):
         if key.size and (int(key.max()) + 1) * base >= 2**63:  # what is joined so far is numbered
             distinct, key = np.unique(key, return_inverse=True)
@@ -49,7 +51,8 @@ def _sum_up(columns: list[np.ndarray], n: np.ndarray, base: int) -> tuple[list[n
     order = np.argsort(key, kind="stable")
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if key.size else np.empty(0, np.int64)
-    key, n = key[first], np.add.reduceat(n[order], first) if key.size else n[:0]
+    key, n = key[first], np.add.reduceat(n[order], first, dtype=np.int64) if key.size else n[:0].astype(np.int64)
+    del order, first
     out: list[np.ndarray] = []
     for k in range(len(columns) - 1, 0, -1):
         key, c = np.divmod(key, base)
@@ -83,7 +86,8 @@ class Windows:
 
     def blocks(self, parts: int, depth: int) -> Iterator[pa.RecordBatch]:
         """Rows of the block table: windows dealt to ``parts`` by a hash of their first ``depth`` words."""
-        hashes = pd.util.hash_array(self.words.to_pandas().to_numpy(object), categorize=False)
+        runs = (self.words.slice(k, HASHED).to_pandas().to_numpy(object) for k in range(0, len(self.words), HASHED))  # few words at a time are Python's objects
+        hashes = np.concatenate([pd.util.hash_array(run, categorize=False) for run in runs])
         route = np.zeros(len(self.n), np.uint64)
         for c in self.columns[:depth]:
             route = mix(route * _ODD + hashes[c])
@@ -116,21 +120,28 @@ def _opened(lang: pa.Array, text: pa.Array) -> Windows:
     text = pc.ascii_lower(pc.fill_null(text.cast(pa.large_string()), ""))
     text = pc.replace_substring_regex(pc.replace_substring(text, "\t", " "), f"[{STOPS}]", " \n ")
     lists = pc.split_pattern(pc.binary_join_element_wise(text, *(pa.scalar(x, pa.large_string()) for x in ("\n", " "))), " ")
-    tokens = lists.flatten()
+    del text  # what is no longer needed goes at once: a worker holds several copies of its slice otherwise
+    tokens, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    del lists
     real = pc.greater(pc.binary_length(tokens), 0)
     encoded = tokens.filter(real).dictionary_encode()
-    code = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    del tokens
+    dictionary, code = encoded.dictionary, encoded.indices.to_numpy(zero_copy_only=False) + np.int32(1)
+    del encoded
     langs = pc.fill_null(lang.cast(pa.large_string()), UNKNOWN).dictionary_encode()
-    tongue = np.repeat(langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), pc.list_value_length(lists).to_numpy(zero_copy_only=False))[real.to_numpy(zero_copy_only=False)]
-    code[code == pc.index(encoded.dictionary, "\n").as_py() + 1] = 0  # the end of a piece; every text ends with one
-    after = np.append(code[1:], 0)
-    beyond = np.where(after == 0, 0, np.append(after[1:], 0))
+    tongue = np.repeat(langs.indices.to_numpy(zero_copy_only=False), sizes)[real.to_numpy(zero_copy_only=False)]
+    code[code == pc.index(dictionary, "\n").as_py() + 1] = 0  # the end of a piece; every text ends with one
+    after = np.append(code[1:], np.int32(0))
+    beyond = np.where(after == 0, np.int32(0), np.append(after[1:], np.int32(0)))
     opens = code > 0
-    heads, place = np.unique(tongue[opens] * (len(encoded.dictionary) + 1) + code[opens], return_inverse=True)
-    padded = pa.concat_arrays([pa.array([PAD], pa.large_string()), encoded.dictionary.cast(pa.large_string())])
+    after, beyond, key = after[opens], beyond[opens], tongue[opens].astype(np.int64) * (len(dictionary) + 1) + code[opens]
+    del tongue, code, opens, real
+    heads, place = np.unique(key, return_inverse=True)
+    del key
+    padded = pa.concat_arrays([pa.array([PAD], pa.large_string()), dictionary.cast(pa.large_string())])
     of, word = np.divmod(heads, len(padded))
     named = pc.binary_join_element_wise(langs.dictionary.take(pa.array(of)), padded.take(pa.array(word)), pa.scalar("\t", pa.large_string()))
-    return Windows(pa.concat_arrays([padded, named]), [place + len(padded), after[opens], beyond[opens]], np.ones(len(place), np.int64))
+    return Windows(pa.concat_arrays([padded, named]), [place + len(padded), after, beyond], np.ones(len(place), np.int32))
 
 
 def _unpacked(held: list[dict]) -> Windows:
@@ -163,6 +174,7 @@ def _open_batches(parts: int):
                 if size >= SLICE_BYTES:
                     yield from _table(held).blocks(parts, 3)
                     held, size = [], 0
+                    release()
         if held:
             yield from _table(held).blocks(parts, 3)
 
@@ -178,6 +190,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[Windows]:
     rows = (row for batch in batches for row in batch.to_pylist())
     for _, blocks in groupby(rows, key=itemgetter("part")):
         yield _unpacked(list(blocks))
+        release()
 
 
 def windows(docs: DataFrame, *, least: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -20,6 +20,15 @@ WORD_SEPARATORS = "\t\n\v\f\r"
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def release() -> None:
+    """Gives free memory of Arrow's pool and of the C library back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def tidy(run: Callable) -> Callable:
     """A task's function that gives its memory back at the end: workers go on to other tasks, and those of a whole pipeline would add up.
 
@@ -34,11 +43,7 @@ def tidy(run: Callable) -> Callable:
         finally:
             gc.enable()
             gc.collect()
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (AttributeError, OSError):  # not glibc
-                pass
+            release()
 
     return wrapped
 

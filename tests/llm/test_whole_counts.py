@@ -19,3 +19,25 @@ def test_shards_end_by_the_sizes_of_all_documents(spark, monkeypatch):
     sizes = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
     assert sum(sizes.values()) == sum(r[1] for r in rows) and len(sizes) > 10
     assert max(sizes.values()) <= 300, sizes
+
+
+def test_a_slice_of_windows_is_opened_in_bounded_memory():
+    """What numpy and Python hold of it at most, beside Arrow's own buffers."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from streamlog.llm import collocations
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 400) % 50_000) for _ in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    tracemalloc.start()
+    try:
+        blocks = list(collocations._open_batches(8)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    counted = collocations._unpacked([row for b in blocks for row in b.to_pylist()])
+    assert int(counted.n.sum()) == 400_000
+    assert peak < 90 * 400_000, peak / 400_000  # bytes a word
