@@ -41,3 +41,42 @@ def test_a_slice_of_windows_is_opened_in_bounded_memory():
     counted = collocations._unpacked([row for b in blocks for row in b.to_pylist()])
     assert int(counted.n.sum()) == 400_000
     assert peak < 90 * 400_000, peak / 400_000  # bytes a word
+
+
+def _same_predictions(spark, monkeypatch, **bounds):
+    from streamlog.llm import language_id
+
+    rng = np.random.default_rng(8)
+    stems = {x: ["".join(rng.choice(list(letters), rng.integers(2, 8))) for _ in range(60)] for x, letters in (("a", "abcdeé"), ("b", "bcdfxy"), ("c", "xyzaué"))}
+    text = lambda x: " ".join(rng.choice(stems[x], 9)) + f" {''.join(rng.choice(list('abcxyz'), 6))}"
+    rows = [(k, text("abc"[k % 3]), "abc"[k % 3]) for k in range(150)]
+    odd = [(None, None, "a"), (900, "", None), (901, "12 -", "b"), (902, "́", None), (903, rows[0][1], None), (903, rows[0][1], None), (904, "qqq jjj", None), (905, "q", "a")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string").repartition(3)
+    model = language_id.fit(docs.where("doc_id < 100"))
+    want, kept = language_id.predict(docs, model).collect(), language_id.accept(docs, model, least=0.6).collect()
+    for name, value in bounds.items():
+        monkeypatch.setattr(language_id, name, value)
+    large = language_id.fit(docs.where("doc_id < 100"))
+    assert large.other_words is not None and not large.grams and len(large.words) < len(model.words)
+    got = language_id.predict(docs, large).collect()
+    order = lambda rows: sorted(rows, key=lambda r: (str(r[0]), str(r[1]), str(r[-1])))
+    assert [r[:2] for r in order(got)] == [r[:2] for r in order(want)]
+    assert all(abs(g[2] - w[2]) < 1e-7 for g, w in zip(order(got), order(want), strict=True))
+    assert order(language_id.accept(docs, large, least=0.6).collect()) == order(kept) and len(kept) < docs.count()
+
+
+def test_a_model_too_large_for_a_worker_predicts_the_same(spark, monkeypatch):
+    _same_predictions(spark, monkeypatch, WHOLE=10, KEPT=40)
+
+
+def test_a_model_without_any_common_word_predicts_the_same(spark, monkeypatch):
+    _same_predictions(spark, monkeypatch, WHOLE=10, KEPT=0)
+
+
+def test_languages_are_learned_from_all_rows(spark):
+    """4,000 rows of one language, each with a word of its own: all words are known."""
+    from streamlog.llm import language_id
+
+    word = lambda k: "w" + "".join("abcdefghij"[int(c)] for c in str(k))
+    rows = [(k, f"common {word(k)}", "a") for k in range(4000)] + [(-1, "autre", "b")]
+    assert len(language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string")).words) == 4002
