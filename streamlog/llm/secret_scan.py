@@ -1,7 +1,7 @@
 """Secret scans: fixed rules, and two character Markov models compared by log-likelihood ratio.
 
-The rules find assignments, access keys and long hex runs. The models - one of random strings, one of ordinary identifiers - are trained from labelled
-samples of the corpus itself: the values that the rules found, and the other words. Keys that no rule finds are among the other words, so a first model, of words that are
+The rules find assignments, access keys and long hex runs. The models - one of random strings, one of ordinary identifiers - are trained from all labelled
+words of the corpus itself: the values that the rules found, and the other words; Spark sums their transitions, so a model is one number a pair of characters. Keys that no rule finds are among the other words, so a first model, of words that are
 surely ordinary, sorts out what looks random before the second one learns from the rest. A run of key characters that the rules left alone is a secret when its
 log-likelihood ratio outweighs how rare secrets are.
 """
@@ -37,8 +37,12 @@ CANDIDATE = re.compile(rf"[{_KEY}]{{{MARKOV_LEAST},}}")
 RARITY = 1e9
 #: Every HELD-th surely ordinary word is held out of training; the threshold is not below what all but one in OUTLIERS of them reach.
 HELD, OUTLIERS = 5, 100
-#: Bounds of the training sample: documents, words of either label, and characters of a word.
-TRAIN_DOCS, SAMPLES, LONGEST_WORD = 20_000, 20_000, 1000
+#: A longer word weighs like so many characters, so that no single one makes a model.
+LONGEST_WORD = 1000
+#: Weights of transitions are whole multiples of one in PARTS, so that their sums don't depend on the order of rows.
+PARTS = 1024
+#: Ratios are counted in steps of one in STEPS; a threshold is the upper end of a step.
+STEPS = 64
 #: Surely ordinary words that a first model wants; where there are fewer, all words of letters count.
 SURELY = 200
 #: How many observations the character frequencies weigh against those of a context.
@@ -69,11 +73,28 @@ def _codes(word: str) -> np.ndarray:
 
 def train(words: list[str]) -> np.ndarray:
     """Log transition probabilities of a first-order character chain; row _N is the start. A context backs off to the model's own character frequencies."""
-    counts = np.zeros((_N + 1, _N))
+    return chain(transitions(words, LONGEST_WORD) / PARTS)
+
+
+def transitions(words: list[str], longest: float) -> np.ndarray:
+    """How often each character follows each other one, or begins a word (row _N), in PARTS; a word of more than ``longest`` characters weighs like so many."""
+    counts = np.zeros((_N + 1, _N), np.int64)
+    flat = [_codes(w) for w in words if 0 < len(w) <= longest]
+    if flat:
+        c = np.concatenate(flat)
+        before = np.concatenate([[_N], c[:-1]])
+        before[np.cumsum([0, *(len(x) for x in flat[:-1])])] = _N
+        np.add.at(counts, (before, c), PARTS)
     for w in words:
-        c = _codes(w)
-        if len(c):
-            np.add.at(counts, (np.concatenate([[_N], c[:-1]]), c), 1)
+        if len(w) > longest:
+            c, own = _codes(w), np.zeros((_N + 1, _N))
+            np.add.at(own, (np.concatenate([[_N], c[:-1]]), c), 1)
+            counts += np.rint(own * (PARTS * longest / len(w))).astype(np.int64)
+    return counts
+
+
+def chain(counts: np.ndarray) -> np.ndarray:
+    """Log probabilities of counted transitions."""
     alone = counts.sum(0) + 0.1
     return np.log((counts + BACKOFF * alone / alone.sum()) / (counts.sum(1, keepdims=True) + BACKOFF))
 
@@ -111,35 +132,90 @@ class Models:
         return out
 
 
-def _sample_batches(longest: int):
-    """Labelled words and in how many texts of a batch each is: 1, a value that a rule found; 0, a run of key characters outside all matches."""
+#: Distinct words that a task counts before it hands them on.
+HELD_WORDS = 200_000
+_RULE_HINT = r"(?i)passw|secret|token|api|AKIA|[0-9a-f]{24}"
+
+
+def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Labelled words and in how many texts each is: 1, a value that a rule found; 0, a run of key characters outside all matches."""
+    found: Counter[tuple[str, int]] = Counter()
+
+    def out() -> pa.RecordBatch:
+        keys = list(found)
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([found[k] for k in keys], pa.int64())]
+        found.clear()
+        return pa.RecordBatch.from_arrays(columns, names=["word", "label", "texts"])
+
+    for batch in (p for whole in batches for p in text_slices(whole, "text")):
+        texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
+        hinted = pc.match_substring_regex(texts, _RULE_HINT)
+        plain = texts.filter(pc.invert(hinted))  # no rule can match these: their words are counted in columns
+        lists = pc.split_pattern_regex(plain, rf"[^{_KEY}]+")
+        runs, row = lists.flatten(), np.repeat(np.arange(len(plain)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        long = pc.greater_equal(pc.binary_length(runs), 3)
+        encoded = runs.filter(long).dictionary_encode()
+        size = max(1, len(encoded.dictionary))
+        pairs = np.unique(row[long.to_numpy(zero_copy_only=False)] * size + encoded.indices.to_numpy())
+        for w, n in zip(encoded.dictionary.to_pylist(), np.bincount(pairs % size, minlength=size).tolist(), strict=False):
+            found[w, 0] += n
+        for text in texts.filter(hinted).to_pylist():
+            at, here = 0, set()
+            for a, b, kind in [*base_spans(text), (len(text), len(text), -1)]:
+                here |= {(w, 0) for w in re.findall(rf"[{_KEY}]{{3,}}", text[at : max(at, a)])}
+                at = max(at, b)
+                if kind >= 0:
+                    here.add((ASSIGN.match(text, a)[2] if kind == 0 else text[a:b], 1))
+            found.update(here)
+        if len(found) > HELD_WORDS:
+            yield out()
+    if found:
+        yield out()
+
+
+def _summed(words: DataFrame, weights, shape: tuple[int, int]) -> np.ndarray:
+    """The sum over all ``words`` of what ``weights`` makes of a batch of them: one number a cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape[0] * shape[1], np.int64)
         for batch in batches:
-            found: Counter[tuple[str, int]] = Counter()
-            for text in batch.column("text").to_pylist():
-                if not text:
-                    continue
-                at, here = 0, set()
-                for a, b, kind in [*base_spans(text), (len(text), len(text), -1)]:
-                    here |= {(w, 0) for w in re.findall(rf"[{_KEY}]{{3,}}", text[at : max(at, a)])}
-                    at = max(at, b)
-                    if kind >= 0:
-                        here.add((ASSIGN.match(text, a)[2] if kind == 0 else text[a:b], 1))
-                found.update(here)
-            kept = [(w, y, n) for (w, y), n in found.items() if len(w) <= longest]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))], names=["word", "label", "texts"])
-
-    return run
-
-
-def _identifiers(words: list[str], rng: np.random.Generator) -> list[str]:
-    """Ordinary identifiers as people write them, from ordinary words: snake, kebab, path and camel case, some with a number."""
-    out = []
-    for k in range(len(words)):
-        parts = [words[i] for i in rng.integers(0, len(words), 3)]
-        joined = "".join(p.capitalize() for p in parts) if k % 4 == 3 else "_-/"[k % 4].join(p.lower() for p in parts)
-        out.append(joined + (f"{'_-/'[k % 3]}{rng.integers(1, 3000)}" if k % 2 else ""))
+            total += weights(batch.column("word")).ravel()
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
+
+    rows = words.select("word").mapInArrow(tidy(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(shape[0] * shape[1])
+    out[rows["cell"].to_numpy()] = rows["n"].to_numpy()
+    return out.reshape(shape)
+
+
+def _ordinary_weights(words: list[str], longest: float) -> np.ndarray:
+    """Transitions of ordinary words as they are, in capitals, in small letters and with a first capital; last, how many end with each character."""
+    small = [w.lower() for w in words]
+    ends = np.bincount([int(_INDEX[ord(w[-1])]) for w in small], minlength=_N)
+    return np.concatenate([*(transitions(x, longest) for x in (words, [w.upper() for w in words], small, [w.capitalize() for w in words])), PARTS * ends[None]])
+
+
+def _ordinary(weights: np.ndarray) -> np.ndarray:
+    """Transitions of the words and their capitals, and those expected of as many identifiers as people write them, each of three words drawn alike: in equal parts snake, kebab,
+    path and camel case; of kebab and camel case each with a number from 1 to 2999 behind one of ``_-/``."""
+    plain, upper, small, camel = weights[:-1].reshape(4, _N + 1, _N)
+    ends = weights[-1]
+    n = max(float(ends.sum()), 1.0)
+    last, out = ends / n, plain + upper
+    marks = _INDEX[[ord(c) for c in "_-/"]]
+    for mark in marks:
+        out[_N] += small[_N] / 4
+        out[:_N] += 3 * small[:_N] / 4
+        out[:_N, mark] += 2 * ends / 4
+        out[mark] += 2 * small[_N] / 4
+    out[_N] += camel[_N] / 4
+    out[:_N] += 3 * camel[:_N] / 4 + 2 * np.outer(last, camel[_N]) / 4
+    numbers = transitions([str(k) for k in range(1, 3000)], LONGEST_WORD) / PARTS / 2999
+    for mark in marks:
+        out[:_N, mark] += ends / 2 / 3
+        out[mark] += n / 2 / 3 * numbers[_N]
+    out[:_N] += n / 2 * numbers[:_N]
     return out
 
 
@@ -150,43 +226,55 @@ def _random_strings(n: int, rng: np.random.Generator) -> list[str]:
     return ["".join(rng.choice(alphabets[k % len(alphabets)], rng.integers(8, 49))) for k in range(n)]
 
 
-def fit(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, samples: int = SAMPLES, longest_word: int = LONGEST_WORD, rarity: float = RARITY, seed: int = 7
-) -> Models:
-    """Both models and their threshold, from labelled samples: about ``train_docs`` whole documents by hash of their id and text, and of their words of up to ``longest_word``
-    characters the ``samples`` first of either label by hash.
+def _high(words: DataFrame, models: Models) -> float:
+    """The ratio that all but one in OUTLIERS of the ``words`` stay below, rounded up; none for fewer words than that."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step, n = np.unique(np.clip(np.floor(models.ratios(batch.column("word")) * STEPS), -(1 << 20), 1 << 20).astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(step), pa.array(n)], names=["step", "n"])
+
+    counts = words.select("word").mapInArrow(tidy(run), "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).toArrow().sort_by("step")
+    below = np.cumsum(counts["n"].to_numpy())
+    if not len(below) or below[-1] < OUTLIERS:
+        return -np.inf
+    return (int(counts["step"][int(np.searchsorted(below, below[-1] * (1 - 1 / OUTLIERS)))].as_py()) + 1) / STEPS
+
+
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_docs: float | None = None, longest_word: float = LONGEST_WORD, rarity: float = RARITY, seed: int = 7) -> Models:
+    """Both models and their threshold, from all words of all documents, each distinct word once; one of more than ``longest_word`` characters weighs like so many. Only on request
+    it learns from about ``train_docs`` whole documents, by hash of their id and text.
 
     Rule-found values are few in clean text, so seeded random strings over the key alphabet join that label. What the rules missed need not be ordinary: a first model learns from
     the words that are so surely (of letters alone, in two texts or more), from the same in capitals, and from identifiers made of them; of the other words those that it
     takes for random at ``rarity`` are left out, and the rest join it for the final model. A word counts as random where its ratio outweighs ``rarity``, and what all but
     a hundredth of the held-out surely ordinary words reach: no single word can raise that. An empty table leaves the random strings and a few plain words, so a scan is always defined.
     """
-    total = docs.count()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    if total > train_docs:
-        rows = rows.where(uniform(F.xxhash64("id", "text")) < train_docs / total)
-    each = rows.mapInArrow(tidy(_sample_batches(longest_word)), "word string, label int, texts long").groupBy("word", "label").agg(F.sum("texts").alias("texts"))
+    if train_docs is not None:
+        rows = rows.where(uniform(F.xxhash64("id", "text")) < train_docs / F.lit(max(1, docs.count())))
+    each = rows.select("text").mapInArrow(tidy(_word_batches), "word string, label int, texts long").groupBy("word", "label").agg(F.sum("texts").alias("texts"))
     words = materialise(each, "secret-words")
-    first = lambda y: words.where(F.col("label") == y).orderBy(F.xxhash64("word"), "word").limit(samples)
-    taken = first(1).union(first(0)).toArrow().to_pylist()  # bounded by ``samples``
+    found, others = words.where("label = 1"), words.where("label = 0")
+    letters = F.col("word").rlike("^[A-Za-z]+$")
+    held = F.pmod(F.xxhash64("word"), F.lit(HELD)) == 0
+    counts = others.where(letters).agg(*(F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(n) for n, c in {"sure": F.col("texts") > 1, "lettered": F.lit(True), "sure_shown": (F.col("texts") > 1) & ~held, "lettered_shown": ~held}.items())).first()
+    few = counts["sure"] < SURELY  # a small or odd table: all words of letters
+    sure = letters if few else letters & (F.col("texts") > 1)
+    shown = sure & ~held if counts["lettered_shown" if few else "sure_shown"] else sure
+    weigh = lambda batch: transitions(batch.to_pylist(), longest_word)
+    shape = _N + 1, _N
+    random_like = chain((_summed(found, weigh, shape) + transitions(_random_strings(6000, np.random.default_rng(seed)), longest_word)) / PARTS)
+    if few and not counts["lettered"]:
+        ordinary = _ordinary_weights(["plain", "words", "only"], longest_word).astype(float)
+    else:
+        ordinary = _summed(others.where(shown), lambda batch: _ordinary_weights(batch.to_pylist(), longest_word), (4 * (_N + 1) + 1, _N))
+    made = _ordinary(ordinary)
+    first = Models(random_like - chain(made / PARTS), float(np.log(rarity)))
+    rest = _summed(others.where(~sure), lambda batch: weigh(batch.filter(pa.array(first.ratios(batch) <= first.least))), shape)
+    models = Models(random_like - chain((made + rest) / PARTS), first.least)
+    models.least = max(models.least, _high(others.where(sure & held & (F.length("word") >= MARKOV_LEAST)), models))
     discard(words)
-    rng = np.random.default_rng(seed)
-    random_like = [r["word"] for r in taken if r["label"] == 1] + _random_strings(6000, rng)
-    others = [r for r in taken if r["label"] == 0]
-    lettered = [r for r in others if r["word"].isascii() and r["word"].isalpha()]
-    sure = [r["word"] for r in lettered if r["texts"] > 1]
-    if len(sure) < SURELY:  # a small or odd table: all words of letters
-        sure = [r["word"] for r in lettered] or ["plain", "words", "only"]
-    held, shown = sure[::HELD], [w for k, w in enumerate(sure) if k % HELD] or sure
-    chain, made = train(random_like), [*shown, *(w.upper() for w in shown), *_identifiers(shown, rng)]
-    models = Models(chain - train(made), float(np.log(rarity)))
-    known = set(sure)
-    rest = [r["word"] for r in others if r["word"] not in known]
-    looks = models.ratios(pa.array(rest, pa.string())) > models.least
-    models = Models(chain - train(made + [w for w, odd in zip(rest, looks, strict=True) if not odd]), models.least)
-    ratios = models.ratios(pa.array([w for w in held if len(w) >= MARKOV_LEAST], pa.string()))
-    if len(ratios) >= OUTLIERS:
-        models.least = max(models.least, float(np.quantile(ratios, 1 - 1 / OUTLIERS)))
     return models
 
 

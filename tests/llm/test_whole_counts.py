@@ -80,3 +80,59 @@ def test_languages_are_learned_from_all_rows(spark):
     word = lambda k: "w" + "".join("abcdefghij"[int(c)] for c in str(k))
     rows = [(k, f"common {word(k)}", "a") for k in range(4000)] + [(-1, "autre", "b")]
     assert len(language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string")).words) == 4002
+
+
+def test_secret_models_learn_from_all_words(spark):
+    """30,000 words of one text each, beyond 20,000 words and, with copies, 20,000 documents: the sums of transitions are those of all."""
+    from streamlog.llm import secret_scan
+
+    words = [f"word{k:x}" for k in range(30_000)] + ["x-" * 700]
+    table = spark.createDataFrame([(k, w) for k, w in enumerate(words)], "doc_id long, text string")
+    rows = table.select("text").mapInArrow(secret_scan._word_batches, "word string, label int, texts long").groupBy("word", "label").sum("texts").collect()
+    assert {(r[0], r[1], r[2]) for r in rows} == {(w, 0, 1) for w in words}
+    seen = []
+    real = secret_scan._summed
+    try:
+        secret_scan._summed = lambda *a: seen.append(real(*a)) or seen[-1]
+        secret_scan.fit(table)
+    finally:
+        secret_scan._summed = real
+    start = secret_scan._N, secret_scan._INDEX[ord("w")]
+    assert seen[2][start] == secret_scan.PARTS * sum(not w.isalpha() for w in words[:-1])  # beside words of letters
+
+
+def test_words_of_texts_with_and_without_matches(spark):
+    """Words, labels and numbers of texts as the rules say, for texts that hint at a rule and others."""
+    import re
+
+    from streamlog.llm import secret_scan
+
+    texts = ["abc abc de fgh-i", "token=abcdefgh abc", "capital abc é_x", None, "", "deadbeef" * 3 + " abc", "AKIA" + "Z" * 16 + "abc", "password: 'short' abc/def"]
+    want = {}
+    for t in texts:
+        spans, at, here = secret_scan.base_spans(t or ""), 0, set()
+        for a, b, kind in [*spans, (len(t or ""), 0, -1)]:
+            here |= {(w, 0) for w in re.findall(r"[A-Za-z0-9+/_=-]{3,}", (t or "")[at : max(at, a)])}
+            at = max(at, b)
+            if kind >= 0:
+                here.add((secret_scan.ASSIGN.match(t, a)[2] if kind == 0 else t[a:b], 1))
+        for k in here:
+            want[k] = want.get(k, 0) + 1
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1).mapInArrow(secret_scan._word_batches, "word string, label int, texts long").collect()
+    assert {(r[0], r[1]): r[2] for r in rows} == want
+
+
+def test_expected_identifiers_are_those_of_written_ones():
+    """Transitions of identifiers by their expectation, next to those of 40,000 written ones."""
+    from streamlog.llm import secret_scan as s
+
+    words, rng = ["Harbour", "orchard", "sea", "of"], np.random.default_rng(2)
+    made = []
+    for k in range(40_000):
+        parts = [words[i] for i in rng.integers(0, 4, 3)]
+        joined = "".join(p.capitalize() for p in parts) if k % 4 == 3 else "_-/"[k % 4].join(p.lower() for p in parts)
+        made.append(joined + (f"{'_-/'[k % 3]}{rng.integers(1, 3000)}" if k % 2 else ""))
+    weights = s._ordinary_weights(words, 1000)
+    plain = s.transitions(words, 1000) + s.transitions([w.upper() for w in words], 1000)
+    want, got = s.transitions(made, 1000) / 10_000, s._ordinary(weights.astype(float)) - plain
+    assert abs(got.sum() - want.sum()) < 0.01 * want.sum() and np.abs(got - want).max() < 0.02 * want.max()
