@@ -25,6 +25,8 @@ MAGIC = b"TPL2"
 BLOCK, LEVEL = 1 << 14, 3
 #: A chunk is closed at the first document that brings it to this many ids.
 CHUNK = 1 << 18
+#: Bytes of text that are encoded at a time: pieces and ids take some thirty times as much.
+ENCODED_BYTES = 3 << 19
 _HEAD = struct.Struct("<4sIQII")
 
 
@@ -81,7 +83,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, *, end_id: int, id_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_table(tokenizer, keep_ids=True)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", ENCODED_BYTES):
                 offsets, flat = table.encode(part.column("text"))
                 rows = part.num_rows
                 flat = np.insert(flat, offsets[1:], end_id)

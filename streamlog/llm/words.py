@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass handles; bounds a worker's memory whatever the batch size is.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 WORD_SEPARATORS = "\t\n\v\f\r"
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -29,8 +30,12 @@ def release() -> None:
         pass
 
 
+#: A task gives free memory back so often, in seconds; rarely enough that it costs nothing.
+RELEASE_S = 0.5
+
+
 def tidy(run: Callable) -> Callable:
-    """A task's function that gives its memory back at the end: workers go on to other tasks, and those of a whole pipeline would add up.
+    """A task's function that gives its memory back, between batches and at the end: workers go on to other tasks, and those of a whole pipeline would add up.
 
     What it holds isn't searched for cycles meanwhile: it makes none, and large tables of words would be walked over and over.
     """
@@ -39,7 +44,12 @@ def tidy(run: Callable) -> Callable:
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
         try:
-            yield from run(batches)
+            last = time.monotonic()
+            for out in run(batches):
+                yield out
+                if time.monotonic() - last > RELEASE_S:
+                    release()
+                    last = time.monotonic()
         finally:
             gc.enable()
             gc.collect()

@@ -136,3 +136,20 @@ def test_expected_identifiers_are_those_of_written_ones():
     plain = s.transitions(words, 1000) + s.transitions([w.upper() for w in words], 1000)
     want, got = s.transitions(made, 1000) / 10_000, s._ordinary(weights.astype(float)) - plain
     assert abs(got.sum() - want.sum()) < 0.01 * want.sum() and np.abs(got - want).max() < 0.02 * want.max()
+
+
+def test_memory_goes_back_between_batches(monkeypatch):
+    """A long task doesn't keep what one batch needed until it ends."""
+    from streamlog.llm import words
+
+    calls, now = [], [0.0]
+    monkeypatch.setattr(words, "release", lambda: calls.append(now[0]))
+    monkeypatch.setattr(words.time, "monotonic", lambda: now[0])
+
+    def run(batches):
+        for b in batches:
+            now[0] += words.RELEASE_S * 0.6
+            yield b
+
+    assert list(words.tidy(run)(iter(range(6)))) == list(range(6))
+    assert len(calls) == 4  # at every second batch, and at the end
