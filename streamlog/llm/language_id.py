@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..shared import discard, materialise
+from ..shared import discard, forget, materialise
 from .words import text_slices, tidy, uniform
 
 #: Words and n-grams of a model that a worker holds whole, at most; of a larger one it holds the commonest words, KEPT at most.
@@ -175,6 +175,7 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             at = k
     common = F.lit(False) if at is None else level >= at
     _hold(model, {0: words.where(common).toArrow()}, totals)
+    forget(words.sparkSession)  # shuffle files of the counts, which are written by now
     return replace(model, other_words=words.where(~common), other_grams=grams, totals=totals)
 
 
@@ -297,6 +298,7 @@ def _other_scores(words: DataFrame, model: Model) -> DataFrame:
     whole = materialise(found[0].unionByName(found[1]).unionByName(found[2]), "language-scores")
     for table in (looked, *found[1:]):
         discard(table)
+    forget(words.sparkSession)
     return whole
 
 
