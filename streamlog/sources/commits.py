@@ -34,17 +34,15 @@ _FOLDERS = ("batch_id", "attempt", "stream")
 BLOCK = 50_000
 #: Up to so many attempts stand in a read's plan as one predicate on the partition column.
 LITERAL_ATTEMPTS = 2000
-#: Records that a driver reads by itself, at most; more are a Spark job. And the logs of which it remembers the lines.
+#: Records that an appender's driver reads by itself, at most; more are a Spark job. And the logs of which it remembers the lines.
 FEW_RECORDS, REMEMBERED_LOGS = 64, 64
 #: Lines by log: up to which version (with the state of its record, which is never written again), above which checkpoint, and the lines.
 _remembered: dict[str, tuple[int, tuple[int, int], tuple[int, str] | None, list[dict]]] = {}
 
 
 def snapshot(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
-    """The latest version, -1 before the first commit, and the lines of every batch's latest attempt: one row a (batch, stream) and (batch, producer, stream)."""
-    few = few_lines(spark, path)
-    if few is not None:
-        return few[0], _frame(spark, few[1]) if few[1] else None
+    """The latest version, -1 before the first commit, and the lines of every batch's latest attempt: one row a (batch, stream) and (batch, producer, stream). Readers see by it what is in the store
+    now, so a record that is gone is missing; only appends go by what the driver remembers (``few_lines``)."""
     if not exists(spark, f"{path}/_commits"):
         return -1, None
     base = latest_checkpoint(spark, path)
@@ -66,7 +64,7 @@ def _frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 
 def few_lines(spark: SparkSession, path: str) -> tuple[int, list[dict]] | None:
-    """What ``snapshot`` gives, as rows, where this driver has read the log before and there are few records since: versions have no gap, so only the new ones are opened. None where it hasn't."""
+    """For appends: what ``snapshot`` gives, as rows, where this driver has read the log before and there are few records since: versions have no gap, so only the new ones are opened. None where it hasn't."""
     known = _remembered.get(path)
     if known is None:
         return None
