@@ -22,6 +22,8 @@ from ..sources.commits import columns_line, columns_of, commit, drop_covered, fe
 TRIES = 50
 #: Offsets of a stream that one task writes in a row, and files where their rows are bounded.
 WRITE_RUN, SMALL_FILES = 1_000_000, 25
+#: Messages of a batch that one task numbers and writes, at most, and streams whose tails may stand in its plan.
+SMALL_BATCH, SMALL_STREAMS = 20_000, 50
 COMPRESSIONS = ("none", "gzip", "snappy", "lz4", "zstd")
 
 
@@ -201,6 +203,17 @@ def _bases(counts: pa.Table, starts: list[Row]) -> pa.Table | None:
     return ordered.drop_columns(["_n"]).append_column("_base", pa.array(base, pa.int64()))
 
 
+def _placed(messages: DataFrame, counts: DataFrame | pa.Table, starts: list[Row], schema: T.StructType, *, order: Sequence[str], bucket: Column) -> DataFrame:
+    """Messages with their offsets, by counts of (stream, bucket) and where each stream starts."""
+    spark, bases = messages.sparkSession, None
+    tails = spark.createDataFrame([(r["stream"], r["start_offset"]) for r in starts], "stream string, tail long")
+    if isinstance(counts, pa.Table):
+        bases = _bases(counts, starts)
+        counts = spark.createDataFrame(counts, schema=schema)
+        bases = bases if bases is None else spark.createDataFrame(bases, schema=T.StructType([*schema.fields[:2], T.StructField("_base", T.LongType())]))
+    return assign_offsets(messages, order=order, bucket=bucket, tails=tails, counts=counts, bases=bases)
+
+
 def _fits(given: T.StructType, known: T.StructType | None) -> None:
     """A log's column has one type. Batches may have other columns than those before."""
     types = {} if known is None else {f.name: f.dataType.simpleString() for f in known.fields}
@@ -225,6 +238,49 @@ def _is_sealed(known: DataFrame | list[dict] | None, batch: str, sizes: dict[str
     return True
 
 
+def _tails_for_small(known: DataFrame | list[dict] | None, batch: str) -> dict[str, int] | None:
+    """The tails of all streams, if a batch is new and follows a small one of the same writer: it is probably small as well. Else None."""
+    number = re.fullmatch(r"(.*b)(\d+)", batch)
+    if number is None or not isinstance(known, list) or any(r["batch_id"] == batch for r in known):
+        return None
+    before = f"{number[1]}{int(number[2]) - 1}"
+    n = sum(r["n"] for r in known if r["kind"] == "range" and r["batch_id"] == before)
+    tails = _places(known, batch, ())[0]
+    return tails if 0 < n <= SMALL_BATCH and len(tails) <= SMALL_STREAMS else None
+
+
+def _write_if_small(messages: DataFrame, tails: dict[str, int], folder: str, *, order: Sequence[str], bucket: Column, compression: str, file_records: int | None) -> tuple[dict[str, int], T.StructType] | None:
+    """Numbers and writes a batch in one job, which counts its messages by stream as they pass: their numbers, and the columns written. None, and nothing written, where it isn't small after all.
+
+    The offsets are those of ``assign_offsets``: a stream's few rows are numbered in one go, from tails that stand in the plan.
+    """
+    each, base = W.partitionBy("stream"), F.lit(0)
+    if tails:
+        base = F.coalesce(F.create_map(*(c for x, tail in tails.items() for c in (F.lit(x), F.lit(tail).cast("long"))))[F.col("stream")], base)
+    place = (base + F.row_number().over(each.orderBy(bucket, *order)) - 1).cast("long").alias("offset")
+    names = messages.columns
+    columns = [place if c == "offset" else f"`{c}`" for c in names] + ([] if "offset" in names else [place])
+    few = messages.limit(SMALL_BATCH + 1).select(*columns, F.count(F.lit(1)).over(each).alias("_n"))
+    seen = Observation()
+    placed = few.observe(seen, F.collect_set(F.struct("stream", "_n")).alias("sizes")).drop("_n")  # one row a stream
+    _write(placed, folder, compression, file_records)
+    sizes = {r["stream"]: r["_n"] for r in seen.get["sizes"]}
+    if sum(sizes.values()) <= SMALL_BATCH and None not in sizes:
+        return sizes, placed.schema
+    delete(messages.sparkSession, folder)
+    return None
+
+
+def _write(placed: DataFrame, folder: str, compression: str, file_records: int | None) -> None:
+    """Writes numbered messages, each partition's by stream and offset. A commit tells that they are whole, so no file marks it."""
+    out = placed.sortWithinPartitions("stream", "offset").write.option("compression", compression).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    if "filter_value" in placed.columns:  # a file without a value is skipped by its dictionary or its Bloom filter
+        out = out.option("parquet.bloom.filter.enabled#filter_value", "true").option("parquet.bloom.filter.expected.ndv#filter_value", 10_000)
+    if file_records:
+        out = out.option("maxRecordsPerFile", file_records)
+    out.partitionBy("stream").parquet(folder)
+
+
 def _lines(spark: SparkSession, path: str) -> tuple[int, DataFrame | list[dict] | None]:
     """The snapshot, as rows where this driver knows the log and its commits are few: an append to it then runs no job over them."""
     few = few_lines(spark, path)
@@ -239,34 +295,35 @@ def _commit_batch(
         version, known = _lines(spark, path)
         messages = build(snapshot(spark, path)[1] if ids else None)
         _fits(messages.schema, columns_of(known, but_batch=batch))
-        counted = _bucket_counts(messages, "stream", bucket)
-        few = counted.limit(SETTLED_ROWS + 1).toArrow()
-        counts = few if few.num_rows <= SETTLED_ROWS else materialise(counted, "append-counts")
-        sizes = _stream_sizes(counts)
-        if _is_sealed(known, batch, sizes):
-            return
-        starts = _starts(known, batch, sizes)
-        if not starts:
-            return
         attempt = uuid.uuid4().hex
         folder = f"{path}/batch_id={batch}/attempt={attempt}"
-        tails = spark.createDataFrame([(r["stream"], r["start_offset"]) for r in starts], "stream string, tail long")
-        bases = _bases(counts, starts) if isinstance(counts, pa.Table) else None
-        if isinstance(counts, pa.Table):
-            counts = spark.createDataFrame(counts, schema=counted.schema)
-            bases = bases if bases is None else spark.createDataFrame(bases, schema=T.StructType([*counted.schema.fields[:2], T.StructField("_base", T.LongType())]))
-        placed = assign_offsets(messages, order=order, bucket=bucket, tails=tails, counts=counts, bases=bases)
-        run = max(file_records, WRITE_RUN // file_records * file_records) if file_records else WRITE_RUN  # whole files, and many tasks where files are small
-        run = min(run, SMALL_FILES * file_records) if file_records else run
-        out = placed.repartition("stream", F.floor(F.col("offset") / run)).sortWithinPartitions("stream", "offset").write.option("compression", compression)
-        if "filter_value" in placed.columns:  # a file without a value is skipped by its dictionary or its Bloom filter
-            out = out.option("parquet.bloom.filter.enabled#filter_value", "true").option("parquet.bloom.filter.expected.ndv#filter_value", 10_000)
-        if file_records:
-            out = out.option("maxRecordsPerFile", file_records)
-        out.partitionBy("stream").parquet(folder)
-        write_blocks(spark.read.schema(placed.schema).parquet(folder), path, attempt)
+        tails = None if ids else _tails_for_small(known, batch)
+        small = None if tails is None else _write_if_small(messages, tails, folder, order=order, bucket=bucket, compression=compression, file_records=file_records)
+        if small is not None:
+            sizes, schema = small
+            starts = _starts(known, batch, sizes)
+            if not starts:
+                delete(spark, folder)
+                return
+        else:
+            counted = _bucket_counts(messages, "stream", bucket)
+            few = counted.limit(SETTLED_ROWS + 1).toArrow()
+            counts = few if few.num_rows <= SETTLED_ROWS else materialise(counted, "append-counts")
+            sizes = _stream_sizes(counts)
+            if _is_sealed(known, batch, sizes):
+                return
+            starts = _starts(known, batch, sizes)
+            if not starts:
+                return
+            placed = _placed(messages, counts, starts, counted.schema, order=order, bucket=bucket)
+            schema = placed.schema
+            run = max(file_records, WRITE_RUN // file_records * file_records) if file_records else WRITE_RUN  # whole files, and many tasks where files are small
+            run = min(run, SMALL_FILES * file_records) if file_records else run
+            _write(placed.repartition("stream", F.floor(F.col("offset") / run)), folder, compression, file_records)
+        if "chunk_timestamp" in schema.names:
+            write_blocks(spark.read.schema(schema).parquet(folder), path, attempt)
         lines = [{"kind": "range", "batch_id": batch, "attempt": attempt, "stream": r["stream"], "start_offset": r["start_offset"], "n": r["n"]} for r in starts]
-        lines.append(columns_line(batch, attempt, placed.schema))
+        lines.append(columns_line(batch, attempt, schema))
         if ids:
             found = messages.where("publishing_id is not null").groupBy("producer", "stream").agg(F.max("publishing_id").alias("max_id")).collect()  # one row a stream
             lines += [{"kind": "ids", "batch_id": batch, "attempt": attempt, **r.asDict()} for r in found]

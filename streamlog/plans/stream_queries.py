@@ -135,7 +135,8 @@ def stream_from_offset(s: SparkSession, d: str) -> DataFrame:
     publish.append_log(_rows(s, d), path, order=ORDER, bucket=_bucket(), batch_id=0, file_records=2000)
     rows = streaming.stream_log(s, path, open_log(s, path).schema, checkpoint=checkpoint, start="offset", start_offset=100, max_records=4000, file_records=2000)
     moved = rows.select(F.col("stream").alias("source"), F.col("offset").alias("source_offset"), F.lit("copy").alias("stream"))
-    streaming.stream_append(moved, out, checkpoint, order=["source", "source_offset"], bucket=lambda: F.col("source"), available_now=True).start().awaitTermination()
+    with streaming.local_checkpoints(s, checkpoint):
+        streaming.stream_append(moved, out, checkpoint, order=["source", "source_offset"], bucket=lambda: F.col("source"), available_now=True).start().awaitTermination()
     return open_log(s, out).groupBy(F.col("source").alias("stream")).agg(F.count("*").alias("n"), F.min("source_offset").alias("lo"))
 
 

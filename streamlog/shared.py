@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import gc
 import os
 import tempfile
@@ -26,11 +27,21 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+@functools.lru_cache(maxsize=4)
+def _path_class(jvm):
+    return jvm.org.apache.hadoop.fs.Path  # a lookup of five round trips
+
+
 def _hadoop(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target = _path_class(spark._jvm)(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def is_local(spark: SparkSession, path: str) -> bool:
+    """Whether a path is on the disk of this machine."""
+    return _hadoop(spark, path)[0].getUri().getScheme() == "file"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is such a file or folder, in any store that Spark reads."""
     files, target = _hadoop(spark, path)
@@ -81,23 +92,36 @@ def read_text(spark: SparkSession, path: str) -> str:
 def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Puts a whole file at ``path`` unless there is one; whether this call did. Others see all of it or nothing."""
     files, target = _hadoop(spark, path)
+    if is_local(spark, path):
+        return _link_new(target.toUri().getPath(), text)
     files.mkdirs(target.getParent())
-    temp = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".new-{uuid.uuid4().hex}")
+    temp = _path_class(spark._jvm)(target.getParent(), f".new-{uuid.uuid4().hex}")
     out = files.create(temp)
     out.write(bytearray(text.encode()))
     out.close()
     try:
-        if files.getUri().getScheme() == "file":  # a local rename replaces; a link doesn't
-            try:
-                os.link(temp.toUri().getPath(), target.toUri().getPath())
-            except FileExistsError:
-                return False
-            return True
         return _rename_to_new(spark, temp, target)
     finally:
         files.delete(temp, False)
 
 
+def _link_new(path: str, text: str) -> bool:
+    """On a local disk a rename replaces; a link doesn't."""
+    parent = os.path.dirname(path)
+    os.makedirs(parent, exist_ok=True)
+    temp = f"{parent}/.new-{uuid.uuid4().hex}"
+    try:
+        with open(temp, "wb") as out:
+            out.write(text.encode())
+        os.link(temp, path)
+    except FileExistsError:
+        return False
+    finally:
+        if os.path.exists(temp):
+            os.remove(temp)
+    return True
+
+
 def _rename_to_new(spark: SparkSession, temp, target) -> bool:
     jvm = spark._jvm
     kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,10 +16,12 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..operators.publish import append_log
 from ..operators.ranges import start_positions
 from ..options import LimitOptions, RangeOptions
-from ..shared import exists
+from ..shared import exists, is_local
 from ..sources.datasource import LogSource
 from ..sources.log import from_starts, indexed_bounds, open_log
 
+#: Spark's setting for how checkpoints are written, and the way by Hadoop's ``FileSystem``.
+_MANAGER, _BY_FILE_SYSTEM = "spark.sql.streaming.checkpointFileManagerClass", "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
 _ENDS = ("end", "end_offset", "end_ts", "end_ts_by_stream")
 
 
@@ -100,6 +103,20 @@ def drain(writer: DataStreamWriter) -> None:
         running.stop()
 
 
+@contextmanager
+def local_checkpoints(spark: SparkSession, checkpoint: str) -> Iterator[None]:
+    """For many small batches: queries that start and run in here write a checkpoint on a local disk by Hadoop's ``FileSystem``. Spark's own choice there, ``FileContext``, starts ten processes a
+    file for rights and links, and a batch has three files. Both write a file beside its place and rename it. A setting of the session; other stores, and sessions that set a manager, keep theirs."""
+    if spark.conf.get(_MANAGER, None) is not None or not is_local(spark, checkpoint):
+        yield
+        return
+    spark.conf.set(_MANAGER, _BY_FILE_SYSTEM)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_MANAGER)
+
+
 def _kept_starts(spark: SparkSession, path: str, checkpoint: str, wanted: RangeOptions) -> DataFrame | None:
     """Where a query started: what it resolved when it was new. A checkpoint without it started at the beginning."""
     kept = f"{checkpoint.rstrip('/')}/start_positions"
