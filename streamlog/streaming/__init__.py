@@ -20,8 +20,11 @@ from ..shared import exists, is_local
 from ..sources.datasource import LogSource
 from ..sources.log import from_starts, indexed_bounds, open_log
 
-#: Spark's setting for how checkpoints are written, and the way by Hadoop's ``FileSystem``.
-_MANAGER, _BY_FILE_SYSTEM = "spark.sql.streaming.checkpointFileManagerClass", "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+#: Spark's settings for checkpoints on a local disk: written by Hadoop's ``FileSystem``, and a file source's old records, beyond the last 100 batches, deleted after seconds instead of ten minutes.
+_LOCAL = {
+    "spark.sql.streaming.checkpointFileManagerClass": "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager",
+    "spark.sql.streaming.fileSource.log.cleanupDelay": "10s",
+}
 _ENDS = ("end", "end_offset", "end_ts", "end_ts_by_stream")
 
 
@@ -105,16 +108,19 @@ def drain(writer: DataStreamWriter) -> None:
 
 @contextmanager
 def local_checkpoints(spark: SparkSession, checkpoint: str) -> Iterator[None]:
-    """For many small batches: queries that start and run in here write a checkpoint on a local disk by Hadoop's ``FileSystem``. Spark's own choice there, ``FileContext``, starts ten processes a
-    file for rights and links, and a batch has three files. Both write a file beside its place and rename it. A setting of the session; other stores, and sessions that set a manager, keep theirs."""
-    if spark.conf.get(_MANAGER, None) is not None or not is_local(spark, checkpoint):
-        yield
-        return
-    spark.conf.set(_MANAGER, _BY_FILE_SYSTEM)
+    """For many small batches: settings of the session for queries that start and run in here, where their checkpoint is on a local disk.
+
+    Spark's own choice there, ``FileContext``, starts ten processes a file for rights and links, and a batch has three files; both it and ``FileSystem`` write a file beside its place and rename it. And a
+    file source lists its records at every batch; they are kept long for stores that show files late, which a local disk doesn't. What the session sets itself stays, as do queries on other stores.
+    """
+    given = {k: v for k, v in _LOCAL.items() if spark.conf.get(k, None) is None} if is_local(spark, checkpoint) else {}
+    for k, v in given.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(_MANAGER)
+        for k in given:
+            spark.conf.unset(k)
 
 
 def _kept_starts(spark: SparkSession, path: str, checkpoint: str, wanted: RangeOptions) -> DataFrame | None:

@@ -109,3 +109,29 @@ def test_checkpoints_on_a_local_disk(spark, tmp_path):
     assert spark.conf.get(setting, None) is None
     drain(20)
     assert [(r["id"], r["offset"]) for r in open_log(spark, out).orderBy("offset").collect()] == [(k, k) for k in range(30)]
+
+
+def test_records_of_a_file_source_are_dropped(spark, tmp_path):
+    """A source lists its records at every batch; those beyond the last 100 batches go, and the query still goes on where it was."""
+    source, checkpoint, setting, seen = f"file://{tmp_path}/in", f"file://{tmp_path}/ck", "spark.sql.streaming.fileSource.log.cleanupDelay", []
+
+    def drain():
+        rows = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source)
+        rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, n: seen.append(n)).trigger(availableNow=True).start().awaitTermination()
+
+    spark.range(250).repartition(250).write.option("maxRecordsPerFile", 1).parquet(source)
+    files = len(list((tmp_path / "in").glob("*.parquet")))
+    spark.conf.set(setting, "1ms")
+    try:
+        with streaming.local_checkpoints(spark, checkpoint):
+            assert spark.conf.get(setting) == "1ms"  # the session's own
+            drain()
+        assert spark.conf.get(setting) == "1ms"
+    finally:
+        spark.conf.unset(setting)
+    with streaming.local_checkpoints(spark, checkpoint):
+        assert spark.conf.get(setting) == "10s"
+    assert spark.conf.get(setting, None) is None
+    assert seen == list(range(files)) and len(list((tmp_path / "ck/sources/0").glob("[0-9]*"))) <= 125 < files
+    drain()
+    assert len(seen) == files
